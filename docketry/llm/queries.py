@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import mixing, packing, tokencount
+from docketry.llm import langid, mixing, packing, secrets, tokencount
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,6 +19,10 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_read(spark, sf_dir, "documents"))
+
+
 def op2_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"), tokenizer_file(), window=1024, end_id=0)
 
@@ -31,10 +35,16 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, repeats=2)
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_nnls_packing": op2_nnls_packing,
     "op3_token_counts": op3_token_counts,
     "op4_source_mixing": op4_source_mixing,
+    "op5_secret_scan": op5_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
