@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import langid, mixing, packing, secrets, tokencount
+from docketry.llm import langid, mixing, packing, secrets, tokencount, urlfilter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -39,12 +39,17 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(_read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_nnls_packing": op2_nnls_packing,
     "op3_token_counts": op3_token_counts,
     "op4_source_mixing": op4_source_mixing,
     "op5_secret_scan": op5_secret_scan,
+    "op9_url_filter": op9_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {
