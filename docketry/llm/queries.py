@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import langid, mixing, packing, secrets, tokencount, urlfilter
+from docketry.llm import langid, media, mixing, packing, secrets, tokencount, urlfilter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
 
 
+def op7_media_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.document_media(_read(spark, sf_dir, "documents")).drop("caption")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(_read(spark, sf_dir, "pages"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_source_mixing": op4_source_mixing,
     "op5_secret_scan": op5_secret_scan,
+    "op7_media_sequences": op7_media_sequences,
     "op9_url_filter": op9_url_filter,
 }
 
