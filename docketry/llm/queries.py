@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import langid, media, mixing, packing, secrets, tokencount, urlfilter
+from docketry.llm import langid, media, mixing, packing, secrets, tokencount, toxicity, urlfilter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -47,6 +47,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(_read(spark, sf_dir, "pages"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.fit(docs, labels))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_nnls_packing": op2_nnls_packing,
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secret_scan": op5_secret_scan,
     "op7_media_sequences": op7_media_sequences,
     "op9_url_filter": op9_url_filter,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
