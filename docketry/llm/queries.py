@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import langid, media, mixing, packing, secrets, tokencount, toxicity, urlfilter
+from docketry.llm import langid, media, mixing, ngramjoin, packing, secrets, tokencount, toxicity, urlfilter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op7_media_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.document_media(_read(spark, sf_dir, "documents")).drop("caption")
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.near_duplicates(_read(spark, sf_dir, "documents"), n=5, threshold=0.8).drop("text_hash")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(_read(spark, sf_dir, "pages"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mixing": op4_source_mixing,
     "op5_secret_scan": op5_secret_scan,
     "op7_media_sequences": op7_media_sequences,
+    "op8_ngram_join": op8_ngram_join,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
 }
