@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import langid, media, mixing, ngramjoin, packing, secrets, tokencount, toxicity, urlfilter
+from docketry.llm import langid, media, mixing, ngramjoin, packing, secrets, spotsigs, tokencount, toxicity, urlfilter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
 
 
+def op6_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(_read(spark, sf_dir, "documents"))
+
+
 def op7_media_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.document_media(_read(spark, sf_dir, "documents")).drop("caption")
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_source_mixing": op4_source_mixing,
     "op5_secret_scan": op5_secret_scan,
+    "op6_spot_signatures": op6_spot_signatures,
     "op7_media_sequences": op7_media_sequences,
     "op8_ngram_join": op8_ngram_join,
     "op9_url_filter": op9_url_filter,
