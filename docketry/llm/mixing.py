@@ -29,8 +29,9 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: flo
 
     Sources by code point, null last, take the weights in turn and share ``share`` times all sizes. No target is
     above ``repeats`` times its source's size; what is cut off is shared by weight among the others until none
-    is above. That is one water level: target = min(level * weight, cap), with the level found by going through
-    the sources by cap per weight. One row for each source is all these windows see.
+    is above. That is one water level: target = min(level * weight, cap). Going through the sources by cap per
+    weight, with those before at their caps, the level falls from the first source that it does not drown, so
+    it is the greatest level that lies within its own source's cap. These windows see one row for each source.
     """
     turn = Window.orderBy(F.col("source").asc_nulls_last())
     by_cap, after = Window.orderBy("cap_per_weight", "turn"), Window.orderBy("cap_per_weight", "turn").rowsBetween(0, Window.unboundedFollowing)
@@ -41,7 +42,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: flo
     rows = rows.withColumn("capped_before", F.coalesce(F.sum("cap").over(by_cap.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
     rows = rows.withColumn("weight_from", F.sum("weight").over(after)).withColumn("budget", F.sum("source_size").over(everything) * F.lit(float(share)))
     rows = rows.withColumn("level", (F.col("budget") - F.col("capped_before")) / F.col("weight_from"))
-    rows = rows.withColumn("level", F.min(F.when(F.col("level") <= F.col("cap_per_weight"), F.col("level"))).over(everything))
+    rows = rows.withColumn("level", F.max(F.when(F.col("level") <= F.col("cap_per_weight"), F.col("level"))).over(everything))
     return rows.select("source", "source_size", F.least(F.coalesce(F.col("level") * F.col("weight"), F.col("cap")), F.col("cap")).alias("target"))
 
 

@@ -89,7 +89,7 @@ ORACLE_SQL: dict[str, str] = {
                    sum(weight) OVER (ORDER BY cap / weight, turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight,
                    sum(source_size) OVER () * 1.5::DOUBLE AS budget
             FROM w),
-        l AS (SELECT min((budget - capped) / open_weight) FILTER ((budget - capped) / open_weight <= per) AS level FROM c),
+        l AS (SELECT max((budget - capped) / open_weight) FILTER ((budget - capped) / open_weight <= per) AS level FROM c),
         t AS (SELECT source, source_size, least(coalesce(level * weight, cap), cap) AS target FROM c, l),
         r AS (
             SELECT doc_id, size, source_size, target, floor(target + 1e-6)::BIGINT AS stop,
