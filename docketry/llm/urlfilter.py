@@ -143,12 +143,14 @@ class UrlModel:
 def train(labelled: DataFrame, rounds: int = 20, depth: int = 3, learning_rate: float = 0.3, sample_rows: int = 5000, ridge: float = 1.0, bins: int = 16) -> UrlModel:
     """Boosted trees for ``block`` from rows of :func:`lexical` that a rule decides.
 
-    The sample is the ``sample_rows`` URLs of lowest hash, all that ever reaches the driver. Suffix statistics are block rates
-    smoothed by the base rate; those of a row leave the row itself out, so that they do not give its label away.
+    The sample is the URLs whose hash falls below a threshold set for ``sample_rows`` rows on average; no more ever
+    reaches the driver. Suffix statistics are block rates smoothed by the base rate; those of a row leave the row itself out, so that they do not give its label away.
     """
     names = [n for n in FEATURES if not n.endswith("_rate")]
-    picked = labelled.where("decided is not null").orderBy(F.xxhash64("host", "path"), "host", "path", "url_chars").limit(sample_rows)
-    rows = [r.asDict(recursive=True) for r in picked.select("_suffix", "_domain", F.col("decided.verdict").alias("verdict"), *names).collect()]
+    decided = labelled.where("decided is not null")
+    share = min(1.0, sample_rows / max(1, decided.count()))
+    picked = decided.where(F.pmod(F.xxhash64("_id", "host", "path"), F.lit(1 << 20)) < F.lit(share * (1 << 20)))
+    rows = sorted((r.asDict() for r in picked.select("_suffix", "_domain", F.col("decided.verdict").alias("verdict"), *names).collect()), key=lambda r: tuple(r.values()))
     y = [1.0 if r["verdict"] == "block" else 0.0 for r in rows]
     base = (sum(y) + 1) / (len(y) + 2)
     tally: dict[str, dict[str, list[float]]] = {"suffix": {}, "domain": {}}
