@@ -1,0 +1,91 @@
+from pyspark.sql import functions as F
+
+from docketry.functions import category, dates, filer, text
+
+
+def column(spark, values, expression, kind="string"):
+    rows = [(k, v) for k, v in enumerate(values)]
+    frame = spark.createDataFrame(rows, f"k int, v {kind}")
+    return [r.out for r in frame.select("k", expression(F.col("v")).alias("out")).orderBy("k").collect()]
+
+
+def test_markup(spark):
+    assert column(spark, ["a<hr/>b", "a<br</td>b", "x<!-- y\nz -->w", "<td>1</td><td>2</td>", "a<BR />b", "<br", None], text.strip_tags) == ["a\n/>b", "a\nb", "x w", " 1  2 ", "a\nb", "\n", None]
+    assert column(spark, ["a&#38;lt;b", "&nbsp;&amp;&quot;&apos;&gt;", "&#x41;&#66;&#x1F600;", "&#xD800;&#99999999;", "no", "", "&amp;", None], text.unescape_html) == [
+        "a&lt;b", "&nbsp;&\"'>", "AB\U0001f600", "&#xD800;&#99999999;", "no", "", "&", None,
+    ]
+    assert column(spark, ["x **bold** [t](u) ![i](v)", "# Head\n\n\n\nbody   x", "__a\nb__ c", "a \\** b", "&lt;br/&gt;x"], text.plain_text) == ["x bold t", "Head\n\nbody x", "a\nb c", "a b", "x"]
+    assert column(spark, ["  a \t b  \n\n\n\n c \x00", " x ", "a\r\nb"], text.squeeze_whitespace) == ["a b\n\nc", "x", "a\nb"]
+    assert column(spark, ["  a \n b ", " a"], text.line_key) == ["a b", " a"]
+
+
+def test_names(spark):
+    rows = [["a.pdf", "Díaz, José 9.12.25.pdf"], ["Smith, John disclosure 9.12.25.pdf"], ["§§.PDF"], ["_-x_.pdf"], ["aa.b", "cc.d"], ["noext"]]
+    out = column(spark, rows, text.safe_name, "array<string>")
+    assert [r.stem + r.ext for r in out] == ["Diaz_Jose_9_12_25.pdf", "Smith_John_disclosure_9_12_25.pdf", "document.pdf", "x.pdf", "aa.b", "noext"]
+    assert column(spark, ["d/x/a.b.pdf", ".pdf", "a"], lambda c: text.stem(text.basename(c))) == ["a.b", ".pdf", "a"]
+
+
+def test_filing(spark):
+    rows = [
+        (["Bowman§6.8.23.12.pdf"], "d/r/2012/x", "", "2012-08-23", "filename"),
+        (["2013-11-13 Roe.pdf"], "d/x", "", "2013-11-13", "filename"),
+        (["Roe.pdf"], "d/r/09 September 2025/Roe.pdf", "", "2025-09", "folder"),
+        (["Roe.pdf"], "d/r/2012/Roe.pdf", "2012 AUG 23 AM 10:59", "2012-08-23", "received_stamp"),
+        (["Roe.pdf"], "d/r/2012/Roe.pdf", "2019 AUG 23 AM 10:59", "2012", "folder"),
+        (["Roe.pdf"], "d/Roe.pdf", "2012 FEB 30 AM 1:00\n2013 MAR 1 AM 2:00", None, None),
+        (["Roe 8.23.13.pdf"], "d/2012/x", "", "2012", "folder"),
+        (["Roe 8.23.25.pdf"], "d/09 September 2025/x", "", "2025-08-23", "filename"),
+        (["A 8.22.12.pdf", "A 8.24.12.pdf"], "d/2012/A.pdf", "2012 AUG 24 PM 1:00", "2012-08-24", "filename"),
+        (["A 8.22.12.pdf", "A 8.24.12.pdf"], "d/2012/A.pdf", "", "2012-08-22", "filename"),
+        (["2023_June_Ireland.pdf"], "d/x", "", "2023-06", "filename"),
+        (["2023_Marketing.pdf"], "d/x", "", "2023", "filename"),
+        (["RSA_ethics_disclosure_2022.pdf"], "d/RSA.pdf", "", "2022", "filename"),
+        (["20-12-2814.pdf"], "d/x", "", None, None),
+        (["1.2.95.pdf"], "d/x", "", "1995-01-02", "filename"),
+        (["Maryann 2014.pdf"], "d/Maryann 2014.pdf", "", "2014-03", "folder"),
+        (["x 2027.pdf"], "d/x", "", None, None),
+        ([], "", "", None, None),
+    ]
+    frame = spark.createDataFrame([(k, *r[:3]) for k, r in enumerate(rows)], "k int, names array<string>, path string, text string")
+    out = frame.select("k", dates.filing(F.col("names"), F.col("path"), F.col("text"), F.lit(2026)).alias("f")).orderBy("k").collect()
+    assert [(r.f.date, r.f.date_source) for r in out] == [r[3:] for r in rows]
+
+
+def test_display_dates(spark):
+    assert column(spark, ["2026-01-04", "2026-01", "2026", None], dates.display_date) == ["Jan 4, 2026", "Jan 2026", "2026", ""]
+    assert column(spark, ["2026-04-09"], lambda c: dates.display_day(c.cast("date"))) == ["Apr 9, 2026"]
+
+
+def test_category(spark):
+    cases = {
+        "DISCLOSURE BY SPECIAL STATE EMPLOYEE OF FINANCIAL INTEREST IN A STATE\nCONTRACT": "Financial Interest",
+        "DISCLOSURE OF TRAVEL EXPENSES": "Travel & Gifts",
+        "DISCLOSURE OF APPEARANCE OF CONFLICT OF INTEREST": "Appearance of Conflict",
+        "DISCLOSURE BY MEMBER OF FAMILY MEMBERS FINANCIAL INTEREST": "Other",
+        "DISCLOSURE OF SOMETHING ELSE": "Other",
+        "letter: under § 6A and § 23(b)(3)": "Financial Interest",
+        "letter: § 6B": "Other",
+        "letter: 930 CMR 5.08": "Travel & Gifts",
+        "Disclosure by me of travel": "Other",
+        "see section 23 (b)(3)": "Appearance of Conflict",
+        "**DISCLOSURE  OF**\nGIFT": "Travel & Gifts",
+        "DISCLOSURE OF (a GIFT\nhere) X\nRECEIVED FINANCIAL INTEREST": "Financial Interest",
+    }
+    assert column(spark, list(cases), category.category) == list(cases.values())
+    assert column(spark, [None, ""], category.category) == ["Other", "Other"]
+
+
+def test_filer(spark):
+    cases = [
+        ("Name of public employee:\nJane Roe\n\nTitle or Position:\nDirector", ("Jane Roe", "Director", None)),
+        ("Name of public employee: Jane Roe\nTitle: Director", ("Jane Roe", "Director", None)),
+        ("Title: Algebra I", (None, None, None)),
+        ("Name of public employee:\nTitle or Position:\nDirector", (None, "Director", None)),
+        ("Name of Appointing Authority: X", (None, None, None)),
+        ("Agency/Department: Parks", (None, None, "Parks")),
+        ("Name:\n____\nDepartment : Parks", (None, None, "Parks")),
+        ("Name: A\n1\n2\n3\n4\n5\n6\nTitle: Late", ("A", None, None)),
+        ("", (None, None, None)),
+    ]
+    assert [tuple(r) for r in column(spark, [c for c, _ in cases], filer.filer)] == [x for _, x in cases]
