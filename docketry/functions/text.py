@@ -116,8 +116,8 @@ def relative_path(path: Column, root: str) -> Column:
 
 
 def longest(names: Column) -> Column:
-    """The first of the longest strings of an array."""
-    return F.element_at(F.filter(names, lambda n: F.length(n) == F.array_max(F.transform(names, F.length))), 1)
+    """The first of the longest strings of an array; null for an empty one."""
+    return F.get(F.filter(names, lambda n: F.length(n) == F.array_max(F.transform(names, F.length))), F.lit(0))
 
 
 @F.pandas_udf(StringType())

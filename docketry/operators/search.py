@@ -95,11 +95,15 @@ def matches(index: Index, query: str, k1: float = 1.2, b: float = 0.75) -> DataF
     for phrase in phrases:
         together = F.element_at("_at", F.lit(phrase[0]))
         for step, term in enumerate(phrase[1:], 1):
-            together = F.array_intersect(together, F.transform(F.element_at("_at", F.lit(term)), lambda p, s=step: p - s))
+            together = F.array_intersect(together, _shifted(F.element_at("_at", F.lit(term)), step))
         found = found.where(F.size(together) > 0)
     return found.select("url", "score")
 
 
+def _shifted(positions: Column, by: int) -> Column:
+    return F.transform(positions, lambda p: p - by)
+
+
 def facet_condition(filters: dict[str, tuple[str, ...]], but: str | None = None) -> Column:
     """OR within a facet, AND across facets; a facet without a selection does not filter, nor does the one left out."""
     out = F.lit(True)
