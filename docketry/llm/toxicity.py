@@ -10,6 +10,7 @@ Votes are weighted by distance and calibrated by logistic regression on leave-on
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketry.llm._shared import checkpointed
 from docketry.llm.langid import batches_of, held_out
 from docketry.llm.wordhash import word_terms
 
@@ -135,12 +137,43 @@ def _calibrated(votes: list[float], labels: list[float], ridge: float = 0.05) ->
     return a, b
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000, min_docs: int = 3, min_ratio: float = 18.0, max_terms: int = 6000, k: int = 15) -> Index:
+def _covering(examples: list[tuple[list[int], float]], n_terms: int, min_gain: float, decay: float = 0.3) -> np.ndarray:
+    """Terms, in order of their places, picked greedily for the examples of label 1 that those before do not tell yet.
+
+    An example counts in full until it has a picked term, and ``decay`` times as much after each. A term gains the weights of its examples of
+    label 1 and loses half an example for each of label 0; picking ends below ``min_gain``. So near copies, which share
+    all their words, make a few of them telling and not all.
+    """
+    weight = np.array([y for _, y in examples])
+    having: list[list[int]] = [[] for _ in range(n_terms)]
+    for e, (places, _) in enumerate(examples):
+        for t in places:
+            having[t].append(e)
+    members = [np.array(x, np.int64) for x in having]
+    cost = np.array([0.5 * sum(1 - examples[e][1] for e in x) for x in having])
+    queue = [(-(float(weight[m].sum()) - cost[t]), t) for t, m in enumerate(members)]
+    heapq.heapify(queue)
+    picked = []
+    while queue:
+        _, t = heapq.heappop(queue)
+        gain = float(weight[members[t]].sum()) - cost[t]
+        if queue and gain < -queue[0][0]:  # gains only fall, so an old gain is a bound
+            heapq.heappush(queue, (-gain, t))
+        elif gain < min_gain:
+            break
+        else:
+            picked.append(t)
+            weight[members[t]] *= decay
+    return np.array(sorted(picked), np.int64)
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000, min_docs: int = 3, min_ratio: float = 18.0, min_lift: float = 3.0, min_gain: float = 2.0, max_terms: int = 6000, k: int = 15) -> Index:
     """Learns from ``labels(doc_id, toxic)`` of documents that are not held out.
 
     The sample is the labelled ids whose hash falls below a threshold set for ``sample_rows`` rows on average, and no more than that
     ever reaches the driver, as vectors over the ``max_terms`` most telling terms. A document with several labels counts as
-    toxic if one says so; a document id that occurs more than once is learned once for each row.
+    toxic if one says so. Copies of a text are one example, so that a large group of copies does not make its words telling. A term is
+    telling if its likelihood ratio is ``min_ratio`` or more and label 1 is ``min_lift`` times as frequent with it (or every other time).
     """
     own = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     total = own.count()
@@ -148,6 +181,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000, min_docs:
     picked = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(share * (1 << 20)))
     picked = picked.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max(F.col("toxic").cast("double")).alias("_y"))
     sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("_id", "_y", F.coalesce("text", F.lit("")).alias("_text"))
+    once = sample.groupBy(F.sha2("_text", 256).alias("_digest")).agg(F.min("_id").alias("_id"), F.max("_y").alias("_y"), F.first("_text").alias("_text"))
+    sample = checkpointed(once.select("_id", "_y", "_text"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,7 +208,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000, min_docs:
     ratio = sum(
         (F.when(c > 0, 2 * c * F.log(c * n_docs / (F.lit(max(row, 1e-9)) * col))).otherwise(0.0) for seen, row in cells for c, col in ((seen, F.col("n")), (F.lit(row) - seen, F.lit(n_docs) - F.col("n")))), F.lit(0.0)
     )
-    telling = found.where((F.col("term").isNotNull()) & (F.col("n") >= min_docs) & (F.col("n") < n_docs)).withColumn("ratio", ratio).where((F.col("ratio") >= min_ratio) & (F.col("ones") / F.col("n") > base))
+    telling = found.where((F.col("term").isNotNull()) & (F.col("n") >= min_docs) & (F.col("n") < n_docs)).withColumn("ratio", ratio).where((F.col("ratio") >= min_ratio) & (F.col("ones") / F.col("n") >= min(0.5, min_lift * base)))
     rows = telling.orderBy(F.desc("ratio"), "term").limit(max_terms).select("term", "n").toArrow()
     terms = rows.column(0).to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(terms)
@@ -190,6 +225,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000, min_docs:
         index.silent_score = base
         return index
     made = sample.mapInArrow(vectors, "id long, y double, places array<int>, weights array<double>").orderBy("id", "y", "places").toArrow().to_pylist()
+    chosen = _covering([(r["places"], r["y"]) for r in made], len(terms), min_gain)
+    index.terms, index.idf = index.terms[chosen], index.idf[chosen]
+    to = {int(t): k for k, t in enumerate(chosen)}
+    for r in made:
+        left = [(to[t], w) for t, w in zip(r["places"], r["weights"], strict=True) if t in to]
+        length = math.sqrt(sum(w * w for _, w in left))
+        r["places"], r["weights"] = [t for t, _ in left], [w / length for _, w in left]
     telling_rows = [r for r in made if r["places"]]
     silent = [r["y"] for r in made if not r["places"]]
     index.add([r["id"] for r in telling_rows], [r["y"] for r in telling_rows], [(np.array(r["places"]), np.array(r["weights"])) for r in telling_rows])
