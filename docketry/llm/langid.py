@@ -170,8 +170,9 @@ def predict(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("doc
     judged each; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of the filter's fixed size
-    kept = [f for f in docs.select(*keep).schema.fields]
-    at = len(kept)
+    kept = docs.select(*keep).schema.fields
+    at, inner = len(kept), [f"_k{i}" for i in range(len(kept))]
+    made = [*inner, "_language", "_score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -184,11 +185,12 @@ def predict(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("doc
                 shares = own.shares(texts)
                 best[lettered] = shares.argmax(1)
                 score[lettered] = np.clip(shares.max(1), 0, 1)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(languages[best], pa.string()), pa.array(score)], names=[f.name for f in kept] + list(names))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(languages[best], pa.string()), pa.array(score)], names=made)
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{names[0]} string", f"{names[1]} double"])
+    schema = ", ".join([f"{c} {f.dataType.simpleString()}" for c, f in zip(inner, kept, strict=True)] + ["_language string", "_score double"])
     text = F.col("text").cast("string")
-    return docs.select(*keep, text.alias("_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_lettered")).mapInArrow(run, schema)
+    rows = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, inner, strict=True)], text.alias("_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_lettered"))
+    return rows.mapInArrow(run, schema).toDF(*keep, *names)
 
 
 def identify(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
@@ -200,5 +202,5 @@ def identify(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
 def accepted(docs: DataFrame, model: LanguageModel | None = None, min_score: float = 0.1) -> DataFrame:
     """The rows of ``docs`` whose language could be told: not ``und``, and a score of ``min_score`` at least."""
     names = tuple(docs.columns)
-    out = predict(docs, model or fit(docs), names, ("_lang_pred", "_lang_score"))
-    return out.where((F.col("_lang_pred") != UNDETERMINED) & (F.col("_lang_score") >= min_score)).select(*names)
+    out = predict(docs, model or fit(docs), names, ("__lang_pred", "__lang_score"))
+    return out.where((F.col("__lang_pred") != UNDETERMINED) & (F.col("__lang_score") >= min_score)).select(*names)

@@ -201,9 +201,9 @@ def _verified(members: DataFrame, n: int, threshold: float) -> DataFrame:
 
 
 def _with_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """``wanted(rep, k1, k2, ...)`` with each representative's n-gram set, from the row that has this set."""
+    """``wanted(rep, first_id, k1, k2, ...)`` with each representative's n-gram set, from the row of that id that has this set."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), text.alias("_text")).join(wanted, F.col("_id") == F.col("rep")).select("_text", *wanted.columns)
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), text.alias("_text")).join(wanted, F.col("_id") == F.col("first_id")).select("_text", *wanted.columns)
     names = list(wanted.columns)
     at = 1 + names.index("k1")
 
@@ -225,30 +225,22 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(run, schema).where("set is not null")
 
 
-def near_duplicates(
-    docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999, most_hashes: int = 128, block_members: int = 1024, block_grams: int = 2_000_000
-) -> DataFrame:
-    """``doc_id, class_id, n_links, text_hash`` for each row of ``docs(doc_id, text)``.
-
-    ``n_links`` is the number of other rows whose n-gram set has a Jaccard similarity of ``threshold`` or more, copies
-    included; ``class_id`` the smallest doc_id that links lead to. Texts without a word (null and empty ones too) and rows without a
-    doc_id have no links and are their own class. Repeated rows are copies of each other. An empty table gives no rows; other columns
-    are ignored. ``text_hash`` tells rows of one doc_id apart.
-    """
+def _classes(docs: DataFrame, n: int, threshold: float, recall: float, most_hashes: int, block_members: int, block_grams: int) -> DataFrame:
+    """``_id, _text_hash, root, class_id, n_links`` for each row; a root is one class, null for rows that cannot be linked."""
     bands, rows = choose_bands(threshold, recall, most_hashes)
     signed = checkpointed(_signed(docs, n, bands, rows))
     usable = signed.where("size > 0 and _id is not null")
-    reps = usable.groupBy("k1", "k2").agg(F.min("_id").alias("rep"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("bands").alias("bands"))
-    reps = checkpointed(reps)
+    reps = usable.groupBy("k1", "k2").agg(F.min("_id").alias("first_id"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    reps = checkpointed(reps.withColumn("rep", F.monotonically_increasing_id()))  # written, so the numbers stay
     slots = reps.select("rep", F.posexplode("bands").alias("band", "slot"))
     meets = slots.groupBy("band", "slot").agg(F.min("rep").alias("least"), F.count("*").alias("n")).where("n > 1")
     edges = slots.join(meets, ["band", "slot"]).where("rep != least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
     groups = components(edges)
 
-    wanted = reps.join(groups, F.col("rep") == F.col("id")).select("rep", "k1", "k2", "copies", "size", F.col("component").alias("comp"))
+    wanted = reps.join(groups, F.col("rep") == F.col("id")).select("rep", "first_id", "k1", "k2", "copies", "size", F.col("component").alias("comp"))
     blocks = wanted.groupBy(F.col("comp").alias("_c")).agg(F.count("*").alias("_n"), F.sum("size").alias("_g"))
     blocks = blocks.select("_c", F.ceil(F.greatest(F.col("_n") / block_members, F.col("_g") / block_grams)).cast("int").alias("parts"))
-    wanted = checkpointed(wanted.join(blocks, F.col("comp") == F.col("_c")).select("rep", "k1", "k2", "copies", "comp", "parts"))
+    wanted = checkpointed(wanted.join(blocks, F.col("comp") == F.col("_c")).select("rep", "first_id", "k1", "k2", "copies", "comp", "parts"))
     members = _with_sets(docs, wanted, n).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("parts").cast("long")).cast("int"))
     members = members.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("_other"))
     members = members.withColumn("low", F.least("block", "_other")).withColumn("high", F.greatest("block", "_other"))
@@ -257,26 +249,43 @@ def near_duplicates(
     if wanted.where("parts > 1").limit(1).count():
         split = components(found.where("rep != root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
         links = links.join(split, F.col("_rep") == F.col("id"), "left").select("_rep", "links", F.coalesce("component", "root").alias("root"))
-    classes = reps.join(links, F.col("rep") == F.col("_rep"), "left").select(
-        "k1", "k2", F.coalesce("root", "rep").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+    rooted = reps.join(links, F.col("rep") == F.col("_rep"), "left").select(
+        "k1", "k2", "first_id", F.coalesce("root", "rep").alias("root"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
     )
-    named = usable.select("_id", "_text_hash", "k1", "k2").join(classes, ["k1", "k2"]).select("_id", "class_id", "n_links", "_text_hash")
-    alone = signed.where("size = 0 or _id is null").select("_id", F.col("_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), "_text_hash")
-    return named.unionByName(alone).select(F.col("_id").alias("doc_id"), "class_id", "n_links", F.col("_text_hash").alias("text_hash"))
+    names = rooted.groupBy(F.col("root").alias("_root")).agg(F.min("first_id").alias("class_id"))
+    classes = rooted.join(names, F.col("root") == F.col("_root")).select("k1", "k2", "root", "class_id", "n_links")
+    linked_ = usable.select("_id", "_text_hash", "k1", "k2").join(classes, ["k1", "k2"]).select("_id", "_text_hash", "root", "class_id", "n_links")
+    alone = signed.where("size = 0 or _id is null").select("_id", "_text_hash", F.lit(None).cast("long").alias("root"), F.col("_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return linked_.unionByName(alone)
+
+
+def near_duplicates(
+    docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999, most_hashes: int = 128, block_members: int = 1024, block_grams: int = 2_000_000
+) -> DataFrame:
+    """``doc_id, class_id, n_links`` for each row of ``docs(doc_id, text)``.
+
+    ``n_links`` is the number of other rows whose n-gram set has a Jaccard similarity of ``threshold`` or more, copies
+    included; ``class_id`` the smallest doc_id that links lead to. Texts without a word (null and empty ones too) and rows without a
+    doc_id have no links and are their own class. Repeated rows are copies of each other, and rows of one doc_id with different
+    texts are documents of their own. An empty table gives no rows; other columns are ignored.
+    """
+    return _classes(docs, n, threshold, recall, most_hashes, block_members, block_grams).select(F.col("_id").alias("doc_id"), "class_id", "n_links")
 
 
-def deduplicated(docs: DataFrame, **options) -> DataFrame:
+def deduplicated(
+    docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999, most_hashes: int = 128, block_members: int = 1024, block_grams: int = 2_000_000
+) -> DataFrame:
     """The rows of ``docs`` without all but one of each class: its smallest doc_id stays.
 
     Rows without a doc_id and texts without a word stay. Of a doc_id's repeated equal rows one stays.
     """
-    found = near_duplicates(docs, **options).where("doc_id is not null")
+    found = _classes(docs, n, threshold, recall, most_hashes, block_members, block_grams).where("root is not null")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     wordless = ~F.coalesce(F.lower(text).rlike(r"[a-z0-9]|[^\x00-\x7F]"), F.lit(False))
-    kept = found.groupBy("class_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select(F.col("k.doc_id").alias("_kid"), F.col("k.text_hash").alias("_khash"))
-    kept = checkpointed(kept)
-    rows = docs.withColumn("_free", F.col("doc_id").isNull() | wordless).withColumn("_hash", F.xxhash64(text))
-    joined = rows.where("not _free").join(kept, (F.col("doc_id") == F.col("_kid")) & (F.col("_hash") == F.col("_khash")), "left_semi")
-    if found.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count():
-        joined = joined.dropDuplicates(["doc_id", "_hash"])
-    return joined.unionByName(rows.where("_free")).select(*docs.columns)
+    kept = checkpointed(found.groupBy("root").agg(F.min(F.struct("_id", "_text_hash")).alias("k"), F.count("*").alias("n")).select(F.col("k._id").alias("__kept_id"), F.col("k._text_hash").alias("__kept_hash"), "n"))
+    rows = docs.withColumn("__free", F.col("doc_id").isNull() | wordless).withColumn("__hash", F.xxhash64(text))
+    joined = rows.where("not __free").join(kept, (F.col("doc_id") == F.col("__kept_id")) & (F.col("__hash") == F.col("__kept_hash")), "left_semi")
+    repeated = found.groupBy("_id", "_text_hash").agg(F.count("*").alias("times")).where("times > 1")
+    if repeated.limit(1).count():  # rows that no column tells apart; with unique ids there are none
+        joined = joined.dropDuplicates(["doc_id", "__hash"])
+    return joined.unionByName(rows.where("__free")).select(*docs.columns)

@@ -48,7 +48,7 @@ def op7_media_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngramjoin.near_duplicates(_read(spark, sf_dir, "documents"), n=5, threshold=0.8).drop("text_hash")
+    return ngramjoin.near_duplicates(_read(spark, sf_dir, "documents"), n=5, threshold=0.8)
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,17 +67,21 @@ class Layer:
         return self.starts, self.ends
 
     def replaced(self, pattern: re.Pattern, decode) -> Layer | None:
-        """The layer with each match replaced by what it stands for; None if nothing was replaced."""
+        """The layer with each match replaced by what it stands for; None if nothing was replaced.
+
+        ``decode`` gives a match's text and how many signs each of its characters took, or None.
+        """
         parts, starts, ends, at = [], [], [], 0
         own = None
         for m in pattern.finditer(self.text):
             if (new := decode(m[0])) is None:
                 continue
             own = own or self.arrays()
-            a, b = self.origin(*m.span())
-            parts += [self.text[at : m.start()], new]
-            starts += [own[0][at : m.start()], np.full(len(new), a)]
-            ends += [own[1][at : m.start()], np.full(len(new), b)]
+            text, widths = new
+            upto = m.start() + np.cumsum(np.array(widths, np.int64))
+            parts += [self.text[at : m.start()], text]
+            starts += [own[0][at : m.start()], own[0][upto - widths]]
+            ends += [own[1][at : m.start()], own[1][upto - 1]]
             at = m.end()
         if not parts:
             return None
@@ -86,24 +90,27 @@ class Layer:
         return Layer("".join(parts) + self.text[at:], np.concatenate(starts), np.concatenate(ends))
 
 
-def _from_url(run: str) -> str | None:
+def _from_url(run: str) -> tuple[str, list[int]] | None:
     try:
-        return bytes.fromhex(run.replace("%", "")).decode()
+        text = bytes.fromhex(run.replace("%", "")).decode()
     except UnicodeDecodeError:
         return None
+    return text, [3 * len(c.encode()) for c in text]
 
 
-def _from_unicode(run: str) -> str | None:
+def _from_unicode(run: str) -> tuple[str, list[int]] | None:
     try:
         if run[0] == "&":
-            return chr(int(run[3:-1], 16) if run[2] in "xX" else int(run[2:-1]))
+            return chr(int(run[3:-1], 16) if run[2] in "xX" else int(run[2:-1])), [len(run)]
         if run.startswith("\\u{"):
-            return chr(int(run[3:-1], 16))
+            return chr(int(run[3:-1], 16)), [len(run)]
         if run[1] == "U":
-            return chr(int(run[2:], 16))
+            return chr(int(run[2:], 16)), [len(run)]
         if run[1] == "x":
-            return bytes.fromhex(run.replace("\\x", "")).decode()
-        return bytes.fromhex(run.replace("\\u", "")).decode("utf-16-be")
+            text = bytes.fromhex(run.replace("\\x", "")).decode()
+            return text, [4 * len(c.encode()) for c in text]
+        text = bytes.fromhex(run.replace("\\u", "")).decode("utf-16-be")
+        return text, [12 if ord(c) > 0xFFFF else 6 for c in text]
     except (ValueError, OverflowError):
         return None
 

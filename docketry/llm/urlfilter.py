@@ -140,11 +140,12 @@ class UrlModel:
         return 1 / (1 + F.exp(-total))
 
 
-def train(labelled: DataFrame, rounds: int = 20, depth: int = 3, learning_rate: float = 0.3, sample_rows: int = 5000, ridge: float = 1.0, bins: int = 16) -> UrlModel:
+def train(labelled: DataFrame, rounds: int = 20, depth: int = 3, learning_rate: float = 0.3, sample_rows: int = 5000, ridge: float = 1.0, bins: int = 16, folds: int = 5) -> UrlModel:
     """Boosted trees for ``block`` from rows of :func:`lexical` that a rule decides.
 
     The sample is the URLs whose hash falls below a threshold set for ``sample_rows`` rows on average; no more ever
-    reaches the driver. Suffix statistics are block rates smoothed by the base rate; those of a row leave the row itself out, so that they do not give its label away.
+    reaches the driver. Suffix statistics are block rates smoothed by the base rate; a training row gets those of the other
+    folds, so that they do not give its own label away.
     """
     names = [n for n in FEATURES if not n.endswith("_rate")]
     decided = labelled.where("decided is not null")
@@ -153,16 +154,17 @@ def train(labelled: DataFrame, rounds: int = 20, depth: int = 3, learning_rate:
     rows = sorted((r.asDict() for r in picked.select("_suffix", "_domain", F.col("decided.verdict").alias("verdict"), *names).collect()), key=lambda r: tuple(r.values()))
     y = [1.0 if r["verdict"] == "block" else 0.0 for r in rows]
     base = (sum(y) + 1) / (len(y) + 2)
-    tally: dict[str, dict[str, list[float]]] = {"suffix": {}, "domain": {}}
-    for r, label in zip(rows, y, strict=True):
-        for kind in tally:
-            own = tally[kind].setdefault(r["_" + kind], [0.0, 0.0])
-            own[0] += label
-            own[1] += 1
-    for r, label in zip(rows, y, strict=True):
-        for kind in tally:
-            blocked, n = tally[kind][r["_" + kind]]
-            r[kind + "_rate"] = (blocked - label + 4 * base) / (n - 1 + 4)
+    tally: dict[tuple[str, int], dict[str, list[float]]] = {(kind, part): {} for kind in ("suffix", "domain") for part in range(-1, folds)}
+    for i, (r, label) in enumerate(zip(rows, y, strict=True)):
+        for kind in ("suffix", "domain"):
+            for part in (-1, *(f for f in range(folds) if f != i % folds)):
+                own = tally[kind, part].setdefault(r["_" + kind], [0.0, 0.0])
+                own[0] += label
+                own[1] += 1
+    for i, r in enumerate(rows):
+        for kind in ("suffix", "domain"):
+            blocked, n = tally[kind, i % folds].get(r["_" + kind], (0.0, 0.0))
+            r[kind + "_rate"] = (blocked + 4 * base) / (n + 4)
     cuts = {}
     for name in FEATURES:
         values = sorted(r[name] for r in rows)
@@ -176,7 +178,7 @@ def train(labelled: DataFrame, rounds: int = 20, depth: int = 3, learning_rate:
         tree = _grown(rows, [p - t for p, t in zip(chance, y, strict=True)], [p * (1 - p) for p in chance], list(range(len(rows))), depth, cuts, ridge)
         trees.append(tree)
         margin = [m + learning_rate * tree.of(r) for m, r in zip(margin, rows, strict=True)]
-    rates = {kind: {k: (b + 4 * base) / (n + 4) for k, (b, n) in own.items()} for kind, own in tally.items()}
+    rates = {kind: {k: (b + 4 * base) / (n + 4) for k, (b, n) in tally[kind, -1].items()} for kind in ("suffix", "domain")}
     return UrlModel(prior, trees, rates, base, learning_rate)
 
 
