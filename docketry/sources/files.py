@@ -98,7 +98,7 @@ def text_layers(pdfs: DataFrame, command: tuple[str, ...] = ("pdftotext", "-q",
                     file.flush()
                     try:
                         done = subprocess.run([*command, file.name, "-"], capture_output=True, check=False)
-                        texts.append(done.stdout.decode("utf-8", "replace").replace("�", "") if done.returncode == 0 else None)
+                        texts.append(done.stdout.decode("utf-8", "replace") if done.returncode == 0 else None)
                     except OSError:
                         texts.append(None)
             yield pd.DataFrame({"path": batch["path"], "raw": texts})
