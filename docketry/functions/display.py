@@ -17,9 +17,9 @@ def slugify(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", "-"), r"^-+|-+\z", "")
 
 
-def drop_url(url: Column, files_url: str, filename: Column) -> Column:
-    """A drop's own address, or where it is published if it has none (or an empty one)."""
-    return F.coalesce(F.nullif(url, F.lit("")), F.concat(F.lit(f"{files_url.rstrip('/')}/ethics-drops/"), F.url_encode(filename)))
+def drop_url(url: Column, drops_url: str, filename: Column) -> Column:
+    """A drop's own address, or its place below ``drops_url`` if it has none (or an empty one)."""
+    return F.coalesce(F.nullif(url, F.lit("")), F.concat(F.lit(drops_url.rstrip("/") + "/"), F.url_encode(filename)))
 
 
 def file_url(base: str, filename: Column) -> Column:

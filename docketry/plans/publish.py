@@ -50,7 +50,7 @@ def site_data(corpus: DataFrame) -> DataFrame:
     return site_counts(corpus, STATEMENT)
 
 
-def drop_table(drops: DataFrame, files_url: str) -> DataFrame:
+def drop_table(drops: DataFrame, drops_url: str) -> DataFrame:
     """The drops as the home page lists them, newest first, ties by name."""
     rows = drops.orderBy(F.desc("date"), F.desc("filename"))
-    return rows.select("filename", display_day(F.col("date").cast("date")).alias("received"), "custodian", "notes", drop_url(F.col("url"), files_url, F.col("filename")).alias("href"))
+    return rows.select("filename", display_day(F.col("date").cast("date")).alias("received"), "custodian", "notes", drop_url(F.col("url"), drops_url, F.col("filename")).alias("href"))

@@ -338,14 +338,14 @@ def site_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("""
     SELECT o_orderkey, strftime(o_orderdate, '%b ') || day(o_orderdate) || strftime(o_orderdate, ', %Y') AS shown,
-           CASE WHEN o_orderkey % 3 = 0 THEN 'https://x/' || o_orderkey ELSE 'https://files/ethics-drops/' || o_orderkey || '.zip' END AS href
+           CASE WHEN o_orderkey % 3 = 0 THEN 'https://x/' || o_orderkey ELSE 'https://files/drops/' || o_orderkey || '.zip' END AS href
     FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC""")
 def drops_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drops with their day and address, newest first."""
     key = F.col("o_orderkey").cast("string")
     own = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("https://x/"), key)).otherwise("")
     rows = _read(spark, sf_dir, "orders").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey"))
-    return rows.select("o_orderkey", dates.display_day(F.col("o_orderdate")).alias("shown"), display.drop_url(own, "https://files", F.concat(key, F.lit(".zip"))).alias("href"))
+    return rows.select("o_orderkey", dates.display_day(F.col("o_orderdate")).alias("shown"), display.drop_url(own, "https://files/drops", F.concat(key, F.lit(".zip"))).alias("href"))
 
 
 _PORTAL_SQL = """items AS (

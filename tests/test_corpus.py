@@ -177,9 +177,9 @@ def test_portal(spark, tmp_path):
 def test_small_expressions(spark):
     row = spark.range(1).select(
         delimit(F.lit("6883")).alias("a"), delimit(F.lit("-1234567")).alias("b"), delimit(F.lit("12")).alias("c"), delimit(F.lit("6883 PDFs")).alias("d"), slugify(F.lit("Travel & Gifts")).alias("e"),
-        drop_url(F.lit(""), "https://f/", F.lit("a b.zip")).alias("f"), portal_path(F.lit(" 2026/01/02 -  A/B "), F.lit("n")).alias("g"),
+        drop_url(F.lit(""), "https://f/drops/", F.lit("a b.zip")).alias("f"), portal_path(F.lit(" 2026/01/02 -  A/B "), F.lit("n")).alias("g"),
     ).first()
-    assert tuple(row) == ("6,883", "-1,234,567", "12", "6883 PDFs", "travel-gifts", "https://f/ethics-drops/a+b.zip", "2026/2026-01-02 AB.pdf")
+    assert tuple(row) == ("6,883", "-1,234,567", "12", "6883 PDFs", "travel-gifts", "https://f/drops/a+b.zip", "2026/2026-01-02 AB.pdf")
 
 
 def test_categories_must_agree(spark):

@@ -43,5 +43,5 @@ def test_links(spark, tmp_path):
 
 def test_drop_table(spark):
     rows = [("a.zip", "2026-04-09", "c", "n", ""), ("b.zip", "2026-04-09", "c", None, "https://own")]
-    out = publish.drop_table(spark.createDataFrame(rows, "filename string, date string, custodian string, notes string, url string"), "https://f").collect()
-    assert [(r.filename, r.received, r.href) for r in out] == [("b.zip", "Apr 9, 2026", "https://own"), ("a.zip", "Apr 9, 2026", "https://f/ethics-drops/a.zip")]
+    out = publish.drop_table(spark.createDataFrame(rows, "filename string, date string, custodian string, notes string, url string"), "https://f/drops").collect()
+    assert [(r.filename, r.received, r.href) for r in out] == [("b.zip", "Apr 9, 2026", "https://own"), ("a.zip", "Apr 9, 2026", "https://f/drops/a.zip")]
