@@ -74,6 +74,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_ngram_join": r"""
+        WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\x{80}-\x{10FFFF}]+') AS words FROM documents),
+        g AS (
+            SELECT r, doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                   ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END) AS gram
+            FROM w WHERE doc_id IS NOT NULL),
+        n AS (SELECT r, doc_id, count(*) AS n FROM g GROUP BY ALL),
+        shared AS (SELECT gram FROM g GROUP BY gram HAVING count(*) > 1),
+        s AS (SELECT a.r AS a, b.r AS b, count(*) AS k FROM (SELECT * FROM g SEMI JOIN shared USING (gram)) a JOIN (SELECT * FROM g SEMI JOIN shared USING (gram)) b ON a.gram = b.gram AND a.r <> b.r GROUP BY ALL),
+        l AS (SELECT a, b FROM s JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE k >= 0.8::DOUBLE * (x.n + y.n - k) - 1e-9),
+        reach(r, t) AS (SELECT a, a FROM l UNION SELECT reach.r, l.b FROM reach JOIN l ON l.a = reach.t),
+        c AS (SELECT reach.r, min(w.doc_id) AS class_id FROM reach JOIN w ON w.r = reach.t GROUP BY reach.r),
+        d AS (SELECT a AS r, count(*) AS n_links FROM l GROUP BY a)
+        SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n_links, 0)::BIGINT AS n_links FROM w LEFT JOIN c ON c.r = w.r LEFT JOIN d ON d.r = w.r""",
     "op4_source_mixing": r"""
         WITH d AS (
             SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k,
