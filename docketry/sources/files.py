@@ -160,3 +160,14 @@ def ocr_jobs(files: DataFrame) -> DataFrame:
     """``pdf, dest_dir, stem`` of each file: its text goes to a directory of its own."""
     name = basename(F.col("path"))
     return files.select(F.col("path").alias("pdf"), F.substr("path", F.lit(1), F.length("path") - F.length(extension(name))).alias("dest_dir"), stem(name).alias("stem"), drop_of(F.col("path")).alias("drop"))
+
+
+def write_texts(texts: DataFrame, folder: str) -> None:
+    """Appends ``texts(pdf, text, ...)`` as a table by drop. The commit makes rows visible whole, so what is there is complete."""
+    rows = texts.withColumn("drop", drop_of(F.col("pdf"))).withColumn("dir", F.regexp_replace("pdf", r"\.[^./]*$", "")).withColumn("stem", stem(basename(F.col("pdf"))))
+    rows.write.mode("append").partitionBy("drop").parquet(folder)
+
+
+def checksummed(files: DataFrame) -> DataFrame:
+    """``filename, sha256`` of ``files(path, content)``."""
+    return files.select(basename(F.col("path")).alias("filename"), F.sha2("content", 256).alias("sha256"))

@@ -6,8 +6,9 @@ import json
 import os
 import urllib.parse
 import urllib.request
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -73,3 +74,22 @@ def portal_items(spark: SparkSession, url: str, filter_: str = "", page: int = P
     items = spark.read.format("portal_items").options(url=url, filter=filter_, page=str(page)).load()
     placed = items.select("arrival", "id", portal_path(F.col("properties.title"), F.col("properties.name")).alias("path"))
     return numbered_paths(placed, "path", "arrival")
+
+
+def fetch_missing(items: DataFrame, have: DataFrame, fetch: Callable[[str], bytes]) -> DataFrame:
+    """``unique_path, content, error`` of the items whose path is not in ``have(unique_path)``, by a given fetch of an item id.
+
+    Rows are written as a table, whose commit makes them visible whole; an item that fails has an error and is asked for again next time.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, item in zip(batch["unique_path"], batch["id"], strict=True):
+                try:
+                    content, error = fetch(item), None
+                except Exception as problem:  # kept in the row; the others go on
+                    content, error = None, str(problem)
+                yield pd.DataFrame({"unique_path": [path], "content": [content], "error": [error]})
+
+    pending = items.join(have.select("unique_path").distinct(), "unique_path", "left_anti").select("unique_path", "id")
+    return pending.mapInPandas(run, "unique_path string, content binary, error string")

@@ -45,3 +45,20 @@ def test_drop_table(spark):
     rows = [("a.zip", "2026-04-09", "c", "n", ""), ("b.zip", "2026-04-09", "c", None, "https://own")]
     out = publish.drop_table(spark.createDataFrame(rows, "filename string, date string, custodian string, notes string, url string"), "https://f/drops").collect()
     assert [(r.filename, r.received, r.href) for r in out] == [("b.zip", "Apr 9, 2026", "https://own"), ("a.zip", "Apr 9, 2026", "https://f/drops/a.zip")]
+
+
+def test_only_missing_items_are_fetched_and_texts_are_kept_by_drop(spark, tmp_path):
+    from docketry.sources import files, portal
+
+    items = spark.createDataFrame([("1", "a.pdf"), ("2", "b.pdf"), ("x", "c.pdf")], "id string, unique_path string")
+
+    def fetch(item):
+        return int(item).to_bytes(1, "big")
+
+    out = portal.fetch_missing(items, spark.createDataFrame([("b.pdf",)], "unique_path string"), fetch).collect()
+    assert sorted((r.unique_path, bytes(r.content) if r.content else None, r.error is None) for r in out) == [("a.pdf", b"\x01", True), ("c.pdf", None, False)]
+    files.write_texts(spark.createDataFrame([("d/x/a.b.pdf", "t")], "pdf string, text string"), str(tmp_path / "texts"))
+    row = spark.read.parquet(str(tmp_path / "texts")).first()
+    assert (row.drop, row.dir, row.stem, row.text) == ("d", "d/x/a.b", "a.b", "t")
+    sums = files.checksummed(spark.createDataFrame([("z/a.zip", b"")], "path string, content binary")).first()
+    assert sums.filename == "a.zip" and sums.sha256.startswith("e3b0c442")
