@@ -160,11 +160,11 @@ def _runs(layer: Layer, most: int) -> Iterator[Layer]:
     """Layers from the runs of base64 or hexadecimal digits in a layer, through any compression around them."""
     for m in _BASE64.finditer(layer.text):
         for data, n, signs in _bytes_of(m[0]):
-            packed, depth = _unpacked(data, most), 0
+            packed, met = _unpacked(data, most), set()
             exact = packed is None
-            while packed is not None and depth < 64:
-                data, depth = packed, depth + 1
-                packed = _unpacked(data, most)
+            while packed is not None and (digest := hashlib.sha256(packed).digest()) not in met:  # streams can hold themselves
+                met.add(digest)
+                data, packed = packed, _unpacked(packed, most)
             if (text := _readable(data)) is None:
                 continue
             if not exact:
