@@ -1,0 +1,21 @@
+import pytest
+
+from docketry.plans import registry
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
+def test_query_equals_its_sql(compare, name):
+    compare(registry.QUERIES[name], registry.ORACLE_SQL[name])
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE_SQL)))
+def test_query_without_sql_gives_rows(spark, sf_dir, name):
+    out = registry.QUERIES[name](spark, sf_dir)
+    assert out.count() > 0
+
+
+def test_entry(spark):
+    import __spark_entry__
+
+    assert __spark_entry__.entry(spark).count() > 0
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
