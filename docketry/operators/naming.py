@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketry.operators.durable import numbered
+
 
 def allocate(wanted: Iterable[tuple[str, str]], taken: set[str] | None = None) -> Iterator[str]:
     """A name for each (stem, extension) in turn: the name itself, or with ``_1``, ``_2``, ... the first that is free.
@@ -33,12 +35,15 @@ def unique_names(docs: DataFrame, key: str, order: str, stem: str = "stem", ext:
     """``key, filename`` for each row of ``docs``.
 
     All names a stem can be given share its lower-case form without trailing ``_number`` groups, so the fold over one such
-    root, in order, is exact and roots are independent. A root that only one row has needs no fold and stays in SQL.
+    root, in order, is exact and roots are independent. Most roots need no fold: one row keeps its name, and where all rows have the
+    same stem (without case) the numbers are row numbers, however many rows there are. Only roots of several stems, whose numbers can
+    collide, are folded in one task each.
     """
     root = F.concat(F.regexp_replace(F.lower(F.col(stem)), r"(?:_[0-9]+)+$", ""), F.lit("\x00"), F.lower(F.col(ext)))
     rows = docs.select(F.col(key).alias("_key"), F.col(order).alias("_order"), F.col(stem).alias("_stem"), F.col(ext).alias("_ext"), root.alias("_root"))
-    sizes = rows.groupBy(F.col("_root").alias("_r")).agg(F.count("*").alias("_n"))
-    rows = rows.join(sizes, F.col("_root") == F.col("_r"))
+    low = F.lower("_stem")
+    sizes = rows.groupBy(F.col("_root").alias("_r")).agg(F.count("*").alias("_n"), (F.min(low) == F.max(low)).alias("_same"))
+    rows = rows.join(sizes, F.col("_root") == F.col("_r")).drop("_r")
     kind = docs.schema[key].dataType.simpleString()
 
     def fold(group: pd.DataFrame) -> pd.DataFrame:
@@ -46,5 +51,8 @@ def unique_names(docs: DataFrame, key: str, order: str, stem: str = "stem", ext:
         return pd.DataFrame({"key": group["_key"].to_numpy(), "filename": list(allocate(zip(group["_stem"], group["_ext"], strict=True)))})
 
     alone = rows.where("_n = 1").select(F.col("_key").alias("key"), F.concat("_stem", "_ext").alias("filename"))
-    shared = rows.where("_n > 1").select("_key", "_order", "_stem", "_ext", "_root").groupBy("_root").applyInPandas(fold, f"key {kind}, filename string")
-    return alone.unionByName(shared).select(F.col("key").alias(key), "filename")
+    same = numbered(rows.where("_n > 1 and _same"), "_root", ["_order", "_key"], "_nth")
+    number = F.when(F.col("_nth") > 1, F.concat(F.lit("_"), (F.col("_nth") - 1).cast("string"))).otherwise("")
+    same = same.select(F.col("_key").alias("key"), F.concat("_stem", number, "_ext").alias("filename"))
+    mixed = rows.where("_n > 1 and not _same").select("_key", "_order", "_stem", "_ext", "_root").groupBy("_root").applyInPandas(fold, f"key {kind}, filename string")
+    return alone.unionByName(same).unionByName(mixed).select(F.col("key").alias(key), "filename")

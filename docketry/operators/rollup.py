@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry.functions.dates import year_of
+from docketry.operators.durable import numbered
 
 
 def page_rollup(pages: DataFrame, key: str = "doc") -> DataFrame:
@@ -59,6 +60,6 @@ def years(corpus: DataFrame) -> DataFrame:
 
 def numbered_paths(items: DataFrame, path: str = "path", order: str = "arrival") -> DataFrame:
     """``items`` with the nth repeat (from the second) of a path told apart by `` (n)`` before its ``.pdf``, as ``unique_path``."""
-    n = F.row_number().over(Window.partitionBy(path).orderBy(order))
-    numbered = F.regexp_replace(F.col(path), F.lit(r"(?i)\.pdf\z"), F.format_string(" (%d).pdf", n))
-    return items.withColumn("unique_path", F.when(n > 1, numbered).otherwise(F.col(path)))
+    rows = numbered(items, path, [order], "_n")
+    suffixed = F.regexp_replace(F.col(path), F.lit(r"(?i)\.pdf\z"), F.format_string(" (%d).pdf", "_n"))
+    return rows.select(*items.columns, F.when(F.col("_n") > 1, suffixed).otherwise(F.col(path)).alias("unique_path"))
