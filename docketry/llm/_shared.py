@@ -1,45 +1,39 @@
-"""Checkpoints in the cluster's shared folder, and connected components over edge tables."""
+"""Slices of Arrow batches, and connected components over edge tables."""
 
 from __future__ import annotations
 
-import os
-import tempfile
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketry.operators.durable import checkpointed
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to and read back from the folder of ``spark.checkpoint.dir``, so lost executors cost no rerun of what was before.
 
-    Only a session without that setting gets a folder of its own, for tests on one machine.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        given = context.getConf().get("spark.checkpoint.dir", None) or _session_value(df.sparkSession)
-        context.setCheckpointDir(given or os.path.join(tempfile.gettempdir(), "docketry-checkpoints"))
-    return df.checkpoint()
-
-
-def _session_value(spark: SparkSession) -> str | None:
-    return spark.conf.get("spark.checkpoint.dir", None)
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of so many rows (without copying), so that few texts at a time are Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``id, component`` for every node of ``edges(a, b)`` (longs): the smallest id it is connected to.
 
     Alternating stars (Kiveris et al., "Connected Components in MapReduce and Beyond", 2014): in the large star each node
-    hangs its greater neighbours on its smallest neighbour, in the small star its smaller ones. Every step is an aggregation with a
-    partial form and a join with one row for each node, so a hub of any degree is spread over tasks. Edges
-    are at most as many after a step as before.
+    hangs its greater neighbours on its smallest neighbour, in the small star its smaller ones. Edges are at most as many
+    after a step as before. Minima are aggregates with a partial form and are written before they are joined: a join of two plain
+    exchanges is one whose skewed partitions adaptive execution splits, so a hub of any degree is spread over tasks.
     """
     now = checkpointed(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
     for _ in range(most_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy(F.col("a").alias("_n")).agg(F.least(F.min("b"), F.first("a")).alias("_m"))
-        large = both.where(F.col("b") > F.col("a")).join(least, F.col("a") == F.col("_n")).select(F.col("b").alias("a"), F.col("_m").alias("b")).where("a != b").distinct()
-        least = large.groupBy(F.col("a").alias("_n")).agg(F.min("b").alias("_m"))
+        least = checkpointed(both.groupBy(F.col("a").alias("_n")).agg(F.least(F.min("b"), F.first("a")).alias("_m")))
+        large = both.where(F.col("b") > F.col("a")).join(least, F.col("a") == F.col("_n")).select(F.col("b").alias("a"), F.col("_m").alias("b")).where("a != b")
+        large = checkpointed(large.distinct())
+        least = checkpointed(large.groupBy(F.col("a").alias("_n")).agg(F.min("b").alias("_m")))
         joined = large.join(least, F.col("a") == F.col("_n"))
         small = joined.select(F.explode(F.array(F.struct("a", F.col("_m").alias("b")), F.struct(F.col("b").alias("a"), F.col("_m").alias("b")))).alias("e")).select("e.*")
         now = checkpointed(small.where("a != b").distinct())

@@ -18,9 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm._shared import checkpointed, components
+from docketry.llm._shared import components, slices
 from docketry.llm.langid import batches_of, mixed
 from docketry.llm.wordhash import word_hashes
+from docketry.operators.durable import checkpointed
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -90,7 +91,7 @@ def _signed(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     """``_id, _text_hash, size, k1, k2, bands`` for each row; sizes, keys and bands are null for a row without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             size, keys, hashes = [], [], []
             for _, part in batches_of(batch.column(2).to_pylist()):
                 grams, counts = ngram_sets(part, n)
@@ -182,7 +183,7 @@ def _verified(members: DataFrame, n: int, threshold: float) -> DataFrame:
                 column.clear()
             return made
 
-        for batch in batches:
+        for batch in slices(batches):
             for row in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
                 if row[:3] != key:
                     if held:
@@ -208,7 +209,7 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     at = 1 + names.index("k1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts, sets = batch.column(0).to_pylist(), []
             k1, k2 = batch.column(at).to_pylist(), batch.column(at + 1).to_pylist()
             for begin, part in batches_of(texts):
@@ -233,7 +234,7 @@ def _classes(docs: DataFrame, n: int, threshold: float, recall: float, most_hash
     reps = usable.groupBy("k1", "k2").agg(F.min("_id").alias("first_id"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("bands").alias("bands"))
     reps = checkpointed(reps.withColumn("rep", F.monotonically_increasing_id()))  # written, so the numbers stay
     slots = reps.select("rep", F.posexplode("bands").alias("band", "slot"))
-    meets = slots.groupBy("band", "slot").agg(F.min("rep").alias("least"), F.count("*").alias("n")).where("n > 1")
+    meets = checkpointed(slots.groupBy("band", "slot").agg(F.min("rep").alias("least"), F.count("*").alias("n")).where("n > 1"))  # so that the join's skew can be split
     edges = slots.join(meets, ["band", "slot"]).where("rep != least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
     groups = components(edges)
 
