@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.llm._shared import slices
 from docketry.llm.tokencount import LETTER, char_classes
 
 UNDETERMINED = "und"
@@ -137,9 +138,9 @@ def fit(
     sample = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)).select("lang", "text")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             owners, texts = np.array(batch.column(0).to_pylist(), object), batch.column(1).to_pylist()
-            for begin, part in batches_of(texts, 1 << 22):
+            for begin, part in batches_of(texts):
                 hashes_, owner = gram_hashes(part, n)
                 pairs = np.unique(np.rec.fromarrays([hashes_, owner]))
                 for language in sorted(set(owners[begin : begin + len(part)])):
@@ -172,16 +173,17 @@ def predict(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("doc
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of the filter's fixed size
     kept = docs.select(*keep).schema.fields
     at, inner = len(kept), [f"_k{i}" for i in range(len(kept))]
+    text_at = keep.index("text") if "text" in keep and kept[keep.index("text")].dataType.simpleString() == "string" else at + 1
     made = [*inner, "_language", "_score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         languages = np.array([*own.languages, UNDETERMINED], object)
-        for batch in batches:
-            lettered = batch.column(at + 1).to_numpy(zero_copy_only=False).astype(bool)
+        for batch in slices(batches):
+            lettered = batch.column(at).to_numpy(zero_copy_only=False).astype(bool)
             best, score = np.full(len(lettered), len(own.languages)), np.zeros(len(lettered))
             if own.languages and lettered.any():
-                texts = batch.column(at).filter(pa.array(lettered)).to_pylist()
+                texts = batch.column(text_at).filter(pa.array(lettered)).to_pylist()
                 shares = own.shares(texts)
                 best[lettered] = shares.argmax(1)
                 score[lettered] = np.clip(shares.max(1), 0, 1)
@@ -189,7 +191,8 @@ def predict(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("doc
 
     schema = ", ".join([f"{c} {f.dataType.simpleString()}" for c, f in zip(inner, kept, strict=True)] + ["_language string", "_score double"])
     text = F.col("text").cast("string")
-    rows = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, inner, strict=True)], text.alias("_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_lettered"))
+    own_text = [text.alias("_text")] if text_at > at else []
+    rows = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, inner, strict=True)], F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_lettered"), *own_text)
     return rows.mapInArrow(run, schema).toDF(*keep, *names)
 
 

@@ -22,6 +22,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketry.llm._shared import slices
+
 #: Kinds in their order.
 KINDS = ("assign", "access", "hex")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -228,7 +230,7 @@ def scan(docs: DataFrame, max_layer_bytes: int = 1 << 26) -> DataFrame:
     schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text in batch.column(1):
                 base, every = spans(text.as_py() or "", max_layer_bytes)
@@ -247,7 +249,7 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", max_layer_bytes: int = 1 <<
     size = names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             columns, changed, texts, lengths = list(batch.columns), False, [], []
             for k, value in enumerate(batch.column(at)):
                 text = value.as_py()

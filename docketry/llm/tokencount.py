@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketry.llm._shared import slices
+
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 
 
@@ -302,7 +304,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 512) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(tokenizer_path)
-        for batch in batches:
+        for batch in slices(batches):
             tokens = np.array(own.counts(batch.column(1).to_pylist()), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(tokens), pa.array(tokens > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"]

@@ -20,9 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm._shared import checkpointed
+from docketry.llm._shared import slices
 from docketry.llm.langid import batches_of, held_out
 from docketry.llm.wordhash import word_terms
+from docketry.operators.durable import checkpointed
 
 PREFIXES = (4, 6)
 
@@ -185,9 +186,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000, min_docs:
     sample = checkpointed(once.select("_id", "_y", "_text"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             y = batch.column(1).to_numpy()
-            for begin, part in batches_of(batch.column(2).to_pylist(), 1 << 22):
+            for begin, part in batches_of(batch.column(2).to_pylist()):
                 hashes, counts = word_terms(part, PREFIXES)
                 owner = np.repeat(np.arange(len(part)), counts)
                 pairs = np.unique(np.rec.fromarrays([np.concatenate(hashes), np.tile(owner, len(hashes))]))
@@ -215,7 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000, min_docs:
     index = Index(terms[order], np.log(1 + n_docs / rows.column(1).to_numpy()[order]), base_rate=base)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             made = index.vectors(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([p.tolist() for p, _ in made], pa.list_(pa.int32())), pa.array([w.tolist() for _, w in made], pa.list_(pa.float64()))], ["id", "y", "places", "weights"]
@@ -251,7 +252,7 @@ def score(docs: DataFrame, index: Index, k: int = 15) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             scores, ids, cosines = [], [], []
             for places, weights in own.vectors([t or "" for t in batch.column(2).to_pylist()]):
                 near = own.nearest(places, weights, k) if len(places) else []
