@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,7 @@ def missing_texts(files: DataFrame, docs: DataFrame) -> DataFrame:
 
 def run_summary(files: DataFrame, exclusions: DataFrame, docs: DataFrame, written: DataFrame) -> DataFrame:
     """One row: files, excluded files, distinct documents, documents written."""
-    n_files = files.agg(F.count("*").alias("files"))
-    n_excluded = files.join(exclusions.select("sha256").distinct(), "sha256", "left_semi").agg(F.count("*").alias("excluded"))
-    return n_files.crossJoin(n_excluded).crossJoin(docs.agg(F.count("*").alias("distinct_documents"))).crossJoin(written.agg(F.count("*").alias("written")))  # one row each
+    parts = {"files": files, "excluded": files.join(exclusions.select("sha256").distinct(), "sha256", "left_semi"), "distinct_documents": docs, "written": written}
+    counts = [part.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, part in parts.items()]
+    every = functools.reduce(DataFrame.unionByName, counts)
+    return every.agg(*[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in parts])

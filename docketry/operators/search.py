@@ -85,10 +85,10 @@ def matches(index: Index, query: str, k1: float = 1.2, b: float = 0.75) -> DataF
         return index.entries.select("url", F.lit(0.0).alias("score"))
     hits = index.postings.where(F.col("term").isin(terms))
     df = hits.groupBy(F.col("term").alias("_t")).agg(F.count("*").alias("df"))
-    size = index.entries.agg(F.count("*").alias("n"), F.avg("length").alias("avg_length"))
-    scored = hits.join(df, F.col("term") == F.col("_t")).join(index.entries.select("url", "length"), "url").crossJoin(size)  # one row of totals
-    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.col("tf") + k1 * (1 - b + b * F.col("length") / F.greatest("avg_length", F.lit(1e-9)))
+    n, avg_length = (index.entries.agg(total).scalar() for total in (F.count("*"), F.avg("length")))
+    scored = hits.join(df, F.col("term") == F.col("_t")).join(index.entries.select("url", "length"), "url")
+    idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    norm = F.col("tf") + k1 * (1 - b + b * F.col("length") / F.greatest(avg_length, F.lit(1e-9)))
     places = F.map_from_entries(F.collect_list(F.struct("term", "positions")))
     found = scored.withColumn("_part", idf * F.col("tf") * (k1 + 1) / norm).groupBy("url").agg(F.sum("_part").alias("score"), F.count("*").alias("_terms"), places.alias("_at"))
     found = found.where(F.col("_terms") == len(terms))

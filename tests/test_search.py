@@ -12,7 +12,7 @@ OPTIONS = {"category": ("Financial Interest", "Travel & Gifts", "Other"), "year"
 @pytest.fixture(scope="module")
 def index(spark, tmp_path_factory):
     rows = [
-        ("a.pdf", "Other", "2026-01-04", ["a long.pdf", "a.pdf"], "Real estate in <Boston> & a real deal", "Roe", None, "Parks"),
+        ("a.pdf", "Other", "2026-01-04", ["a long.pdf", "a.pdf"], "Real estate in <Springton> & a real deal", "Roe", None, "Parks"),
         ("b.pdf", "Travel & Gifts", "2025", ["b.pdf"], "estate of the real kind", None, "Clerk", None),
         ("c.pdf", "Other", None, [], "real estate real estate", "", None, None),
         ("d.pdf", "Financial Interest", "2025-07", ["d.pdf"], None, None, None, None),
@@ -73,7 +73,7 @@ def test_pages(index):
     rows, _, total, page = search.search(index, SearchRequest("real estate", {}, "oldest", 9))
     shown = [(r.title, r.details, r.excerpt) for r in rows.collect()]
     assert (total, page) == (3, 1) and [s[0] for s in shown] == ["b.pdf", "a long.pdf", "c.pdf"]
-    assert shown[1][1:] == ("Jan 4, 2026 · Roe · Other · Parks", "<mark>Real</mark> <mark>estate</mark> in &lt;Boston&gt; &amp; a <mark>real</mark> deal")
+    assert shown[1][1:] == ("Jan 4, 2026 · Roe · Other · Parks", "<mark>Real</mark> <mark>estate</mark> in &lt;Springton&gt; &amp; a <mark>real</mark> deal")
     rows, _, _, _ = search.search(index, SearchRequest("", {"category": ("Other",)}, "newest"))
     assert [(r.title, r.excerpt) for r in rows.collect()] == [("a long.pdf", None), ("c.pdf", None)]
     best = search.search(index, SearchRequest("estate"))[0].collect()
