@@ -46,7 +46,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: flo
     return rows.select("source", "source_size", F.least(F.coalesce(F.col("level") * F.col("weight"), F.col("cap")), F.col("cap")).alias("target"))
 
 
-def schedule(docs: DataFrame, size: Column, keep: tuple[str, ...] = ("doc_id",), block_rows: int = 4096, **options) -> DataFrame:
+def schedule(docs: DataFrame, size: Column, keep: tuple[str, ...] = ("doc_id",), block_rows: int = 1024, **options) -> DataFrame:
     """``keep..., size, source_size, target, begins`` for each row of ``docs(doc_id, source, ...)``.
 
     ``begins`` is the words of its source before the document in the first round; copy c begins ``c *
@@ -54,22 +54,24 @@ def schedule(docs: DataFrame, size: Column, keep: tuple[str, ...] = ("doc_id",),
     the MD5 of the doc_id, ties by id, size and the kept columns, so reruns agree. A null source is a source of
     its own and comes last.
     """
-    rows = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col("source").alias("_source"), F.col("doc_id").alias("_id"), size.alias("_size"))
+    source = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("null"))  # never null, so that window and join agree on the partitioning
+    rows = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], source.alias("_source"), F.col("doc_id").alias("_id"), size.alias("_size"))
     rows = rows.withColumn("_key", F.md5(F.coalesce(F.col("_id").cast("string"), F.lit("")).cast("binary")))
     bits = min(16, max(0, math.ceil(math.log2(max(1, docs.count()) / block_rows))))
     rows = rows.withColumn("_block", F.shiftright(F.conv(F.substring("_key", 1, 4), 16, 10).cast("int"), 16 - bits))
     sums = rows.groupBy("_source", "_block").agg(F.sum("_size").alias("_sum"))
     before = F.coalesce(F.sum("_sum").over(Window.partitionBy("_source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = sums.groupBy(F.col("_source").alias("source")).agg(F.sum("_sum").alias("source_size"))
-    aims = targets(sizes, **options).withColumnRenamed("source", "_aim_source")
+    sizes = sums.groupBy("_source").agg(F.sum("_sum").alias("source_size"))
+    sizes = sizes.select(F.when(F.col("_source") != "null", F.substr("_source", F.lit(2))).alias("source"), "source_size")
+    aims = targets(sizes, **options).withColumn("_aim_source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null")))
     starts = sums.select("_source", "_block", before.alias("_before"))
-    starts = starts.join(aims, F.col("_source").eqNullSafe(F.col("_aim_source"))).select(
+    starts = starts.join(aims, F.col("_source") == F.col("_aim_source")).select(
         F.col("_source").alias("_s"), F.col("_block").alias("_b"), "_before", "source_size", "target"
     )
     order = Window.partitionBy("_source", "_block").orderBy("_key", "_id", "_size", *[f"_k{i}" for i in range(len(keep))])
     within = F.coalesce(F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rows = rows.withColumn("_within", within)
-    rows = rows.join(starts, rows["_source"].eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")))
+    rows = rows.join(starts, (F.col("_source") == F.col("_s")) & (F.col("_block") == F.col("_b")))
     return rows.select(
         *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], F.col("_size").alias("size"), "source_size", "target", (F.col("_before") + F.col("_within")).alias("begins")
     )
@@ -81,7 +83,7 @@ def served(copy: Column) -> Column:
     return F.greatest(F.lit(0), F.least(F.col("size"), F.floor(F.col("target") + F.lit(1e-6)) - begins)).cast("long")
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, repeats: int = 2, block_rows: int = 4096) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, repeats: int = 2, block_rows: int = 1024) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for each row of ``docs(doc_id, source, text)``.
 
     Null and empty texts have size 0 and give nothing. Repeated rows are documents of their own. An empty table
@@ -92,9 +94,12 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, repeats: int = 2, block_rows: int = 4096) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, repeats: int = 2, block_rows: int = 1024) -> DataFrame:
     """The mix itself, range-sorted by virtual finish time: one row for each copy that gives words.
 
+    All sources run at one clock, so any stretch of time holds its share of the budget: equal stretches are the ranges, and
+    no sample of the rows is needed to find them.
+
     Columns are those of ``docs``. The copy that is in service at the cut keeps its first words only, with
     ``n_chars`` (if there is such a column) set to the cut text's length.
     """
@@ -117,8 +122,10 @@ def _copies(rows: DataFrame, names: list[str], repeats: int) -> DataFrame:
     if "n_chars" in out:
         out["n_chars"] = F.when(whole, out["n_chars"]).otherwise(F.length(cut).cast("long"))
     tie = F.coalesce(F.col(inner[names.index("doc_id")]).cast("string"), F.lit(""))
-    rows = rows.withColumn("_finish", finish).withColumn("_tie", tie)
-    return rows.repartitionByRange("_finish", "_tie", "copy").sortWithinPartitions("_finish", "_tie", "copy").select(*[out[n].alias(n) for n in names])
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.least(F.floor(finish * parts), F.lit(parts - 1)).cast("int")  # finish times are spread evenly over 0 to 1
+    rows = rows.withColumn("_finish", finish).withColumn("_tie", tie).repartitionById(parts, place)
+    return rows.sortWithinPartitions("_finish", "_tie", "copy").select(*[out[n].alias(n) for n in names])
 
 
 def _first_words(text: Column, n: Column) -> Column:
