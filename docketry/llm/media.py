@@ -19,6 +19,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.llm._shared import slices
+from docketry.operators.durable import checkpointed
+
 ROW = 64
 ITEM = "struct<position:int,kind:string,text:string,ref:string,caption:string>"
 _ITEM_ARROW = pa.list_(pa.struct([("position", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("ref", pa.string()), ("caption", pa.string())]))
@@ -93,7 +96,7 @@ def sequences(pages: DataFrame, id_column: str = "page_id", html_column: str = "
     rows = pages.select(F.col(id_column).cast("long").alias("_id"), F.col(html_column).cast("string").alias("_html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             items = [parse(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, _ITEM_ARROW)], ["id", "items"])
 
@@ -153,12 +156,13 @@ def media_facts(payloads: DataFrame) -> DataFrame:
     """Facts of the stored media of ``payloads(digest, payload)``, one row for each digest.
 
     Each payload is put into its stored form and read back where it lies, and only what was found moves: payloads are not shuffled.
-    Copies of a payload give equal rows, of which partial aggregation leaves one before the shuffle.
+    Copies of a payload give equal rows, of which partial aggregation leaves one before the shuffle. The facts are written as a table,
+    from which a join with references can split a digest that very many of them have.
     """
     kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for digest, payload in zip(batch.column(0), batch.column(1), strict=True):
                 media = to_media(payload.as_py())
@@ -170,7 +174,7 @@ def media_facts(payloads: DataFrame) -> DataFrame:
     schema = "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
     found = payloads.select("digest", "payload").mapInArrow(run, schema)
     facts = F.max(F.struct(*_STORED[1:])).alias("facts")
-    return found.groupBy("digest").agg(facts).select("digest", "facts.*")
+    return checkpointed(found.groupBy("digest").agg(facts).select("digest", "facts.*"))
 
 
 def document_media(docs: DataFrame) -> DataFrame:
