@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docketry.functions.bind import let
 from docketry.functions.text import strip
 
 # The categories in display order.
@@ -40,18 +41,24 @@ def form_title(text: Column) -> Column:
     """The first upper-case title line and the line after it, without noise; null for none."""
     for pattern in NOISE:
         text = F.regexp_replace(text, pattern, " ")
-    lines = F.transform(F.split(text, "\n"), lambda x: strip(F.regexp_replace(F.regexp_replace(x, r"\*", ""), " {2,}", " ")))
-    lines = F.filter(lines, lambda x: x != "")
-    at = F.array_position(F.transform(lines, lambda x: x.rlike(TITLE_START) & (x == F.upper(x))), F.lit(True)).cast("int")
-    return F.when(at > 0, F.concat(F.get(lines, at - 1), F.lit(" "), F.coalesce(F.get(lines, at), F.lit(""))))
+    cleaned = F.transform(F.split(text, "\n"), lambda x: strip(F.regexp_replace(F.regexp_replace(x, r"\*", ""), " {2,}", " ")))
+
+    def title(lines: Column) -> Column:
+        found = F.array_position(F.transform(lines, lambda x: x.rlike(TITLE_START) & (x == F.upper(x))), F.lit(True)).cast("int")
+        return let(found, lambda at: F.when(at > 0, F.concat(F.get(lines, at - 1), F.lit(" "), F.coalesce(F.get(lines, at), F.lit("")))))
+
+    return let(F.filter(cleaned, lambda x: x != ""), title)
 
 
 def category(text: Column) -> Column:
     """The category of a document's text; ``Other`` where neither title nor citation tells, and for null."""
-    title = form_title(text)
-    by_title = by_citation = F.when(F.lit(False), F.lit(OTHER))
-    for label, phrases in TITLE_PHRASES:
-        by_title = by_title.when(title.rlike("|".join(phrases)), label)
-    for label, pattern in CITATIONS:
-        by_citation = by_citation.when(text.rlike(pattern), label)
-    return F.when(title.isNotNull(), by_title.otherwise(OTHER)).otherwise(by_citation.otherwise(OTHER))
+
+    def told(title: Column) -> Column:
+        by_title = by_citation = F.when(F.lit(False), F.lit(OTHER))
+        for label, phrases in TITLE_PHRASES:
+            by_title = by_title.when(title.rlike("|".join(phrases)), label)
+        for label, pattern in CITATIONS:
+            by_citation = by_citation.when(text.rlike(pattern), label)
+        return F.when(title.isNotNull(), by_title.otherwise(OTHER)).otherwise(by_citation.otherwise(OTHER))
+
+    return let(form_title(text), told)

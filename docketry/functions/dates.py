@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docketry.functions.bind import let
 from docketry.functions.text import stem
 
 # Month abbreviations in order, full names, and a further usual abbreviation.
@@ -36,7 +37,7 @@ def calendar_day(year: Column, month: Column, day: Column) -> Column:
 
     Years of at most two digits below 50 are of this century, others of the last one.
     """
-    y = F.try_cast(year, "int") if hasattr(F, "try_cast") else year.try_cast("int")
+    y = year.try_cast("int")
     y = y + F.when(F.length(year) > 2, 0).when(y < 50, 2000).otherwise(1900)
     made = F.try_to_date(F.format_string("%04d-%02d-%02d", y, month.cast("int"), day.cast("int")), "yyyy-MM-dd")
     return F.when(y.between(FIRST_YEAR, LAST_YEAR), made)
@@ -70,9 +71,15 @@ def folder(path: Column) -> Column:
 def filename_date(names: Column, year: Column, month: Column, stamp: Column) -> Column:
     """The reading nearest the stamp, else the earliest, of those in the folder's year and, if any is, in its month."""
     days = F.array_distinct(F.flatten(F.transform(names, lambda n: candidates(stem(n)))))
-    days = F.filter(days, lambda d: year.isNull() | (F.year(d) == year))
-    days = F.when(F.exists(days, lambda d: F.month(d) == month), F.filter(days, lambda d: F.month(d) == month)).otherwise(days)
-    return F.array_min(F.transform(days, lambda d: F.struct(F.coalesce(F.abs(F.datediff(d, stamp)), F.lit(0)).alias("far"), d.alias("day"))))["day"]
+    in_year = F.filter(days, lambda d: year.isNull() | (F.year(d) == year))
+
+    def nearest(days: Column) -> Column:
+        return F.array_min(F.transform(days, lambda d: F.struct(F.coalesce(F.abs(F.datediff(d, stamp)), F.lit(0)).alias("far"), d.alias("day"))))["day"]
+
+    def in_month(days: Column) -> Column:
+        return F.when(F.exists(days, lambda d: F.month(d) == month), F.filter(days, lambda d: F.month(d) == month)).otherwise(days)
+
+    return let(let(in_year, in_month), nearest)
 
 
 def plausible(year: Column, as_of_year: Column) -> Column:
@@ -98,24 +105,31 @@ def filename_year(names: Column, as_of_year: Column) -> Column:
 
 def filing(names: Column, path: Column, text: Column, as_of_year: Column) -> Column:
     """Struct (date, date_source): the first of file name day, received stamp, named month, folder month, folder year, named year."""
-    place, stamp = folder(path), stamp_date(text)
-    year, month = place["year"], place["month"]
-    day = filename_date(names, year, month, stamp)
-    named, bare = filename_month(names, year, as_of_year), filename_year(names, as_of_year)
 
     def out(date: Column, source: str) -> Column:
         return F.struct(date.cast("string").alias("date"), F.lit(source).alias("date_source"))
 
-    near = stamp.isNotNull() & (year.isNull() | (F.abs(F.year(stamp) - year) <= STAMP_YEARS))
-    return (
-        F.when(day.isNotNull(), out(day, "filename"))
-        .when(near, out(stamp, "received_stamp"))
-        .when(named.isNotNull(), out(F.format_string("%04d-%02d", named["year"], named["month"]), "filename"))
-        .when(month.isNotNull(), out(F.format_string("%04d-%02d", year, month), "folder"))
-        .when(year.isNotNull(), out(year, "folder"))
-        .when(bare.isNotNull(), out(bare, "filename"))
-        .otherwise(F.struct(F.lit(None).cast("string").alias("date"), F.lit(None).cast("string").alias("date_source")))
-    )
+    def told(place: Column, stamp: Column, day: Column) -> Column:
+        year, month = place["year"], place["month"]
+        near = stamp.isNotNull() & (year.isNull() | (F.abs(F.year(stamp) - year) <= STAMP_YEARS))
+
+        def by_folder(named: Column) -> Column:
+            bare = filename_year(names, as_of_year)
+            return (
+                F.when(named.isNotNull(), out(F.format_string("%04d-%02d", named["year"], named["month"]), "filename"))
+                .when(month.isNotNull(), out(F.format_string("%04d-%02d", year, month), "folder"))
+                .when(year.isNotNull(), out(year, "folder"))
+                .otherwise(let(bare, lambda y: F.when(y.isNotNull(), out(y, "filename"))))
+            )
+
+        rest = let(filename_month(names, year, as_of_year), by_folder)
+        none = F.struct(F.lit(None).cast("string").alias("date"), F.lit(None).cast("string").alias("date_source"))
+        return F.when(day.isNotNull(), out(day, "filename")).when(near, out(stamp, "received_stamp")).otherwise(F.coalesce(rest, none))
+
+    def with_day(place: Column, stamp: Column) -> Column:
+        return let(filename_date(names, place["year"], place["month"], stamp), lambda day: told(place, stamp, day))
+
+    return let(folder(path), lambda place: let(stamp_date(text), lambda stamp: with_day(place, stamp)))
 
 
 def year_of(date: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docketry.functions.bind import let
 from docketry.functions.category import REDACTION, TIME_STAMP
 from docketry.functions.text import strip
 
@@ -40,20 +41,24 @@ def _after_label(line: Column, label: str) -> Column:
 
 def _value(lines: Column, at: Column, label: str) -> Column:
     """What follows the label in its line, or else the next line; null if that is a sign of a blank field."""
-    rest = _after_label(F.get(lines, at - 1), label)
-    found = F.regexp_replace(F.when(rest == "", F.get(lines, at)).otherwise(rest), r"^[\s:]+", "")
-    return F.when(~found.rlike(BLANK), found)
+
+    def following(rest: Column) -> Column:
+        return F.regexp_replace(F.when(rest == "", F.get(lines, at)).otherwise(rest), r"^[\s:]+", "")
+
+    return let(let(_after_label(F.get(lines, at - 1), label), following), lambda found: F.when(~found.rlike(BLANK), found))
 
 
 def filer(text: Column) -> Column:
     """Struct (name, title, agency); a field that is not there or left blank is null."""
     cleaned = F.split(F.regexp_replace(text, NOISE, " "), "\n")
-    lines = F.filter(F.transform(cleaned, lambda x: strip(F.regexp_replace(x, " {2,}", " "))), lambda x: x != "")
-    name = _first(lines, NAME)
-    near = F.slice(lines, F.coalesce(name, F.lit(0)) + 1, F.lit(NEAR_LINES))
+    lines_ = F.filter(F.transform(cleaned, lambda x: strip(F.regexp_replace(x, " {2,}", " "))), lambda x: x != "")
+
+    def fields(lines: Column, name: Column) -> Column:
+        def labelled(label: str, bare: str) -> Column:
+            near = F.slice(lines, F.coalesce(name, F.lit(0)) + 1, F.lit(NEAR_LINES))
+            by_name = F.when(name.isNotNull(), name + _first(near, bare))
+            return let(F.coalesce(_first(lines, label), by_name), lambda at: _value(lines, at, f"{label}|{bare}"))
 
-    def labelled(label: str, bare: str) -> Column:
-        by_name = F.when(name.isNotNull(), name + _first(near, bare))
-        return _value(lines, F.coalesce(_first(lines, label), by_name), f"{label}|{bare}")
+        return F.struct(_value(lines, name, NAME).alias("name"), labelled(TITLE, BARE_TITLE).alias("title"), labelled(AGENCY, BARE_AGENCY).alias("agency"))
 
-    return F.struct(_value(lines, name, NAME).alias("name"), labelled(TITLE, BARE_TITLE).alias("title"), labelled(AGENCY, BARE_AGENCY).alias("agency"))
+    return let(lines_, lambda lines: let(_first(lines, NAME), lambda name: fields(lines, name)))
