@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 
@@ -26,3 +28,16 @@ def build_session(master: str | None = None, app: str = "docketry", **conf: str)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Adds this package's folder to the Python path of workers started from now on.
+
+    Workers import the package by name. Where it is installed, or shipped with ``--py-files``, this changes nothing; a session that was made from
+    another folder, on one machine or with the folder mounted, needs it.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
