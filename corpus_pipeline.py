@@ -10,30 +10,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docketry.llm import langid, mixing, ngramjoin, packing, secrets
 from docketry.llm.queries import tokenizer_file
+from docketry.session import let_workers_import
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; the rest (no letters, or hardly an n-gram of any known language) goes."""
+    let_workers_import(spark)
     return langid.accepted(docs)
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one of smallest doc_id."""
+    let_workers_import(spark)
     return ngramjoin.deduplicated(docs, n=5, threshold=0.8)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked."""
+    let_workers_import(spark)
     return secrets.redact(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: copies of documents as the targets of their sources ask for, in order of virtual finish time."""
+    let_workers_import(spark)
     return mixing.mixed_documents(docs, weights=(3, 1, 2), share=1.5, repeats=2)
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 tokens."""
+    let_workers_import(spark)
     return packing.pack_documents(docs, tokenizer_file(), window=1024, end_id=0)
 
 
