@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from docketry import schemas
 from docketry.operators import search
