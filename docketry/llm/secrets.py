@@ -33,7 +33,14 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\x[0-9A-Fa-f]{2})+|&\#[0-9]{1,7};|&\#[xX][0-9A-Fa-f]{1,6};")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}+={0,2}")
-_HEX_BYTES = re.compile(r"(?:[0-9A-Fa-f]{2}){16,}")
+#: Runs over line ends, which may be escaped as in JSON.
+_WRAPPED = re.compile(r"[A-Za-z0-9+/_-]++(?:[ \t]*+(?:\r?\n|(?:\\r)?\\n)[ \t]*+[A-Za-z0-9+/_-]++)++")
+_LINE_END = re.compile(r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*")
+_HEX_BYTES = re.compile(r"[0-9A-Fa-f]{28,}")
+#: The shortest finding has 14 signs, and no escape or base64 makes it shorter.
+_STRETCH = re.compile("[\t\n\r\x20-\x7e\x80-퟿-\U0010ffff]{14}")
+#: How compressed streams begin: gzip, zlib, bz2, xz, zstandard.
+_MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\(\xb5/\xfd")
 _URL_SAFE = str.maketrans("-_", "+/")
 
 
@@ -135,51 +142,72 @@ def _unpacked(data: bytes, most: int) -> bytes | None:
     return None
 
 
+def _packed_texts(data: bytes, most: int) -> Iterator[tuple[int, str]]:
+    """Text of the compressed streams that begin anywhere in the data, through the compression inside them, with its place in the data."""
+    for m in _MAGIC.finditer(data):
+        packed, met, inner = _unpacked(data[m.start() :], most), set(), None
+        while packed is not None and (digest := hashlib.sha256(packed).digest()) not in met:  # streams can hold themselves
+            met.add(digest)
+            inner, packed = packed, _unpacked(packed, most)
+        if inner is not None and (text := _readable(inner)) is not None:
+            yield m.start(), text
+
+
 def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    odd = sum(1 for c in text if not (c.isprintable() or c in "\t\r\n"))
-    return text if len(text) >= 4 and odd * 20 <= len(text) else None
+    """The data as text, each byte that is not UTF-8 as a lone surrogate; None if no stretch could hold a finding."""
+    text = data.decode("utf-8", "surrogateescape")
+    return text if _STRETCH.search(text) else None
 
 
-def _bytes_of(run: str) -> list[tuple[bytes, int, int]]:
-    """The readings of a run of base64 or hexadecimal digits: bytes, and (for n bytes) m signs that give them."""
-    out = []
-    body = run.rstrip("=").translate(_URL_SAFE)
-    usable = body if len(body) % 4 != 1 else body[:-1]
-    try:
-        out.append((binascii.a2b_base64(usable + "=" * (-len(usable) % 4)), 3, 4))
-    except binascii.Error:
-        pass
-    if len(run) >= 32 and _HEX_BYTES.fullmatch(run):
-        out.append((bytes.fromhex(run), 1, 2))
-    return out
+def _widths(text: str) -> np.ndarray:
+    if text.isascii():
+        return np.ones(len(text), np.int64)
+    return np.fromiter((1 if "\udc80" <= c <= "\udcff" else len(c.encode()) for c in text), np.int64, len(text))
+
+
+def _bytes_of(run: str) -> Iterator[tuple[bytes, int, int, int]]:
+    """The readings of a run of base64 or hexadecimal digits, from each alignment: bytes, first sign, and (for n bytes) m signs that give them."""
+    body = run.translate(_URL_SAFE)
+    for first in range(4):
+        usable = body[first : len(body) - ((len(body) - first) % 4 == 1)]
+        if len(usable) >= 16:
+            yield binascii.a2b_base64(usable + "=" * (-len(usable) % 4)), first, 3, 4
+    for m in _HEX_BYTES.finditer(run):
+        for first in (m.start(), m.start() + 1):
+            yield bytes.fromhex(run[first : m.end() - (m.end() - first) % 2]), first, 1, 2
+
+
+def _signs(layer: Layer) -> Iterator[tuple[str, np.ndarray]]:
+    """The runs of digits in a layer, alone and joined over line ends, with the place of each digit."""
+    for m in _BASE64.finditer(layer.text):
+        run = m[0].rstrip("=")
+        yield run, np.arange(m.start(), m.start() + len(run))
+    for m in _WRAPPED.finditer(layer.text) if "\n" in layer.text or "\\n" in layer.text else ():
+        lines, at = [], m.start()
+        for end in [*_LINE_END.finditer(m[0]), None]:
+            upto = m.end() if end is None else m.start() + end.start()
+            lines.append((at, upto))
+            at = m.start() + end.end() if end else upto
+        run = "".join(layer.text[a:b] for a, b in lines)
+        if len(run) >= 16:
+            yield run, np.concatenate([np.arange(a, b) for a, b in lines])
 
 
 def _runs(layer: Layer, most: int) -> Iterator[Layer]:
     """Layers from the runs of base64 or hexadecimal digits in a layer, through any compression around them."""
-    for m in _BASE64.finditer(layer.text):
-        for data, n, signs in _bytes_of(m[0]):
-            packed, met = _unpacked(data, most), set()
-            exact = packed is None
-            while packed is not None and (digest := hashlib.sha256(packed).digest()) not in met:  # streams can hold themselves
-                met.add(digest)
-                data, packed = packed, _unpacked(packed, most)
+    for run, places in _signs(layer):
+        for data, first, n, signs in _bytes_of(run):
+            for at, text in _packed_texts(data, most):
+                a, b = layer.origin(int(places[first + at // n * signs]), int(places[-1]) + 1)
+                yield Layer(text, np.broadcast_to(np.int64(a), len(text)), np.broadcast_to(np.int64(b), len(text)))
             if (text := _readable(data)) is None:
                 continue
-            if not exact:
-                a, b = layer.origin(*m.span())
-                yield Layer(text, np.full(len(text), a), np.full(len(text), b))
-                continue
-            widths = np.fromiter((len(c.encode()) for c in text), np.int64, len(text))
+            widths = _widths(text)
             last = np.cumsum(widths)
-            first, top = last - widths, len(m[0])
-            begin = m.start() + np.minimum(first // n * signs, top - 1)
-            end = m.start() + np.minimum(-(-last // n) * signs, top)
+            begin = places[np.minimum(first + (last - widths) // n * signs, len(places) - 1)]
+            end = places[np.minimum(first - (-last // n) * signs, len(places)) - 1]
             own = layer.arrays()
-            yield Layer(text, own[0][begin], own[1][end - 1])
+            yield Layer(text, own[0][begin], own[1][end])
 
 
 def spans(text: str, max_layer_bytes: int = 1 << 26) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:

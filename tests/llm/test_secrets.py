@@ -93,3 +93,26 @@ def test_redaction_keeps_rows_and_columns(documents):
     out = secrets.redact(table)
     assert out.schema == table.schema
     assert sorted((r.doc_id, r.text, r.n_chars) for r in out.collect() if r.doc_id > 1) == [(2, "clean", 5), (3, "a [SECRET] b [SECRET]", 21), (3, "a [SECRET] b [SECRET]", 21)]
+
+
+LONG = f"{'x y ' * 40}{SECRET}{' y z' * 40}"
+
+
+@pytest.mark.parametrize("packed", [LONG.encode(), gzip.compress("".join(hashlib.sha256(bytes([k])).hexdigest()[:20] + "\n" for k in range(40)).encode() + SECRET.encode())])
+@pytest.mark.parametrize("wrap", [lambda d: base64.encodebytes(d).decode(), lambda d: base64.encodebytes(d).decode().replace("\n", "\r\n  "), lambda d: base64.encodebytes(d).decode().replace("\n", "\\n")])
+def test_wrapped_base64_is_joined(packed, wrap):
+    for before, after in (("", ""), ("see attached\n", "\nRegards")):
+        text = f"{before}{wrap(packed)}{after}"
+        every = secrets.spans(text)[1]
+        assert any(kind == "assign" for kind, _, _ in every)
+        assert not any(kind == "assign" for kind, _, _ in secrets.spans(secrets.redacted(text, every))[1])
+
+
+@pytest.mark.parametrize("before", ["/", "a/", "ab-", "abc_", "name-", "https://host/path/segment/", "x" * 17 + "/", "x" * 18 + "-", "x" * 19 + "_"])
+@pytest.mark.parametrize("packed", [SECRET.encode(), zlib.compress(SECRET.encode()), b"\xe9" + SECRET.encode()])
+def test_base64_after_a_path_or_a_name(before, packed):
+    text = f"{before}{b64(packed)} end"
+    hits = [(a, b) for kind, a, b in secrets.spans(text)[1] if kind == "assign"]
+    assert hits and all(len(before) <= a + 4 and a < b <= len(text) - 4 for a, b in hits)
+    hexed = f"{before}{packed.hex()} end"
+    assert any(kind == "assign" for kind, _, _ in secrets.spans(hexed)[1])
