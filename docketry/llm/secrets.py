@@ -11,6 +11,7 @@ from __future__ import annotations
 import binascii
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
@@ -124,33 +125,130 @@ def _from_unicode(run: str) -> tuple[str, list[int]] | None:
         return None
 
 
-def _unpacked(data: bytes, most: int) -> bytes | None:
-    """Decompressed bytes if the data begin as a compressed stream does and are one, up to ``most`` bytes."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data, most) or None
-        if data[:1] == b"x" and len(data) > 1 and (data[0] << 8 | data[1]) % 31 == 0:
-            return zlib.decompressobj().decompress(data, most) or None
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, most) or None
-        if data[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(data, most) or None
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            return zstandard.ZstdDecompressor().stream_reader(data).read(most) or None
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
-        pass
-    return None
+class _Zstandard:
+    """Takes small pieces of input, as its output has no bound of its own."""
+
+    def __init__(self):
+        self.one, self.eof, self.unused_data, self.unconsumed_tail = zstandard.ZstdDecompressor().decompressobj(), False, b"", b""
+
+    def decompress(self, data: bytes, most: int) -> bytes:
+        out = self.one.decompress(data[:256])
+        self.eof = self.one.eof
+        rest = data[256:]
+        self.unused_data, self.unconsumed_tail = (self.one.unused_data + rest, b"") if self.eof else (b"", rest)
+        return out
+
+
+def _opened(data: bytes):
+    """A decompressor for the stream that the data begin with, or None."""
+    if not (m := _MAGIC.match(data)):
+        return None
+    return {b"\x1f": lambda: zlib.decompressobj(31), b"x": zlib.decompressobj, b"B": bz2.BZ2Decompressor, b"\xfd": lambda: lzma.LZMADecompressor(lzma.FORMAT_XZ), b"(": _Zstandard}[m[0][:1]]()
+
+
+def _inflated(source: Iterator[bytes], left: list[int], piece: int = 1 << 20) -> Iterator[bytes]:
+    """What the compressed streams that follow one another in the source hold, in pieces; a broken stream up to the break.
+
+    ``left`` gets the number of bytes taken from the source but not used, if the last stream is whole.
+    """
+    one, data, ended = None, b"", False
+    while True:
+        if one is None:
+            while len(data) < 6 and (new := next(source, None)) is not None:
+                data = (data + new).lstrip(b"\0")  # padding between streams
+            if (one := _opened(data)) is None:
+                left.append(len(data))
+                return
+        elif not data and getattr(one, "needs_input", True):
+            if (new := next(source, None)) is None:
+                ended = True
+            else:
+                data = new
+        try:
+            out = one.decompress(data, piece)
+        except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
+            return
+        data = one.unused_data if one.eof else getattr(one, "unconsumed_tail", b"")
+        if out:
+            yield out
+        if one.eof:
+            one, data = None, data.lstrip(b"\0")
+        elif ended and not out:
+            return
+
+
+def _unwrapped(data: bytes, at: int, end: list[int]) -> Iterator[bytes]:
+    """Pieces of the streams from a place in the data on, through the compression inside them; ``end`` gets where they end, if they are whole."""
+    taken = at
+
+    def source() -> Iterator[bytes]:
+        nonlocal taken
+        while taken < len(data):
+            taken += len(new := data[taken : taken + (1 << 16)])
+            yield new
+
+    def outer() -> Iterator[bytes]:
+        own: list[int] = []
+        yield from _inflated(source(), own)
+        end.extend(taken - n for n in own)
+
+    pieces, met = outer(), set()
+    while True:
+        head = b""
+        while len(head) < 6 and (new := next(pieces, None)) is not None:
+            head += new
+        digest = hashlib.sha256(head).digest()
+        pieces = itertools.chain([head], pieces) if head else iter(())
+        if digest in met:  # streams can hold themselves
+            return
+        met.add(digest)
+        if not _MAGIC.match(head):
+            break
+        pieces = _inflated(pieces, [])
+    yield from pieces
+
+
+def _chunks(pieces: Iterator[bytes], most: int) -> Iterator[bytes]:
+    """The pieces as chunks of up to ``most`` bytes, each with the last half of the one before."""
+    held, new = bytearray(), False
+    for piece in pieces:
+        for k in range(0, len(piece), max(1, most // 2)):
+            held += piece[k : k + max(1, most // 2)]
+            new = True
+            while len(held) >= most:
+                yield bytes(held[:most])
+                del held[: max(1, most // 2)]
+                new = len(held) > most - max(1, most // 2)
+    if new:
+        yield bytes(held)
 
 
 def _packed_texts(data: bytes, most: int) -> Iterator[tuple[int, str]]:
-    """Text of the compressed streams that begin anywhere in the data, through the compression inside them, with its place in the data."""
-    for m in _MAGIC.finditer(data):
-        packed, met, inner = _unpacked(data[m.start() :], most), set(), None
-        while packed is not None and (digest := hashlib.sha256(packed).digest()) not in met:  # streams can hold themselves
-            met.add(digest)
-            inner, packed = packed, _unpacked(packed, most)
-        if inner is not None and (text := _readable(inner)) is not None:
-            yield m.start(), text
+    """Text of the compressed streams that begin anywhere in the data, and of those anywhere inside them, in chunks, with its place in the data."""
+    work, met = [(0, _streams(data, most))], set()
+    while work:
+        begin, chunks = work[-1]
+        if (found := next(chunks, None)) is None:
+            work.pop()
+            continue
+        at, chunk = found
+        at = at if len(work) == 1 else begin
+        if (text := _readable(chunk)) is not None:
+            yield at, text
+        if _MAGIC.search(chunk) and (key := (hashlib.sha256(chunk).digest(), at)) not in met:
+            met.add(key)
+            work.append((at, _streams(chunk, most)))
+
+
+def _streams(data: bytes, most: int) -> Iterator[tuple[int, bytes]]:
+    """Chunks of the streams in the data, each with the place where its first stream begins."""
+    at = 0
+    while m := _MAGIC.search(data, at):
+        end: list[int] = []
+        at = m.start()
+        for chunk in _chunks(_unwrapped(data, at, end), most):
+            yield at, chunk
+        at = max(at + 1, end[0]) if end else at + 1
 
 
 def _readable(data: bytes) -> str | None:
@@ -210,28 +308,32 @@ def _runs(layer: Layer, most: int) -> Iterator[Layer]:
             yield Layer(text, own[0][begin], own[1][end])
 
 
+def _inner(layer: Layer, most: int) -> Iterator[Layer]:
+    """The layers that can be unwrapped from a layer."""
+    if "%" in layer.text and (new := layer.replaced(_URL, _from_url)) is not None:
+        yield new
+    if ("\\" in layer.text or "&#" in layer.text) and (new := layer.replaced(_UNICODE, _from_unicode)) is not None:
+        yield new
+    yield from _runs(layer, most)
+
+
 def spans(text: str, max_layer_bytes: int = 1 << 26) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """The base findings, and all findings with those of unwrapped layers mapped to the original text."""
     base = find(text)
     every = set(base)
-    work, seen = [Layer(text)], set()
-    while work:
-        layer = work.pop()
-        inner = []
-        if "%" in layer.text:
-            inner.append(layer.replaced(_URL, _from_url))
-        if "\\" in layer.text or "&#" in layer.text:
-            inner.append(layer.replaced(_UNICODE, _from_unicode))
-        inner.extend(_runs(layer, max_layer_bytes))
-        for new in inner:
-            if new is None or not new.text:
-                continue
-            key = hashlib.sha256(new.text.encode("utf-8", "surrogatepass")).digest(), int(new.starts.min()), int(new.ends.max())
-            if key in seen:
-                continue
-            seen.add(key)
-            every.update((kind, *new.origin(a, b)) for kind, a, b in find(new.text))
-            work.append(new)
+    work, seen = [_inner(Layer(text), max_layer_bytes)], set()
+    while work:  # depth first, so that a large layer is held in one chunk
+        if (new := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        if not new.text:
+            continue
+        key = hashlib.sha256(new.text.encode("utf-8", "surrogatepass")).digest(), int(new.starts.min()), int(new.ends.max())
+        if key in seen:
+            continue
+        seen.add(key)
+        every.update((kind, *new.origin(a, b)) for kind, a, b in find(new.text))
+        work.append(_inner(new, max_layer_bytes))
     return base, ordered(every)
 
 
@@ -253,7 +355,8 @@ def scan(docs: DataFrame, max_layer_bytes: int = 1 << 26) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` for each row of ``docs(doc_id, text)``.
 
     One narrow pass without a shuffle. Null and empty texts have no findings; repeated rows are scanned each; an empty
-    table gives no rows; other columns are ignored. A compressed layer is read up to ``max_layer_bytes``.
+    table gives no rows; other columns are ignored. A compressed layer is read in
+    overlapping chunks of ``max_layer_bytes``.
     """
     schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 

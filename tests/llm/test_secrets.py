@@ -116,3 +116,19 @@ def test_base64_after_a_path_or_a_name(before, packed):
     assert hits and all(len(before) <= a + 4 and a < b <= len(text) - 4 for a, b in hits)
     hexed = f"{before}{packed.hex()} end"
     assert any(kind == "assign" for kind, _, _ in secrets.spans(hexed)[1])
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_every_stream_is_read(pack):
+    for parts in ([b"first line of a log\n", SECRET.encode()], [SECRET[:12].encode(), SECRET[12:].encode()], [b"a log\n"] * 40 + [SECRET.encode()]):
+        data = b"".join(pack(p) for p in parts)
+        for whole in (data, pack(data), b"\0\xff" * 8 + data + b"\xff\0" * 8):
+            assert any(kind == "assign" for kind, _, _ in secrets.spans(b64(whole))[1])
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_large_layers_are_read_to_their_end(pack):
+    for shift in range(0, 1200, 97):
+        text = "é漢" * 500 + "." * shift + " " + SECRET + " " + "漢é" * 500
+        assert any(kind == "assign" for kind, _, _ in secrets.spans(b64(pack(text.encode())), max_layer_bytes=1001)[1])
+    assert any(kind == "assign" for kind, _, _ in secrets.spans(b64(pack(b"\xc3\xa9" * 3_000_000 + SECRET.encode())), max_layer_bytes=1 << 20)[1])
