@@ -100,12 +100,24 @@ class Layer:
         return Layer("".join(parts) + self.text[at:], np.concatenate(starts), np.concatenate(ends))
 
 
+def _from_escapes(run: str, data: bytes, signs: int) -> tuple[str, list[int]] | None:
+    """A run of escaped bytes as text; bytes that are not UTF-8 stay as they are written."""
+    parts, widths, at = [], [], 0
+    for c in data.decode("utf-8", "surrogateescape"):
+        size = signs if "\udc80" <= c <= "\udcff" else signs * len(c.encode())
+        if "\udc80" <= c <= "\udcff":
+            parts.append(run[at : at + size])
+            widths += [1] * size
+        else:
+            parts.append(c)
+            widths.append(size)
+        at += size
+    text = "".join(parts)
+    return (text, widths) if text != run else None
+
+
 def _from_url(run: str) -> tuple[str, list[int]] | None:
-    try:
-        text = bytes.fromhex(run.replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
-    return text, [3 * len(c.encode()) for c in text]
+    return _from_escapes(run, bytes.fromhex(run.replace("%", "")), 3)
 
 
 def _from_unicode(run: str) -> tuple[str, list[int]] | None:
@@ -116,13 +128,51 @@ def _from_unicode(run: str) -> tuple[str, list[int]] | None:
             return chr(int(run[3:-1], 16)), [len(run)]
         if run[1] == "U":
             return chr(int(run[2:], 16)), [len(run)]
-        if run[1] == "x":
-            text = bytes.fromhex(run.replace("\\x", "")).decode()
-            return text, [4 * len(c.encode()) for c in text]
-        text = bytes.fromhex(run.replace("\\u", "")).decode("utf-16-be")
-        return text, [12 if ord(c) > 0xFFFF else 6 for c in text]
     except (ValueError, OverflowError):
         return None
+    if run[1] == "x":
+        return _from_escapes(run, bytes.fromhex(run.replace("\\x", "")), 4)
+    parts, widths, at = [], [], 0
+    for c in bytes.fromhex(run.replace("\\u", "")).decode("utf-16-be", "surrogatepass"):
+        size = 12 if ord(c) > 0xFFFF else 6
+        alone = "\ud800" <= c <= "\udfff"
+        parts.append(run[at : at + size] if alone else c)
+        widths += [1] * size if alone else [size]
+        at += size
+    text = "".join(parts)
+    return (text, widths) if text != run else None
+
+
+#: Escapes that a quoted or a printed byte string has besides those of the bytes that are no signs.
+_PLAIN = {"n": 10, "r": 13, "t": 9, "a": 7, "b": 8, "f": 12, "v": 11, "0": 0, "\\": 92, "'": 39, '"': 34}
+_URL_BYTES = re.compile(r"(?:[!-$&-~]|%[0-9A-Fa-f]{2})*+")
+_PRINTED_BYTES = re.compile(r"""(?:[ -\[\]-~]|\\x[0-9A-Fa-f]{2}|\\[nrtabfv0\\'"])*+""")
+_TOKEN = re.compile(r"""%([0-9A-Fa-f]{2})|\\x([0-9A-Fa-f]{2})|\\([nrtabfv0\\'"])|(.)""", re.DOTALL)
+_URL_MAGIC = re.compile(r"%1[fF]%8[bB](?:%08)|(?:x|%78)(?:%01|%5[eE]|\^|%9[cC]|%[dD][aA])|(?:B|%42)(?:Z|%5[aA])(?:h|%68)(?:[1-9]|%3[1-9])|%[fF][dD](?:7|%37)(?:z|%7[aA])(?:X|%58)(?:Z|%5[aA])%00|(?:\(|%28)%[bB]5(?:/|%2[fF])%[fF][dD]")
+_PRINTED_MAGIC = re.compile(
+    r"\\x1[fF]\\x8[bB]\\x08|(?:x|\\x78)(?:\\x01|\\x5[eE]|\^|\\x9[cC]|\\x[dD][aA])|(?:B|\\x42)(?:Z|\\x5[aA])(?:h|\\x68)(?:[1-9]|\\x3[1-9])|\\x[fF][dD](?:7|\\x37)(?:z|\\x7[aA])(?:X|\\x58)(?:Z|\\x5[aA])(?:\\x00|\\0)|(?:\(|\\x28)\\x[bB]5(?:/|\\x2[fF])\\x[fF][dD]"
+)
+
+
+def _escaped_bytes(layer: Layer, most: int) -> Iterator[Layer]:
+    """Layers from compressed bytes that are written as escapes, with the signs among them that need none."""
+    for mark, magic, pattern in (("%", _URL_MAGIC, _URL_BYTES), ("\\x", _PRINTED_MAGIC, _PRINTED_BYTES)):
+        if mark not in layer.text:
+            continue
+        done = 0
+        for m in magic.finditer(layer.text):
+            if m.start() < done:
+                continue
+            run = pattern.match(layer.text, m.start())
+            if mark not in run[0]:
+                continue
+            done = run.end()
+            tokens = list(_TOKEN.finditer(run[0]))
+            data = bytes(_PLAIN[t[3]] if t[3] else ord(t[4]) if t[4] else int(t[1] or t[2], 16) for t in tokens)
+            for form in {data, bytes(32 if t[0] == "+" else c for t, c in zip(tokens, data, strict=True))} if mark == "%" else (data,):
+                for at, text in _packed_texts(form, most):
+                    a, b = layer.origin(run.start() + tokens[at].start(), run.end())
+                    yield Layer(text, np.broadcast_to(np.int64(a), len(text)), np.broadcast_to(np.int64(b), len(text)))
 
 
 class _Zstandard:
@@ -314,6 +364,7 @@ def _inner(layer: Layer, most: int) -> Iterator[Layer]:
         yield new
     if ("\\" in layer.text or "&#" in layer.text) and (new := layer.replaced(_UNICODE, _from_unicode)) is not None:
         yield new
+    yield from _escaped_bytes(layer, most)
     yield from _runs(layer, most)
 
 

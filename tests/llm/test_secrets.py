@@ -132,3 +132,27 @@ def test_large_layers_are_read_to_their_end(pack):
         text = "é漢" * 500 + "." * shift + " " + SECRET + " " + "漢é" * 500
         assert any(kind == "assign" for kind, _, _ in secrets.spans(b64(pack(text.encode())), max_layer_bytes=1001)[1])
     assert any(kind == "assign" for kind, _, _ in secrets.spans(b64(pack(b"\xc3\xa9" * 3_000_000 + SECRET.encode())), max_layer_bytes=1 << 20)[1])
+
+
+@pytest.mark.parametrize("form, bad", [("%{:02x}", "%E9"), ("\\x{:02x}", "\\xe9"), ("\\u{:04x}", "\\ud83d")])
+def test_a_bad_byte_leaves_the_rest_of_a_run_decoded(form, bad):
+    run = "".join(form.format(b) for b in SECRET.encode())
+    for before, after in ((bad, ""), ("", bad), (bad, bad + bad)):
+        text = f"{before}{run}{after}"
+        assert [s for s in secrets.spans(text)[1] if s[0] == "assign"] == [("assign", len(before), len(before) + len(run))]
+    assert secrets.spans(bad * 3) == ([], [])
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        lambda d: "".join(f"%{b:02x}" for b in d), lambda d: "".join(f"\\x{b:02X}" for b in d), urllib.parse.quote, urllib.parse.quote_plus, repr,
+        lambda d: urllib.parse.quote("".join(f"\\x{b:02x}" for b in d)), lambda d: b64("".join(f"%{b:02X}" for b in d)),
+    ],
+)
+def test_compressed_bytes_in_escapes(pack, wrap):
+    text = f"é <{wrap(pack(SECRET.encode() + b' of the house'))}> end"
+    every = secrets.spans(text)[1]
+    assert any(kind == "assign" for kind, _, _ in every)
+    assert not any(kind == "assign" for kind, _, _ in secrets.spans(secrets.redacted(text, every))[1])
