@@ -19,3 +19,10 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_names_of_the_other_orders_hold_no_day(spark, sf_dir):
+    """date_candidates and its SQL read a quarter of the orders; the names of the others must not be read as days."""
+    rows = registry._filings(spark, sf_dir).where("o_orderkey % 4 <> 0")
+    days = registry.dates.candidates(registry.text.stem(registry.F.get("names", registry.F.lit(0))))
+    assert rows.count() > 0 and rows.select(days.alias("days")).where("size(days) > 0").count() == 0
