@@ -1,17 +1,18 @@
 """Toxicity scores from the nearest labelled examples by TF-IDF cosine.
 
-Terms are words and word beginnings. The vocabulary holds the terms that speak for label 1 (by a likelihood ratio
-test), so a vector has what is telling in a text; a text without any such term has no neighbours, and the rate of
-label 1 among examples of that kind is its score. The other examples stand in an inverted index whose postings are
-cut into blocks of examples with the largest weight of each term and block. A query adds these up to a bound for
-each block, takes blocks by falling bound and stops when no bound reaches the k-th best cosine: the nearest k are exact.
-Votes are weighted by distance and calibrated by logistic regression on leave-one-out votes of the examples.
+Every word of the sampled examples is a term. Its weight in a text is ``(1 + ln tf) * ln(1 + N / df) * relevance``, where relevance
+is a floor and the squared log-odds by which the term's examples differ in label from all examples, shrunk towards none for rare terms
+("supervised term weighting", Debole and Sebastiani, 2003). Without it a text's many neutral words outweigh the few that tell.
+
+The examples stand in an inverted index whose postings are cut into blocks of examples, with the largest weight of each term and block.
+The few terms that a large share of the examples have are columns of a dense matrix instead, and their part of a cosine is known exactly
+for all examples at once. A query adds its block maxima to that up to a bound for each block, reads the postings of its most promising blocks, and
+then of every other block whose bound reaches the k-th best cosine: the nearest k are exact. Votes are weighted by distance and
+calibrated by logistic regression on leave-one-out votes of the examples.
 """
 
 from __future__ import annotations
 
-import heapq
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -22,113 +23,145 @@ from pyspark.sql import functions as F
 
 from docketry.llm._shared import slices
 from docketry.llm.langid import batches_of, held_out
-from docketry.llm.wordhash import word_terms
+from docketry.llm.wordhash import word_hashes
 from docketry.operators.durable import checkpointed
 
-PREFIXES = (4, 6)
+
+def bags(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The sorted distinct word hashes of each text and how often each occurs."""
+    for _, part in batches_of(texts):
+        hashes, counts = word_hashes(part)
+        ends = np.cumsum(counts)
+        for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True):
+            yield np.unique(hashes[a:b], return_counts=True)
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The concatenated ranges of given starts and sizes, and which range each value is from."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes - starts, sizes), owner
 
 
 @dataclass
 class Index:
-    """Unit vectors of labelled examples by term: examples in order, weights, and the largest weight by block."""
+    """Unit vectors of labelled examples: block postings of the sparse terms, a dense matrix of the frequent ones."""
 
-    terms: np.ndarray  # sorted hashes
-    idf: np.ndarray
-    ids: list = field(default_factory=list)
+    terms: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # sorted hashes
+    weight: np.ndarray = field(default_factory=lambda: np.zeros(0))  # idf times relevance
+    ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     labels: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    block: int = 64
-    postings: list = field(default_factory=list)  # per term: blocks, their starts, examples, weights, block maxima
+    block: int = 32
     base_rate: float = 0.5
     slope: float = 1.0
     shift: float = 0.0
-    silent_score: float = 0.5
-
-    def vectors(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Each text's terms (places in the vocabulary) and unit weights (1 + ln tf) * idf."""
-        out: list = []
-        if not len(self.terms):
-            return [(np.zeros(0, np.int64), np.zeros(0))] * len(texts)
-        near = np.zeros(1 << 16, bool)
-        near[self.terms >> np.uint64(48)] = True
-        for _, part in batches_of(texts):
-            hashes, counts = word_terms(part, PREFIXES)
-            owner = np.repeat(np.arange(len(part)), counts)
-            places, owners = [], []
-            for own in hashes:
-                maybe = np.flatnonzero(near[own >> np.uint64(48)])
-                at = np.minimum(np.searchsorted(self.terms, own[maybe]), len(self.terms) - 1)
-                hit = self.terms[at] == own[maybe]
-                places.append(at[hit])
-                owners.append(owner[maybe[hit]])
-            keys, tf = np.unique(np.concatenate(owners) * len(self.terms) + np.concatenate(places), return_counts=True)
-            whose, place = np.divmod(keys, len(self.terms))
-            weight = (1 + np.log(tf)) * self.idf[place]
-            cuts = np.searchsorted(whose, np.arange(len(part) + 1))
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                w = weight[a:b]
-                out.append((place[a:b], w / math.sqrt(float(w @ w)) if b > a else w))
+
+    def vector(self, bag: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """A text's known terms (places in the vocabulary) and unit weights."""
+        if not len(self.terms) or not len(bag[0]):
+            return np.zeros(0, np.int64), np.zeros(0)
+        at = np.minimum(np.searchsorted(self.terms, bag[0]), len(self.terms) - 1)
+        known = self.terms[at] == bag[0]
+        at = at[known]
+        weights = (1 + np.log(bag[1][known])) * self.weight[at]
+        return at, weights / np.sqrt(weights @ weights) if len(at) else weights
+
+    def add(self, ids: list, labels: list, vectors: list, dense_share: float = 0.1) -> list[int]:
+        """Takes the examples in, and gives their order in the index: those with the same weightiest term stand together, so that block maxima are tight."""
+        head = [int(p[w.argmax()]) if len(p) else -1 for p, w in vectors]
+        order = sorted(range(len(vectors)), key=lambda k: (head[k], labels[k], k))
+        self.ids, self.labels = np.array([ids[k] for k in order], np.int64), np.array([labels[k] for k in order], float)
+        n = len(order)
+        own = np.repeat(np.arange(n), [len(vectors[k][0]) for k in order])
+        place = np.concatenate([vectors[k][0] for k in order]) if n else np.zeros(0, np.int64)
+        value = np.concatenate([vectors[k][1] for k in order]) if n else np.zeros(0)
+        frequent = np.flatnonzero(np.bincount(place, minlength=len(self.terms)) > max(1.0, dense_share * n))
+        self.column = np.full(len(self.terms), -1)
+        self.column[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), n))
+        thick = self.column[place] >= 0
+        self.dense[self.column[place[thick]], own[thick]] = value[thick]
+        own, place, value = own[~thick], place[~thick], value[~thick]
+        by_term = np.argsort(place, kind="stable")
+        self.example, self.value, place = own[by_term], value[by_term], place[by_term]
+        fresh = np.ones(len(place), bool)
+        fresh[1:] = (place[1:] != place[:-1]) | (self.example[1:] // self.block != self.example[:-1] // self.block)
+        cell = np.flatnonzero(fresh)  # a cell is one term's postings in one block
+        self.cell_start, self.cell_size = cell, np.diff(np.append(cell, len(place)))
+        self.cell_block = self.example[cell] // self.block
+        self.cell_max = np.maximum.reduceat(self.value, cell) if len(cell) else np.zeros(0)
+        self.term_cell = np.searchsorted(place[cell], np.arange(len(self.terms) + 1))
+        return order
+
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: np.ndarray | None = None, first_blocks: int = 4) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query the k examples of largest positive cosine, ties by place, exactly: (examples, cosines)."""
+        n, m = len(self.ids), len(queries)
+        if not n or not m:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * m
+        blocks = -(-n // self.block)
+        whose = np.repeat(np.arange(m), [len(p) for p, _ in queries])
+        place, weight = np.concatenate([p for p, _ in queries]), np.concatenate([w for _, w in queries])
+        thick = self.column[place] >= 0
+        frequent = np.zeros((m, len(self.dense)))
+        frequent[whose[thick], self.column[place[thick]]] = weight[thick]
+        scores = np.zeros((m, blocks * self.block))
+        scores[:, :n] = frequent @ self.dense
+        whose, place, weight = whose[~thick], place[~thick], weight[~thick]
+        cell, owner = _ranges(self.term_cell[place], self.term_cell[place + 1] - self.term_cell[place])
+        at = whose[owner] * blocks + self.cell_block[cell]  # query and block of each cell
+        factor = weight[owner]
+        bound = scores.reshape(m, blocks, self.block).max(2) + np.bincount(at, factor * self.cell_max[cell], m * blocks).reshape(m, blocks)
+        excluded = np.full(m, -1) if without is None else without
+        rows = np.flatnonzero(excluded >= 0)
+
+        def read(chosen: np.ndarray) -> None:
+            mine = np.flatnonzero(chosen.reshape(-1)[at])
+            posting, of = _ranges(self.cell_start[cell[mine]], self.cell_size[cell[mine]])
+            of = mine[of]
+            flat = (at[of] // blocks) * (blocks * self.block) + self.example[posting]
+            scores.reshape(-1)[:] += np.bincount(flat, factor[of] * self.value[posting], scores.size)
+
+        done = np.zeros((m, blocks), bool)
+        first = np.argpartition(-bound, min(first_blocks, blocks - 1), axis=1)[:, :first_blocks]
+        np.put_along_axis(done, first, True, 1)
+        read(done)
+        known = np.where(np.repeat(done, self.block, 1), scores, 0.0)
+        known[rows, excluded[rows]] = 0.0
+        kth = np.partition(known, max(0, known.shape[1] - k), axis=1)[:, max(0, known.shape[1] - k)]
+        rest = ~done & (bound * (1 + 1e-9) + 1e-12 >= kth[:, None])
+        read(rest)
+        scores[np.repeat(~(done | rest), self.block, 1)] = 0.0  # these cannot be among the nearest
+        scores[rows, excluded[rows]] = 0.0
+        ranked = scores - np.arange(scores.shape[1]) * 1e-13
+        top = np.argpartition(-ranked, min(k, ranked.shape[1] - 1), axis=1)[:, :k]
+        out = []
+        for row, own in zip(scores, top, strict=True):
+            own = own[row[own] > 1e-12]
+            own = own[np.lexsort((own, -row[own]))]
+            out.append((own, np.minimum(row[own], 1.0)))
         return out
 
-    def add(self, ids: list, labels: list, vectors: list) -> None:
-        """Builds the postings of the examples, given in order."""
-        self.ids, self.labels = list(ids), np.array(labels, float)
-        lists: list = [([], []) for _ in self.terms]
-        for k, (places, weights) in enumerate(vectors):
-            for t, w in zip(places.tolist(), weights.tolist(), strict=True):
-                lists[t][0].append(k)
-                lists[t][1].append(w)
-        self.postings = []
-        for examples, weights in lists:
-            e, w = np.array(examples, np.int64), np.array(weights)
-            blocks, starts = np.unique(e // self.block, return_index=True)
-            maxima = np.maximum.reduceat(w, starts) if len(w) else w
-            self.postings.append((blocks, np.append(starts, len(e)), e, w, maxima))
-
-    def nearest(self, places: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
-        """The k examples of largest positive cosine, ties by order: (cosine, example), exactly."""
-        bounds: dict[int, float] = {}
-        parts: dict[int, list] = {}
-        for t, q in zip(places.tolist(), weights.tolist(), strict=True):
-            blocks, starts, _, _, maxima = self.postings[t]
-            for i, (b, m) in enumerate(zip(blocks.tolist(), maxima.tolist(), strict=True)):
-                bounds[b] = bounds.get(b, 0.0) + q * m
-                parts.setdefault(b, []).append((t, q, starts[i], starts[i + 1]))
-        best: list[tuple[float, int]] = []
-        for b, bound in sorted(bounds.items(), key=lambda x: (-x[1], x[0])):
-            if len(best) == k and bound * (1 + 1e-9) < -best[-1][0]:
-                break
-            scores = np.zeros(self.block)
-            for t, q, i, j in parts[b]:
-                scores[self.postings[t][2][i:j] - b * self.block] += q * self.postings[t][3][i:j]
-            found = [(-float(scores[i]), b * self.block + int(i)) for i in np.flatnonzero(scores) if b * self.block + int(i) != without]
-            best = sorted(best + found)[:k]
-        return [(-s, e) for s, e in best]
-
-    def vote(self, neighbours: list[tuple[float, int]], softness: float = 0.1, prior_weight: float = 0.5) -> float:
+    def vote(self, examples: np.ndarray, cosines: np.ndarray, softness: float = 0.1, prior_weight: float = 0.5) -> float:
         """The share of label 1 among neighbours weighted by 1 / (distance + softness), with the base rate as one weak vote."""
-        total, ones = prior_weight, prior_weight * self.base_rate
-        for cosine, e in neighbours:
-            w = 1 / (max(0.0, 1 - cosine) + softness)
-            total += w
-            ones += w * self.labels[e]
-        return ones / total
+        own = 1 / (1 - cosines + softness)
+        return float((prior_weight * self.base_rate + own @ self.labels[examples]) / (prior_weight + own.sum()))
 
     def score(self, vote: float) -> float:
-        return 1 / (1 + math.exp(-max(-40.0, min(40.0, self.slope * _logit(vote) + self.shift))))
+        return float(1 / (1 + np.exp(-np.clip(self.slope * _logit(vote) + self.shift, -40, 40))))
 
 
-def _logit(p: float) -> float:
-    p = min(1 - 1e-6, max(1e-6, p))
-    return math.log(p / (1 - p))
+def _logit(p):
+    p = np.clip(p, 1e-6, 1 - 1e-6)
+    return np.log(p / (1 - p))
 
 
-def _calibrated(votes: list[float], labels: list[float], ridge: float = 0.05) -> tuple[float, float]:
+def _calibrated(votes: list[float], labels: np.ndarray, ridge: float = 0.05) -> tuple[float, float]:
     """Slope (positive) and shift of a logistic regression of labels on the votes' log-odds, shrunk to 1 and 0."""
-    x, y = np.array([_logit(v) for v in votes]), np.array(labels, float)
+    x, y = _logit(np.array(votes)), np.array(labels, float)
     a, b = 1.0, 0.0
     for _ in range(50 if len(x) else 0):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        g = np.array([(p - y) @ x + ridge * len(x) * (a - 1) * 0.01 + ridge * (a - 1), (p - y).sum() + ridge * b])
+        g = np.array([(p - y) @ x + ridge * (1 + 0.01 * len(x)) * (a - 1), (p - y).sum() + ridge * b])
         w = p * (1 - p)
         h = np.array([[(w * x) @ x + ridge * (1 + 0.01 * len(x)), w @ x], [w @ x, w.sum() + ridge]])
         step = np.linalg.solve(h, g)
@@ -138,131 +171,70 @@ def _calibrated(votes: list[float], labels: list[float], ridge: float = 0.05) ->
     return a, b
 
 
-def _covering(examples: list[tuple[list[int], float]], n_terms: int, min_gain: float, decay: float = 0.3) -> np.ndarray:
-    """Terms, in order of their places, picked greedily for the examples of label 1 that those before do not tell yet.
-
-    An example counts in full until it has a picked term, and ``decay`` times as much after each. A term gains the weights of its examples of
-    label 1 and loses half an example for each of label 0; picking ends below ``min_gain``. So near copies, which share
-    all their words, make a few of them telling and not all.
-    """
-    weight = np.array([y for _, y in examples])
-    having: list[list[int]] = [[] for _ in range(n_terms)]
-    for e, (places, _) in enumerate(examples):
-        for t in places:
-            having[t].append(e)
-    members = [np.array(x, np.int64) for x in having]
-    cost = np.array([0.5 * sum(1 - examples[e][1] for e in x) for x in having])
-    queue = [(-(float(weight[m].sum()) - cost[t]), t) for t, m in enumerate(members)]
-    heapq.heapify(queue)
-    picked = []
-    while queue:
-        _, t = heapq.heappop(queue)
-        gain = float(weight[members[t]].sum()) - cost[t]
-        if queue and gain < -queue[0][0]:  # gains only fall, so an old gain is a bound
-            heapq.heappush(queue, (-gain, t))
-        elif gain < min_gain:
-            break
-        else:
-            picked.append(t)
-            weight[members[t]] *= decay
-    return np.array(sorted(picked), np.int64)
+def build(ids: list, labels: list, examples: list[tuple[np.ndarray, np.ndarray]], k: int = 15, shrink: float = 20.0, floor: float = 0.02) -> Index:
+    """The index of labelled bags of words: all their terms, however frequent or rare, and the calibration of votes."""
+    y = np.array(labels, float)
+    index = Index(base_rate=(y.sum() + 1) / (len(y) + 2))
+    if not len(y):
+        return index
+    terms, inverse = np.unique(np.concatenate([b[0] for b in examples]), return_inverse=True)
+    df = np.bincount(inverse, minlength=len(terms))
+    ones = np.bincount(inverse, np.repeat(y, [len(b[0]) for b in examples]), len(terms))
+    rate = (ones + shrink * index.base_rate) / (df + shrink)
+    index.terms, index.weight = terms, np.log(1 + len(y) / np.maximum(df, 1)) * (floor + (_logit(rate) - _logit(index.base_rate)) ** 2)
+    vectors = [index.vector(b) for b in examples]
+    order = index.add(ids, labels, vectors)
+    votes = []
+    for at in range(0, len(order), 64):
+        part = order[at : at + 64]
+        votes += [index.vote(*near) for near in index.nearest([vectors[e] for e in part], k, np.arange(at, at + len(part)))]
+    index.slope, index.shift = _calibrated(votes, index.labels)
+    return index
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000, min_docs: int = 3, min_ratio: float = 18.0, min_lift: float = 3.0, min_gain: float = 2.0, max_terms: int = 6000, k: int = 15) -> Index:
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, k: int = 15) -> Index:
     """Learns from ``labels(doc_id, toxic)`` of documents that are not held out.
 
     The sample is the labelled ids whose hash falls below a threshold set for ``sample_rows`` rows on average, and no more than that
-    ever reaches the driver, as vectors over the ``max_terms`` most telling terms. A document with several labels counts as
-    toxic if one says so. Copies of a text are one example, so that a large group of copies does not make its words telling. A term is
-    telling if its likelihood ratio is ``min_ratio`` or more and label 1 is ``min_lift`` times as frequent with it (or every other time).
+    ever reaches the driver, as bags of word hashes from one pass over the texts. A document with several labels counts as
+    toxic if one says so. Copies of a text are one example, so that a large group of copies does not make its words telling.
     """
     own = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    total = own.count()
-    share = min(1.0, sample_rows / max(1, total))
+    share = min(1.0, sample_rows / max(1, own.count()))
     picked = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(share * (1 << 20)))
     picked = picked.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max(F.col("toxic").cast("double")).alias("_y"))
-    sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("_id", "_y", F.coalesce("text", F.lit("")).alias("_text"))
-    once = sample.groupBy(F.sha2("_text", 256).alias("_digest")).agg(F.min("_id").alias("_id"), F.max("_y").alias("_y"), F.first("_text").alias("_text"))
-    sample = checkpointed(once.select("_id", "_y", "_text"))
+    sample = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").cast("string").alias("_text")).join(F.broadcast(picked), F.col("_doc") == F.col("_id"))  # bounded by the sample
+    once = sample.groupBy(F.coalesce("_text", F.lit("")).alias("_own")).agg(F.min("_id").alias("_id"), F.max("_y").alias("_y"))
+    sample = checkpointed(once.select("_id", "_y", F.col("_own").alias("_text")))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            y = batch.column(1).to_numpy()
-            for begin, part in batches_of(batch.column(2).to_pylist()):
-                hashes, counts = word_terms(part, PREFIXES)
-                owner = np.repeat(np.arange(len(part)), counts)
-                pairs = np.unique(np.rec.fromarrays([np.concatenate(hashes), np.tile(owner, len(hashes))]))
-                terms, inverse, n = np.unique(pairs.f0, return_inverse=True, return_counts=True)
-                ones = np.bincount(inverse, y[begin : begin + len(part)][pairs.f1], len(terms))
-                own_y = y[begin : begin + len(part)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([*terms.view(np.int64).tolist(), None], pa.int64()), pa.array([*n.tolist(), len(part)], pa.int64()), pa.array([*ones.tolist(), float(own_y.sum())])], ["term", "n", "ones"]
-                )
-
-    found = sample.mapInArrow(counted, "term long, n long, ones double").groupBy("term").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"))
-    sizes = found.where("term is null").select(F.col("n").cast("double").alias("docs"), F.col("ones").alias("toxic")).first()
-    if sizes is None or not sizes["docs"]:
-        return Index(np.zeros(0, np.uint64), np.zeros(0))
-    n_docs, n_ones = sizes["docs"], sizes["toxic"]
-    base = (n_ones + 1) / (n_docs + 2)
-    cells = ((F.col("ones"), n_ones), (F.col("n") - F.col("ones"), n_docs - n_ones))
-    ratio = sum(
-        (F.when(c > 0, 2 * c * F.log(c * n_docs / (F.lit(max(row, 1e-9)) * col))).otherwise(0.0) for seen, row in cells for c, col in ((seen, F.col("n")), (F.lit(row) - seen, F.lit(n_docs) - F.col("n")))), F.lit(0.0)
-    )
-    telling = found.where((F.col("term").isNotNull()) & (F.col("n") >= min_docs) & (F.col("n") < n_docs)).withColumn("ratio", ratio).where((F.col("ratio") >= min_ratio) & (F.col("ones") / F.col("n") >= min(0.5, min_lift * base)))
-    rows = telling.orderBy(F.desc("ratio"), "term").limit(max_terms).select("term", "n").toArrow()
-    terms = rows.column(0).to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(terms)
-    index = Index(terms[order], np.log(1 + n_docs / rows.column(1).to_numpy()[order]), base_rate=base)
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            made = index.vectors(batch.column(2).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([p.tolist() for p, _ in made], pa.list_(pa.int32())), pa.array([w.tolist() for _, w in made], pa.list_(pa.float64()))], ["id", "y", "places", "weights"]
-            )
+            made = list(bags(batch.column(2).to_pylist()))
+            terms = pa.array([b[0].view(np.int64) for b in made], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), terms, pa.array([b[1] for b in made], pa.list_(pa.int64()))], ["id", "y", "terms", "times"])
 
-    if not len(terms):
-        index.silent_score = base
-        return index
-    made = sample.mapInArrow(vectors, "id long, y double, places array<int>, weights array<double>").orderBy("id", "y", "places").toArrow().to_pylist()
-    chosen = _covering([(r["places"], r["y"]) for r in made], len(terms), min_gain)
-    index.terms, index.idf = index.terms[chosen], index.idf[chosen]
-    to = {int(t): k for k, t in enumerate(chosen)}
-    for r in made:
-        left = [(to[t], w) for t, w in zip(r["places"], r["weights"], strict=True) if t in to]
-        length = math.sqrt(sum(w * w for _, w in left))
-        r["places"], r["weights"] = [t for t, _ in left], [w / length for _, w in left]
-    telling_rows = [r for r in made if r["places"]]
-    silent = [r["y"] for r in made if not r["places"]]
-    index.add([r["id"] for r in telling_rows], [r["y"] for r in telling_rows], [(np.array(r["places"]), np.array(r["weights"])) for r in telling_rows])
-    index.silent_score = (sum(silent) + base) / (len(silent) + 1)
-    votes = [index.vote(index.nearest(np.array(r["places"]), np.array(r["weights"]), k, without=i)) for i, r in enumerate(telling_rows)]
-    index.slope, index.shift = _calibrated(votes, [r["y"] for r in telling_rows])
-    return index
+    rows = sample.mapInArrow(counted, "id long, y double, terms array<long>, times array<long>").orderBy("id", "y", F.hash("terms")).toArrow()
+    examples = [(np.asarray(t.values).astype(np.int64).view(np.uint64), np.asarray(n.values).astype(np.int64)) for t, n in zip(rows.column(2), rows.column(3), strict=True)]
+    return build(rows.column(0).to_pylist(), rows.column(1).to_pylist(), examples, k)
 
 
-def score(docs: DataFrame, index: Index, k: int = 15) -> DataFrame:
+def score(docs: DataFrame, index: Index, k: int = 15, batch: int = 64) -> DataFrame:
     """``doc_id, held_out, score, predicted, evidence_ids, evidence_cosines`` for each row of ``docs(doc_id, text)``.
 
-    Null and empty texts, and texts without a telling term, get the score of examples of that kind and no evidence. Repeated
-    rows are scored each; an empty table gives no rows; other columns are ignored.
+    Null and empty texts, and texts without a word that any example has, have no neighbours: their score is the calibrated base rate, their
+    evidence empty. Equal texts have equal scores. Repeated rows are scored each; an empty table gives no rows; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample and the vocabulary
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample
+    names = ["doc_id", "held_out", "score", "predicted", "evidence_ids", "evidence_cosines"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in slices(batches):
-            scores, ids, cosines = [], [], []
-            for places, weights in own.vectors([t or "" for t in batch.column(2).to_pylist()]):
-                near = own.nearest(places, weights, k) if len(places) else []
-                scores.append(own.score(own.vote(near)) if near else own.silent_score)
-                ids.append([own.ids[e] for _, e in near])
-                cosines.append([min(1.0, s) for s, _ in near])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(ids, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))],
-                ["doc_id", "held_out", "score", "predicted", "evidence_ids", "evidence_cosines"],
-            )
+        for rows in slices(batches):
+            vectors = [own.vector(b) for b in bags([t or "" for t in rows.column(2).to_pylist()])]
+            near = [found for at in range(0, len(vectors), batch) for found in own.nearest(vectors[at : at + batch], k)]
+            scores = np.array([own.score(own.vote(*found)) for found in near])
+            columns = [pa.array(scores, pa.float64()), pa.array((scores >= 0.5).astype(np.int32)), pa.array([own.ids[e] for e, _ in near], pa.list_(pa.int64())), pa.array([c for _, c in near], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *columns], names)
 
     schema = "doc_id long, held_out boolean, score double, predicted int, evidence_ids array<long>, evidence_cosines array<double>"
     return docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string")).mapInArrow(run, schema)
