@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from docketry.llm import langid, mixing, ngramjoin, packing, secrets
 from docketry.llm.queries import tokenizer_file
+from docketry.operators.durable import delete, shared_folder
 from docketry.session import let_workers_import
 
 
@@ -56,11 +55,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``. Stage outputs go to the shared folder of ``spark.checkpoint.dir``."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "docketry-checkpoints")
-    folder = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``.
+
+    Stage outputs go to the shared folder of ``spark.checkpoint.dir``; each is removed once the next one is written, so that only
+    the last stage's, which the result reads, is left.
+    """
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
         docs = spark.read.parquet(f"{folder}/{k}-{name}")
+        if before:
+            delete(spark, before)
+        before = f"{folder}/{k}-{name}"
     return docs

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docketry.functions.bind import let
-from docketry.functions.category import REDACTION, TIME_STAMP
+from docketry.functions.category import TIME_STAMP
 from docketry.functions.text import strip
 
 _ALONE = r"(?=\s*(?::|\z))"
@@ -25,7 +25,7 @@ BLANK = "|".join(
 NOISE = "|".join(
     (
         r"This is [“\"]my State Agency\.?[”\"]\.?", r"(?iu:Please provide information about your [^.\n]*position\.)", r"(?iu:\[insert (?:name|title)\])", TIME_STAMP,
-        r"[A-Z ]+ EMPLOYEE INFORMATION|PUBLIC OFFICIAL INFORMATION|RECEIVED|STATE ETHICS COMMISSION", REDACTION,
+        r"[A-Z ]+ EMPLOYEE INFORMATION|PUBLIC OFFICIAL INFORMATION|RECEIVED|STATE ETHICS COMMISSION", r"\[?REDACTED\]?",
     )
 )
 

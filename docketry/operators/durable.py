@@ -5,22 +5,39 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to and read back from the folder of ``spark.checkpoint.dir``, so lost executors cost no rerun of what was before.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors share.
 
-    Only a session without that setting gets a folder of its own, for tests on one machine.
+    Only a session on one machine may lack that setting; it gets a temporary folder. Anywhere else that is an error, because the
+    executors would each write to a disk of their own.
     """
+    given = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if given:
+        return given.rstrip("/")
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        return os.path.join(tempfile.gettempdir(), "docketry-checkpoints")
+    raise RuntimeError(f"spark.checkpoint.dir is not set, and the executors of {master} share no folder without it")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to and read back from the shared folder, so lost executors cost no rerun of what was before."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        given = context.getConf().get("spark.checkpoint.dir", None) or df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(given or os.path.join(tempfile.gettempdir(), "docketry-checkpoints"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    """Removes a folder of any file system that Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def numbered(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
     """``df`` with its rows' number (from 1) within their key, by the order columns, as ``name``.
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.operators.durable import numbered
+from docketry.operators.durable import checkpointed, numbered
+
+#: How names end that are given to the second and later rows of a stem.
+NUMBER = r"_[1-9][0-9]*$"
 
 
 def allocate(wanted: Iterable[tuple[str, str]], taken: set[str] | None = None) -> Iterator[str]:
@@ -31,28 +34,53 @@ def allocate(wanted: Iterable[tuple[str, str]], taken: set[str] | None = None) -
         yield name
 
 
+def _ancestors(stem: Column) -> Column:
+    """The stems that a stem is left as when one, two, ... numbers are taken off its end, the nearest first."""
+    parts = F.split(F.regexp_extract(stem, r"((?:_[1-9][0-9]*)+)$", 1), "_")  # the first part is empty
+    lengths = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda k: F.aggregate(F.slice(parts, -k, k), F.lit(0), lambda n, p: n + F.length(p) + 1))
+    return F.when(stem.rlike(NUMBER), F.transform(lengths, lambda n: F.substr(stem, F.lit(1), F.length(stem) - n)))
+
+
+def _contested(stems: DataFrame) -> DataFrame:
+    """``_low, _ext, _top`` of the stems whose names others may take or have taken, from ``stems(_low, _ext, _n)``, one row each.
+
+    Only a stem of several rows gives out numbered names. One of these can be another stem (``a_1`` beside two ``a``), whose rows may then
+    give out numbered names as well, and so on along stems that are there. ``_top`` is the first stem of such a line.
+    """
+    down = stems.select("_low", "_ext", F.posexplode(_ancestors(F.col("_low"))).alias("_level", "_up"))
+    known = stems.select(F.col("_low").alias("_k"), F.col("_ext").alias("_e"), F.col("_n").alias("_m"))
+    met = down.join(known, (F.col("_up") == F.col("_k")) & (F.col("_ext") == F.col("_e"))).groupBy("_low", "_ext").agg(F.array_sort(F.collect_list(F.struct("_level", "_m", "_up"))).alias("_line"))
+    unbroken = F.filter("_line", lambda x, k: x["_level"] == k)
+    last = F.array_max(F.transform(unbroken, lambda x: F.when(x["_m"] > 1, x["_level"])))
+    hit = met.withColumn("_line", unbroken).withColumn("_last", last).where("_last is not null")
+    line = F.slice("_line", F.lit(1), F.col("_last") + 1)
+    hit = hit.select("_low", "_ext", F.transform(line, lambda x: x["_up"]).alias("_ups"))
+    members = hit.select(F.explode(F.concat(F.array("_low"), "_ups")).alias("_low"), "_ext", F.element_at("_ups", -1).alias("_top"))
+    return members.groupBy("_low", "_ext").agg(F.min(F.struct(F.length("_top"), "_top")).alias("_t")).select("_low", "_ext", F.col("_t._top").alias("_top"))
+
+
 def unique_names(docs: DataFrame, key: str, order: str, stem: str = "stem", ext: str = "ext") -> DataFrame:
     """``key, filename`` for each row of ``docs``.
 
-    All names a stem can be given share its lower-case form without trailing ``_number`` groups, so the fold over one such
-    root, in order, is exact and roots are independent. Most roots need no fold: one row keeps its name, and where all rows have the
-    same stem (without case) the numbers are row numbers, however many rows there are. Only roots of several stems, whose numbers can
-    collide, are folded in one task each.
+    Most rows need no fold in order. A stem (compared without case, with its extension) of one row that nothing else can take keeps
+    its name; the rows of a stem that no other stem can meet are numbered by their rank, however many rows there are. Only lines of stems that
+    numbers can make meet (``a``, ``a_1``, ``a_1_1``, and one of several rows among them) are folded in order, a line in one task.
     """
-    root = F.concat(F.regexp_replace(F.lower(F.col(stem)), r"(?:_[0-9]+)+$", ""), F.lit("\x00"), F.lower(F.col(ext)))
-    rows = docs.select(F.col(key).alias("_key"), F.col(order).alias("_order"), F.col(stem).alias("_stem"), F.col(ext).alias("_ext"), root.alias("_root"))
-    low = F.lower("_stem")
-    sizes = rows.groupBy(F.col("_root").alias("_r")).agg(F.count("*").alias("_n"), (F.min(low) == F.max(low)).alias("_same"))
-    rows = rows.join(sizes, F.col("_root") == F.col("_r")).drop("_r")
+    rows = docs.select(F.col(key).alias("_key"), F.col(order).alias("_order"), F.col(stem).alias("_stem"), F.col(ext).alias("_ext"), F.lower(F.col(stem)).alias("_low"), F.lower(F.col(ext)).alias("_lowext"))
+    stems = checkpointed(rows.groupBy("_low", F.col("_lowext").alias("_ext")).agg(F.count("*").alias("_n")))
+    contested = _contested(stems).select(F.col("_low").alias("_l"), F.col("_ext").alias("_e"), "_top")
+    marked = stems.join(contested, (F.col("_low") == F.col("_l")) & (F.col("_ext") == F.col("_e")), "left").select(F.col("_low").alias("_l"), F.col("_ext").alias("_e"), "_n", "_top")
+    rows = rows.join(marked, (F.col("_low") == F.col("_l")) & (F.col("_lowext") == F.col("_e"))).drop("_l", "_e")
     kind = docs.schema[key].dataType.simpleString()
 
     def fold(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["_order", "_key"], kind="stable")
         return pd.DataFrame({"key": group["_key"].to_numpy(), "filename": list(allocate(zip(group["_stem"], group["_ext"], strict=True)))})
 
-    alone = rows.where("_n = 1").select(F.col("_key").alias("key"), F.concat("_stem", "_ext").alias("filename"))
-    same = numbered(rows.where("_n > 1 and _same"), "_root", ["_order", "_key"], "_nth")
+    alone = rows.where("_n = 1 and _top is null").select(F.col("_key").alias("key"), F.concat("_stem", "_ext").alias("filename"))
+    same = rows.where("_n > 1 and _top is null").withColumn("_name", F.concat("_low", F.lit("\x00"), "_lowext"))
+    same = numbered(same, "_name", ["_order", "_key"], "_nth")
     number = F.when(F.col("_nth") > 1, F.concat(F.lit("_"), (F.col("_nth") - 1).cast("string"))).otherwise("")
     same = same.select(F.col("_key").alias("key"), F.concat("_stem", number, "_ext").alias("filename"))
-    mixed = rows.where("_n > 1 and not _same").select("_key", "_order", "_stem", "_ext", "_root").groupBy("_root").applyInPandas(fold, f"key {kind}, filename string")
+    mixed = rows.where("_top is not null").select("_key", "_order", "_stem", "_ext", "_top", "_lowext").groupBy("_top", "_lowext").applyInPandas(fold, f"key {kind}, filename string")
     return alone.unionByName(same).unionByName(mixed).select(F.col("key").alias(key), "filename")

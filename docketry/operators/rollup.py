@@ -47,8 +47,8 @@ def tally(docs: DataFrame, by: str) -> DataFrame:
 
 
 def site_counts(corpus: DataFrame, statement_label: str) -> DataFrame:
-    """One row: disclosures, statements, and the years with documents, newest first."""
-    is_statement = F.col("category") == statement_label
+    """One row: disclosures (whatever is not of the statement category, null too), statements, and the years with documents, newest first."""
+    is_statement = F.coalesce(F.col("category") == statement_label, F.lit(False))
     return corpus.agg(
         F.count_if(~is_statement).alias("disclosure_count"), F.count_if(is_statement).alias("statement_count"), F.reverse(F.array_sort(F.collect_set(year_of(F.col("date"))))).alias("years")
     )

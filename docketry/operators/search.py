@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from docketry.functions.dates import display_date, year_of
 from docketry.functions.text import longest
+from docketry.operators.durable import checkpointed
 from docketry.plans.request import PAGE_SIZE, SearchRequest
 
 FACETS = ("category", "year")
@@ -147,9 +148,10 @@ def order_by(sort: str) -> list[Column]:
 def search(index: Index, request: SearchRequest) -> tuple[DataFrame, DataFrame, int, int]:
     """One page of results, the facet counts, the total, and the number of the page shown (the last one if past the end).
 
-    The page is the top of narrow rows; only its rows are joined with their records.
+    The matches are found once, as narrow rows that are written; count, page and facets read these. The page is the top of them,
+    and only its rows are joined with their records.
     """
-    found = candidates(index, request.query)
+    found = checkpointed(candidates(index, request.query))
     chosen = found.where(facet_condition(request.filters))
     total = chosen.count()
     page = min(request.page, max(1, -(-total // PAGE_SIZE)))
@@ -157,14 +159,25 @@ def search(index: Index, request: SearchRequest) -> tuple[DataFrame, DataFrame,
     terms, _ = parse_query(request.query)
     shown = index.entries.join(F.broadcast(ranked), "url")  # at most a page
     shown = shown.withColumn("filename", F.element_at("meta", F.lit("filename"))).orderBy(*order_by(request.sort))
-    meta = lambda name: F.element_at("meta", F.lit(name))
-    title = F.coalesce(F.nullif(meta("title"), F.lit("")), F.nullif(meta("filename"), F.lit("")), F.col("url"))
-    parts = F.array(display_date(meta("date")), meta("name"), meta("category"), meta("position"), meta("agency"))
-    details = F.array_join(F.filter(parts, lambda x: x.isNotNull() & (x != "")), " · ")
-    rows = shown.select("url", title.alias("title"), details.alias("details"), (excerpt(F.col("content"), terms) if terms else F.lit(None).cast("string")).alias("excerpt"), "score")
+    rows = shown.select("url", shown_title().alias("title"), details().alias("details"), (excerpt(F.col("content"), terms) if terms else F.lit(None).cast("string")).alias("excerpt"), "score")
     return rows, facet_counts(found, request.filters), total, page
 
 
+def _meta(name: str) -> Column:
+    return F.element_at("meta", F.lit(name))
+
+
+def shown_title() -> Column:
+    """An index record's title, or else its file name, or else its address."""
+    return F.coalesce(F.nullif(_meta("title"), F.lit("")), F.nullif(_meta("filename"), F.lit("")), F.col("url"))
+
+
+def details() -> Column:
+    """An index record's date, name, category, position and agency, those that it has, in one line."""
+    parts = F.array(display_date(_meta("date")), _meta("name"), _meta("category"), _meta("position"), _meta("agency"))
+    return F.array_join(F.filter(parts, lambda x: x.isNotNull() & (x != "")), " · ")
+
+
 def escape_html(text: Column) -> Column:
     for sign, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
         text = F.replace(text, F.lit(sign), F.lit(entity))
@@ -172,7 +185,13 @@ def escape_html(text: Column) -> Column:
 
 
 def excerpt(content: Column, terms: list[str], width: int = 200) -> Column:
-    """A window of the escaped text around the first term found, with the terms in ``<mark>``."""
+    """A window of the escaped text around the first term found, with the terms in ``<mark>``.
+
+    The window is split at its matches before anything is escaped, so that entities are never taken for words.
+    """
     any_term = rf"(?iu)(?<![\p{{L}}\p{{N}}])({'|'.join(re.escape(t) for t in sorted(terms, key=len, reverse=True))})(?![\p{{L}}\p{{N}}])"
     at = F.greatest(F.regexp_instr(content, F.lit(any_term)) - F.lit(width // 4), F.lit(1))
-    return F.regexp_replace(escape_html(F.substr(content, at, F.lit(width))), any_term, "<mark>$1</mark>")
+    window = F.substr(content, at, F.lit(width))
+    between, found = F.split(window, any_term, -1), F.regexp_extract_all(window, F.lit(any_term), F.lit(1))
+    marked = F.transform(found, lambda x: F.concat(F.lit("<mark>"), escape_html(x), F.lit("</mark>")))
+    return F.array_join(F.zip_with(F.transform(between, escape_html), F.concat(marked, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketry.operators.rollup import complete_documents, page_rollup
-from docketry.sources.files import ocr_jobs, page_images, recognise, text_layers
+from docketry.sources.files import as_texts, ocr_jobs, page_images, recognise, text_layers
 from docketry.sources.tables import DEFAULT_KIND, STATEMENT_KIND
 
 
@@ -38,6 +38,10 @@ class Ingested:
     recognised: DataFrame
     failed: DataFrame
 
+    def texts(self) -> DataFrame:
+        """All texts in the form that is written, scanned and built into a corpus: text layers as ``txt``, recognised documents as ``md``."""
+        return as_texts(self.layered, "txt").unionByName(as_texts(self.recognised, "md", "markdown"))
+
 
 def ingest(jobs: DataFrame, contents: DataFrame, drops: DataFrame, render: Callable[[bytes], list[bytes]], infer: Callable[[list[bytes]], list[dict]], batch_pages: int = 8, command: tuple[str, ...] = ("pdftotext", "-q", "-layout")) -> Ingested:
     """Texts of ``jobs`` from ``contents(path, content)``.

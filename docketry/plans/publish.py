@@ -3,37 +3,62 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketry.functions.category import STATEMENT
 from docketry.functions.dates import display_day
 from docketry.functions.display import drop_url
+from docketry.operators.durable import checkpointed
 from docketry.operators.rollup import site_counts
 from docketry.operators.syncplan import mirror_plan
 
 
-def existing_links(spark, folder: str) -> DataFrame:
-    """``name, inode`` of the files in a mirror folder on the driver's file system."""
-    found = [(e.name, str(e.stat().st_ino)) for e in os.scandir(folder) if e.is_file()] if os.path.isdir(folder) else []
-    return spark.createDataFrame(found, "name string, inode string")
+def existing_links(spark, folder: str, batch: int = 10_000) -> DataFrame:
+    """``name, inode`` of the files in a mirror folder, which the workers mount. The listing is read in batches by one worker."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names: list[str] = []
+        inodes: list[str] = []
+        for _ in (row for rows in batches for row in rows["id"]):
+            for entry in os.scandir(folder) if os.path.isdir(folder) else ():
+                if entry.is_file():
+                    names.append(entry.name)
+                    inodes.append(str(entry.stat().st_ino))
+                if len(names) == batch:
+                    yield pd.DataFrame({"name": names, "inode": inodes})
+                    names, inodes = [], []
+        yield pd.DataFrame({"name": names, "inode": inodes}, dtype=object)
+
+    return spark.range(0, 1, 1, 1).mapInPandas(run, "name string, inode string")
 
 
 def link_plan(corpus: DataFrame, spark, pdf_dir: str, folder: str) -> DataFrame:
-    """``name, target, action``: what to link, keep or remove so that the folder holds each document's file under its public name."""
-    wanted = corpus.select(F.col("filename").alias("name"), F.col("original_path").alias("target"))
-    rows = [(r.name, r.target, str(os.stat(os.path.join(pdf_dir, r.target)).st_ino)) for r in wanted.toLocalIterator()]
-    inodes = spark.createDataFrame(rows, "name string, path string, target string")
+    """``name, target, action``: what to link, keep or remove so that the folder holds each document's file under its public name.
+
+    Files are looked up by the workers, which mount both folders; no row of the corpus reaches the driver.
+    """
+
+    def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            yield rows.assign(target=[str(os.stat(os.path.join(pdf_dir, path)).st_ino) for path in rows["path"]])
+
+    wanted = corpus.select(F.col("filename").alias("name"), F.col("original_path").alias("path"))
+    inodes = wanted.mapInPandas(look_up, "name string, path string, target string")
     plan = mirror_plan(inodes.select("name", "target"), existing_links(spark, folder).withColumnRenamed("inode", "target"))
-    return plan.join(inodes.select("name", "path"), "name", "left").select("name", F.col("path").alias("target"), "action")
+    return plan.join(wanted, "name", "left").select("name", F.col("path").alias("target"), "action")
 
 
 def apply_links(plan: DataFrame, pdf_dir: str, folder: str) -> dict[str, int]:
-    """Carries out a link plan on the driver's file system; how many were linked, kept and removed."""
+    """Carries out a link plan on the driver's file system; how many were linked, kept and removed. What is kept does not reach the driver."""
     os.makedirs(folder, exist_ok=True)
     done = {"link": 0, "keep": 0, "remove": 0}
-    for row in plan.toLocalIterator():
+    plan = checkpointed(plan)  # so that what is being linked and removed does not change the plan
+    done["keep"] = plan.where("action = 'keep'").count()
+    for row in plan.where("action <> 'keep'").toLocalIterator():
         path = os.path.join(folder, row.name)
         done[row.action] += 1
         if row.action == "remove":

@@ -12,7 +12,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 
 FILES = _struct(("path", _S), ("sha256", _S))
-TEXTS = _struct(("drop", _S), ("rel", _S), ("stem", _S), ("ext", _S), ("text", _S))
+TEXTS = _struct(("dir", _S), ("stem", _S), ("ext", _S), ("text_path", _S), ("text", _S))
 DROPS = _struct(("drop", _S), ("custodian", _S), ("kind", _S), ("agency", _S), ("year", _I), ("url", _S), ("notes", _S), ("extra", T.MapType(_S, _S)))
 EXCLUSIONS = _struct(("sha256", _S))
 MANIFEST = _struct(("sha256", _S), ("filename", _S))

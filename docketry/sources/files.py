@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import subprocess
 import tempfile
 import zipfile
@@ -13,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketry import schemas
 from docketry.functions.text import basename, drop_of, extension, stem
 
 
@@ -26,21 +28,57 @@ def _quoted(text: str) -> str:
     return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
-def scan_pdfs(spark: SparkSession, root: str) -> DataFrame:
-    """``path, sha256`` of all PDFs inside drops, whatever the case of their extension; hidden files are skipped.
+def _passed_over(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """``path, content`` of the files that Spark's readers pass over: empty ones, and those with a ``_`` before their name or a directory's.
 
-    The reader leaves out names that begin with ``_`` too.
+    The listing is the file system's own, as Spark's is, on the driver; only what readers pass over is kept of it. Contents are read by
+    the workers. ``name`` is a regular expression for the whole file name.
     """
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").option("recursiveFileLookup", "true").load(root)
-    files = found.select(_below(F.col("path"), root).alias("path"), F.sha2("content", 256).alias("sha256"))
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    wanted, rows, top = re.compile(name), [], None
+    entries = system.listFiles(where, True) if system.exists(where) else None
+    top = system.makeQualified(where).toString().rstrip("/") + "/"
+    while entries is not None and entries.hasNext():
+        entry = entries.next()
+        path, size = entry.getPath().toString(), entry.getLen()
+        parts = path.removeprefix(top).split("/")
+        if wanted.fullmatch(parts[-1]) and (not size or any(p.startswith("_") and "=" not in p for p in parts)):
+            rows.append((path, size))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for path, size in zip(batch["path"], batch["size"], strict=True):
+                content = b""
+                if size:
+                    store, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
+                    with store.open_input_file(inner) as file:
+                        content = file.read()
+                yield pd.DataFrame({"path": [path], "content": [content]})
+
+    return spark.createDataFrame(rows, "path string, size long").mapInPandas(run, "path string, content binary")
+
+
+def scan_contents(spark: SparkSession, root: str) -> DataFrame:
+    """``path, content`` of all PDFs inside drops, whatever the case of their extension; names that begin with a dot are skipped."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").option("recursiveFileLookup", "true").load(root).select("path", "content")
+    files = found.unionByName(_passed_over(spark, root, r"(?is).*\.pdf")).select(_below(F.col("path"), root).alias("path"), "content")
     return files.where(F.col("path").contains("/") & ~F.col("path").rlike(r"(^|/)\."))
 
 
+def scan_pdfs(spark: SparkSession, root: str) -> DataFrame:
+    """``path, sha256`` of the files of :func:`scan_contents`."""
+    return scan_contents(spark, root).select("path", F.sha2("content", 256).alias("sha256"))
+
+
 def scan_texts(spark: SparkSession, root: str) -> DataFrame:
-    """``dir, stem, ext, text_path, text`` of the extracted texts (``md`` or ``txt``)."""
+    """``dir, stem, ext, text_path, text`` of the extracted texts (``md`` or ``txt``); an empty file is an empty text."""
     read = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{md,txt}").text(root, wholetext=True)
-    rows = read.select(_below(F.col("_metadata.file_path"), root).alias("text_path"), F.col("value").alias("text"))
-    rows = rows.withColumn("text_path", F.try_url_decode(F.replace("text_path", F.lit("+"), F.lit("%2B"))))
+    rows = read.select(F.try_url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))).alias("path"), F.col("value").alias("text"))
+    more = _passed_over(spark, root, r"(?s).*\.(?:md|txt)").select("path", F.col("content").cast("string").alias("text"))
+    rows = rows.unionByName(more).select(_below(F.col("path"), root).alias("text_path"), "text").where(~F.col("text_path").rlike(r"(^|/)\."))
     name = basename(F.col("text_path"))
     return rows.select(F.regexp_replace("text_path", r"/[^/]*$", "").alias("dir"), stem(name).alias("stem"), F.lower(F.substring(extension(name), 2, 10)).alias("ext"), "text_path", "text")
 
@@ -162,10 +200,22 @@ def ocr_jobs(files: DataFrame) -> DataFrame:
     return files.select(F.col("path").alias("pdf"), F.substr("path", F.lit(1), F.length("path") - F.length(extension(name))).alias("dest_dir"), stem(name).alias("stem"), drop_of(F.col("path")).alias("drop"))
 
 
+def as_texts(found: DataFrame, ext: str, text: str = "text") -> DataFrame:
+    """``found(pdf, <text>)`` in the form of :func:`scan_texts`: each text's place is that of its PDF, in a directory of its own."""
+    name = basename(F.col("pdf"))
+    directory = F.substr("pdf", F.lit(1), F.length("pdf") - F.length(extension(name)))
+    path = F.concat(directory, F.lit("/"), stem(name), F.lit("." + ext))
+    return found.select(directory.alias("dir"), stem(name).alias("stem"), F.lit(ext).alias("ext"), path.alias("text_path"), F.col(text).alias("text"))
+
+
 def write_texts(texts: DataFrame, folder: str) -> None:
-    """Appends ``texts(pdf, text, ...)`` as a table by drop. The commit makes rows visible whole, so what is there is complete."""
-    rows = texts.withColumn("drop", drop_of(F.col("pdf"))).withColumn("dir", F.regexp_replace("pdf", r"\.[^./]*$", "")).withColumn("stem", stem(basename(F.col("pdf"))))
-    rows.write.mode("append").partitionBy("drop").parquet(folder)
+    """Appends texts (``dir, stem, ext, text_path, text``) as a table by drop. The commit makes rows visible whole, so what is there is complete."""
+    texts.select(*[f.name for f in schemas.TEXTS.fields]).withColumn("drop", drop_of(F.col("text_path"))).write.mode("append").partitionBy("drop").parquet(folder)
+
+
+def read_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """What :func:`write_texts` wrote, in the form of :func:`scan_texts`."""
+    return spark.read.schema(schemas.TEXTS).parquet(folder).select(*[f.name for f in schemas.TEXTS.fields])
 
 
 def checksummed(files: DataFrame) -> DataFrame:

@@ -77,8 +77,8 @@ def checked_drops(listing: DataFrame, metadata: DataFrame) -> DataFrame:
     return both.drop("_listed", "_described", "valid", "drop").orderBy("filename")
 
 
-def write_corpus(corpus: DataFrame, path: str, files: int | None = 1) -> None:
-    """JSON lines with explicit nulls, in first-path order; one file by default, or as many as there are partitions."""
+def write_corpus(corpus: DataFrame, path: str, files: int | None = None) -> None:
+    """JSON lines with explicit nulls, in first-path order from part to part; as many files as the sort has ranges, or so many."""
     columns = [f.name for f in schemas.CORPUS.fields]
     ordered = corpus.orderBy("first_path").select(*columns)
     (ordered.coalesce(files) if files else ordered).write.mode("overwrite").option("ignoreNullFields", "false").json(path)

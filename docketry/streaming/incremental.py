@@ -37,14 +37,20 @@ _COLLECTED = "doc string, num_pages int, markdown string, total_token_count long
 _STATE = "pages array<int>, texts array<string>, tokens long, abandoned boolean"
 
 
-def collect_pages(pages: DataFrame) -> DataFrame:
+def collect_pages(pages: DataFrame, forget_after: str | None = None) -> DataFrame:
     """Documents of a stream of ``pages(doc, page_num, expected_pages, markdown, token_count, error)``, each once it is complete.
 
     State holds a document's pages until all have come. A document with a failed page is abandoned: nothing is emitted for it, and
-    its later pages are ignored.
+    its later pages are ignored; only a mark of it is left in the state. A stream that runs on should say ``forget_after`` (like ``7 days``): a
+    document, abandoned or incomplete, of which nothing has come for so long leaves the state, so that the state does not grow for ever;
+    like all that gave no output it stays pending. Without it the state keeps them, as a run that ends when it has caught up needs.
     """
+    milliseconds = int(pd.Timedelta(forget_after).total_seconds() * 1000) if forget_after else 0
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         nums, texts, tokens, abandoned = state.get if state.exists else ([], [], 0, False)
         have, expected = dict(zip(nums, texts, strict=True)), 0
         for batch in batches:
@@ -61,5 +67,7 @@ def collect_pages(pages: DataFrame) -> DataFrame:
             yield pd.DataFrame({"doc": [key[0]], "num_pages": [expected], "markdown": ["".join(have[n] for n in sorted(have))], "total_token_count": [tokens]})
         else:
             state.update((list(have), list(have.values()), tokens, False))
+        if milliseconds and state.exists:
+            state.setTimeoutDuration(milliseconds)
 
-    return pages.groupBy("doc").applyInPandasWithState(step, _COLLECTED, _STATE, "append", GroupStateTimeout.NoTimeout)
+    return pages.groupBy("doc").applyInPandasWithState(step, _COLLECTED, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout if milliseconds else GroupStateTimeout.NoTimeout)

@@ -65,10 +65,27 @@ def test_corpus(spark, tree, tmp_path):
     assert sorted(r.filename for r in tables.read_corpus(spark, out).collect()) == sorted(r.filename for r in rows.values())
 
 
+def test_no_file_is_passed_over(spark, tmp_path):
+    import hashlib
+
+    pdfs, ocr = str(tmp_path / "pdfs"), str(tmp_path / "ocr")
+    for path, data in {"d/_a.pdf": b"1", "d/_dir/b.PDF": b"2", "_drop/c.pdf": b"3", "d/zero.pdf": b"", "d/.dot.pdf": b"4", "d/.dir/x.pdf": b"5", "d/_k=v.pdf": b"6", "loose.pdf": b"", "d/note.txt": b"", "d/e f+g%.pdf": b"7"}.items():
+        write(pdfs, path, data)
+    found = {r.path: r.sha256 for r in sources.scan_pdfs(spark, pdfs).collect()}
+    assert found == {p: hashlib.sha256(d).hexdigest() for p, d in {"d/_a.pdf": b"1", "d/_dir/b.PDF": b"2", "_drop/c.pdf": b"3", "d/zero.pdf": b"", "d/_k=v.pdf": b"6", "d/e f+g%.pdf": b"7"}.items()}
+    for path, data in {"d/_a/_a.md": b"\xc3\xa4", "d/zero/zero.txt": b"", "_drop/c/c.txt": b"x", "d/e f+g%/e f+g%.md": b"y", "d/w/w.pdf": b""}.items():
+        write(ocr, path, data)
+    texts = sorted((r.dir, r.stem, r.ext, r.text) for r in sources.scan_texts(spark, ocr).collect())
+    assert texts == [("_drop/c", "c", "txt", "x"), ("d/_a", "_a", "md", "ä"), ("d/e f+g%", "e f+g%", "md", "y"), ("d/zero", "zero", "txt", "")]
+    joined = {r.path: r.text_path for r in sources.with_text_paths(sources.scan_pdfs(spark, pdfs), sources.scan_texts(spark, ocr)).collect()}
+    assert joined["d/zero.pdf"] == "d/zero/zero.txt" and joined["d/_a.pdf"] == "d/_a/_a.md" and joined["d/_k=v.pdf"] is None
+
+
 def test_greedy_names(spark):
     assert list(naming.allocate([("Foo", ""), ("Foo", ""), ("Foo_1", ""), ("foo", "")])) == ["Foo", "Foo_1", "Foo_1_1", "foo_2"]
     pick = random.Random(5)
     rows = [(k, pick.choice(["a", "A", "a_1", "a_1_1", "b", "B_2", "c_", "_1"]), pick.choice([".pdf", ".PDF", ""])) for k in range(80)]
+    rows += [(k, f"d_{pick.randint(0, 30)}" if pick.random() < 0.9 else pick.choice(["d", "D_1_2", "d_01", "e_1_1", "e", "e_1", "g_7_1"]), ".x") for k in range(80, 160)] + [(160, "h", ""), (161, "h_1_1", ""), (162, "h", ""), (163, "h_1", "")]
     frame = spark.createDataFrame(rows, "k int, stem string, ext string")
     got = {r.k: r.filename for r in naming.unique_names(frame, "k", "k").collect()}
     taken, model = set(), {}
@@ -79,7 +96,7 @@ def test_greedy_names(spark):
             name = f"{stem}_{n}{ext}"
         taken.add(name.lower())
         model[k] = name
-    assert got == model and len({v.lower() for v in got.values()}) == 80
+    assert got == model and len({v.lower() for v in got.values()}) == len(rows)
 
 
 def test_boilerplate_thresholds(spark):

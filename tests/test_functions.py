@@ -87,5 +87,7 @@ def test_filer(spark):
         ("Name:\n____\nDepartment : Parks", (None, None, "Parks")),
         ("Name: A\n1\n2\n3\n4\n5\n6\nTitle: Late", ("A", None, None)),
         ("", (None, None, None)),
+        ("Name of public employee: Jane Redacted Roe", ("Jane Redacted Roe", None, None)),
+        ("Name of public employee: Jane [REDACTED] Roe", ("Jane Roe", None, None)),
     ]
     assert [tuple(r) for r in column(spark, [c for c, _ in cases], filer.filer)] == [x for _, x in cases]

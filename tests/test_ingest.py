@@ -57,8 +57,45 @@ def test_only_missing_items_are_fetched_and_texts_are_kept_by_drop(spark, tmp_pa
 
     out = portal.fetch_missing(items, spark.createDataFrame([("b.pdf",)], "unique_path string"), fetch).collect()
     assert sorted((r.unique_path, bytes(r.content) if r.content else None, r.error is None) for r in out) == [("a.pdf", b"\x01", True), ("c.pdf", None, False)]
-    files.write_texts(spark.createDataFrame([("d/x/a.b.pdf", "t")], "pdf string, text string"), str(tmp_path / "texts"))
+    files.write_texts(files.as_texts(spark.createDataFrame([("d/x/a.b.pdf", "t")], "pdf string, text string"), "txt"), str(tmp_path / "texts"))
     row = spark.read.parquet(str(tmp_path / "texts")).first()
     assert (row.drop, row.dir, row.stem, row.text) == ("d", "d/x/a.b", "a.b", "t")
+    assert tuple(files.read_texts(spark, str(tmp_path / "texts")).first()) == ("d/x/a.b", "a.b", "txt", "d/x/a.b/a.b.txt", "t")
+
+
+def test_from_bytes_to_corpus(spark, tmp_path):
+    """Files are scanned, ingested, their texts written and read, and a corpus built, without anything between."""
+    import datetime
+
+    from docketry.plans.corpus import build_corpus
+    from docketry.sources import files
+
+    root = tmp_path / "pdfs"
+    for path, data in {"2026-01-02-town/Roe 8.23.12.PDF": b"# DISCLOSURE OF GIFT", "2026-01-02-town/_x/_dash.pdf": b"DISCLOSURE OF TRAVEL", "2026-01-02-town/empty.pdf": b"", "2026-01-02-town/bad.pdf": b"!", "2025-05-05-forms/a.pdf": b"a statement of interests"}.items():
+        (root / path).parent.mkdir(parents=True, exist_ok=True)
+        (root / path).write_bytes(data)
+    script = tmp_path / "layer.sh"
+    script.write_text('#!/bin/sh\nhead -c 100 "$1"; printf "\\f"\n')
+    drops = tables.drop_metadata(spark, {"2025-05-05-forms": {"kind": "sfi", "year": 2025}, "2026-01-02-town": {"custodian": "Town"}})
+
+    def infer(images):
+        if b"!" in images:
+            raise RuntimeError("no")
+        return [{"markdown": i.decode(), "html": "", "token_count": 1, "num_chunks": 0, "num_images": 0} for i in images]
+
+    contents = files.scan_contents(spark, str(root))
+    assert contents.count() == 5
+    nothing = spark.createDataFrame([], files.schemas.TEXTS)
+    out = ingest.ingest(ingest.pending_jobs(contents.select("path"), nothing), contents, drops, lambda c: [c] if c else [], infer, batch_pages=1, command=("sh", str(script)))
+    files.write_texts(out.texts(), str(tmp_path / "texts"))
+    texts = files.read_texts(spark, str(tmp_path / "texts"))
+    corpus = build_corpus(files.scan_pdfs(spark, str(root)), texts, drops, tables.exclusions(spark, []), datetime.date(2026, 6, 1)).collect()
+    assert {r.original_path: (r.filename, r.category, r.date, r.fulltext, r.custodian) for r in corpus} == {
+        "2026-01-02-town/Roe 8.23.12.PDF": ("Roe_8_23_12.pdf", "Travel & Gifts", "2012-08-23", "DISCLOSURE OF GIFT", "Town"),
+        "2026-01-02-town/_x/_dash.pdf": ("dash.pdf", "Travel & Gifts", None, "DISCLOSURE OF TRAVEL", "Town"),
+        "2025-05-05-forms/a.pdf": ("a.pdf", "Statement of Financial Interests", "2025", "a statement of interests", None),
+    }
+    assert ingest.failure_report(out.failed) == ["2026-01-02-town/bad.pdf", "2026-01-02-town/empty.pdf"]
+    assert [r.pdf for r in ingest.pending_jobs(contents.select("path"), texts).orderBy("pdf").collect()] == ["2026-01-02-town/bad.pdf", "2026-01-02-town/empty.pdf"]
     sums = files.checksummed(spark.createDataFrame([("z/a.zip", b"")], "path string, content binary")).first()
     assert sums.filename == "a.zip" and sums.sha256.startswith("e3b0c442")

@@ -1,7 +1,14 @@
+import os
+import shutil
+import subprocess
+import sys
+
 import pytest
 
 from docketry.plans import registry
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_query_equals_its_sql(compare, name):
@@ -26,3 +33,21 @@ def test_names_of_the_other_orders_hold_no_day(spark, sf_dir):
     rows = registry._filings(spark, sf_dir).where("o_orderkey % 4 <> 0")
     days = registry.dates.candidates(registry.text.stem(registry.F.get("names", registry.F.lit(0))))
     assert rows.count() > 0 and rows.select(days.alias("days")).where("size(days) > 0").count() == 0
+
+
+@pytest.mark.parametrize("gone", [("docketry/llm", "tests/llm"), ("docketry/llm", "tests/llm", "corpus_pipeline.py")])
+def test_engine_without_the_training_data_operators(tmp_path, gone):
+    """With the subpackage deleted, and its pipeline or not, all other queries are there, and all other tests can be collected."""
+    copy = tmp_path / "repo"
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", ".pytest_cache"))
+    for path in gone:
+        if (copy / path).is_dir():
+            shutil.rmtree(copy / path)
+        elif (copy / path).exists():
+            os.remove(copy / path)
+    code = "import __spark_entry__ as e; print(sorted(e.queries())); print(sorted(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, env=os.environ | {"PYTHONPATH": ""}, check=False)
+    assert done.returncode == 0, done.stderr
+    assert done.stdout.splitlines()[-2:] == [str(sorted(registry.QUERIES)), str(sorted(registry.ORACLE_SQL))] and "is left out" in done.stderr
+    collected = subprocess.run([sys.executable, "-m", "pytest", "--collect-only", "-q", "tests"], cwd=copy, capture_output=True, text=True, env=os.environ | {"PYTHONPATH": ""}, check=False)
+    assert collected.returncode == 0, collected.stdout

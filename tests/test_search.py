@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from docketry import schemas
 from docketry.operators import search
@@ -79,6 +80,18 @@ def test_pages(index):
     assert best[0].title == "c.pdf"
 
 
+def test_excerpts_mark_words_and_not_entities(spark):
+    rows = [("R&D <amp> of A&amp;B",), ("nothing here",), ("amp",), ("x" * 300 + " amp " + "y" * 300,)]
+    out = [r.e for r in spark.createDataFrame(rows, "content string").select(search.excerpt(F.col("content"), ["amp", "d"]).alias("e")).collect()]
+    assert out[:3] == ["R&amp;<mark>D</mark> &lt;<mark>amp</mark>&gt; of A&amp;<mark>amp</mark>;B", "nothing here", "<mark>amp</mark>"]
+    assert out[3] == "x" * 49 + " <mark>amp</mark> " + "y" * 146
+
+
+def test_terms_are_pushed_down_to_the_written_index(index):
+    plan = search.matches(index, "real")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(term,real)" in plan or "In(term, [real])" in plan
+
+
 def test_state():
     assert parse_url("?q=%20x%20&category=other,travel-gifts,other,zzz&year=2025&sort=toString&page=abc", OPTIONS) == SearchRequest("x", {"category": ("Travel & Gifts", "Other"), "year": ("2025",)}, "relevance", 1)
     assert parse_url("/search/?page=-1", OPTIONS).page == 1 and parse_url("?page=3x", OPTIONS).page == 3 and parse_url("", OPTIONS).sort == "relevance"

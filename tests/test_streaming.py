@@ -1,3 +1,5 @@
+import time
+
 from pyspark.sql import functions as F
 
 from docketry.streaming.incremental import collect_pages, run_pending
@@ -29,3 +31,19 @@ def test_documents_come_out_once_complete(spark, tmp_path):
     finally:
         query.stop()
     assert got == {("a", 2, "xy", 3), ("c", 1, "z", 4)}
+
+
+def test_what_nothing_comes_of_leaves_the_state(spark, tmp_path):
+    source = str(tmp_path / "pages")
+    spark.createDataFrame([("bad", 1, 2, "q", 1, True), ("late", 1, 2, "s", 1, False), ("c", 1, 1, "z", 4, False)], SCHEMA).coalesce(1).write.parquet(source)
+    out = collect_pages(spark.readStream.schema(SCHEMA).parquet(source), "1 second")
+    query = out.writeStream.format("memory").queryName("forgotten").option("checkpointLocation", str(tmp_path / "mark")).trigger(processingTime="1 second").start()
+    try:
+        until = time.time() + 40
+        kept = []
+        while time.time() < until and not (kept and max(kept) == 2 and kept[-1] == 0):
+            time.sleep(0.5)
+            kept = [s.numRowsTotal for p in query.recentProgress for s in p.stateOperators]
+        assert max(kept) == 2 and kept[-1] == 0 and {r.doc for r in spark.sql("SELECT * FROM forgotten").collect()} == {"c"}
+    finally:
+        query.stop()
