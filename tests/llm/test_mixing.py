@@ -77,3 +77,37 @@ def test_documents_of_the_mix(spark):
     for r in mixed.collect():
         words[r.doc_id] = words.get(r.doc_id, 0) + len(re.findall(mixing.WORD, r.text))
     assert words == {r[0]: r[4] for r in brute(rows) if r[4]}
+
+
+def test_the_cut_is_where_the_budget_ends(spark):
+    """The kept pieces, in order of finish time, are exactly the head of the global order that the budget pays for."""
+    pick = random.Random(9)
+    rows = [(k, pick.choice(["a", "b", "b", "b", None]), "w " * pick.randint(0, 30)) for k in range(80)]
+    narrow = table(spark, rows)
+    scheduled = mixing.schedule(narrow, mixing.words(mixing.F.col("text")), block_rows=8)
+    pieces = sorted(tuple(p) for r in scheduled.select(mixing.quanta(2).alias("q")).collect() for p in r.q)
+    budget = sum(math.floor(t + 1e-6) for t in {(r._source, r.target) for r in scheduled.collect()} for t in [t[1]])
+    at, spent = mixing.cut(scheduled, 2, stretches=7).first()["cut"], 0
+    for piece in pieces:
+        if spent + piece[3] > budget:
+            break
+        spent += piece[3]
+    assert tuple(at["at"]) == piece and at["left"] == budget - spent and piece[0] > 1
+    finished = {}
+    for finish, source, begins, n in pieces:
+        if finish <= 1:
+            finished[source] = finished.get(source, 0) + n
+    assert sum(finished.values()) == budget
+
+
+def test_edges_of_the_mix(spark):
+    rows = [(1, "a", "x y")] * 3 + [(None, None, "q w e"), (2, "b", None), (3, "b", "  "), (4, "b", "é " * 50_000)]
+    mixed = mixing.mixed_documents(table(spark, rows))
+    got_words = {}
+    for r in mixed.collect():
+        got_words[r.doc_id] = got_words.get(r.doc_id, 0) + len(re.findall(mixing.WORD, r.text))
+    expected = {}
+    for r in brute(rows):
+        expected[r[0]] = expected.get(r[0], 0) + r[4]
+    assert got_words == {k: v for k, v in expected.items() if v}
+    assert mixing.mixed_documents(table(spark, rows).limit(0)).count() == 0
