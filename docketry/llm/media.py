@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm._shared import slices
-from docketry.operators.durable import checkpointed
+from docketry.operators.durable import checkpointed, delete, shared_folder
 
 ROW = 64
 ITEM = "struct<position:int,kind:string,text:string,ref:string,caption:string>"
@@ -91,25 +92,28 @@ def parse(html: str | None) -> list[dict]:
     return [{"position": k, **item} for k, item in enumerate(reader.items)]
 
 
-def sequences(pages: DataFrame, id_column: str = "page_id", html_column: str = "html") -> DataFrame:
-    """``id, items`` for each row: the parsed sequence. Repeated rows are parsed each; other columns are ignored."""
-    rows = pages.select(F.col(id_column).cast("long").alias("_id"), F.col(html_column).cast("string").alias("_html"))
+def sequences(pages: DataFrame, id_column: str = "page_id", html_column: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``id, items`` and the kept columns for each row: the parsed sequence. Repeated rows are parsed each; other columns are ignored; an empty table gives no rows."""
+    rows = pages.select(F.col(id_column).cast("long").alias("id"), F.col(html_column).cast("string").alias("_html"), *keep)
+    kept = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 64):
             items = [parse(x.as_py()) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, _ITEM_ARROW)], ["id", "items"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, _ITEM_ARROW), *batch.columns[2:]], ["id", "items", *keep])
 
-    return rows.mapInArrow(run, f"id long, items array<{ITEM}>")
+    return rows.mapInArrow(run, f"id long, items array<{ITEM}>{kept}")
 
 
 def resolve(sequences_: DataFrame, media: DataFrame) -> DataFrame:
     """``id, position, kind, text, caption, ref`` and the media table's columns, one row for each item.
 
     ``media`` has one row for each ``digest``. A reference that is no ``sha256:`` digest, or one without a payload, stays as an
-    item with null media columns.
+    item with null media columns. A digest that very many items refer to is split by adaptive execution where ``media`` is a written table.
+    Empty sequences and empty tables give no rows. Further columns of the sequences stay.
     """
-    items = sequences_.select("id", F.explode("items").alias("item")).select("id", "item.*")
+    more = [c for c in sequences_.columns if c not in ("id", "items")]
+    items = sequences_.select("id", F.explode("items").alias("item"), *more).select("id", "item.*", *more)
     items = items.withColumn("_digest", F.nullif(F.regexp_extract("ref", "^sha256:([0-9a-f]{64})$", 1), F.lit("")))
     return items.join(media, F.col("_digest") == media["digest"], "left").drop("_digest")
 
@@ -149,47 +153,85 @@ def features(samples: memoryview) -> str:
     return f"mean={mean:.4f};sd={deviation:.4f};entropy={float(-(share * np.log2(share)).sum()):.4f};hist={','.join(map(str, histogram))};ahash={bits:016x}"
 
 
-_STORED = ["digest", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+_FACTS = {"digest": "string", "payload_bytes": "long", "payload_sha256": "string", "tail_crc32": "long", "media_bytes": "long", "media_sha256": "string", "feature": "string"}
+
+
+def store_media(payloads: DataFrame, folder: str, remembered: int = 100_000) -> DataFrame:
+    """The media table ``digest, media`` of ``payloads(digest, payload)``, written to a folder and read back from there.
 
+    Each payload is put into its stored form where it lies: payloads are not shuffled. A task writes a digest once (as long as it is among
+    the ``remembered`` last ones), so a digest that lies in several tasks has several equal rows.
+    """
 
-def media_facts(payloads: DataFrame) -> DataFrame:
-    """Facts of the stored media of ``payloads(digest, payload)``, one row for each digest.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[str] = set()
+        for batch in slices(batches):
+            digests, media = [], []
+            for digest, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if digest not in met:
+                    if len(met) >= remembered:
+                        met.clear()
+                    met.add(digest)
+                    digests.append(digest)
+                    media.append(to_media(payload.as_py()))
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.string()), pa.array(media, pa.binary())], ["digest", "media"])
 
-    Each payload is put into its stored form and read back where it lies, and only what was found moves: payloads are not shuffled.
-    Copies of a payload give equal rows, of which partial aggregation leaves one before the shuffle. The facts are written as a table,
+    stored = payloads.select("digest", "payload").mapInArrow(run, "digest string, media binary")
+    stored.write.mode("overwrite").option("compression", "zstd").parquet(folder)
+    return payloads.sparkSession.read.schema("digest string, media binary").parquet(folder)
+
+
+def media_facts(media: DataFrame) -> DataFrame:
+    """Facts of the samples read back from a media table, one row for each digest.
+
+    Only facts move. Equal rows of a digest are one after partial aggregation, mostly before the shuffle. The facts are written as a table,
     from which a join with references can split a digest that very many of them have.
     """
-    kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    kinds = [{"string": pa.string(), "long": pa.int64()}[kind] for kind in _FACTS.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = []
-            for digest, payload in zip(batch.column(0), batch.column(1), strict=True):
-                media = to_media(payload.as_py())
-                back = from_media(media)
-                rows.append((digest.as_py(), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-ROW:]), len(media), hashlib.sha256(media).hexdigest(), features(back)))
+            for digest, stored in zip(batch.column(0), batch.column(1), strict=True):
+                held = stored.as_py()
+                back = from_media(held)
+                rows.append((digest.as_py(), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-ROW:]), len(held), hashlib.sha256(held).hexdigest(), features(back)))
             columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], _STORED)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], list(_FACTS))
 
-    schema = "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    found = payloads.select("digest", "payload").mapInArrow(run, schema)
-    facts = F.max(F.struct(*_STORED[1:])).alias("facts")
+    found = media.select("digest", "media").mapInArrow(run, ", ".join(f"{name} {kind}" for name, kind in _FACTS.items()))
+    facts = F.max(F.struct(*list(_FACTS)[1:])).alias("facts")
     return checkpointed(found.groupBy("digest").agg(facts).select("digest", "facts.*"))
 
 
-def document_media(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, caption`` for each row.
+def as_page(text: Column, digest: Column, caption: Column) -> Column:
+    """A text as an HTML page: its lines are paragraphs, and after the first one stands the figure of its payload, with a caption."""
+    escaped = F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    figure = F.concat(F.lit('<figure><img src="sha256:'), digest, F.lit('"><figcaption>'), caption, F.lit("</figcaption></figure>"))
+    first, rest = F.substring_index(escaped, "\n", 1), F.replace(escaped, F.lit("\n"), F.lit("</p><p>"))
+    return F.concat(F.lit("<article><p>"), first, F.lit("</p>"), figure, F.lit("<p>"), F.substr(rest, F.length(first) + 1), F.lit("</p></article>"))
+
+
+def document_media(docs: DataFrame, folder: str | None = None) -> DataFrame:
+    """``doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, position, n_items, caption`` for each row.
 
-    Each document becomes a sequence whose media item refers to its text's payload by digest; the join on the digest brings
-    the payload's facts back. Null and empty texts have a payload of one row of zeros; repeated rows and equal texts share
-    a payload and its facts; an empty table gives no rows; other columns of ``docs(doc_id, text)`` are ignored.
+    Each document is a page of its lines with a figure after the first, which refers to the document's payload by digest. The payloads go
+    to a media table in ``folder`` (by default one in the shared folder that is removed when its facts are written); the parsed sequence's
+    media item, with its position among the ``n_items`` items and its caption, meets what is read back from there by the digest. Null and empty texts have a
+    payload of one row of zeros; repeated rows and equal texts share a payload and its facts; an empty table gives no rows; other
+    columns of ``docs(doc_id, text)`` are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long").alias("n_bytes"), padded(F.col("text")).alias("payload"))
+    spark = docs.sparkSession
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("_text"), padded(F.col("text")).alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
-    facts = media_facts(rows)
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("unnamed"))
-    html = F.concat(F.lit('<article><figure><img src="sha256:'), F.col("digest"), F.lit('"><figcaption>document '), name, F.lit("; bytes "), F.col("n_bytes"), F.lit("</figcaption></figure></article>"))
-    pages = rows.select("doc_id", html.alias("html"))
-    found = resolve(sequences(pages, "doc_id", "html"), facts)
-    n_bytes = F.regexp_extract("caption", r"; bytes (\d+)$", 1).cast("long")
-    return found.select(F.col("id").alias("doc_id"), n_bytes.alias("n_bytes"), *_STORED[1:], "caption")
+    where = folder or f"{shared_folder(spark)}/media-{uuid.uuid4().hex}"
+    facts = media_facts(store_media(rows, where))
+    if folder is None:
+        delete(spark, where)
+    caption = F.concat(F.lit("document "), F.coalesce(F.col("doc_id").cast("string"), F.lit("without a number")))
+    pages = rows.select("doc_id", as_page(F.col("_text"), F.col("digest"), caption).alias("html"), F.octet_length("_text").cast("long").alias("n_bytes"))
+    parsed = sequences(pages, "doc_id", "html", ("n_bytes",))
+    references = parsed.select("id", F.filter("items", lambda x: x["ref"].isNotNull()).alias("items"), "n_bytes", F.size("items").cast("long").alias("n_items"))  # texts end here
+    found = resolve(references, facts)
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", *list(_FACTS)[1:], "position", "n_items", "caption")

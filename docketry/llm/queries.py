@@ -44,7 +44,7 @@ def op6_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_media_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.document_media(_read(spark, sf_dir, "documents")).drop("caption")
+    return media.document_media(_read(spark, sf_dir, "documents"))
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,6 @@
+import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -37,11 +39,49 @@ def test_round_trip_of_every_text(documents, odd_texts):
         r = out[doc_id]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
         assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest()) and bytes(media.from_media(stored)) == payload
-        assert r.caption.startswith(f"document {'unnamed' if doc_id is None else doc_id};")
+        lines = [" ".join(x.split()) for x in (text or "").split("\n")]
+        assert r.caption == f"document {'without a number' if doc_id is None else doc_id}"
+        assert (r.position, r.n_items) == (int(bool(lines[0])), 1 + sum(map(bool, lines)))
+        assert r.feature == brute_feature(payload)
     assert out[9].feature == out[10].feature
     assert media.document_media(documents([])).count() == 0
 
 
+def brute_feature(payload):
+    n, counts = len(payload), collections.Counter(payload)
+    mean = sum(payload) / n
+    deviation = math.sqrt(max(0.0, sum(b * b for b in payload) / n - mean * mean))
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+    histogram = [int(np.rint(sum(c for b, c in counts.items() if b // 16 == k) * 1000 / n)) for k in range(16)]
+    size = n // 64
+    bits = "".join("1" if sum(payload[k * size : k * size + size]) / size > mean else "0" for k in range(64))
+    return f"mean={mean:.4f};sd={deviation:.4f};entropy={entropy:.4f};hist={','.join(map(str, histogram))};ahash={int(bits, 2):016x}"
+
+
+def test_sequences_of_whole_texts_are_interleaved(documents, spark, tmp_path):
+    """All items of a document's page in order: its first line, the figure, and the other lines; the stored media stay in the folder asked for."""
+    text = "first & <b>line</b>\n\n second  line\n\tthird"
+    rows = documents([(1, text), (2, text), (3, "")])
+    out = media.document_media(rows, str(tmp_path / "media"))
+    assert sorted((r.doc_id, r.position, r.n_items) for r in out.collect()) == [(1, 1, 4), (2, 1, 4), (3, 0, 1)]
+    stored = {r.digest: bytes(r.media) for r in spark.read.parquet(str(tmp_path / "media")).collect()}
+    assert {bytes(media.from_media(m)).rstrip(b"\0") for m in stored.values()} == {text.encode(), b""}
+    page = rows.where("doc_id = 1").select(media.as_page(F.col("text"), F.lit("ab"), F.lit("cap")).alias("h")).first().h
+    assert [(i["position"], i["kind"], i["text"], i["ref"], i["caption"]) for i in media.parse(page)] == [
+        (0, "text", "first & <b>line</b>", None, None), (1, "image", None, "sha256:ab", "cap"), (2, "text", "second line", None, None), (3, "text", "third", None, None),
+    ]
+
+
+def test_hot_digests_and_empty_sequences(spark):
+    digest = hashlib.sha256(b"p").hexdigest()
+    pages = spark.createDataFrame([(k, f'<img src="sha256:{digest}" alt="c{k}">') for k in range(500)], "page_id long, html string")
+    store = spark.createDataFrame([(digest, b"p")], "digest string, payload binary")
+    out = media.resolve(media.sequences(pages), store)
+    assert out.where("payload is not null").count() == 500 and all(r.caption == f"c{r.id}" for r in out.collect())
+    nothing = pages.limit(0)
+    assert media.sequences(nothing).count() == 0 and media.resolve(media.sequences(nothing), store).count() == 0
+
+
 URLS = [
     None, "", "no scheme", "http://a.NET/de/8?x", "https://Xexample.com/en/7", "x://example.com/en/71#a", "://com/en/", "http://ÀB.org/es/é", "a://b://example.net/de/8\nq", "http://example.net/de/8",
     "http://www.example.net/de/8/x?y#z", "http://h?en/", "http://h#/en/", "http://example.org/es", "http://user@Example.ORG/es/x?a=1&b=2", "https://q.com:80/en/",
