@@ -1,17 +1,21 @@
 """URL verdicts: host and path rules first, gradient-boosted trees on lexical features for the rest.
 
 Features come from SQL functions, and the trees are scored as one SQL expression, so the rows stay in the engine. The
-trees are trained on the driver from a bounded sample of labelled URLs: those that a rule decides.
+trees are grown on the driver from a bounded sample of labelled URLs, those that a rule decides; suffix statistics are counted over all of them and
+stay in tables that are joined by key.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.operators.durable import checkpointed, shared_folder
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Verdict, host, path of the registered rules.
@@ -22,7 +26,11 @@ RULES = (
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 )
-FEATURES = ("url_chars", "path_depth", "digit_ratio", "entropy", "parameters", "host_labels", "host_chars", "path_chars", "suffix_rate", "domain_rate")
+FEATURES = ("url_chars", "path_depth", "digit_ratio", "entropy", "parameters", "host_labels", "host_chars", "path_chars", "suffix_rate", "domain_rate", "section_rate")
+#: What block rates are counted by: the last label of the host, the last two, and the last label with the path's first segment.
+STATISTICS = ("suffix", "domain", "section")
+#: Weight of the overall block rate in a suffix's own, in rows.
+PRIOR_ROWS = 4
 
 
 def host(url: Column) -> Column:
@@ -63,11 +71,13 @@ def lexical(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.col("page_id").alias("_id"), url.alias("_url"), host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     query = F.regexp_extract("_url", r"(?s)\?([^#]*)", 1)
     labels = F.split("host", r"\.")
+    segments = F.filter(F.split("path", "/"), lambda p: p != "")
+    section = F.concat(F.element_at(labels, -1), F.lit("/"), F.coalesce(F.get(segments, F.lit(0)), F.lit("")))
     return rows.select(
-        "_id", "host", "path", matched(F.col("host"), F.col("path")).alias("decided"),
+        "_id", "host", "path", section.alias("_section"), matched(F.col("host"), F.col("path")).alias("decided"),
         F.element_at(labels, -1).alias("_suffix"), F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".").alias("_domain"),
         F.length("_url").cast("double").alias("url_chars"),
-        F.size(F.filter(F.split("path", "/"), lambda p: p != "")).cast("double").alias("path_depth"),
+        F.size(segments).cast("double").alias("path_depth"),
         (F.length(F.regexp_replace("_url", r"[^0-9]", "")) / F.greatest(F.length("_url"), F.lit(1))).alias("digit_ratio"),
         entropy(F.col("_url")).alias("entropy"),
         F.when(query == "", 0).otherwise(F.size(F.split(query, "[&;]"))).cast("double").alias("parameters"),
@@ -125,11 +135,11 @@ def _grown(rows: list[dict], gradient: list[float], hessian: list[float], index:
 
 @dataclass
 class UrlModel:
-    """Prior log-odds, trees, and the smoothed block rates by host suffix and by domain."""
+    """Prior log-odds, trees, and tables ``key, value`` of the smoothed block rates by statistic."""
 
     prior: float
     trees: list[Tree]
-    rates: dict[str, dict[str, float]]
+    rates: dict[str, DataFrame]
     base_rate: float
     learning_rate: float
 
@@ -139,32 +149,46 @@ class UrlModel:
             total = total + F.lit(self.learning_rate) * tree.expression()
         return 1 / (1 + F.exp(-total))
 
+    def probability_of(self, row: dict) -> float:
+        return 1 / (1 + math.exp(-(self.prior + sum(self.learning_rate * tree.of(row) for tree in self.trees))))
+
+    def scored(self, rows: DataFrame) -> DataFrame:
+        """Rows of :func:`lexical` with their suffix statistics (the base rate for what was never counted) and ``block_score``."""
+        for kind, table in self.rates.items():
+            rows = rows.join(table.toDF(f"_{kind}_key", f"_{kind}_value"), F.col(f"_{kind}") == F.col(f"_{kind}_key"), "left")
+            rows = rows.withColumn(f"{kind}_rate", F.coalesce(f"_{kind}_value", F.lit(self.base_rate))).drop(f"_{kind}_key", f"_{kind}_value")
+        return rows.withColumn("block_score", self.probability())
+
+
+def _smoothed(blocked: Column, n: Column, base: float) -> Column:
+    return (blocked + F.lit(PRIOR_ROWS * base)) / (n + F.lit(PRIOR_ROWS))
+
 
 def train(labelled: DataFrame, rounds: int = 20, depth: int = 3, learning_rate: float = 0.3, sample_rows: int = 5000, ridge: float = 1.0, bins: int = 16, folds: int = 5) -> UrlModel:
     """Boosted trees for ``block`` from rows of :func:`lexical` that a rule decides.
 
-    The sample is the URLs whose hash falls below a threshold set for ``sample_rows`` rows on average; no more ever
-    reaches the driver. Suffix statistics are block rates smoothed by the base rate; a training row gets those of the other
-    folds, so that they do not give its own label away.
+    Block rates by suffix, domain and section are counted over all decided rows. The trees are grown on a sample, the rows whose
+    hash falls below a threshold set for ``sample_rows`` rows on average; no more ever reaches the driver. A sampled row gets the rates of
+    the other folds of hosts, so that neither its own label nor those of its host's other URLs give it away.
     """
     names = [n for n in FEATURES if not n.endswith("_rate")]
-    decided = labelled.where("decided is not null")
-    share = min(1.0, sample_rows / max(1, decided.count()))
-    picked = decided.where(F.pmod(F.xxhash64("_id", "host", "path"), F.lit(1 << 20)) < F.lit(share * (1 << 20)))
-    rows = sorted((r.asDict() for r in picked.select("_suffix", "_domain", F.col("decided.verdict").alias("verdict"), *names).collect()), key=lambda r: tuple(r.values()))
-    y = [1.0 if r["verdict"] == "block" else 0.0 for r in rows]
-    base = (sum(y) + 1) / (len(y) + 2)
-    tally: dict[tuple[str, int], dict[str, list[float]]] = {(kind, part): {} for kind in ("suffix", "domain") for part in range(-1, folds)}
-    for i, (r, label) in enumerate(zip(rows, y, strict=True)):
-        for kind in ("suffix", "domain"):
-            for part in (-1, *(f for f in range(folds) if f != i % folds)):
-                own = tally[kind, part].setdefault(r["_" + kind], [0.0, 0.0])
-                own[0] += label
-                own[1] += 1
-    for i, r in enumerate(rows):
-        for kind in ("suffix", "domain"):
-            blocked, n = tally[kind, i % folds].get(r["_" + kind], (0.0, 0.0))
-            r[kind + "_rate"] = (blocked + 4 * base) / (n + 4)
+    keys = [f"_{kind}" for kind in STATISTICS]
+    decided = labelled.where("decided is not null").withColumn("_y", (F.col("decided.verdict") == "block").cast("long")).withColumn("_fold", F.pmod(F.xxhash64("host"), F.lit(folds)))
+    cells = checkpointed(decided.groupBy(*keys, "_fold").agg(F.count("*").alias("n"), F.sum("_y").alias("blocked")))
+    sums = cells.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("blocked")).first()
+    base = (sums["blocked"] + 1) / (sums["n"] + 2)
+    share = min(1.0, sample_rows / max(1, sums["n"]))
+    sample = decided.where(F.pmod(F.xxhash64("_id", "host", "path"), F.lit(1 << 20)) < F.lit(share * (1 << 20))).select("_y", "_fold", *keys, *names)
+    rates, folder = {}, f"{shared_folder(labelled.sparkSession)}/url-rates-{uuid.uuid4().hex}"
+    for kind, key in zip(STATISTICS, keys, strict=True):
+        total = cells.groupBy(F.col(key).alias("_k")).agg(F.sum("n").alias("_n"), F.sum("blocked").alias("_b"))
+        own = cells.groupBy(F.col(key).alias("_ok"), F.col("_fold").alias("_of")).agg(F.sum("n").alias("_on"), F.sum("blocked").alias("_ob"))
+        sample = sample.join(total, F.col(key) == F.col("_k")).join(own, (F.col(key) == F.col("_ok")) & (F.col("_fold") == F.col("_of")))
+        sample = sample.withColumn(f"{kind}_rate", _smoothed(F.col("_b") - F.col("_ob"), F.col("_n") - F.col("_on"), base)).drop("_k", "_n", "_b", "_ok", "_of", "_on", "_ob")
+        total.select(F.col("_k").alias("key"), _smoothed(F.col("_b"), F.col("_n"), base).alias("value")).write.parquet(f"{folder}/{kind}")
+        rates[kind] = labelled.sparkSession.read.schema("key string, value double").parquet(f"{folder}/{kind}")  # a written table, so that the planner knows its size
+    rows = sorted((r.asDict() for r in sample.select("_y", *FEATURES).collect()), key=lambda r: tuple(r.values()))
+    y = [float(r["_y"]) for r in rows]
     cuts = {}
     for name in FEATURES:
         values = sorted(r[name] for r in rows)
@@ -178,10 +202,18 @@ def train(labelled: DataFrame, rounds: int = 20, depth: int = 3, learning_rate:
         tree = _grown(rows, [p - t for p, t in zip(chance, y, strict=True)], [p * (1 - p) for p in chance], list(range(len(rows))), depth, cuts, ridge)
         trees.append(tree)
         margin = [m + learning_rate * tree.of(r) for m, r in zip(margin, rows, strict=True)]
-    rates = {kind: {k: (b + 4 * base) / (n + 4) for k, (b, n) in tally[kind, -1].items()} for kind in ("suffix", "domain")}
     return UrlModel(prior, trees, rates, base, learning_rate)
 
 
+def held_out(pages: DataFrame, one_in: int = 5, **options) -> tuple[float, float, int]:
+    """Accuracy of the trees on the decided URLs of hosts that they did not learn from, the share of their commoner verdict, and their number."""
+    rows = lexical(pages).withColumn("_test", F.pmod(F.xxhash64("host", F.lit("held out")), F.lit(one_in)) == 0)
+    model = train(rows.where("not _test"), **options)
+    found = model.scored(rows.where("_test and decided is not null")).withColumn("_block", F.col("decided.verdict") == "block")
+    r = found.agg(F.avg(((F.col("block_score") >= 0.5) == F.col("_block")).cast("int")).alias("a"), F.avg(F.col("_block").cast("int")).alias("b"), F.count("*").alias("n")).first()
+    return r["a"], max(r["b"], 1 - r["b"]), r["n"]
+
+
 def judge(pages: DataFrame, model: UrlModel | None = None) -> DataFrame:
     """``page_id, host, path, rule, verdict, block_score`` for each row of ``pages(page_id, url)``.
 
@@ -190,17 +222,6 @@ def judge(pages: DataFrame, model: UrlModel | None = None) -> DataFrame:
     columns are ignored. Suffix statistics are joined by key; unknown suffixes get the base rate.
     """
     rows = lexical(pages)
-    model = model or train(rows)
-    spark = pages.sparkSession
-    for kind, own in model.rates.items():
-        values = ", ".join(f"({_quoted(k)}, {v!r}D)" for k, v in sorted(own.items()))
-        table = spark.sql(f"SELECT * FROM VALUES {values} AS t(_k, _v)") if own else spark.sql("SELECT '' AS _k, 0D AS _v WHERE false")
-        table = table.toDF(f"_{kind}_key", f"_{kind}_value")
-        rows = rows.join(table, F.col(f"_{kind}") == F.col(f"_{kind}_key"), "left").withColumn(f"{kind}_rate", F.coalesce(f"_{kind}_value", F.lit(model.base_rate)))
-    rows = rows.withColumn("block_score", model.probability())
+    rows = (model or train(rows)).scored(rows)
     verdict = F.coalesce("decided.verdict", F.when(F.col("block_score") >= 0.5, "block").otherwise("allow"))
     return rows.select(F.col("_id").alias("page_id"), "host", "path", F.col("decided.rule").alias("rule"), verdict.alias("verdict"), "block_score")
-
-
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
