@@ -7,11 +7,13 @@ token count relative to the prefix's. Reading a byte moves to the next state and
 token count, so the emissions along a word add up to its count. Determinism rests on two facts about BPE: an
 encoding without its last token is the encoding of the shorter text, and a sequence is an encoding exactly when
 every neighbouring pair in it is the encoding of its own bytes (Berglund and van der Merwe, "Formalizing BPE
-Tokenization", 2023).
+Tokenization", 2023). Whether a pair is one is told by undoing its merges, latest first: no merge over the middle may have
+been due before.
 
-Long texts are cut into chunks. A chunk is summarised by its state map: the text before its first certain word
-border, the tokens between the first and last, and the text after. Maps compose associatively, so the chunks of
-a text are joined by a prefix scan.
+Texts are cut into chunks. A chunk is summarised by its state map: what it does to the word that is open before it, the tokens between its first
+and last certain word border, and the word it leaves open. Maps compose associatively, so the chunks of a text are joined by a prefix scan.
+Words between borders are counted for many chunks in one array pass, each distinct word once; a word that is longer than chunks is read by
+the transducer chunk by chunk, from state to state.
 """
 
 from __future__ import annotations
@@ -51,23 +53,33 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-def load_vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
-    """Vocabulary entries with their merge rank (lower merges first), and the special strings with their ids.
+def load_merges(path: str) -> tuple[list[tuple[bytes, bytes]], dict[str, int]]:
+    """The merges of a byte-level BPE file in their order, and the special strings with their ids.
 
-    Single bytes rank below every merge. Raises ValueError for a file of another kind, whose words or merges
-    the transducer would not follow.
+    Raises ValueError for a file of another kind, whose words or merges the transducer would not follow: other models and splitting
+    rules, normalizers, random or skipped merges, marks inside or at the end of words, special strings that take their surroundings with them.
     """
     with open(path, encoding="utf-8") as file:
         data = json.load(file)
     model, pre = data["model"], data["pre_tokenizer"] or {}
     if model["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True) or data["normalizer"]:
         raise ValueError(f"{path}: not a plain byte-level BPE tokenizer")
+    if odd := [k for k in ("dropout", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback") if model.get(k)]:
+        raise ValueError(f"{path}: not a plain byte-level BPE tokenizer ({', '.join(odd)})")
+    if odd := [t["content"] for t in data["added_tokens"] if t.get("lstrip") or t.get("rstrip") or t.get("single_word")]:
+        raise ValueError(f"{path}: not a plain byte-level BPE tokenizer (special strings that look around: {odd})")
     back = byte_alphabet()
+    merges = [tuple(bytes(back[c] for c in side) for side in (merge if isinstance(merge, list) else merge.split(" "))) for merge in model["merges"]]
+    if len({left + right for left, right in merges}) < len(merges):
+        raise ValueError(f"{path}: not a plain byte-level BPE tokenizer (several merges for one entry)")
+    return merges, {t["content"]: t["id"] for t in data["added_tokens"]}
+
+
+def load_vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """Vocabulary entries with their merge rank (lower merges first; single bytes below every merge), and the special strings with their ids."""
+    merges, specials = load_merges(path)
     ranks = {bytes([b]): -256 + b for b in range(256)}
-    for rank, merge in enumerate(model["merges"]):
-        left, right = merge if isinstance(merge, list) else merge.split(" ")
-        ranks[bytes(back[c] for c in left + right)] = rank
-    return ranks, {t["content"]: t["id"] for t in data["added_tokens"]}
+    return ranks | {left + right: rank for rank, (left, right) in enumerate(merges)}, specials
 
 
 def bpe(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
@@ -82,34 +94,79 @@ def bpe(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 
 
 class Transducer:
-    """The lazily compiled transducer of one vocabulary. At ``max_states`` compiled states it starts afresh."""
+    """The lazily compiled transducer of one list of merges. At ``max_states`` compiled states it starts afresh, from the state it is in.
+
+    Tokens are numbered: single bytes by value, then merges in their order.
+    """
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 150_000, max_words: int = 500_000):
-        self.ranks, self.max_states, self.max_words = ranks, max_states, max_words
-        self.growing = {t[:k] for t in ranks for k in range(len(t))}
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
+    def __init__(self, merges: list[tuple[bytes, bytes]], max_states: int = 150_000, max_words: int = 500_000):
+        self.max_states, self.max_words = max_states, max_words
+        self.tokens = {bytes([b]): b for b in range(256)} | {left + right: 256 + k for k, (left, right) in enumerate(merges)}
+        self.halves = [(b, b) for b in range(256)] + [(self.tokens[left], self.tokens[right]) for left, right in merges]
+        self.merged = {pair: 256 + k for k, pair in enumerate(self.halves[256:])}
+        self.growing = {t[:k] for t in self.tokens for k in range(len(t))}
+        self.pairs: dict[tuple[int, int], bool] = {}
         self.words: dict[bytes, int] = {}
-        self._reset()
+        self._reset(self._START)
 
-    def _reset(self) -> None:
-        start = (b"", (None,), (0,))
-        self.ids, self.states, self.edges = {start: 0}, [start], {}
+    _START = (b"", (None,), (0,))
 
-    def _joins(self, left: bytes, right: bytes) -> bool:
-        key = (left, right)
-        if (known := self.pairs.get(key)) is None:
-            if len(self.pairs) > 400_000:
+    def _reset(self, state: tuple) -> int:
+        self.states = [self._START, state] if state != self._START else [state]
+        self.ids, self.edges = {s: k for k, s in enumerate(self.states)}, {}
+        return len(self.states) - 1
+
+    def joins(self, left: int, right: int) -> bool:
+        """Whether two tokens side by side are the encoding of their bytes."""
+        known = self.pairs.get((left, right))
+        if known is None:
+            if len(self.pairs) > 1_000_000:
                 self.pairs.clear()
-            known = self.pairs[key] = bpe(left + right, self.ranks) == [left, right]
+            known = self.pairs[left, right] = self._undone(left, right)
+        return known
+
+    def _undone(self, left: int, right: int) -> bool:
+        due = 1 << 60  # merges before this one have been made
+        while True:
+            if self.merged.get((left, right), due) < due:
+                return False
+            if left > right:
+                due, left = left, self.halves[left][1]
+            elif right > 255:
+                due, right = right + 1, self.halves[right][0]  # of equal merges the left one comes first
+            else:
+                return True
+            if left < 256 and right < 256:
+                return self.merged.get((left, right), due) >= due
+
+    def begins(self, token: int) -> bool:
+        """Whether a token is the encoding of its own bytes."""
+        known = self.pairs.get((-1, token))
+        if known is None:
+            left, right = self.halves[token]
+            known = self.pairs[-1, token] = token < 256 or (self.begins(left) and self.begins(right) and self._first_over(left, right) == token)
         return known
 
+    def _first_over(self, left: int, right: int) -> int | None:
+        """The merge that joins two encodings in the middle if none is due over it before."""
+        last = self.merged.get((left, right))
+        due = last if last is not None else 0
+        while left > 255 or right > 255:
+            if left > right:
+                due, left = min(due, left), self.halves[left][1]
+            else:
+                due, right = min(due, right + 1), self.halves[right][0]
+            if self.merged.get((left, right), due) < due:
+                return None
+        return last
+
     def _step(self, state: int, byte: int) -> tuple[int, int]:
         suffix, last, count = self.states[state]
         grown = suffix + bytes([byte])
         size = len(grown)
         for k in range(size):  # the token that ends here begins k bytes back
-            token = grown[size - k - 1 :]
-            if token in self.ranks and (bpe(token, self.ranks) == [token] if last[k] is None else self._joins(last[k], token)):
+            token = self.tokens.get(grown[size - k - 1 :])
+            if token is not None and (self.begins(token) if last[k] is None else self.joins(last[k], token)):
                 break
         else:
             raise ValueError("the vocabulary does not cover every byte")
@@ -120,23 +177,29 @@ class Transducer:
         m = size - keep
         after = (grown[keep:], (token, *last[:m]), (0, *(c - change for c in count[:m])))
         if (to := self.ids.get(after)) is None:
+            if len(self.states) >= self.max_states:
+                return self._reset(after), change
             to = self.ids[after] = len(self.states)
             self.states.append(after)
         self.edges[state << 8 | byte] = to, change
         return to, change
 
+    def run(self, data: bytes, state: int = 0) -> tuple[int, int]:
+        """The state after reading some bytes of a word, and the tokens emitted on the way."""
+        total, edges = 0, self.edges
+        for byte in data:
+            edge = edges.get(state << 8 | byte)
+            if edge is None:
+                edge, edges = self._step(state, byte), self.edges
+            state = edge[0]
+            total += edge[1]
+        return state, total
+
     def count(self, word: bytes) -> int:
         """Tokens of one word (a piece that merges never cross)."""
         if (known := self.words.get(word)) is not None:
             return known
-        if len(self.states) > self.max_states:
-            self._reset()
-        state = total = 0
-        edges = self.edges
-        for byte in word:
-            edge = edges.get(state << 8 | byte) or self._step(state, byte)
-            state = edge[0]
-            total += edge[1]
+        total = self.run(word)[1]
         if len(word) <= 64:
             if len(self.words) >= self.max_words:
                 self.words.clear()
@@ -177,14 +240,14 @@ def word_starts(codes: np.ndarray, begins: np.ndarray) -> np.ndarray:
 
 
 class ChunkMap:
-    """What a chunk does to the state before it: ``head`` completes the open word run, ``tail`` is left open.
+    """What a chunk does to the state before it: ``head`` completes the open word, ``tail`` is left open. Both are tuples of texts, which are never joined.
 
     ``inner`` is None for a chunk without a certain border, which only lengthens what is open (``head``).
     """
 
     __slots__ = ("head", "inner", "tail")
 
-    def __init__(self, head: str, inner: int | None = None, tail: str = ""):
+    def __init__(self, head: tuple[str, ...] = (), inner: int | None = None, tail: tuple[str, ...] = ()):
         self.head, self.inner, self.tail = head, inner, tail
 
     def then(self, other: ChunkMap, count) -> ChunkMap:
@@ -203,19 +266,25 @@ def prefix_scan(maps: list[ChunkMap], count) -> list[ChunkMap]:
     return [maps[0], *(pairs[i // 2] if i % 2 else pairs[i // 2 - 1].then(maps[i], count) for i in range(1, len(maps)))]
 
 
+#: Certain word borders: white space after something else, and changes between letters, numbers and other signs with no apostrophe beside.
+_BORDER = (
+    r"(?<=\P{White_Space})(?=\p{White_Space})|(?<=\p{L})(?=[^\p{L}\p{White_Space}'])|(?<=\p{N})(?=[^\p{N}\p{White_Space}'])|(?<=[^\p{L}\p{N}\p{White_Space}'])(?=[\p{L}\p{N}])"
+)
+
+
 class TokenCounter:
     """Counts tokens of texts as the tokenizer file's library would, without begin, end or added specials."""
 
-    def __init__(self, path: str, chunk: int = 1 << 18):
+    def __init__(self, path: str, chunk: int = 1 << 13, room: int = 1 << 18):
         import regex
 
-        self.ranks, self.specials = load_vocabulary(path)
-        self.machine, self.chunk = Transducer(self.ranks), chunk
+        merges, self.specials = load_merges(path)
+        self.machine, self.chunk, self.room = Transducer(merges), chunk, room
         self._special = regex.compile("|".join(regex.escape(s) for s in sorted(self.specials, key=len, reverse=True))) if self.specials else None
-        self._border = regex.compile(r"(?<=\P{White_Space})(?=\p{White_Space})")
+        self._border = regex.compile(_BORDER)
 
     def _counts(self, texts: list[str]) -> np.ndarray:
-        """Tokens of each non-empty text, all in one pass."""
+        """Tokens of each non-empty text, all in one pass in which each distinct word is counted once."""
         joined = "".join(texts)
         codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -223,50 +292,85 @@ class TokenCounter:
         begins = np.zeros(len(codes), bool)
         begins[first] = True
         at = np.flatnonzero(word_starts(codes, begins))
-        widths = 1 + (codes > 0x7F).astype(np.int64) + (codes > 0x7FF) + (codes > 0xFFFF)
-        byte_at = np.concatenate([[0], np.cumsum(widths)])
-        edges = byte_at[np.append(at, len(codes))].tolist()
-        data = joined.encode()
+        if joined.isascii():
+            data, edges = joined.encode(), np.append(at, len(codes))
+        else:
+            widths = 1 + (codes > 0x7F).astype(np.int64) + (codes > 0x7FF) + (codes > 0xFFFF)
+            data, edges = joined.encode(), np.concatenate([[0], np.cumsum(widths)])[np.append(at, len(codes))]
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.ascontiguousarray(edges, np.int64)), pa.py_buffer(data)]).dictionary_encode()
         known, count = self.machine.words, self.machine.count
         own = []
-        for a, b in zip(edges, edges[1:]):  # noqa: B905
-            word = data[a:b]
+        for word in words.dictionary.to_pylist():
             size = known.get(word)
             own.append(count(word) if size is None else size)
-        return np.add.reduceat(np.array(own, np.int64), np.searchsorted(at, first))
+        return np.add.reduceat(np.array(own, np.int64)[words.indices.to_numpy()], np.searchsorted(at, first))
 
-    def _map(self, chunk: str) -> ChunkMap:
-        found = self._border.search(chunk)
+    def _borders(self, chunk: str) -> tuple[int, int] | None:
+        """The first and the last certain border inside a chunk."""
+        found = self._border.search(chunk, 1)
         if not found:
-            return ChunkMap(chunk)
-        back = self._border.search(chunk, max(found.start(), len(chunk) - 4096)) or found
-        for later in self._border.finditer(chunk, back.start()):
-            back = later
-        a, b = found.start(), back.start()
-        return ChunkMap(chunk[:a], int(self._counts([chunk[a:b]])[0]) if b > a else 0, chunk[b:])
-
-    def _open(self, text: str) -> int:
-        return int(self._counts([text])[0]) if text else 0
-
-    def _long(self, text: str) -> int:
-        """A long text by chunks. The chunks are joined by the scan, whose last map holds the whole text."""
-        whole = prefix_scan([self._map(text[i : i + self.chunk]) for i in range(0, len(text), self.chunk)], self._open)[-1]
-        if whole.inner is None:
-            return self._open(whole.head)
-        return self._open(whole.head) + whole.inner + self._open(whole.tail)
+            return None
+        back = found
+        for size in (64, 1024, len(chunk)):
+            for later in self._border.finditer(chunk, max(found.start(), len(chunk) - size)):
+                back = later
+            if back is not found or size >= len(chunk):
+                break
+        return found.start(), back.start()
+
+    def _open(self, parts: tuple[str, ...]) -> int:
+        """Tokens of what lies between two certain borders; a run of one kind that is longer than chunks goes through the transducer part by part."""
+        if sum(map(len, parts)) <= 4 * self.chunk:
+            text = "".join(parts)
+            return int(self._counts([text])[0]) if text else 0
+        pieces = [p[i : i + self.chunk] for p in parts for i in range(0, len(p), self.chunk)]
+        lead, taken = "", 0
+        while len(lead) < 64:
+            lead += pieces[taken]
+            taken += 1
+        codes = np.frombuffer(lead.encode("utf-32-le"), "<u4")
+        start = int(np.flatnonzero(word_starts(codes, np.arange(len(codes)) == 0))[-1])
+        kind = char_classes()[codes[-1]]
+        body = [lead[start + (lead[start] == " ") :], *pieces[taken:]]
+        if kind == SPACE or any((char_classes()[np.frombuffer(p.encode("utf-32-le"), "<u4")] != kind).any() for p in body):
+            return int(self._counts(["".join(parts)])[0])
+        total = int(self._counts([lead[:start]])[0]) if start else 0
+        state, emitted = self.machine.run(lead[start:].encode())
+        total += emitted
+        for piece in pieces[taken:]:
+            state, emitted = self.machine.run(piece.encode(), state)
+            total += emitted
+        return total
 
     def counts(self, texts: list[str | None]) -> list[int]:
         """Tokens of each text; null counts as empty."""
         out = [0] * len(texts)
-        batch, owner, room = [], [], self.chunk
+        batch: list[str] = []
+        owner: list[tuple[list, int]] = []
+        whole = [0] * len(texts)
+        room = self.room
 
         def flush() -> None:
+            nonlocal room
             if batch:
-                for k, n in zip(owner, self._counts(batch).tolist(), strict=True):
-                    out[k] += n
+                for (holder, k), n in zip(owner, self._counts(batch).tolist(), strict=True):
+                    if isinstance(holder[k], ChunkMap):
+                        holder[k].inner = n
+                    else:
+                        holder[k] += n
                 batch.clear()
                 owner.clear()
+            room = self.room
+
+        def add(text: str, holder: list, k: int) -> None:
+            nonlocal room
+            if len(text) > room:
+                flush()
+            batch.append(text)
+            owner.append((holder, k))
+            room -= len(text)
 
+        chains: list[tuple[int, list[ChunkMap]]] = []
         for k, text in enumerate(texts):
             if not text:
                 continue
@@ -275,17 +379,26 @@ class TokenCounter:
                 out[k] += len(self._special.findall(text))
                 pieces = self._special.split(text)
             for piece in pieces:
-                if len(piece) > self.chunk:
-                    out[k] += self._long(piece)
-                elif piece:
-                    if len(piece) > room:
-                        flush()
-                        room = self.chunk
-                    batch.append(piece)
-                    owner.append(k)
-                    room -= len(piece)
+                if len(piece) <= self.chunk:
+                    if piece:
+                        add(piece, whole, k)
+                    continue
+                maps: list[ChunkMap] = []
+                for i in range(0, len(piece), self.chunk):
+                    chunk = piece[i : i + self.chunk]
+                    if (border := self._borders(chunk)) is None:
+                        maps.append(ChunkMap((chunk,)))
+                        continue
+                    a, b = border
+                    maps.append(ChunkMap((chunk[:a],), 0, (chunk[b:],)))
+                    if b > a:
+                        add(chunk[a:b], maps, len(maps) - 1)
+                chains.append((k, maps))
         flush()
-        return out
+        for k, maps in chains:  # the last map of the scan holds the whole text
+            last = prefix_scan(maps, self._open)[-1]
+            out[k] += self._open(last.head) + (0 if last.inner is None else last.inner + self._open(last.tail))
+        return [a + b for a, b in zip(out, whole, strict=True)]
 
 
 @functools.cache
@@ -296,8 +409,8 @@ def counter(path: str) -> TokenCounter:
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 512) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` for each row of ``docs(doc_id, text)``.
 
-    One narrow pass: no shuffle, and memory bounded by a chunk plus the transducer's cache. The path must be
-    readable on the executors. Null and empty texts have 0 bytes and 0 tokens; repeated rows are counted each;
+    One narrow pass: no shuffle, and besides the rows' own texts memory bounded by an array pass over ``room`` characters, the transducer's
+    caches and, in white space only, the longest run of it. The path must be readable on the executors. Null and empty texts have 0 bytes and 0 tokens; repeated rows are counted each;
     an empty table gives no rows; other columns are ignored, whatever their names.
     """
     schema = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"

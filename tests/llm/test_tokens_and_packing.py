@@ -37,7 +37,7 @@ def test_every_code_point(library):
 
 def test_transducer_agrees_with_merging_and_survives_a_full_cache():
     ranks, _ = tokencount.load_vocabulary(PATH)
-    machine = tokencount.Transducer(ranks, max_states=50, max_words=5)
+    machine = tokencount.Transducer(tokencount.load_merges(PATH)[0], max_states=50, max_words=5)
     pick = random.Random(1)
     for _ in range(400):
         word = bytes(pick.choice(b" aeinrstth\xc3\xa9") for _ in range(pick.randint(1, 40)))
@@ -48,7 +48,7 @@ def test_prefix_scan_is_the_fold():
     count = len  # any additive measure of what lies between borders
     pick = random.Random(2)
     for n in range(1, 20):
-        maps = [tokencount.ChunkMap("h" * k, k, "t") if pick.random() < 0.6 else tokencount.ChunkMap("o") for k in range(n)]
+        maps = [tokencount.ChunkMap(("h",) * k, k, ("t",)) if pick.random() < 0.6 else tokencount.ChunkMap(("o",)) for k in range(n)]
         folded, now = [], None
         for m in maps:
             now = m if now is None else now.then(m, count)
@@ -56,6 +56,74 @@ def test_prefix_scan_is_the_fold():
         assert [(m.head, m.inner, m.tail) for m in tokencount.prefix_scan(maps, count)] == folded
 
 
+def test_pairs_and_entries_are_told_as_merging_does():
+    merges, _ = tokencount.load_merges(PATH)
+    ranks, _ = tokencount.load_vocabulary(PATH)
+    machine = tokencount.Transducer(merges)
+    pick = random.Random(4)
+    tokens = sorted(machine.tokens, key=machine.tokens.get)
+    for token in pick.sample(tokens, 3000):
+        assert machine.begins(machine.tokens[token]) == (tokencount.bpe(token, ranks) == [token])
+    common = tokens[: 256 + 600]
+    for _ in range(20_000):
+        left, right = pick.choice(common), pick.choice(common)
+        assert machine.joins(machine.tokens[left], machine.tokens[right]) == (tokencount.bpe(left + right, ranks) == [left, right])
+
+
+def test_small_merge_lists_with_repeats():
+    """Alphabets of two signs, where equal merges meet themselves."""
+    pick = random.Random(5)
+    for _ in range(60):
+        merges, known = [], [b"a", b"b"]
+        for _ in range(pick.randint(1, 8)):
+            pair = (pick.choice(known), pick.choice(known))
+            if pair[0] + pair[1] not in known:
+                merges.append(pair)
+                known.append(pair[0] + pair[1])
+        ranks = {pair: k for k, pair in enumerate(merges)}
+        machine = tokencount.Transducer(merges, max_states=30)
+
+        def merge(word, ranks=ranks):
+            parts = [word[i : i + 1] for i in range(len(word))]
+            while pairs := [(ranks[x], i) for i, x in enumerate(zip(parts, parts[1:], strict=False)) if x in ranks]:
+                _, at = min(pairs)
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            return parts
+
+        for _ in range(100):
+            word = bytes(pick.choice(b"ab") for _ in range(pick.randint(1, 30)))
+            assert machine.count(word) == len(merge(word)), (merges, word)
+
+
+def test_long_words_without_a_border(library):
+    """Runs that no certain border cuts, at the real chunk size and a small one."""
+    pick = random.Random(7)
+    texts = ["".join(pick.choice("漢字仮名交文水火木金土") for _ in range(30_000)), " " + "a" * 70_000, "x'" + "ab" * 30_000, "!" * 66_000 + "'s", " " * 50_000, "\n\t " * 20_000 + "end", "1" * 40_000, "…" * 9000 + " " * 9000 + "é" * 9000, "'re" + "b" * 40_000]
+    expected = [len(ids(library, t)) for t in texts]
+    assert tokencount.TokenCounter(PATH).counts(texts) == expected
+    assert tokencount.TokenCounter(PATH, chunk=100, room=1000).counts(texts) == expected
+    mixed = "".join(pick.choice(["漢字、", "don't ", "x''s", "12ab", " \n ", "'ll", "a'", "-'ve", "\u00a0", "<|endoftext|>"]) for _ in range(20_000))
+    assert tokencount.TokenCounter(PATH, chunk=64).counts([mixed]) == [len(ids(library, mixed))]
+
+
+def test_files_that_cannot_be_followed_are_refused(tmp_path):
+    import json
+
+    with open(PATH, encoding="utf-8") as file:
+        data = json.load(file)
+    for change in ({"ignore_merges": True}, {"dropout": 0.1}, {"end_of_word_suffix": "</w>"}, {"byte_fallback": True}):
+        (tmp_path / "t.json").write_text(json.dumps(data | {"model": data["model"] | change}))
+        with pytest.raises(ValueError, match="byte-level"):
+            tokencount.TokenCounter(str(tmp_path / "t.json"))
+    (tmp_path / "t.json").write_text(json.dumps(data | {"added_tokens": [data["added_tokens"][0] | {"lstrip": True}]}))
+    with pytest.raises(ValueError, match="look around"):
+        tokencount.TokenCounter(str(tmp_path / "t.json"))
+    twice = data["model"] | {"merges": [*data["model"]["merges"], [data["model"]["merges"][0][0] + data["model"]["merges"][0][1][:1], ""]]}
+    (tmp_path / "t.json").write_text(json.dumps(data | {"model": twice}))
+    with pytest.raises(ValueError, match="several merges"):
+        tokencount.TokenCounter(str(tmp_path / "t.json"))
+
+
 def test_token_count_table(documents, odd_texts, library):
     out = tokencount.token_counts(documents([(k if k else None, t) for k, t in enumerate(odd_texts)]), PATH, limit=30).collect()
     got = sorted((r.doc_id or 0, r.n_bytes, r.n_tokens, r.over_limit) for r in out)
