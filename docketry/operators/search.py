@@ -54,9 +54,9 @@ class Index:
     postings: DataFrame
     entries: DataFrame
 
-    def write(self, folder: str, buckets: int = 200) -> None:
-        """Postings are laid out by term, so a query's filter skips all row groups but those of its terms."""
-        self.postings.repartitionByRange(buckets, "term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{folder}/postings")
+    def write(self, folder: str, buckets: int | None = None) -> None:
+        """Postings are laid out by term, in as many ranges as asked for or as the session's shuffles have, so a query's filter skips all row groups but those of its terms."""
+        self.postings.repartitionByRange(*([buckets] if buckets else []), "term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{folder}/postings")
         self.entries.write.mode("overwrite").parquet(f"{folder}/entries")
 
     @staticmethod

@@ -29,6 +29,13 @@ def named_documents(files: DataFrame, exclusions: DataFrame) -> DataFrame:
     return docs.join(names, F.col("sha256") == F.col("_sha")).drop("_sha", "stem", "ext")
 
 
+def with_drops(docs: DataFrame, drops: DataFrame) -> DataFrame:
+    """``docs(drop, ...)`` with their drop's ``custodian, kind, _agency, _year``; the kind is the default one where there is none."""
+    about = drops.select(F.col("drop").alias("_drop"), "custodian", F.col("kind").alias("_kind"), F.col("agency").alias("_agency"), F.col("year").alias("_year"))
+    joined = docs.join(about, F.col("drop") == F.col("_drop"), "left")
+    return joined.withColumn("kind", F.coalesce("_kind", F.lit(DEFAULT_KIND))).drop("_drop", "_kind")
+
+
 def build_corpus(files: DataFrame, texts: DataFrame, drops: DataFrame, exclusions: DataFrame, as_of: datetime.date) -> DataFrame:
     """The corpus table and ``first_path`` (its order) from ``files(path, sha256)`` and the outputs of the other sources.
 
@@ -39,8 +46,7 @@ def build_corpus(files: DataFrame, texts: DataFrame, drops: DataFrame, exclusion
     docs = docs.withColumn("drop", drop_of(F.col("original_path")))
     own = texts.select(F.col("text_path").alias("_tp"), fulltext(F.col("text"), F.col("ext")).alias("fulltext"))
     docs = docs.join(own, F.col("text_path") == F.col("_tp")).drop("_tp")
-    about = drops.select(F.col("drop").alias("_drop"), "custodian", F.col("kind").alias("_kind"), F.col("agency").alias("_agency"), F.col("year").alias("_year"))
-    docs = docs.join(about, F.col("drop") == F.col("_drop"), "left").withColumn("kind", F.coalesce("_kind", F.lit(DEFAULT_KIND)))
+    docs = with_drops(docs, drops)
     none = F.lit(None).cast("string")
 
     plain = docs.where(F.col("kind") != STATEMENT_KIND)

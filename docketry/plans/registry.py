@@ -6,35 +6,17 @@ its SQL; each query runs over its whole table.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry.functions import category as categories
 from docketry.functions import dates, display, filer, text
 from docketry.operators import boilerplate, dedup, naming, rollup, search, syncplan
+from docketry.plans import corpus, publish
+from docketry.plans.registered import ORACLE_SQL, QUERIES, made_once, registered
+from docketry.plans.registered import read as _read
 from docketry.plans.request import SearchRequest
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def registered(sql: str | None = None):
-    """Adds a query by its function's name, with its SQL if there is one."""
-
-    def add(query: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[query.__name__] = query
-        if sql:
-            ORACLE_SQL[query.__name__] = sql
-        return query
-
-    return add
-
-
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "documents")
@@ -113,13 +95,15 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("""
     SELECT doc_id, coalesce(kind, 'disclosure') AS kind, custodian FROM documents d
-    LEFT JOIN (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'sfi' END AS kind, s_name AS custodian FROM supplier WHERE s_suppkey <= 8) s
+    LEFT JOIN (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'sfi' END AS kind, s_name AS custodian FROM supplier) s
     ON try_cast(regexp_extract(source, '[0-9]+') AS BIGINT) = s_suppkey""")
 def drop_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their drop's custodian and kind, which is the default one where there is none."""
-    drops = _read(spark, sf_dir, "supplier").where("s_suppkey <= 8").select("s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, "sfi").alias("_kind"), F.col("s_name").alias("custodian"))
-    docs = _documents(spark, sf_dir).withColumn("_drop", F.regexp_extract("source", "([0-9]+)", 1).try_cast("long"))
-    return docs.join(drops, F.col("_drop") == F.col("s_suppkey"), "left").select("doc_id", F.coalesce("_kind", F.lit("disclosure")).alias("kind"), "custodian")
+    none = F.lit(None).cast("string")
+    drops = _read(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("src"), F.col("s_suppkey").cast("string")).alias("drop"), F.when(F.col("s_suppkey") % 2 == 0, "sfi").alias("kind"), F.col("s_name").alias("custodian"), none.alias("agency"), none.cast("int").alias("year")
+    )
+    return corpus.with_drops(_documents(spark, sf_dir).withColumn("drop", F.col("source")), drops).select("doc_id", "kind", "custodian")
 
 
 @registered(r"""
@@ -142,10 +126,42 @@ def whitespace_squeeze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir).select("doc_id", text.squeeze_whitespace(spaced).alias("words"))
 
 
-@registered()
+def _without_tags(sql: str) -> str:
+    """SQL of a text without its markup; a tag that is not closed takes the sign after it along, which is put back."""
+    steps = (
+        (r"(?s)<!--.*?-->", "' '"), (r"(?i)</?(?:p|br|div|tr|table|thead|tbody|h[0-9]|li|ul|ol)\b[^>]*>", "chr(10)"), (r"(?i)<(?:br|hr)\b/([^>]|$)", r"chr(10) || '\1'"), (r"(?i)<(?:br|hr)\b([^>]|$)", r"chr(10) || '\1'"),
+        (r"(?i)</?(?:td|th)\b[^>]*>", "' '"), (r"<[^>]+>", "' '"),
+    )
+    for pattern, to in steps:
+        sql = f"regexp_replace({sql}, '{pattern}', {to}, 'g')"
+    return sql
+
+
+def _unescaped(sql: str) -> str:
+    for entity, sign in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&apos;", "chr(39)"), ("&#65;", "'A'"), ("&#x42;", "'B'"), ("&amp;", "'&'")):
+        sql = f"replace({sql}, '{entity}', {sign})"
+    return sql
+
+
+def _plain_sql(sql: str) -> str:
+    """SQL of markdown as words; paired marks are two alternatives, as there is no back reference."""
+    sql = _without_tags(_unescaped(_without_tags(sql)))
+    steps = (
+        (r"(?m)^[ \t\n\x0B\f\r]{0,3}#+[ \t\n\x0B\f\r]+", "''"), (r"(?s)\*\*(.+?)\*\*|__(.+?)__", r"'\1\2'"), (r"\\?\*{2,}", "''"), (r"!\[[^\]]*\]\([^)]*\)", "' '"), (r"\[([^\]]*)\]\([^)]*\)", r"'\1'"),
+    )
+    for pattern, to in steps:
+        sql = f"regexp_replace({sql}, '{pattern}', {to}, 'g')"
+    lines = rf"array_to_string(list_transform(string_split(regexp_replace({sql}, '[ \t\x{{a0}}]+', ' ', 'g'), chr(10)), lambda x: regexp_replace(regexp_replace(x, '^[\x00\t\x0B\f\r ]+', ''), '[\x00\t\x0B\f\r ]+$', '')), chr(10))"
+    return rf"regexp_replace(regexp_replace(regexp_replace({lines}, '\n{{3,}}', chr(10) || chr(10), 'g'), '^[\x00\t\n\x0B\f\r ]+', ''), '[\x00\t\n\x0B\f\r ]+$', '')"
+
+
+_MARKED = "'## Head' || chr(10) || '**' || url || '** [link](x) ![i](y)' || chr(10) || '__a' || chr(10) || 'b__ \\** &lt;br/&gt;x&#65;&#x42; c<hr/>d e<br</td>f ' || chr(10) || ' # third' || chr(10) || html"
+
+
+@registered(f"SELECT page_id, {_plain_sql('t')} AS words FROM (SELECT page_id, {_MARKED} AS t FROM pages)")
 def markdown_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as markdown with embedded HTML, reduced to words. (Paired markers need a back reference, which the SQL has not.)"""
-    marked = F.concat(F.lit("## Head\n**"), "url", F.lit("** [link](x) ![i](y)\n"), "html")
+    """Pages as markdown with embedded and escaped HTML, unclosed tags and unpaired marks, reduced to words."""
+    marked = F.concat(F.lit("## Head\n**"), "url", F.lit("** [link](x) ![i](y)\n__a\nb__ \\** &lt;br/&gt;x&#65;&#x42; c<hr/>d e<br</td>f \n # third\n"), "html")
     return _read(spark, sf_dir, "pages").select("page_id", text.plain_text(marked).alias("words"))
 
 
@@ -202,14 +218,14 @@ def filing_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered("""
-    SELECT o_orderkey, list_transform(list_sort(list_distinct(list_filter([
+    SELECT o_orderkey, list_transform(list_sort(list_distinct(list_filter(CASE WHEN o_orderkey % 4 <> 0 THEN [] ELSE [
         try_cast(strftime(o_orderdate, '%Y-%m-%d') AS DATE),
-        CASE WHEN day(o_orderdate) >= 10 AND month(o_orderdate) <= 31 THEN try_cast(printf('%04d-06-%02d', CASE WHEN day(o_orderdate) < 50 THEN 2000 ELSE 1900 END + day(o_orderdate), month(o_orderdate)) AS DATE) END],
+        CASE WHEN day(o_orderdate) >= 10 AND month(o_orderdate) <= 31 THEN try_cast(printf('%04d-06-%02d', CASE WHEN day(o_orderdate) < 50 THEN 2000 ELSE 1900 END + day(o_orderdate), month(o_orderdate)) AS DATE) END] END,
         lambda x: x IS NOT NULL))), lambda x: strftime(x, '%Y-%m-%d')) AS days
-    FROM orders WHERE o_orderkey % 4 = 0""")
+    FROM orders""")
 def date_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days a file name could be read as, overlapping readings included."""
-    rows = _filings(spark, sf_dir).where("o_orderkey % 4 = 0")
+    """All days a file name could be read as, overlapping readings included; three of four names hold none."""
+    rows = _filings(spark, sf_dir)
     return rows.select("o_orderkey", F.transform(F.array_sort(F.array_distinct(dates.candidates(text.stem(F.get("names", F.lit(0)))))), lambda d: d.cast("string")).alias("days"))
 
 
@@ -243,23 +259,26 @@ def filer_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "customer").select("c_custkey", filer.filer(form).alias("f")).select("c_custkey", "f.*")
 
 
-@registered()
+@registered("""
+    SELECT p_partkey, stem || CASE WHEN n > 1 THEN '_' || n - 1 ELSE '' END || '.pdf' AS filename
+    FROM (SELECT p_partkey, stem, row_number() OVER (PARTITION BY lower(stem) ORDER BY p_partkey) AS n FROM (SELECT p_partkey, replace(array_to_string(string_split(p_name, ' ')[:2], ' '), ' ', '_') AS stem FROM part))""")
 def unique_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unique names for parts, greedily in key order. (A fold in order; tests hold it against a plain loop.)"""
+    """Unique names for parts, greedily in key order; the longer name of two is taken, and no number meets another name."""
     names = F.array(F.concat(F.initcap(F.substring_index("p_name", " ", 1)), F.lit("_1.PDF")), F.concat(F.substring_index("p_name", " ", 2), F.lit(".pdf")))
     parts = _read(spark, sf_dir, "part").select("p_partkey", text.safe_name(names).alias("s")).select("p_partkey", "s.*")
     return naming.unique_names(parts, "p_partkey", "p_partkey")
 
 
 def _index(spark: SparkSession, sf_dir: str) -> search.Index:
-    """Documents as index records: the language as category, a partial date by doc_id, none for every eleventh."""
+    """The written index of documents as index records: the language as category, a partial date by doc_id, none for every eleventh."""
     year = (2000 + F.col("doc_id") % 20).cast("string")
     date = F.when(F.col("doc_id") % 11 == 0, None).when(F.col("doc_id") % 2 == 0, year).otherwise(F.concat(year, F.lit("-"), F.lpad((F.col("doc_id") % 12 + 1).cast("string"), 2, "0")))
     rows = _documents(spark, sf_dir).select(
         F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("filename"), F.lit(None).cast("string").alias("custodian"), F.col("lang").alias("category"), date.alias("date"), F.array(F.concat("source", F.lit(".pdf"))).alias("original_filenames"),
         F.col("text").alias("fulltext"), F.col("source").alias("name"), F.lit(None).cast("string").alias("title"), F.lit("").alias("agency"),
     )
-    return search.build_index(search.index_records(rows, "https://files"))
+    folder = made_once(spark, sf_dir, "index", lambda place: search.build_index(search.index_records(rows, "https://files")).write(place))
+    return search.Index.read(spark, folder)
 
 
 _INDEX_SQL = r"""docs AS (
@@ -311,9 +330,7 @@ def index_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM docs, m""")
 def result_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title and detail line of each record."""
-    meta = lambda name: F.element_at("meta", F.lit(name))
-    parts = F.array(dates.display_date(meta("date")), meta("name"), meta("category"), meta("position"), meta("agency"))
-    return _index(spark, sf_dir).entries.select("url", meta("title").alias("title"), F.array_join(F.filter(parts, lambda x: x.isNotNull() & (x != "")), " · ").alias("details"))
+    return _index(spark, sf_dir).entries.select("url", search.shown_title().alias("title"), search.details().alias("details"))
 
 
 @registered("SELECT DISTINCT year(o_orderdate)::VARCHAR AS year FROM orders ORDER BY 1 DESC")
@@ -344,8 +361,10 @@ def drops_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drops with their day and address, newest first."""
     key = F.col("o_orderkey").cast("string")
     own = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("https://x/"), key)).otherwise("")
-    rows = _read(spark, sf_dir, "orders").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey"))
-    return rows.select("o_orderkey", dates.display_day(F.col("o_orderdate")).alias("shown"), display.drop_url(own, "https://files/drops", F.concat(key, F.lit(".zip"))).alias("href"))
+    none = F.lit(None).cast("string")
+    drops = _read(spark, sf_dir, "orders").select(F.concat(key, F.lit(".zip")).alias("filename"), F.col("o_orderdate").cast("date").alias("date"), none.alias("custodian"), none.alias("notes"), own.alias("url"))
+    rows = publish.drop_table(drops, "https://files/drops")
+    return rows.select(F.regexp_extract("filename", r"^(\d+)", 1).cast("long").alias("o_orderkey"), F.col("received").alias("shown"), "href")
 
 
 _PORTAL_SQL = """items AS (
@@ -393,12 +412,12 @@ def complete_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered("""
-    WITH p AS (SELECT conv_id, turn, conv_id % 16 AS part, (conv_id * 7 + turn) % 41 = 0 AS error, text FROM conversations),
+    WITH p AS (SELECT conv_id, turn, conv_id // 16 AS part, (conv_id * 7 + turn) % 41 = 0 AS error, text FROM conversations),
     b AS (SELECT *, (row_number() OVER (PARTITION BY part ORDER BY conv_id, turn, text) - 1) // 8 AS batch FROM p)
     SELECT conv_id AS doc, turn::INT AS page_num, batch, max(error) OVER (PARTITION BY part, batch) AS error FROM b""")
 def batch_poisoning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages in inference batches of eight across documents; a page's error is its whole batch's."""
-    pages = _page_results(spark, sf_dir).withColumn("part", F.col("doc") % 16)
+    pages = _page_results(spark, sf_dir).withColumn("part", F.floor(F.col("doc") / 16))  # as many parts as the documents need
     return rollup.poison_batches(rollup.batched(pages, ["doc", "page_num", "markdown"], 8)).select("doc", "page_num", "batch", "error")
 
 
@@ -448,3 +467,8 @@ def display_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers grouped by thousands, and slugs."""
     slug: Column = display.slugify(F.concat(F.lit(" "), "c_mktsegment", F.lit(" & "), F.col("c_nationkey").cast("string"), F.lit("!")))
     return _read(spark, sf_dir, "customer").select("c_custkey", display.delimit(F.col("c_custkey") * 1237).alias("shown"), slug.alias("slug"))
+
+
+from docketry.plans import flow_queries  # noqa: E402, F401 (registers further queries)
+
+__all__ = ["ORACLE_SQL", "QUERIES"]

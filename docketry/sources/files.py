@@ -218,6 +218,25 @@ def read_texts(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schemas.TEXTS).parquet(folder).select(*[f.name for f in schemas.TEXTS.fields])
 
 
+def write_files(files: DataFrame, folder: str) -> int:
+    """Writes ``files(path, content)`` as files below a folder that the workers reach, and gives their number. A file has its name only once it is whole."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, top = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                place = f"{top.rstrip('/')}/{path}"
+                store.create_dir(os.path.dirname(place), recursive=True)
+                with store.open_output_stream(f"{place}.part") as file:
+                    file.write(content)
+                store.move(f"{place}.part", place)
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    return files.select("path", "content").mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def checksummed(files: DataFrame) -> DataFrame:
     """``filename, sha256`` of ``files(path, content)``."""
     return files.select(basename(F.col("path")).alias("filename"), F.sha2("content", 256).alias("sha256"))
