@@ -99,7 +99,7 @@ class Transducer:
     Tokens are numbered: single bytes by value, then merges in their order.
     """
 
-    def __init__(self, merges: list[tuple[bytes, bytes]], max_states: int = 150_000, max_words: int = 500_000):
+    def __init__(self, merges: list[tuple[bytes, bytes]], max_states: int = 400_000, max_words: int = 1_000_000):
         self.max_states, self.max_words = max_states, max_words
         self.tokens = {bytes([b]): b for b in range(256)} | {left + right: 256 + k for k, (left, right) in enumerate(merges)}
         self.halves = [(b, b) for b in range(256)] + [(self.tokens[left], self.tokens[right]) for left, right in merges]
@@ -175,7 +175,13 @@ class Transducer:
         while grown[keep:] not in self.growing:
             keep += 1
         m = size - keep
-        after = (grown[keep:], (token, *last[:m]), (0, *(c - change for c in count[:m])))
+        open_ = [grown[size - j :] in self.growing for j in range(1, m + 1)]  # whether a later token can begin j bytes back; what was there matters only then
+        ends = [t if o else 0 for t, o in zip(last[:m], open_, strict=True)]
+        counts = [c - change if o else 0 for c, o in zip(count[:m], open_, strict=True)]
+        while ends and not open_[len(ends) - 1]:
+            ends.pop()
+            counts.pop()
+        after = (grown[size - len(ends) :], (token, *ends), (0, *counts))
         if (to := self.ids.get(after)) is None:
             if len(self.states) >= self.max_states:
                 return self._reset(after), change
@@ -275,7 +281,7 @@ _BORDER = (
 class TokenCounter:
     """Counts tokens of texts as the tokenizer file's library would, without begin, end or added specials."""
 
-    def __init__(self, path: str, chunk: int = 1 << 13, room: int = 1 << 18):
+    def __init__(self, path: str, chunk: int = 1 << 13, room: int = 1 << 20):
         import regex
 
         merges, self.specials = load_merges(path)
