@@ -11,6 +11,7 @@ A language's profile holds the n-grams found in at least ``min_share`` of its sa
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,6 +25,8 @@ from docketry.llm.tokencount import LETTER, char_classes
 
 UNDETERMINED = "und"
 _BATCH = 1 << 20
+#: The bits of each byte.
+_BITS = (np.arange(256)[:, None] >> np.arange(8)) & 1
 
 
 def held_out(doc_id: Column) -> Column:
@@ -102,14 +105,24 @@ class LanguageModel:
                 found = np.full(len(grams), np.uint64((1 << 64) - 1))
                 for at in self.slots(grams):
                     found &= masks[at]
-                for bit in range(min(64, len(self.languages) - 64 * word)):
-                    own = (found >> np.uint64(bit)) & np.uint64(1)
-                    out[rows, 64 * word + bit] = np.bincount(owner, own.astype(float), len(part)) / np.maximum(total, 1)
+                for first in range(64 * word, min(64 * word + 64, len(self.languages)), 8):  # eight languages by one count of their byte of the masks
+                    byte = ((found >> np.uint64(first % 64)) & np.uint64(255)).astype(np.int64)
+                    seen = np.bincount(owner * 256 + byte, minlength=len(part) * 256).reshape(len(part), 256)
+                    n = min(8, len(self.languages) - first)
+                    out[rows, first : first + n] = (seen @ _BITS)[:, :n] / np.maximum(total, 1)[:, None]
         return (out - self.false_rate) / (1 - self.false_rate)
 
 
-def build(profiles: dict[str, np.ndarray], languages: list[str], n: int, slot_bits: int, hashes: int) -> LanguageModel:
+def build(profiles: dict[str, np.ndarray], languages: list[str], n: int, slot_bits: int, hashes: int, most_filled: float = 0.25, most_bytes: int = 1 << 28) -> LanguageModel:
+    """The filter of the profiles, with so many slots (at least 2**slot_bits) that no language fills more than ``most_filled`` of them.
+
+    Raises ValueError if the filter would be larger than ``most_bytes``: it is broadcast, and no language is left out to make it fit.
+    """
     words = max(1, -(-len(languages) // 64))
+    largest = max((len(profiles.get(x, ())) for x in languages), default=0)
+    slot_bits = max(slot_bits, math.ceil(math.log2(max(1.0, largest * hashes / most_filled))))
+    if (size := words * 8 << slot_bits) > most_bytes:
+        raise ValueError(f"{len(languages)} languages with up to {largest} n-grams need a filter of {size} bytes, more than {most_bytes}")
     model = LanguageModel(languages, np.zeros((words, 1 << slot_bits), np.uint64), np.zeros(len(languages)), n, hashes)
     for k, language in enumerate(languages):
         word, bit = divmod(k, 64)
@@ -120,17 +133,15 @@ def build(profiles: dict[str, np.ndarray], languages: list[str], n: int, slot_bi
     return model
 
 
-def fit(
-    docs: DataFrame, n: int = 4, sample_docs: int = 1500, min_share: float = 0.01, min_ratio: float = 0.34, slot_bits: int = 18, hashes: int = 3, max_languages: int = 256
-) -> LanguageModel:
+def fit(docs: DataFrame, n: int = 4, sample_docs: int = 1500, min_share: float = 0.01, min_ratio: float = 0.34, slot_bits: int = 18, hashes: int = 3) -> LanguageModel:
     """Learns from ``docs(doc_id, text, lang)`` that are not held out and have a language.
 
     A language's sample is the rows whose id's hash falls below a threshold set for ``sample_docs`` rows on average
-    (all rows of a rarer language). A profile has at most 1 / min_share times the n-grams of an average document. Of more than
-    ``max_languages`` languages the most frequent are learned.
+    (all rows of a rarer language). A profile has at most 1 / min_share times the n-grams of an average document. The languages, a small set of
+    labels, and their profiles reach the driver; n-grams are extracted once.
     """
     usable = docs.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     languages = [r["lang"] for r in counts]
     if not languages:
         return build({}, [], n, slot_bits, hashes)
@@ -146,14 +157,11 @@ def fit(
                 for language in sorted(set(owners[begin : begin + len(part)])):
                     own = pairs.f0[(owners[begin : begin + len(part)] == language)[pairs.f1]]
                     values, docs_ = np.unique(own, return_counts=True)
-                    own_docs = int((owners[begin : begin + len(part)] == language).sum())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([language] * (len(values) + 1)), pa.array([*values.view(np.int64).tolist(), None], pa.int64()), pa.array([*docs_.tolist(), own_docs], pa.int64())], ["lang", "gram", "docs"]
-                    )
+                    yield pa.RecordBatch.from_arrays([pa.array([language] * len(values), pa.string()), pa.array(values.view(np.int64)), pa.array(docs_.astype(np.int64))], ["lang", "gram", "docs"])
 
     found = sample.mapInArrow(grams, "lang string, gram long, docs long").groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
-    sizes = found.where("gram is null").select("lang", F.col("docs").alias("sampled"))
-    rates = found.where("gram is not null").join(sizes, "lang").where(F.col("docs") >= F.greatest(F.lit(2.0), F.col("sampled") * min_share))
+    sizes = sample.groupBy("lang").agg(F.count("*").alias("sampled"))  # of narrow rows
+    rates = found.join(sizes, "lang").where(F.col("docs") >= F.greatest(F.lit(2.0), F.col("sampled") * min_share))
     profile = rates.select("lang", "gram", (F.col("docs") / F.col("sampled")).alias("rate")).toArrow()
     lang, gram, rate = (profile.column(k).to_numpy(zero_copy_only=False) for k in range(3))
     order, inverse = np.unique(gram, return_inverse=True)
