@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import binascii
 import bz2
+import collections
 import hashlib
 import itertools
 import lzma
@@ -40,6 +41,8 @@ _LINE_END = re.compile(r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*")
 _HEX_BYTES = re.compile(r"[0-9A-Fa-f]{28,}")
 #: The shortest finding has 14 signs, and no escape or base64 makes it shorter.
 _STRETCH = re.compile("[\t\n\r\x20-\x7e\x80-퟿-\U0010ffff]{14}")
+#: Stretches of two-byte and four-byte signs of the first page, in either order of their bytes.
+_WIDE = re.compile(rb"((?:[\t\n\r\x20-\x7e\xa0-\xff]\x00{3}){14,})|((?:\x00{3}[\t\n\r\x20-\x7e\xa0-\xff]){14,})|((?:[\t\n\r\x20-\x7e\xa0-\xff]\x00){14,})|((?:\x00[\t\n\r\x20-\x7e\xa0-\xff]){14,})")
 #: How compressed streams begin: gzip, zlib, bz2, xz, zstandard.
 _MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\(\xb5/\xfd")
 _URL_SAFE = str.maketrans("-_", "+/")
@@ -144,10 +147,14 @@ def _from_unicode(run: str) -> tuple[str, list[int]] | None:
 
 
 #: Escapes that a quoted or a printed byte string has besides those of the bytes that are no signs.
-_PLAIN = {"n": 10, "r": 13, "t": 9, "a": 7, "b": 8, "f": 12, "v": 11, "0": 0, "\\": 92, "'": 39, '"': 34}
+_PLAIN = {"n": 10, "r": 13, "t": 9, "a": 7, "b": 8, "f": 12, "v": 11, "0": 0, "\\": 92, "'": 39, '"': 34, "/": 47}
 _URL_BYTES = re.compile(r"(?:[!-$&-~]|%[0-9A-Fa-f]{2})*+")
+_JSON_BYTES = re.compile(r"""(?:[ -\[\]-~]|\\u00[0-9A-Fa-f]{2}|\\[nrtbf/\\"])*+""")
+_JSON_MAGIC = re.compile(
+    r"\\u001[fF]\\u008[bB](?:\\u0008|\\b)|(?:x|\\u0078)(?:\\u0001|\\u005[eE]|\^|\\u009[cC]|\\u00[dD][aA])|(?:B|\\u0042)(?:Z|\\u005[aA])(?:h|\\u0068)(?:[1-9]|\\u003[1-9])|\\u00[fF][dD](?:7|\\u0037)(?:z|\\u007[aA])(?:X|\\u0058)(?:Z|\\u005[aA])\\u0000|(?:\(|\\u0028)\\u00[bB]5(?:/|\\/|\\u002[fF])\\u00[fF][dD]"
+)
 _PRINTED_BYTES = re.compile(r"""(?:[ -\[\]-~]|\\x[0-9A-Fa-f]{2}|\\[nrtabfv0\\'"])*+""")
-_TOKEN = re.compile(r"""%([0-9A-Fa-f]{2})|\\x([0-9A-Fa-f]{2})|\\([nrtabfv0\\'"])|(.)""", re.DOTALL)
+_TOKEN = re.compile(r"""%([0-9A-Fa-f]{2})|\\(?:x|u00)([0-9A-Fa-f]{2})|\\([nrtabfv0/\\'"])|(.)""", re.DOTALL)
 _URL_MAGIC = re.compile(r"%1[fF]%8[bB](?:%08)|(?:x|%78)(?:%01|%5[eE]|\^|%9[cC]|%[dD][aA])|(?:B|%42)(?:Z|%5[aA])(?:h|%68)(?:[1-9]|%3[1-9])|%[fF][dD](?:7|%37)(?:z|%7[aA])(?:X|%58)(?:Z|%5[aA])%00|(?:\(|%28)%[bB]5(?:/|%2[fF])%[fF][dD]")
 _PRINTED_MAGIC = re.compile(
     r"\\x1[fF]\\x8[bB]\\x08|(?:x|\\x78)(?:\\x01|\\x5[eE]|\^|\\x9[cC]|\\x[dD][aA])|(?:B|\\x42)(?:Z|\\x5[aA])(?:h|\\x68)(?:[1-9]|\\x3[1-9])|\\x[fF][dD](?:7|\\x37)(?:z|\\x7[aA])(?:X|\\x58)(?:Z|\\x5[aA])(?:\\x00|\\0)|(?:\(|\\x28)\\x[bB]5(?:/|\\x2[fF])\\x[fF][dD]"
@@ -156,7 +163,7 @@ _PRINTED_MAGIC = re.compile(
 
 def _escaped_bytes(layer: Layer, most: int) -> Iterator[Layer]:
     """Layers from compressed bytes that are written as escapes, with the signs among them that need none."""
-    for mark, magic, pattern in (("%", _URL_MAGIC, _URL_BYTES), ("\\x", _PRINTED_MAGIC, _PRINTED_BYTES)):
+    for mark, magic, pattern in (("%", _URL_MAGIC, _URL_BYTES), ("\\x", _PRINTED_MAGIC, _PRINTED_BYTES), ("\\u00", _JSON_MAGIC, _JSON_BYTES)):
         if mark not in layer.text:
             continue
         done = 0
@@ -170,8 +177,13 @@ def _escaped_bytes(layer: Layer, most: int) -> Iterator[Layer]:
             tokens = list(_TOKEN.finditer(run[0]))
             data = bytes(_PLAIN[t[3]] if t[3] else ord(t[4]) if t[4] else int(t[1] or t[2], 16) for t in tokens)
             for form in {data, bytes(32 if t[0] == "+" else c for t, c in zip(tokens, data, strict=True))} if mark == "%" else (data,):
+                ends: dict[int, int] = {}
                 for at, text in _packed_texts(form, most):
-                    a, b = layer.origin(run.start() + tokens[at].start(), run.end())
+                    if at not in ends:  # the signs after a whole stream need not belong to it
+                        end: list[int] = []
+                        collections.deque(_unwrapped(form, at, end), maxlen=0)
+                        ends[at] = tokens[end[0] - 1].end() if end else len(run[0])
+                    a, b = layer.origin(run.start() + tokens[at].start(), run.start() + ends[at])
                     yield Layer(text, np.broadcast_to(np.int64(a), len(text)), np.broadcast_to(np.int64(b), len(text)))
 
 
@@ -285,6 +297,8 @@ def _packed_texts(data: bytes, most: int) -> Iterator[tuple[int, str]]:
         at = at if len(work) == 1 else begin
         if (text := _readable(chunk)) is not None:
             yield at, text
+        for text, _, _ in _wide(chunk):
+            yield at, text
         if _MAGIC.search(chunk) and (key := (hashlib.sha256(chunk).digest(), at)) not in met:
             met.add(key)
             work.append((at, _streams(chunk, most)))
@@ -307,6 +321,13 @@ def _readable(data: bytes) -> str | None:
     return text if _STRETCH.search(text) else None
 
 
+def _wide(data: bytes) -> Iterator[tuple[str, int, int]]:
+    """Stretches of wide signs: the text, the place of the first sign's first byte, and the bytes of a sign."""
+    for m in _WIDE.finditer(data) if b"\0" in data else ():
+        size = 4 if m.lastindex < 3 else 2
+        yield m[0][(m.lastindex % 2 == 0) * (size - 1) :: size].decode("latin-1"), m.start(), size
+
+
 def _widths(text: str) -> np.ndarray:
     if text.isascii():
         return np.ones(len(text), np.int64)
@@ -348,6 +369,11 @@ def _runs(layer: Layer, most: int) -> Iterator[Layer]:
             for at, text in _packed_texts(data, most):
                 a, b = layer.origin(int(places[first + at // n * signs]), int(places[-1]) + 1)
                 yield Layer(text, np.broadcast_to(np.int64(a), len(text)), np.broadcast_to(np.int64(b), len(text)))
+            for text, at, size in _wide(data):
+                first_byte = at + np.arange(len(text)) * size
+                begin, end = (places[np.minimum(first + b // n * signs, len(places) - 1)] for b in (first_byte, first_byte + size - 1))
+                own = layer.arrays()
+                yield Layer(text, own[0][begin], own[1][np.minimum(end + signs - 1, int(places[-1]))])
             if (text := _readable(data)) is None:
                 continue
             widths = _widths(text)

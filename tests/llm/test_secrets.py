@@ -3,6 +3,7 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import random
 import re
 import urllib.parse
 import zlib
@@ -156,3 +157,43 @@ def test_compressed_bytes_in_escapes(pack, wrap):
     every = secrets.spans(text)[1]
     assert any(kind == "assign" for kind, _, _ in every)
     assert not any(kind == "assign" for kind, _, _ in secrets.spans(secrets.redacted(text, every))[1])
+
+
+PLAIN = b"password: hunter2hunter2"
+
+
+def test_layers_that_are_easily_lost():
+    """Each hides the same secret; spans lie within the part that holds it, and cover what is needed to read it."""
+    b64 = lambda data: base64.b64encode(data).decode()
+    wrapped = lambda text: "\n".join(text[i : i + 64] for i in range(0, len(text), 64))
+    filler = bytes(random.Random(1).randbytes(150)).hex().replace("a", "g").encode()
+    cases = {
+        "after a path": ("https://h.io/a/", b64(PLAIN)), "after letters": ("abc", b64(PLAIN)), "wrapped gzip": ("", wrapped(b64(gzip.compress(filler + PLAIN)))),
+        "second gzip member": ("", b64(gzip.compress(b"nothing here") + gzip.compress(PLAIN))), "second bz2 stream": ("", b64(bz2.compress(b"nothing") + bz2.compress(PLAIN))),
+        "second xz stream": ("", b64(lzma.compress(b"nothing") + lzma.compress(PLAIN))), "second zstandard frame": ("", b64(zstandard.compress(b"nothing") + zstandard.compress(PLAIN))),
+        "utf-16": ("", b64(PLAIN.decode().encode("utf-16-le"))), "utf-16 big": ("", b64(PLAIN.decode().encode("utf-16-be"))), "utf-16 with a mark": ("", b64(PLAIN.decode().encode("utf-16"))), "utf-32": ("", b64(PLAIN.decode().encode("utf-32"))),
+        "utf-16 in gzip": ("", b64(gzip.compress(PLAIN.decode().encode("utf-16")))), "odd bytes": ("", b64(b"\xff\xfe\x80" + PLAIN + b"\xe9")), "gzip as JSON escapes": ("", "".join(f"\\u{c:04x}" for c in gzip.compress(PLAIN))),
+    }
+    for name, (before, hidden) in cases.items():
+        text = f"x {before}{hidden} y"
+        base, every = secrets.spans(text)
+        found = [s for s in every if s not in base and s[0] == "assign"]
+        assert found, name
+        lo, hi = 2 + len(before), 2 + len(before) + len(hidden)
+        assert all(lo - 4 <= a < b <= hi for _, a, b in found), (name, found)
+        masked = secrets.redacted(text, every)
+        assert not any(s[0] == "assign" for s in secrets.spans(masked)[1]), name
+
+
+def test_spans_of_wide_signs_are_exact():
+    text = "k=" + base64.b64encode(("é" * 8 + PLAIN.decode() + " , " + "z" * 9).encode("utf-16-be")).decode()
+    (span,) = [s for s in secrets.spans(text)[1] if s[0] == "assign"]
+    first = 16  # bytes before the secret
+    assert span[1:] == (2 + first // 3 * 4, 2 + -(-(first + 2 * len(PLAIN)) // 3) * 4)
+
+
+def test_masking_edges(documents):
+    long = "password: hunter2hunter2 " + "lorem ipsum " * 100_000
+    out = {r.doc_id: r for r in secrets.redact(documents([(1, None), (2, ""), (3, long), (3, long)])).collect()}
+    assert out[1].text is None and out[2].text == "" and out[3].text.startswith("[SECRET] lorem") and out[3].n_chars == len(out[3].text)
+    assert secrets.redact(documents([])).count() == 0
