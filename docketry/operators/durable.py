@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,6 +33,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` as a table in the shared folder, and its folder, which the caller may :func:`delete` once nothing reads it.
+
+    For loops, in which checkpoints are not enough: a checkpoint hands on the size that the planner guessed for it, and guesses for joins of guesses
+    grow to numbers of exponentially many digits. A table has its real size.
+    """
+    folder = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
+
+
 def delete(spark: SparkSession, folder: str) -> None:
     """Removes a folder of any file system that Spark reads."""
     where = spark._jvm.org.apache.hadoop.fs.Path(folder)
