@@ -4,8 +4,11 @@ A document is the set of its n-grams of words. Equal sets are one class from the
 goes on. Representatives that agree on all rows of a band meet in that band's bucket; bands and rows are chosen for the target
 recall at the threshold. A bucket gives one edge from each member to its smallest, never all pairs; connected by
 these edges, candidates form groups that hold every pair that shares a bucket. Full n-gram sets travel once, to their
-group, where all pairs are verified exactly by set intersection. Groups beyond a block's size are split into blocks, and
-every pair of blocks is a task of its own, so no task holds more than two blocks however large a group is.
+group, where all pairs are verified exactly by set intersection.
+
+A group beyond a block's size is either split into blocks, and every pair of blocks verified by itself, or verified bucket by bucket (buckets split
+in the same way), a pair only in the first band it shares: whichever sends fewer sets. A chain of many small buckets is cheap by bucket, a dense cluster
+by group. No task holds more than two blocks however large a group or bucket is. Classes are the components of the verified links.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm._shared import components, slices
@@ -29,15 +32,18 @@ _STEP = np.uint64(0xD6E8FEB86659FD93)
 def choose_bands(threshold: float, recall: float, most: int = 128) -> tuple[int, int]:
     """Bands and rows: the most rows a band can have while a pair at the threshold is found with the target recall.
 
-    A pair of Jaccard s shares one of b bands of r rows with probability 1 - (1 - s**r)**b.
+    A pair of Jaccard s shares one of b bands of r rows with probability 1 - (1 - s**r)**b. Raises ValueError if not even bands of one row
+    reach the recall with so many hashes.
     """
-    best = (most, 1)
+    best = None
     for rows in range(1, most + 1):
         chance = threshold**rows
         bands = 1 if chance >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - chance))
         if bands * rows > most:
             break
         best = (bands, rows)
+    if best is None:
+        raise ValueError(f"{most} hashes find a pair at {threshold} with a recall of {1 - (1 - threshold) ** most:.4f}, not {recall}")
     return best
 
 
@@ -158,14 +164,20 @@ def _roots(link: np.ndarray, ids: list[int]) -> list[int]:
 
 
 def _verified(members: DataFrame, n: int, threshold: float) -> DataFrame:
-    """``rep, links, root`` for each member of each group (comp, low, high): copies linked to it, and the smallest id it is connected to there."""
+    """``rep, links, root`` for each member of each group (place, band, low, high): copies linked to it, and the smallest id it is connected to there.
+
+    A bucket (its band is 0 or more) leaves out the pairs that have met in a band before.
+    """
 
     def judged(rows: list[tuple]) -> tuple[list, list, list]:
-        rows = list({row[3]: row for row in rows}.values())  # a document read twice is one member
-        ids, copies, sides = [r[3] for r in rows], np.array([r[4] for r in rows]), [r[5] for r in rows]
+        rows = list({row[4]: row for row in rows}.values())  # a document read twice is one member
+        ids, copies, sides = [r[4] for r in rows], np.array([r[5] for r in rows]), [r[6] for r in rows]
         if len(rows) < 2:
             return ids, [0] * len(ids), ids
-        link = linked([np.frombuffer(r[6], np.uint64) for r in rows], threshold, sides if rows[0][1] != rows[0][2] else None)
+        _, band, low, high = rows[0][:4]
+        link = linked([np.frombuffer(r[7], np.uint64) for r in rows], threshold, sides if low != high else None)
+        for own in np.array([r[8][:band] for r in rows], np.int64).T if band > 0 else ():
+            link &= own[:, None] != own[None, :]
         return ids, (link @ copies).tolist(), _roots(link, ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,11 +196,11 @@ def _verified(members: DataFrame, n: int, threshold: float) -> DataFrame:
             return made
 
         for batch in slices(batches):
-            for row in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
-                if row[:3] != key:
+            for row in zip(*(batch.column(k).to_pylist() for k in range(9)), strict=True):
+                if row[:4] != key:
                     if held:
                         take()
-                    key = row[:3]
+                    key = row[:4]
                     if len(out[0]) > 20_000:
                         yield full()
                 held.append(row)
@@ -197,8 +209,9 @@ def _verified(members: DataFrame, n: int, threshold: float) -> DataFrame:
         if out[0]:
             yield full()
 
-    groups = members.repartition("comp", "low", "high").sortWithinPartitions("comp", "low", "high", "rep")
-    return groups.select("comp", "low", "high", "rep", "copies", "block", "set").mapInArrow(run, "rep long, links long, root long")
+    keys = ["place", "band", "low", "high"]
+    groups = members.repartition(*keys).sortWithinPartitions(*keys, "rep")
+    return groups.select(*keys, "rep", "copies", "block", "set", "bands").mapInArrow(run, "rep long, links long, root long")
 
 
 def _with_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -226,6 +239,36 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(run, schema).where("set is not null")
 
 
+def _placed(reps: DataFrame, slots: DataFrame, meets: DataFrame, groups: DataFrame, block_members: int, block_grams: int) -> DataFrame:
+    """``rep, first_id, k1, k2, copies, bands, places`` of the candidates; places are structs (place, band, parts) where a representative's pairs are verified.
+
+    That is its group (band -1), or each of its buckets if the group is larger than a block and its buckets send fewer sets. ``bands`` is null
+    for the former.
+    """
+
+    def parts(n: str, grams: str) -> Column:
+        return F.ceil(F.greatest(F.col(n) / block_members, F.col(grams) / block_grams)).cast("int")
+
+    grouped = reps.join(groups, F.col("rep") == F.col("id")).select("rep", "first_id", "k1", "k2", "copies", "size", "bands", F.col("component").alias("comp"))
+    sizes = grouped.groupBy(F.col("comp").alias("_c")).agg(F.count("*").alias("_n"), F.sum("size").alias("_g"))
+    sizes = checkpointed(sizes.select("_c", "_n", parts("_n", "_g").alias("_parts")))
+    grouped = checkpointed(grouped.join(sizes, F.col("comp") == F.col("_c")).drop("_c"))
+    large = grouped.where("_parts > 1").select(F.col("rep").alias("_r"), "comp", "size")
+    inside = slots.join(large, F.col("rep") == F.col("_r")).join(meets.select(F.col("band").alias("_b"), F.col("slot").alias("_s")), (F.col("band") == F.col("_b")) & (F.col("slot") == F.col("_s")))
+    inside = checkpointed(inside.select("rep", "comp", "size", "band", "slot"))
+    buckets = inside.groupBy(F.col("comp").alias("_c"), F.col("band").alias("_b"), F.col("slot").alias("_s")).agg(F.count("*").alias("_n"), F.sum("size").alias("_g"))
+    buckets = checkpointed(buckets.select("_c", "_b", "_s", "_n", parts("_n", "_g").alias("parts")))
+    sent = buckets.groupBy("_c").agg(F.sum(F.col("_n") * F.col("parts")).alias("_sent"))
+    split = sent.join(sizes.select(F.col("_c").alias("comp"), (F.col("_n") * F.col("_parts")).alias("_whole")), F.col("_c") == F.col("comp")).where("_sent < _whole").select(F.col("comp").alias("_split"))
+    split = checkpointed(split)
+    own = buckets.join(split, F.col("_c") == F.col("_split"), "left_semi")
+    by_bucket = inside.join(own, (F.col("comp") == F.col("_c")) & (F.col("band") == F.col("_b")) & (F.col("slot") == F.col("_s")))
+    by_bucket = by_bucket.groupBy(F.col("rep").alias("_r")).agg(F.collect_list(F.struct(F.col("slot").alias("place"), F.col("band").cast("int").alias("band"), "parts")).alias("_places"))  # a struct for each band at most
+    placed = grouped.join(by_bucket, F.col("rep") == F.col("_r"), "left")
+    whole = F.array(F.struct(F.col("comp").alias("place"), F.lit(-1).alias("band"), F.col("_parts").alias("parts")))
+    return checkpointed(placed.select("rep", "first_id", "k1", "k2", "copies", F.when(F.col("_places").isNotNull(), F.col("bands")).alias("bands"), F.coalesce("_places", whole).alias("places")))
+
+
 def _classes(docs: DataFrame, n: int, threshold: float, recall: float, most_hashes: int, block_members: int, block_grams: int) -> DataFrame:
     """``_id, _text_hash, root, class_id, n_links`` for each row; a root is one class, null for rows that cannot be linked."""
     bands, rows = choose_bands(threshold, recall, most_hashes)
@@ -238,16 +281,14 @@ def _classes(docs: DataFrame, n: int, threshold: float, recall: float, most_hash
     edges = slots.join(meets, ["band", "slot"]).where("rep != least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
     groups = components(edges)
 
-    wanted = reps.join(groups, F.col("rep") == F.col("id")).select("rep", "first_id", "k1", "k2", "copies", "size", F.col("component").alias("comp"))
-    blocks = wanted.groupBy(F.col("comp").alias("_c")).agg(F.count("*").alias("_n"), F.sum("size").alias("_g"))
-    blocks = blocks.select("_c", F.ceil(F.greatest(F.col("_n") / block_members, F.col("_g") / block_grams)).cast("int").alias("parts"))
-    wanted = checkpointed(wanted.join(blocks, F.col("comp") == F.col("_c")).select("rep", "first_id", "k1", "k2", "copies", "comp", "parts"))
-    members = _with_sets(docs, wanted, n).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("parts").cast("long")).cast("int"))
+    wanted = _placed(reps, slots, meets, groups, block_members, block_grams)
+    members = _with_sets(docs, wanted, n).select("rep", "copies", "set", "bands", F.explode("places").alias("p")).select("rep", "copies", "set", "bands", "p.*")
+    members = members.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("parts").cast("long")).cast("int"))
     members = members.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("_other"))
     members = members.withColumn("low", F.least("block", "_other")).withColumn("high", F.greatest("block", "_other"))
     found = checkpointed(_verified(members, n, threshold))
     links = found.groupBy(F.col("rep").alias("_rep")).agg(F.sum("links").alias("links"), F.min("root").alias("root"))
-    if wanted.where("parts > 1").limit(1).count():
+    if wanted.where("size(places) > 1 or places[0].parts > 1 or places[0].band >= 0").limit(1).count():
         split = components(found.where("rep != root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
         links = links.join(split, F.col("_rep") == F.col("id"), "left").select("_rep", "links", F.coalesce("component", "root").alias("root"))
     rooted = reps.join(links, F.col("rep") == F.col("_rep"), "left").select(

@@ -87,3 +87,20 @@ def test_long_text_and_components(documents, spark):
     found = {r.id: r.component for r in _shared.components(chain).collect()}
     assert found == {k: 0 for k in range(41)} | {100: 100, 101: 100}
     assert _shared.components(chain.limit(0)).count() == 0
+
+
+def test_a_chain_is_verified_by_bucket(documents, monkeypatch):
+    """Windows that slide over one long text: a single group of candidates, in which only neighbours are alike."""
+    rows = [(k, " ".join(f"w{i}" for i in range(5 * k, 5 * k + 120))) for k in range(140)] + [(200 + k, "dense " + " ".join(f"v{i}" for i in range(80)) + f" own{k}") for k in range(30)]
+    seen = []
+    placed = ngramjoin._placed
+    monkeypatch.setattr(ngramjoin, "_placed", lambda *a: seen.append(placed(*a)) or seen[-1])
+    out = ngramjoin.near_duplicates(documents(rows), block_members=4)
+    assert sorted(((r.doc_id, r.class_id, r.n_links) for r in out.collect()), key=repr) == brute(rows)
+    bands = {r.first_id: [p.band for p in r.places] for r in seen[0].collect()}
+    assert all(min(bands[k]) >= 0 for k in range(140)) and all(bands[200 + k] == [-1] for k in range(30))
+
+
+def test_too_few_hashes_are_refused():
+    with pytest.raises(ValueError, match="recall"):
+        ngramjoin.choose_bands(0.2, 0.999, most=10)
