@@ -3,7 +3,7 @@
 Wherever a common word (an anchor) stands, it and the next two words that are no anchors form a signature; a text's
 fingerprint is the sorted set of its signatures' 32-bit hashes. Running text is full of anchors and lists, menus and
 notices are not, so what two texts share outside of prose hardly counts (Theobald, Siddharth and Paepcke, "SpotSigs", 2008).
-A text without any signature has one made of its whole word sequence, so that equal texts, and only those, agree.
+A text without any signature has one made of its whole word sequence, so that equal texts agree, as do texts of equal words; other such texts do not.
 
 Sets are compared by Jaccard similarity, which cannot exceed the smaller size by the larger: pairs are looked for only
 among sets of near lengths, and there only where the rarest signatures of a set meet.
@@ -54,8 +54,8 @@ def likeness(a: Column, b: Column, at_least: float = 0.0) -> Column:
     return F.when(F.lit(at_least > 0) & (small < F.lit(at_least) * large), F.lit(0.0)).otherwise(value)
 
 
-def _blocks(docs: DataFrame, block_rows: int, most: int = 1 << 18) -> DataFrame:
-    """``docs`` with ``_block``, numbered by falling doc_id: ranges of ids with about so many rows each, at most ``most`` blocks.
+def _blocks(docs: DataFrame, block_rows: int, most: int = 1 << 18) -> tuple[DataFrame, int]:
+    """``docs`` with ``_block``, numbered by falling doc_id, and the number of rows: ranges of ids with about so many rows each, at most ``most`` blocks.
 
     Approximate quantiles give coarse ranges, which are cut into equal widths; so neither gaps nor outliers of the ids gather
     rows in one block. Rows without an id come last.
@@ -64,25 +64,27 @@ def _blocks(docs: DataFrame, block_rows: int, most: int = 1 << 18) -> DataFrame:
     cuts = sorted(set(facts["q"] or [0]))
     fine = max(1, min(most // (len(cuts) + 1), math.ceil(facts["n"] / len(cuts) / block_rows)))
     if facts["n"] <= block_rows:
-        return docs.withColumn("_block", F.lit(0).cast("long"))
+        return docs.withColumn("_block", F.lit(0).cast("long")), facts["n"]
     bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
     above = F.size(F.filter(bounds, lambda c: c > F.col("_id")))  # 0: from the last cut on
     low, high = F.element_at(bounds, F.lit(len(cuts)) - above), F.element_at(bounds, F.lit(len(cuts) + 1) - above)
     inside = (above > 0) & (above < len(cuts))
     part = F.floor((high.cast("double") - F.col("_id")) / (high.cast("double") - low) * fine)
     step = F.when(inside, F.least(F.greatest(part, F.lit(0)), F.lit(fine - 1))).otherwise(0)
-    return docs.withColumn("_block", F.when(F.col("_id").isNull(), F.lit((len(cuts) + 1) * fine)).otherwise(above.cast("long") * fine + step).cast("long"))
+    return docs.withColumn("_block", F.when(F.col("_id").isNull(), F.lit((len(cuts) + 1) * fine)).otherwise(above.cast("long") * fine + step).cast("long")), facts["n"]
 
 
-def with_next(docs: DataFrame, block_rows: int = 4096) -> DataFrame:
+def with_next(docs: DataFrame, block_rows: int = 1024, task_rows: int = 4096) -> DataFrame:
     """``_id, _text, _set, _next_text, _next_set``: each document with the next one by falling doc_id, the first one after the last.
 
-    Blocks of ids are windows of their own. What follows a block's last row is the next block's first, so a copy of that row
-    goes to the block's end; there is one such row for each block. Equal ids follow by falling hash of their text.
+    Blocks of ids are windows of their own, dealt to tasks of about ``task_rows`` rows, however many rows there are. What follows a block's last row is the next block's first, so a copy of that row
+    goes to the block's end; there is one such row for each block. Equal ids follow by falling hash of their text. Rows of one repeated id are one
+    block, as are rows without an id.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), text.alias("_text"))
-    rows = _blocks(rows, block_rows).withColumn("_hash", F.xxhash64("_text"))
+    rows, n = _blocks(rows, block_rows)
+    rows = rows.withColumn("_hash", F.xxhash64("_text"))
     heads = rows.groupBy("_block").agg(F.max(F.struct("_id", "_hash")).alias("_head"))
     order = Window.orderBy("_block")  # sees one row for each block
     first = F.first("_head").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
@@ -91,12 +93,13 @@ def with_next(docs: DataFrame, block_rows: int = 4096) -> DataFrame:
     copies = rows.join(F.broadcast(heads), F.col("_id").eqNullSafe(F.col("_hid")) & (F.col("_hash") == F.col("_hhash")))  # at most 2**18 narrow rows
     copies = copies.dropDuplicates(["_to"]).select("_id", "_text", F.col("_to").alias("_block"), "_hash", F.lit(1).alias("_copy"))
     every = rows.withColumn("_copy", F.lit(0)).unionByName(copies).withColumn("_set", signature_set(F.col("_text")))
+    every = every.repartition(max(1, math.ceil(n / task_rows)), "_block")
     window = Window.partitionBy("_block").orderBy("_copy", F.desc_nulls_last("_id"), F.desc("_hash"))
     out = every.withColumn("_next_text", F.lead("_text").over(window)).withColumn("_next_set", F.lead("_set").over(window))
     return out.where("_copy = 0").select("_id", "_text", "_set", "_next_text", "_next_set")
 
 
-def fingerprints(docs: DataFrame, block_rows: int = 4096) -> DataFrame:
+def fingerprints(docs: DataFrame, block_rows: int = 1024) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`` for each row of ``docs(doc_id, text)``.
 
     The edited text has the last floor(n_chars / 2) code points replaced by the first as many (or all) of the next document.
