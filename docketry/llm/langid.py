@@ -211,7 +211,11 @@ def identify(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: LanguageModel | None = None, min_score: float = 0.1) -> DataFrame:
-    """The rows of ``docs`` whose language could be told: not ``und``, and a score of ``min_score`` at least."""
+    """The rows of ``docs`` whose language could be told: not ``und``, and a score of ``min_score`` at least.
+
+    Null and empty texts and those without a letter go, rows without an id are judged like all others, repeated rows each; an empty table
+    gives no rows; all columns stay as they are.
+    """
     names = tuple(docs.columns)
     out = predict(docs, model or fit(docs), names, ("__lang_pred", "__lang_score"))
     return out.where((F.col("__lang_pred") != UNDETERMINED) & (F.col("__lang_score") >= min_score)).select(*names)

@@ -302,7 +302,7 @@ def _classes(docs: DataFrame, n: int, threshold: float, recall: float, most_hash
 
 
 def near_duplicates(
-    docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999, most_hashes: int = 128, block_members: int = 1024, block_grams: int = 2_000_000
+    docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999, most_hashes: int = 128, block_members: int = 256, block_grams: int = 2_000_000
 ) -> DataFrame:
     """``doc_id, class_id, n_links`` for each row of ``docs(doc_id, text)``.
 
@@ -315,7 +315,7 @@ def near_duplicates(
 
 
 def deduplicated(
-    docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999, most_hashes: int = 128, block_members: int = 1024, block_grams: int = 2_000_000
+    docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999, most_hashes: int = 128, block_members: int = 256, block_grams: int = 2_000_000
 ) -> DataFrame:
     """The rows of ``docs`` without all but one of each class: its smallest doc_id stays.
 

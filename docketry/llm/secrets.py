@@ -452,7 +452,11 @@ def scan(docs: DataFrame, max_layer_bytes: int = 1 << 26) -> DataFrame:
 
 
 def redact(docs: DataFrame, mask: str = "[SECRET]", max_layer_bytes: int = 1 << 26) -> DataFrame:
-    """``docs`` with every found span of ``text`` masked (``n_chars``, if a column, follows). All rows and columns stay."""
+    """``docs`` with every found span of ``text`` masked (``n_chars``, if a column, follows).
+
+    All rows and columns stay: null and empty texts, rows without an id and repeated rows too; an empty table gives no rows. Overlapping spans
+    are one mask.
+    """
     names, at = docs.columns, docs.columns.index("text")
     size = names.index("n_chars") if "n_chars" in names else None
 
