@@ -81,6 +81,20 @@ def test_near_pairs(documents):
     assert {(r.a, r.b) for r in pairs.collect()} == expected and expected
 
 
+def test_near_pairs_of_nothing(documents):
+    pairs, members = spotsigs.near_pairs(documents([]))
+    assert pairs.count() == members.count() == 0
+    pairs, members = spotsigs.near_pairs(documents([(1, None), (2, ""), (2, ""), (3, "the cat sat")]))
+    assert pairs.count() == 0 and sorted((r.doc_id, r.class_id) for r in members.collect()) == [(1, 1), (2, 1), (2, 1), (3, 3)]
+
+
+def test_blocks_of_many_tasks(documents):
+    rows = [(k * 3, f"the word{k} of text{k % 50} and {k}") for k in range(200)]
+    few = spotsigs.with_next(documents(rows), block_rows=16, task_rows=40)
+    ahead = {r._id: r._next_text for r in few.collect()}
+    assert ahead == {k * 3: rows[k - 1][1] for k in range(200)}
+
+
 def test_no_python_in_the_plan(documents):
     plan = spotsigs.fingerprints(documents([(1, "a")]))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "MapInArrow"))
