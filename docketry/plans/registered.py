@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.operators.durable import shared_folder
+from docketry.operators.durable import delete, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -35,6 +35,7 @@ def made_once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[str],
     digest = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
     folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{digest}-{name}"
     if folder not in _MADE:
+        delete(spark, folder)  # what a failed attempt may have left
         make(folder)
         _MADE.add(folder)
     return folder
