@@ -59,6 +59,18 @@ class Index:
         self.postings.repartitionByRange(*([buckets] if buckets else []), "term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{folder}/postings")
         self.entries.write.mode("overwrite").parquet(f"{folder}/entries")
 
+    def preload(self, query: str) -> Index:
+        """The index with the postings of a query that is still being typed in memory: those of its terms, and of all terms that begin like the last one.
+
+        Only searches for such terms can use it; ``postings.unpersist()`` lets them go.
+        """
+        terms, _ = parse_query(query)
+        if not terms:
+            return self
+        postings = self.postings.where(F.col("term").isin(terms) | F.col("term").startswith(terms[-1])).cache()
+        postings.count()
+        return Index(postings, self.entries)
+
     @staticmethod
     def read(spark, folder: str) -> Index:
         return Index(spark.read.parquet(f"{folder}/postings"), spark.read.parquet(f"{folder}/entries"))

@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 
 from docketry.functions import category as categories
 from docketry.functions import dates, filer, text
-from docketry.operators import naming, search, syncplan
+from docketry.operators import naming, rollup, search, syncplan
 from docketry.operators.durable import checkpointed
-from docketry.plans import corpus, ingest, publish, request
+from docketry.plans import corpus, ingest, pages, publish, request
 from docketry.plans.registered import made_once, read, registered
 from docketry.sources import files, portal, tables
 from docketry.streaming import incremental
@@ -231,6 +231,16 @@ def filing_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select("o_orderkey", found.alias("f")).select("o_orderkey", "f.date", "f.date_source")
 
 
+@registered("""
+    SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%b ') || day(o_orderdate) || strftime(o_orderdate, ', %Y') WHEN 1 THEN strftime(o_orderdate, '%b %Y') WHEN 2 THEN strftime(o_orderdate, '%Y') ELSE '' END AS shown
+    FROM orders""")
+def display_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days, months, years and no date at all as readers see them."""
+    d, kind = F.col("o_orderdate").cast("date").cast("string"), F.col("o_orderkey") % 4
+    partial = F.when(kind == 0, d).when(kind == 1, F.substring(d, 1, 7)).when(kind == 2, F.substring(d, 1, 4))
+    return read(spark, sf_dir, "orders").select("o_orderkey", dates.display_date(partial).alias("shown"))
+
+
 @registered("""
     SELECT c_custkey, CASE c_custkey % 10 WHEN 0 THEN 'Jane Redacted ' || c_name WHEN 1 THEN 'Jane ' || c_name WHEN 2 THEN NULL WHEN 3 THEN NULL WHEN 4 THEN NULL WHEN 5 THEN NULL WHEN 6 THEN NULL ELSE c_name END AS name,
            CASE WHEN c_custkey % 10 = 7 THEN NULL WHEN c_custkey % 10 = 8 THEN 'Office' ELSE c_mktsegment END AS title, CASE WHEN c_custkey % 10 = 9 THEN 'Parks' END AS agency
@@ -397,6 +407,43 @@ def ingest_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(line,) for line in ingest.failure_report(_ingested(spark, sf_dir)[1].failed, 3)], "line string")
 
 
+@registered("SELECT count(DISTINCT conv_id) AS documents, count(*) AS pages, 12.5::DOUBLE AS minutes, round(750::DOUBLE / count(*), 1) AS seconds_per_page FROM conversations WHERE conv_id % 3 <> 0 AND conv_id % 41 <> 1")
+def recognition_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many scans, and pages of them, were recognised in twelve and a half minutes, and the time a page took."""
+    images = files.page_images(_scans(spark, sf_dir).where("path like 'scans/%'"), _rendered)
+    results = files.recognise(images.where("not error"), _recognised, batch_pages=1)
+    expected = results.groupBy("doc").agg(F.max("expected_pages").alias("expected_pages"))
+    return ingest.throughput(rollup.complete_documents(rollup.page_rollup(results), expected), 750.0)
+
+
+_SITE = """'<h1>A &amp; B</h1>'"""
+
+
+@registered(rf"""
+    WITH d AS (
+        SELECT string_agg('<li><time datetime="' || day || '"><a href="' || CASE WHEN k % 4 = 0 THEN 'https://x/?a=1&amp;b=' || k ELSE 'https://files/drops/' || filename END || '">' || strftime(day::DATE, '%b ') || day(day::DATE) || strftime(day::DATE, ', %Y')
+               || '</a></time><b>' || n_name || '</b>' || CASE WHEN k % 3 = 0 THEN '<p>from &lt;' || n_name || '&gt;</p>' ELSE '' END || '</li>', '' ORDER BY day DESC, filename DESC) AS items
+        FROM (SELECT n_name, n_nationkey AS k, '2024-01-' || lpad((n_nationkey % 7 + 1)::VARCHAR, 2, '0') AS day, '2024-01-' || lpad((n_nationkey % 7 + 1)::VARCHAR, 2, '0') || '-' || n_name || '.zip' AS filename FROM nation)),
+    c AS (SELECT count(*) FILTER (c_custkey % 3 <> 1) AS a, count(*) FILTER (c_custkey % 3 = 1) AS b FROM customer),
+    f AS (
+        SELECT string_agg('<label><input type="checkbox" value="' || lower(replace(replace(v, ' & ', '-'), ' ', '-')) || '" data-value="' || replace(v, '&', '&amp;') || '">' || replace(v, '&', '&amp;') || '</label>', '' ORDER BY k) AS boxes
+        FROM (SELECT unnest(range(5)) AS k, unnest(['Financial Interest', 'Travel & Gifts', 'Appearance of Conflict', 'Other', 'Statement of Financial Interests']) AS v))
+    SELECT 'index.html' AS path, {_SITE} || '<p>' || format('{{:,}}', a) || ' disclosures, ' || format('{{:,}}', b) || ' statements of financial interests</p><ol>' || items || '</ol>' AS html FROM c, d
+    UNION ALL SELECT 'search/index.html', {_SITE} || '<form><fieldset data-filter="category">' || boxes || '</fieldset><fieldset data-filter="year"><label><input type="checkbox" value="2021" data-value="2021">2021</label><label><input type="checkbox" value="2020" data-value="2020">2020</label></fieldset></form>' FROM f""")
+def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The home page and the search page, written as files and read again."""
+    kind = F.col("c_custkey") % 3
+    rows = read(spark, sf_dir, "customer").select(F.when(kind == 1, categories.STATEMENT).when(kind == 2, "Other").alias("category"), F.when(kind == 1, "2021-02").when(kind == 2, "2020").alias("date"))
+    day = F.concat(F.lit("2024-01-"), F.lpad((F.col("n_nationkey") % 7 + 1).cast("string"), 2, "0"))
+    own = F.when(F.col("n_nationkey") % 4 == 0, F.concat(F.lit("https://x/?a=1&b="), _key("n_nationkey"))).otherwise("")
+    notes = F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("from <"), "n_name", F.lit(">")))
+    drops = read(spark, sf_dir, "nation").select(F.concat(day, F.lit("-"), "n_name", F.lit(".zip")).alias("filename"), day.alias("date"), F.col("n_name").alias("custodian"), notes.alias("notes"), own.alias("url"))
+    made = pages.home_page(rows, drops, "https://files/drops", "A & B").unionByName(pages.search_page(rows, tables.categories(spark), "A & B"))
+    folder = made_once(spark, sf_dir, "site", lambda place: files.write_files(made, place))
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return found.select(F.regexp_extract("path", r"-site/(.*)$", 1).alias("path"), F.col("content").cast("string").alias("html"))
+
+
 def _portal(spark: SparkSession, sf_dir: str) -> str:
     """Nations, each three times, as pages of ten portal items."""
     rows = read(spark, sf_dir, "nation").orderBy("n_nationkey").collect()  # a dimension of 25 rows
@@ -574,6 +621,15 @@ def category_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.categories(spark, list(categories.CATEGORIES))
 
 
+@registered(r"""
+    WITH docs AS (SELECT lpad(doc_id::VARCHAR, 12, '0') AS filename, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS words FROM documents)
+    SELECT 'https://files/' || filename AS url FROM docs WHERE list_contains(words, 'with') AND list_contains(words, 'the')""")
+def preloaded_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search over the postings that were put in memory while its last word was being typed."""
+    warm = _index(spark, sf_dir).preload("with th")
+    return search.matches(warm, "with the").select("url")
+
+
 @registered("""
     WITH g AS (SELECT t.k + 1 AS total, c.k + 1 AS current FROM range(14) t(k), range(14) c(k) WHERE c.k <= t.k),
     s AS (SELECT *, list_sort(list_distinct(list_filter([1, total, current - 2, current - 1, current, current + 1, current + 2], lambda x: x BETWEEN 1 AND total))) AS near FROM g)

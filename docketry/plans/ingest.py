@@ -62,6 +62,12 @@ def ingest(jobs: DataFrame, contents: DataFrame, drops: DataFrame, render: Calla
     return Ingested(layered, done, jobs.join(finished, "pdf", "left_anti").select("pdf"))
 
 
+def throughput(done: DataFrame, seconds: float) -> DataFrame:
+    """One row ``documents, pages, minutes, seconds_per_page`` of recognised documents that took so long; times with one decimal, no pages as one."""
+    counted = done.agg(F.count("*").alias("documents"), F.coalesce(F.sum("num_pages"), F.lit(0)).alias("pages"))
+    return counted.select("documents", "pages", F.round(F.lit(seconds / 60), 1).alias("minutes"), F.round(F.lit(float(seconds)) / F.greatest("pages", F.lit(1)), 1).alias("seconds_per_page"))
+
+
 def failure_report(failed: DataFrame, shown: int = 20) -> list[str]:
     """The first failures by path, and how many more there are."""
     names = [r.pdf for r in failed.orderBy("pdf").limit(shown).collect()]
