@@ -14,6 +14,7 @@ from docketry.functions.filer import filer
 from docketry.functions.text import drop_of, fulltext, safe_name
 from docketry.operators.boilerplate import strip_boilerplate
 from docketry.operators.dedup import documents, without_excluded
+from docketry.operators.durable import checkpointed
 from docketry.operators.naming import unique_names
 from docketry.sources.files import with_text_paths
 from docketry.sources.tables import DEFAULT_KIND, STATEMENT_KIND
@@ -39,14 +40,15 @@ def with_drops(docs: DataFrame, drops: DataFrame) -> DataFrame:
 def build_corpus(files: DataFrame, texts: DataFrame, drops: DataFrame, exclusions: DataFrame, as_of: datetime.date) -> DataFrame:
     """The corpus table and ``first_path`` (its order) from ``files(path, sha256)`` and the outputs of the other sources.
 
-    Texts are joined once the documents are known, so copies do not carry them; drops and exclusions are small tables whose join strategy
-    is left to their measured size.
+    Files and documents are narrow rows that are written once they are known, so the contents of files are read in one pass, however often what
+    follows looks at the rows. Texts are joined then, so copies do not carry them; those of statements are read a second time for their common lines. Drops and
+    exclusions are small tables whose join strategy is left to their measured size.
     """
-    docs = named_documents(with_text_paths(files, texts), exclusions).where("text_path is not null")
-    docs = docs.withColumn("drop", drop_of(F.col("original_path")))
+    placed = checkpointed(with_text_paths(files, texts))
+    named = named_documents(placed, exclusions).where("text_path is not null").withColumn("drop", drop_of(F.col("original_path")))
+    named = checkpointed(with_drops(named, drops))
     own = texts.select(F.col("text_path").alias("_tp"), fulltext(F.col("text"), F.col("ext")).alias("fulltext"))
-    docs = docs.join(own, F.col("text_path") == F.col("_tp")).drop("_tp")
-    docs = with_drops(docs, drops)
+    docs = named.join(own, F.col("text_path") == F.col("_tp")).drop("_tp")
     none = F.lit(None).cast("string")
 
     plain = docs.where(F.col("kind") != STATEMENT_KIND)
@@ -55,7 +57,8 @@ def build_corpus(files: DataFrame, texts: DataFrame, drops: DataFrame, exclusion
         "category": category(F.col("fulltext")), "date": F.col("_filing.date"), "date_source": F.col("_filing.date_source"),
         "name": F.col("_filer.name"), "title": F.col("_filer.title"), "parsed_agency": F.col("_filer.agency"),
     })
-    forms = strip_boilerplate(docs.where(F.col("kind") == STATEMENT_KIND), "drop", "fulltext")
+    statement = F.col("kind") == STATEMENT_KIND
+    forms = strip_boilerplate(docs.where(statement), "drop", "fulltext", members=named.where(statement))
     forms = forms.withColumns({"category": F.lit(STATEMENT), "date": F.col("_year").cast("string"), "date_source": F.lit("drop"), "name": none, "title": none, "parsed_agency": none})
 
     columns = ["first_path", "kind", "filename", "custodian", "category", "date", "date_source", "filenames", "original_path", "sha256", "fulltext", "name", "title", "_agency", "parsed_agency"]
