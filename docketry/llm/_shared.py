@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,10 +14,21 @@ from docketry.operators.durable import delete, written
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of so many rows (without copying), so that few texts at a time are Python objects."""
+    """The batches in parts of so many rows (without copying), so that few texts at a time are Python objects.
+
+    When the last is done, a worker gives freed memory back: it lives on for later tasks, and what it keeps is missing elsewhere.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    trim()
+
+
+def trim() -> None:
+    """Gives memory that was freed back to the operating system, where its library can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def components(edges: DataFrame, most_rounds: int = 200) -> DataFrame:
