@@ -159,7 +159,8 @@ def fit(docs: DataFrame, n: int = 4, sample_docs: int = 1500, min_share: float =
                     values, docs_ = np.unique(own, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([language] * len(values), pa.string()), pa.array(values.view(np.int64)), pa.array(docs_.astype(np.int64))], ["lang", "gram", "docs"])
 
-    found = sample.mapInArrow(grams, "lang string, gram long, docs long").groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
+    spread = sample.repartition(docs.sparkSession.sparkContext.defaultParallelism)  # the sample is bounded, and few files may hold it
+    found = spread.mapInArrow(grams, "lang string, gram long, docs long").groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
     sizes = sample.groupBy("lang").agg(F.count("*").alias("sampled"))  # of narrow rows
     rates = found.join(sizes, "lang").where(F.col("docs") >= F.greatest(F.lit(2.0), F.col("sampled") * min_share))
     profile = rates.select("lang", "gram", (F.col("docs") / F.col("sampled")).alias("rate")).toArrow()
