@@ -185,9 +185,8 @@ def build(ids: list, labels: list, examples: list[tuple[np.ndarray, np.ndarray]]
     vectors = [index.vector(b) for b in examples]
     order = index.add(ids, labels, vectors)
     votes = []
-    for at in range(0, len(order), 64):
-        part = order[at : at + 64]
-        votes += [index.vote(*near) for near in index.nearest([vectors[e] for e in part], k, np.arange(at, at + len(part)))]
+    for group in _groups([vectors[e] for e in order], 64):
+        votes += [index.vote(*near) for near in index.nearest(group, k, np.arange(len(votes), len(votes) + len(group)))]
     index.slope, index.shift = _calibrated(votes, index.labels)
     return index
 
@@ -218,6 +217,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, k: int = 15
     return build(rows.column(0).to_pylist(), rows.column(1).to_pylist(), examples, k)
 
 
+def _groups(vectors: list, most: int, most_terms: int = 100_000) -> Iterator[list]:
+    """The vectors in order, in groups of up to so many with up to so many terms, or one longer one."""
+    held, size = [], 0
+    for vector in vectors:
+        if held and (len(held) == most or size + len(vector[0]) > most_terms):
+            yield held
+            held, size = [], 0
+        held.append(vector)
+        size += len(vector[0])
+    if held:
+        yield held
+
+
 def score(docs: DataFrame, index: Index, k: int = 15, batch: int = 64) -> DataFrame:
     """``doc_id, held_out, score, predicted, evidence_ids, evidence_cosines`` for each row of ``docs(doc_id, text)``.
 
@@ -231,7 +243,7 @@ def score(docs: DataFrame, index: Index, k: int = 15, batch: int = 64) -> DataFr
         own = shared.value
         for rows in slices(batches):
             vectors = [own.vector(b) for b in bags([t or "" for t in rows.column(2).to_pylist()])]
-            near = [found for at in range(0, len(vectors), batch) for found in own.nearest(vectors[at : at + batch], k)]
+            near = [found for group in _groups(vectors, batch) for found in own.nearest(group, k)]
             scores = np.array([own.score(own.vote(*found)) for found in near])
             columns = [pa.array(scores, pa.float64()), pa.array((scores >= 0.5).astype(np.int32)), pa.array([own.ids[e] for e, _ in near], pa.list_(pa.int64())), pa.array([c for _, c in near], pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *columns], names)
