@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docketry.llm import langid, media, mixing, ngramjoin, packing, secrets, spotsigs, tokencount, toxicity, urlfilter
+from docketry.llm import changepoints, collocations, langid, media, mixing, ngramjoin, packing, secrets, spotsigs, tokencount, topk, toxicity, urlfilter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -60,6 +61,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, labels))
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_read(spark, sf_dir, "embeddings"), asks=F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+def op12_change_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changepoints.vendor_change_points(_read(spark, sf_dir, "sale_lines"), flags=("kept", "swapped"), least=5, penalty=10_000)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_read(spark, sf_dir, "documents"), longest=3, least=10, most=2000, absorbed=0.5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_nnls_packing": op2_nnls_packing,
@@ -71,6 +84,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
+    "op11_topk_search": op11_topk_search,
+    "op12_change_points": op12_change_points,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -112,4 +128,61 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, size, source_size, target,
                (greatest(0, least(size, stop - begins)) + greatest(0, least(size, stop - begins - source_size)))::BIGINT AS taken
         FROM r""",
+    "op11_topk_search": r"""
+        WITH v AS (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+            FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.r, q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score FROM v q JOIN v ON q.r <> v.r WHERE q.vec_id % 50 = 0)
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s) WHERE rank <= 5""",
+    "op12_change_points": r"""
+        WITH RECURSIVE d AS MATERIALIZED (
+            SELECT vendor_id, date_diff('day', DATE '1970-01-01', shipped_at::DATE) AS day, sum(quantity)::HUGEINT AS x
+            FROM sale_lines WHERE flag IN ('kept', 'swapped') AND quantity IS NOT NULL AND shipped_at IS NOT NULL GROUP BY ALL),
+        v AS MATERIALIZED (SELECT dense_rank() OVER (ORDER BY vendor_id NULLS LAST) AS g, vendor_id, min(day) AS first, max(day) - min(day) + 1 AS n FROM d GROUP BY vendor_id),
+        x AS MATERIALIZED (
+            SELECT g, i, n, coalesce(x, 0) AS x FROM (SELECT g, vendor_id, first, n, unnest(range(n)) AS i FROM v) e
+            LEFT JOIN d ON d.vendor_id IS NOT DISTINCT FROM e.vendor_id AND d.day = e.first + e.i),
+        p AS MATERIALIZED (
+            SELECT g, i + 1 AS j, n, sum(x) OVER w AS s, sum(x * x) OVER w AS q FROM x WINDOW w AS (PARTITION BY g ORDER BY i)
+            UNION ALL SELECT g, 0, n, 0, 0 FROM v),
+        m AS MATERIALIZED (
+            SELECT a.g, a.j AS i, b.j, a.n AS whole, b.j - a.j AS n, (b.s - a.s)::HUGEINT AS s, (b.q - a.q)::HUGEINT AS q
+            FROM p a JOIN p b ON a.g = b.g AND (b.j - a.j >= 5 OR (a.j = 0 AND b.j = a.n AND a.n < 5))),
+        c AS MATERIALIZED (
+            SELECT g, i, j, whole, n, s, spread, n * floor(1000 * ln(spread::DOUBLE))::BIGINT AS cost
+            FROM (SELECT *, 1 + (n * q - s * s) // (n * n)::HUGEINT AS spread FROM m)),
+        b(g, k, j, best, i) AS (
+            SELECT g, 1::BIGINT, j, cost, 0::BIGINT FROM c WHERE i = 0
+            UNION ALL
+            SELECT g, k, j, z.t, z.i FROM (
+                SELECT b.g, b.k + 1 AS k, c.j, min(struct_pack(t := b.best + c.cost, i := c.i)) AS z
+                FROM b JOIN c ON c.g = b.g AND c.i = b.j GROUP BY ALL)),
+        e AS MATERIALIZED (
+            SELECT g, n, z.k, z.best FROM (
+                SELECT v.g, v.n, min(struct_pack(best := b.best + 10000 * (b.k - 1), k := b.k)) AS z FROM b JOIN v ON v.g = b.g AND v.n = b.j GROUP BY ALL)),
+        t(g, k, i, j) AS (
+            SELECT e.g, e.k, b.i, b.j FROM e JOIN b ON b.g = e.g AND b.k = e.k AND b.j = e.n
+            UNION ALL
+            SELECT b.g, b.k, b.i, b.j FROM t JOIN b ON b.g = t.g AND b.k = t.k - 1 AND b.j = t.i)
+        SELECT vendor_id, t.k::INTEGER AS segment_no, (first + t.i)::BIGINT AS first_day, c.n::BIGINT AS n_days, c.s::BIGINT AS total, c.spread::BIGINT AS spread, c.cost::BIGINT AS cost,
+               e.k::BIGINT AS n_segments, e.best::BIGINT AS best_cost
+        FROM t JOIN c ON c.g = t.g AND c.i = t.i AND c.j = t.j JOIN e ON e.g = t.g JOIN v ON v.g = t.g""",
+    "op13_collocations": r"""
+        WITH d AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS r, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+        p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM d),
+        g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM p, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k),
+        h AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS n FROM g GROUP BY ALL),
+        t AS MATERIALIZED (SELECT lang, sum(n)::BIGINT AS n FROM h WHERE k = 1 GROUP BY lang),
+        f AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM h WHERE n >= 10),
+        c AS MATERIALIZED (SELECT * FROM f WHERE k >= 2),
+        u AS (
+            SELECT c.lang, c.k, c.phrase, c.n AS a, l.k AS cut, l.n AS l, r.n AS r, (1000000::HUGEINT * c.n::HUGEINT * c.n::HUGEINT) // (l.n::HUGEINT * r.n::HUGEINT) AS score
+            FROM c JOIN f l ON l.lang = c.lang AND l.k < c.k AND l.phrase = array_to_string(c.w[1:l.k], ' ')
+            JOIN f r ON r.lang = c.lang AND r.k = c.k - l.k AND r.phrase = array_to_string(c.w[l.k + 1:], ' ')),
+        s AS (SELECT lang, k, phrase, a, min(struct_pack(score := score, cut := cut, l := l, r := r)) AS z FROM u GROUP BY ALL),
+        i AS (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, n FROM c WHERE k = 3),
+        o AS (SELECT s.* FROM s WHERE k = 3 OR NOT EXISTS (SELECT 1 FROM i WHERE i.lang = s.lang AND i.phrase = s.phrase AND 100 * i.n >= 50 * s.a)),
+        q AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY z.score DESC, a DESC, phrase) AS rank, phrase, a, z.l AS l, z.r AS r, z.score AS score FROM o)
+        SELECT q.lang, rank::INTEGER AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, t.n, score::BIGINT AS score FROM q JOIN t ON t.lang = q.lang WHERE rank <= 2000""",
 }
