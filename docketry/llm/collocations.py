@@ -7,14 +7,14 @@ corpus: a false positive costs an emitted row, never a wrong count, since counts
 
 from __future__ import annotations
 
-import itertools
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry.llm._shared import trim
@@ -27,13 +27,56 @@ _PROBES = 4
 _U = np.uint64
 
 
-def tokens(text: bytes, at_once: int = 1 << 22) -> Iterator[list[bytes]]:
-    """The lower-cased words of a text in lists for so many bytes of it; ``b"."`` stands for signs that end a piece."""
-    plain, at = text.translate(_PLAIN), 0
-    while at < len(plain):
-        end = min((p for p in (plain.find(b" ", at + at_once), plain.find(b".", at + at_once)) if p >= 0), default=len(plain))
-        yield plain[at:end].replace(b".", b" . ").split()
-        at = end
+def words_of(plain: bytes) -> tuple[pa.Array, np.ndarray]:
+    """The words of a lower-cased text (see :func:`lowered`) and the number of each one's piece."""
+    data = np.frombuffer(plain, np.uint8)
+    inside = (data != 0x20) & (data != 0x2E)
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+    return words, np.searchsorted(np.flatnonzero(data == 0x2E), starts)
+
+
+def lowered(text: bytes) -> bytes:
+    """The text with ASCII letters in lower case, a blank for each tab, and ``.`` for each sign that ends a piece."""
+    return text.translate(_PLAIN)
+
+
+def _last_words(plain: bytes, n: int) -> bytes:
+    """The end of a lower-cased text from its n-th last word on; empty for n = 0."""
+    at = len(plain)
+    for _ in range(n):
+        while at and plain[at - 1] in b" .":
+            at -= 1
+        at = max(plain.rfind(b" ", 0, at), plain.rfind(b".", 0, at)) + 1
+    return plain[at:] if n else b""
+
+
+def runs_of(batches: Iterator[pa.RecordBatch], overlap: int, at_once: int) -> Iterator[tuple[str, bytes]]:
+    """The lower-cased texts of ``lang, text`` put together by lang, about ``at_once`` bytes at a time.
+
+    A text that goes on in the next run is cut between words, and its last ``overlap`` words are there again.
+    """
+    held: dict[str, list[bytes]] = defaultdict(list)
+    size = 0
+    for batch in batches:
+        langs, texts = batch.column("lang"), batch.column("text")
+        for row in range(batch.num_rows):
+            lang, text, at = langs[row].as_py(), lowered(texts[row].as_py()), 0
+            while at < len(text):
+                stop = at + at_once - size
+                end = min((p for p in (text.find(b" ", stop), text.find(b".", stop)) if p >= 0), default=len(text))
+                held[lang].append(text[at:end])
+                size, at = size + end - at, end
+                if size >= at_once:
+                    yield from ((name, b"".join(parts)) for name, parts in held.items())
+                    held, size = defaultdict(list), 0
+                    if end < len(text):
+                        held[lang].append(_last_words(text[:end], overlap))
+            held[lang].append(b".")
+            size += 1
+    yield from ((name, b"".join(parts)) for name, parts in held.items())
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -50,10 +93,6 @@ def _folded(words: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _word_hash(group: str, word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word, xxhash.xxh3_64_intdigest(group.encode()))
-
-
 class Phrases:
     """A Bloom filter: ``bits`` is a power of two."""
 
@@ -79,8 +118,11 @@ def phrase_filter(phrases: DataFrame, count: int, most_bits: int = 1 << 27) -> P
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True)
-            hashes = [_folded([np.array([_word_hash(lang, w)], _U) for w in phrase.encode().split(b" ")])[0] for lang, phrase in rows]
-            places = Phrases.places(np.array(hashes, _U), bits).ravel()
+            split = [(xxhash.xxh3_64_intdigest(lang.encode()), phrase.encode().split(b" ")) for lang, phrase in rows]
+            hashes = [np.array([xxhash.xxh3_64_intdigest(words[j], seed) for seed, words in split], _U) for j in range(len(split[0][1]) if split else 0)]
+            if not hashes:
+                continue
+            places = Phrases.places(_folded(hashes), bits).ravel()
             masks = _U(1) << (places & _U(63))
             yield pa.RecordBatch.from_arrays([pa.array((places >> _U(6)).astype(np.int64)), pa.array(masks.view(np.int64))], ["line", "mask"])
 
@@ -90,92 +132,57 @@ def phrase_filter(phrases: DataFrame, count: int, most_bits: int = 1 << 27) -> P
     return Phrases(lines, bits)
 
 
-class _Words:
-    """Numbers of a group's words, with their hashes; 0 ends a piece."""
-
-    def __init__(self, group: str) -> None:
-        self.group, self.ids = group, defaultdict(itertools.count().__next__)
-        self.ids[b"."]  # noqa: B018  takes number 0
-        self.words: list[bytes] = []
-        self.hashes = np.empty(0, _U)
-
-    def caught_up(self) -> None:
-        new = list(itertools.islice(self.ids, len(self.words), None))
-        self.words += new
-        self.hashes = np.concatenate([self.hashes, np.array([_word_hash(self.group, w) for w in new], _U)])
-
-
-def _counted(ids: np.ndarray, words: _Words, k: int, known: Phrases | None) -> tuple[list[str], np.ndarray]:
-    """The phrases of k words in a run of numbers, with their counts; only those whose two parts the filter holds."""
-    inside = ids != 0
-    ok = inside[: len(ids) - k + 1].copy()
-    for j in range(1, k):
-        ok &= inside[j : len(ids) - k + 1 + j]
+def _distinct(ids: list[np.ndarray], size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of columns of numbers below ``size``, and how often each occurs."""
+    if size ** len(ids) <= 2**63:
+        code = ids[0].astype(np.int64)
+        for column in ids[1:]:
+            code = code * size + column
+        code, counts = np.unique(code, return_counts=True)
+        columns = []
+        for _ in ids[1:]:
+            columns.insert(0, code % size)
+            code = code // size
+        return [code, *columns], counts
+    order = np.lexsort(ids[::-1])
+    ids = [column[order] for column in ids]
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([column[1:] != column[:-1] for column in ids], axis=0)
+    first = np.flatnonzero(new)
+    return [column[first] for column in ids], np.diff([*first, len(order)])
+
+
+def counted(lang: str, plain: bytes, k: int, known: Phrases | None) -> tuple[pa.Array, np.ndarray]:
+    """The phrases of k words of a lower-cased text, with their counts; for k > 1 only those whose two parts the filter holds."""
+    words, piece = words_of(plain)
+    encoded = words.dictionary_encode()
+    own, ids = encoded.dictionary, encoded.indices.to_numpy().astype(np.int64)
+    if len(ids) < k:
+        return pa.array([], pa.string()), np.empty(0, np.int64)
+    last = len(ids) - k + 1
+    ok = piece[:last] == piece[k - 1 :]
     if k > 1:
-        hashed = words.hashes[ids]
-        part = known.holds(_folded([hashed[j : len(ids) - k + 2 + j] for j in range(k - 1)]))
+        seed = xxhash.xxh3_64_intdigest(lang.encode())
+        hashed = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in own.to_pylist()), _U, len(own))[ids]
+        part = known.holds(_folded([hashed[j : last + 1 + j] for j in range(k - 1)]))
         ok &= part[:-1] & part[1:]
-    at, size = np.flatnonzero(ok), _size(words)
-    code = ids[at]
-    for j in range(1, k):
-        if j > 1:
-            code = np.unique(code, return_inverse=True)[1]
-        code = code * size + ids[at + j]
-    _, first, counts = np.unique(code, return_index=True, return_counts=True)
-    columns = [ids[at[first] + j].tolist() for j in range(k)]
-    own = words.words
-    if k == 1:
-        return [own[a].decode() for a in columns[0]], counts
-    return [b" ".join([own[a] for a in row]).decode() for row in zip(*columns, strict=True)], counts
-
+    at = np.flatnonzero(ok)
+    columns, counts = _distinct([ids[at + j] for j in range(k)], len(own))
+    taken = [own.take(pa.array(c)) for c in columns]
+    phrases = pc.binary_join_element_wise(*taken, pa.scalar(b" ", pa.large_binary())) if k > 1 else taken[0]
+    return phrases.cast(pa.large_string()), counts
 
-def _size(words: _Words) -> int:
-    return max(1, len(words.words))
 
-
-def level(docs: DataFrame, k: int, known: Phrases | None, at_once: int = 1 << 21, most_words: int = 1 << 20) -> DataFrame:
-    """``lang, phrase, n``: how often each phrase of k words occurs in ``docs(lang, text)``, for phrases whose parts are all in the filter.
-
-    A task holds about ``at_once`` words at a time; a text may be longer, as its last k - 1 words are carried on.
-    """
+def level(docs: DataFrame, k: int, known: Phrases | None, at_once: int = 1 << 24) -> DataFrame:
+    """``lang, phrase, n``: how often each phrase of k words occurs in ``docs(lang, text)``, for phrases whose parts are all in the filter."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[str, _Words] = {}
-        runs: dict[str, list[np.ndarray]] = defaultdict(list)
-        held = 0
-
-        def flushed() -> Iterator[pa.RecordBatch]:
-            for lang in list(runs):
-                own, ids = words[lang], np.concatenate(runs.pop(lang))
-                if len(ids) >= k:
-                    own.caught_up()
-                    phrases, counts = _counted(ids, own, k, shared.value)
-                    for at in range(0, len(phrases), 1 << 16):
-                        part = phrases[at : at + (1 << 16)]
-                        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), pa.array(part, pa.string()), pa.array(counts[at : at + len(part)], pa.int64())], ["lang", "phrase", "n"])
-            if sum(len(w.ids) for w in words.values()) > most_words:
-                words.clear()
-
-        for batch in batches:
-            for row in range(batch.num_rows):
-                lang, text = batch.column("lang")[row].as_py(), batch.column("text")[row].as_py()
-                for part in tokens(text):
-                    own = words.get(lang) or words.setdefault(lang, _Words(lang))
-                    ids = np.fromiter(map(own.ids.__getitem__, part), np.int64, len(part))
-                    runs[lang].append(ids)
-                    held += len(ids)
-                    if held >= at_once:
-                        tail = np.concatenate(runs[lang])[-(k - 1) :] if k > 1 else None
-                        tail_words = None if tail is None else [list(itertools.islice(own.ids, int(i), int(i) + 1))[0] for i in tail]
-                        yield from flushed()
-                        held = 0
-                        if tail_words:
-                            own = words.get(lang) or words.setdefault(lang, _Words(lang))
-                            runs[lang].append(np.array([own.ids[w] for w in tail_words], np.int64))
-                if lang in runs:
-                    runs[lang].append(np.zeros(1, np.int64))
-        yield from flushed()
+        for lang, plain in runs_of(batches, k - 1, at_once):
+            phrases, counts = counted(lang, plain, k, shared.value)
+            for at in range(0, len(phrases), 1 << 16):
+                part = phrases.slice(at, 1 << 16).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), part, pa.array(counts[at : at + len(part)], pa.int64())], ["lang", "phrase", "n"])
         trim()
 
     rows = docs.select("lang", F.col("text").cast("binary").alias("text"))
@@ -204,7 +211,6 @@ def scored(tables: list[DataFrame], totals: DataFrame, absorbed: float = 0.5) ->
     first of these. It is absorbed if it lies within a longer phrase of the tables with ``absorbed * a`` occurrences or more. Numbers are decimals of 38 digits,
     so a passes 10^15 before they do, and then it is an error.
     """
-    big = lambda c: F.col(c).cast("decimal(19,0)")
     part = lambda at, n: F.array_join(F.slice("_w", at, n), " ")
     out = None
     for k in range(2, len(tables) + 1):
@@ -241,7 +247,7 @@ def ranked(found: DataFrame, most: int, salts: int) -> DataFrame:
 def collocations(docs: DataFrame, longest: int = 3, least: int = 10, most: int = 2000, absorbed: float = 0.5, salts: int | None = None) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: each lang's first ``most`` collocations in ``docs(lang, text)``.
 
-    Words and pieces are those of :func:`tokens`; only ASCII letters are lower-cased. A null lang is ``und``, as is that lang itself; a null or empty
+    Words and pieces are those of :func:`words_of`; only ASCII letters are lower-cased. A null lang is ``und``, as is that lang itself; a null or empty
     text has no words; repeated rows count each time. No text gives no rows. Other columns are ignored.
     """
     taken = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text").where("text is not null")
