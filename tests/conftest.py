@@ -39,7 +39,7 @@ def compare(spark, sf_dir):
     import duckdb
 
     engine = duckdb.connect()
-    for table in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split():
+    for table in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations clicks sales sale_lines clients client_changes vendors items stamps".split():
         engine.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
 
     def run(query, sql):
