@@ -48,7 +48,7 @@ def segment(series: list[np.ndarray], least: int = 5, penalty: int = 10_000) ->
     lengths = np.array([len(s) for s in series])
     every = np.arange(len(series))
     whole = _costs(lengths, _spreads(lengths.astype(exact), sums[every, lengths], squares[every, lengths]))
-    most = int(max(1, np.minimum(lengths // least, 1 + whole // penalty).max()))
+    most = int(max(1, (np.minimum(lengths // least, 1 + whole // penalty) if penalty > 0 else lengths // least).max()))
     best = np.full((len(series), most, width + 1), _FAR)  # of so many segments (less one) that end before the day
     start = np.zeros((len(series), most, width + 1), np.int32)
     for end in range(least, width + 1):

@@ -175,7 +175,7 @@ def top_k(rows: DataFrame, asks: Column, k: int = 5, scale: float = 256.0, head:
                 scores[own[:, None] == known[None, :]] = _NONE
                 floor = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] >= k else np.full(len(own), _NONE)
                 length = np.sqrt(part.column("square").to_numpy().astype(float))
-                need = np.where(floor > 0, floor / np.maximum(length, 1e-300), 0.0)
+                need = np.where(floor > 0, floor / np.maximum(length, 1.0), 0.0)
                 yield pa.RecordBatch.from_arrays([part.column("row"), part.column("vec_id"), part.column("v"), pa.array(floor, pa.int64()), pa.array(need)], ["q", "query_id", "qv", "floor", "need"])
 
     try:
