@@ -173,7 +173,7 @@ def counted(lang: str, plain: bytes, k: int, known: Phrases | None) -> tuple[pa.
     return phrases.cast(pa.large_string()), counts
 
 
-def level(docs: DataFrame, k: int, known: Phrases | None, at_once: int = 1 << 24) -> DataFrame:
+def level(docs: DataFrame, k: int, known: Phrases | None, at_once: int = 1 << 22) -> DataFrame:
     """``lang, phrase, n``: how often each phrase of k words occurs in ``docs(lang, text)``, for phrases whose parts are all in the filter."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
