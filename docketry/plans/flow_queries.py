@@ -22,7 +22,7 @@ from docketry.operators import naming, rollup, search, syncplan
 from docketry.operators.durable import checkpointed
 from docketry.plans import corpus, ingest, pages, publish, request
 from docketry.plans.registered import made_once, read, registered
-from docketry.sources import files, portal, tables
+from docketry.sources import archives, files, portal, tables, writers
 from docketry.streaming import incremental
 
 AS_OF = datetime.date(2026, 6, 1)
@@ -68,7 +68,7 @@ def _text() -> Column:
 
 def _pdf_tree(spark: SparkSession, sf_dir: str) -> str:
     rows = read(spark, sf_dir, "documents").select(_place().alias("path"), F.when(F.col("doc_id") % 50 == 49, "").otherwise(F.col("text")).cast("binary").alias("content"))
-    return made_once(spark, sf_dir, "pdfs", lambda folder: files.write_files(rows, folder))
+    return made_once(spark, sf_dir, "pdfs", lambda folder: writers.write_files(rows, folder))
 
 
 def _text_tree(spark: SparkSession, sf_dir: str) -> str:
@@ -77,7 +77,7 @@ def _text_tree(spark: SparkSession, sf_dir: str) -> str:
     marked = F.concat(F.lit("# Head\n**"), "lang", F.lit("** ["), "source", F.lit("](x)"))
     as_md = docs.where("doc_id % 5 = 0").select(F.concat(base, F.lit(".md")).alias("path"), marked.cast("binary").alias("content"))
     as_txt = docs.where("doc_id % 5 <> 0 or doc_id % 10 = 0").select(F.concat(base, F.lit(".txt")).alias("path"), _text().cast("binary").alias("content"))
-    return made_once(spark, sf_dir, "texts", lambda folder: files.write_files(as_md.unionByName(as_txt), folder))
+    return made_once(spark, sf_dir, "texts", lambda folder: writers.write_files(as_md.unionByName(as_txt), folder))
 
 
 def _drops(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +313,7 @@ def _zips(spark: SparkSession, sf_dir: str) -> str:
 
     day = F.concat(F.lit("2024-01-"), F.lpad((F.col("n_nationkey") % 28 + 1).cast("string"), 2, "0"), F.lit("-"), F.col("n_name"), F.lit(".zip"))
     packed = rows.select(day.alias("path"), "names").mapInPandas(pack, "path string, content binary")
-    return made_once(spark, sf_dir, "zips", lambda folder: files.write_files(packed, folder))
+    return made_once(spark, sf_dir, "zips", lambda folder: writers.write_files(packed, folder))
 
 
 _ZIPS = "z AS (SELECT *, '2024-01-' || lpad((n_nationkey % 28 + 1)::VARCHAR, 2, '0') AS day, '2024-01-' || lpad((n_nationkey % 28 + 1)::VARCHAR, 2, '0') || '-' || n_name AS \"drop\" FROM nation)"
@@ -322,7 +322,7 @@ _ZIPS = "z AS (SELECT *, '2024-01-' || lpad((n_nationkey % 28 + 1)::VARCHAR, 2,
 @registered(f"WITH {_ZIPS} SELECT \"drop\", \"drop\" || '/in/' || n.n_name || ' ä.pdf' AS path, sha256('file of ' || n.n_name) AS sha256 FROM z JOIN nation n ON z.n_regionkey = n.n_regionkey")
 def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files inside drop zips."""
-    return files.unzip(spark, _zips(spark, sf_dir)).select("drop", "path", F.sha2("content", 256).alias("sha256"))
+    return archives.member_digests(spark, _zips(spark, sf_dir)).select("drop", "path", "sha256")
 
 
 @registered(f"WITH {_ZIPS} SELECT \"drop\" || '.zip' AS filename, day AS date, n_name AS custodian, CASE WHEN n_nationkey % 2 = 0 THEN 'sfi' END AS kind, CASE WHEN n_nationkey % 2 = 0 THEN 2024::INT END AS year FROM z")
@@ -334,7 +334,7 @@ def drops_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = {f"2024-01-{r.n_nationkey % 28 + 1:02}-{r.n_name}.zip": {"custodian": r.n_name} | ({"kind": "sfi", "year": 2024} if r.n_nationkey % 2 == 0 else {}) for r in rows}
 
     def write(place: str) -> None:
-        files.write_files(spark.createDataFrame([("metadata.yml", json.dumps(named).encode())], "path string, content binary"), place)
+        writers.write_files(spark.createDataFrame([("metadata.yml", json.dumps(named).encode())], "path string, content binary"), place)
         metadata = tables.drop_metadata(spark, tables.load_yaml(f"{place}/metadata.yml"))
         tables.write_corpus_metadata(tables.checked_drops(listing, metadata), f"{place}/metadata.json")
 
@@ -439,7 +439,7 @@ def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     notes = F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("from <"), "n_name", F.lit(">")))
     drops = read(spark, sf_dir, "nation").select(F.concat(day, F.lit("-"), "n_name", F.lit(".zip")).alias("filename"), day.alias("date"), F.col("n_name").alias("custodian"), notes.alias("notes"), own.alias("url"))
     made = pages.home_page(rows, drops, "https://files/drops", "A & B").unionByName(pages.search_page(rows, tables.categories(spark), "A & B"))
-    folder = made_once(spark, sf_dir, "site", lambda place: files.write_files(made, place))
+    folder = made_once(spark, sf_dir, "site", lambda place: writers.write_files(made, place))
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     return found.select(F.regexp_extract("path", r"-site/(.*)$", 1).alias("path"), F.col("content").cast("string").alias("html"))
 
@@ -450,7 +450,7 @@ def _portal(spark: SparkSession, sf_dir: str) -> str:
     titles = [f"Form 2024/02/{r.n_nationkey + 1:02} - {r.n_name}" if k == 0 else f"Form 202403{r.n_nationkey % 5 + 10}-Roe-{r.n_name}" if k == 1 else "none" for k in range(3) for r in rows]
     items = [{"id": k, "properties": {"title": t, "name": f"n{k}.pdf"}} for k, t in enumerate(titles)]
     pages = [(f"{at + 1}.json", json.dumps({"features": items[at : at + 10]}).encode()) for at in range(0, len(items), 10)]
-    return made_once(spark, sf_dir, "portal", lambda folder: files.write_files(spark.createDataFrame(pages, "path string, content binary"), folder))
+    return made_once(spark, sf_dir, "portal", lambda folder: writers.write_files(spark.createDataFrame(pages, "path string, content binary"), folder))
 
 
 _PORTAL = """i AS (

@@ -15,25 +15,20 @@ from docketry.functions.display import drop_url
 from docketry.operators.durable import checkpointed
 from docketry.operators.rollup import site_counts
 from docketry.operators.syncplan import mirror_plan
+from docketry.sources.trees import dealt, file_tree
+from docketry.sources.writers import write_links
 
 
-def existing_links(spark, folder: str, batch: int = 10_000) -> DataFrame:
-    """``name, inode`` of the files in a mirror folder, which the workers mount. The listing is read in batches by one worker."""
+def existing_links(spark, folder: str) -> DataFrame:
+    """``name, inode`` of the files in a mirror folder, which the workers mount. Names are listed once and looked up by all tasks."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names: list[str] = []
-        inodes: list[str] = []
-        for _ in (row for rows in batches for row in rows["id"]):
-            for entry in os.scandir(folder) if os.path.isdir(folder) else ():
-                if entry.is_file():
-                    names.append(entry.name)
-                    inodes.append(str(entry.stat().st_ino))
-                if len(names) == batch:
-                    yield pd.DataFrame({"name": names, "inode": inodes})
-                    names, inodes = [], []
-        yield pd.DataFrame({"name": names, "inode": inodes}, dtype=object)
+    def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            yield pd.DataFrame({"name": rows["path"], "inode": [str(os.stat(os.path.join(folder, name)).st_ino) for name in rows["path"]]}, dtype=object)
 
-    return spark.range(0, 1, 1, 1).mapInPandas(run, "name string, inode string")
+    os.makedirs(folder, exist_ok=True)
+    names = file_tree(spark, folder).where(~F.col("path").contains("/")).select("path")
+    return dealt(names).mapInPandas(look_up, "name string, inode string")
 
 
 def link_plan(corpus: DataFrame, spark, pdf_dir: str, folder: str) -> DataFrame:
@@ -53,21 +48,11 @@ def link_plan(corpus: DataFrame, spark, pdf_dir: str, folder: str) -> DataFrame:
 
 
 def apply_links(plan: DataFrame, pdf_dir: str, folder: str) -> dict[str, int]:
-    """Carries out a link plan on the driver's file system; how many were linked, kept and removed. What is kept does not reach the driver."""
+    """Carries out a link plan by the workers, which mount both folders; how many were linked, kept and removed."""
     os.makedirs(folder, exist_ok=True)
-    done = {"link": 0, "keep": 0, "remove": 0}
     plan = checkpointed(plan)  # so that what is being linked and removed does not change the plan
-    done["keep"] = plan.where("action = 'keep'").count()
-    for row in plan.where("action <> 'keep'").toLocalIterator():
-        path = os.path.join(folder, row.name)
-        done[row.action] += 1
-        if row.action == "remove":
-            os.remove(path)
-        elif row.action == "link":
-            if os.path.lexists(path):
-                os.remove(path)
-            os.link(os.path.join(pdf_dir, row.target), path)
-    return done
+    write_links(plan, pdf_dir, folder)
+    return {"link": 0, "keep": 0, "remove": 0} | {r.action: r["count"] for r in plan.groupBy("action").count().collect()}
 
 
 def site_data(corpus: DataFrame) -> DataFrame:

@@ -1,13 +1,9 @@
-"""File sources: PDF trees, zips, extracted texts, drop listings, text layers and page images."""
+"""File sources: PDF trees, extracted texts, drop listings, text layers and page images."""
 
 from __future__ import annotations
 
-import io
-import os
-import re
 import subprocess
 import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -16,69 +12,27 @@ from pyspark.sql import functions as F
 
 from docketry import schemas
 from docketry.functions.text import basename, drop_of, extension, stem
+from docketry.sources.trees import digests, file_tree, read_contents, with_text
 
 
-def _below(path: Column, root: str) -> Column:
-    """A scanned path (with its scheme) as a path below the root directory."""
-    clean = root.split("://", 1)[-1].rstrip("/").removeprefix("file:")
-    return F.regexp_replace(path, "^.*?" + _quoted(clean) + "/+", "")
-
-
-def _quoted(text: str) -> str:
-    return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
-
-
-def _passed_over(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """``path, content`` of the files that Spark's readers pass over: empty ones, and those with a ``_`` before their name or a directory's.
-
-    The listing is the file system's own, as Spark's is, on the driver; only what readers pass over is kept of it. Contents are read by
-    the workers. ``name`` is a regular expression for the whole file name.
-    """
-    where = spark._jvm.org.apache.hadoop.fs.Path(root)
-    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    wanted, rows, top = re.compile(name), [], None
-    entries = system.listFiles(where, True) if system.exists(where) else None
-    top = system.makeQualified(where).toString().rstrip("/") + "/"
-    while entries is not None and entries.hasNext():
-        entry = entries.next()
-        path, size = entry.getPath().toString(), entry.getLen()
-        parts = path.removeprefix(top).split("/")
-        if wanted.fullmatch(parts[-1]) and (not size or any(p.startswith("_") and "=" not in p for p in parts)):
-            rows.append((path, size))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        for batch in batches:
-            for path, size in zip(batch["path"], batch["size"], strict=True):
-                content = b""
-                if size:
-                    store, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
-                    with store.open_input_file(inner) as file:
-                        content = file.read()
-                yield pd.DataFrame({"path": [path], "content": [content]})
-
-    return spark.createDataFrame(rows, "path string, size long").mapInPandas(run, "path string, content binary")
+def _pdfs(spark: SparkSession, root: str) -> DataFrame:
+    """``path, size`` of all PDFs inside drops, whatever the case of their extension; names that begin with a dot are skipped."""
+    return file_tree(spark, root, r"(?is).*\.pdf").where(F.col("path").contains("/"))
 
 
 def scan_contents(spark: SparkSession, root: str) -> DataFrame:
-    """``path, content`` of all PDFs inside drops, whatever the case of their extension; names that begin with a dot are skipped."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").option("recursiveFileLookup", "true").load(root).select("path", "content")
-    files = found.unionByName(_passed_over(spark, root, r"(?is).*\.pdf")).select(_below(F.col("path"), root).alias("path"), "content")
-    return files.where(F.col("path").contains("/") & ~F.col("path").rlike(r"(^|/)\."))
+    """``path, content`` of all PDFs inside drops."""
+    return read_contents(_pdfs(spark, root), root)
 
 
 def scan_pdfs(spark: SparkSession, root: str) -> DataFrame:
-    """``path, sha256`` of the files of :func:`scan_contents`."""
-    return scan_contents(spark, root).select("path", F.sha2("content", 256).alias("sha256"))
+    """``path, sha256`` of all PDFs inside drops; files of any size, as their contents are no rows."""
+    return digests(_pdfs(spark, root), root)
 
 
 def scan_texts(spark: SparkSession, root: str) -> DataFrame:
     """``dir, stem, ext, text_path, text`` of the extracted texts (``md`` or ``txt``); an empty file is an empty text."""
-    read = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{md,txt}").text(root, wholetext=True)
-    rows = read.select(F.try_url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))).alias("path"), F.col("value").alias("text"))
-    more = _passed_over(spark, root, r"(?s).*\.(?:md|txt)").select("path", F.col("content").cast("string").alias("text"))
-    rows = rows.unionByName(more).select(_below(F.col("path"), root).alias("text_path"), "text").where(~F.col("text_path").rlike(r"(^|/)\."))
+    rows = with_text(file_tree(spark, root, r"(?s).*\.(?:md|txt)"), root).select(F.col("path").alias("text_path"), "text")
     name = basename(F.col("text_path"))
     return rows.select(F.regexp_replace("text_path", r"/[^/]*$", "").alias("dir"), stem(name).alias("stem"), F.lower(F.substring(extension(name), 2, 10)).alias("ext"), "text_path", "text")
 
@@ -93,22 +47,6 @@ def with_text_paths(files: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.select(*files.columns, F.col("_best.text_path").alias("text_path"))
 
 
-def unzip(spark: SparkSession, zips: str) -> DataFrame:
-    """``drop, path, content`` of the files in drop zips; names are read as UTF-8 where the zip says so."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                drop = os.path.basename(path).removesuffix(".zip")
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for entry in archive.infolist():
-                        if not entry.is_dir():
-                            yield pd.DataFrame({"drop": [drop], "path": [f"{drop}/{entry.filename}"], "content": [archive.read(entry)]})
-
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(zips)
-    return found.select("path", "content").mapInPandas(run, "drop string, path string, content binary")
-
-
 def drop_listing(spark: SparkSession, folder: str) -> DataFrame:
     """``filename, date, valid`` of the zips in a folder, by name; contents are not read."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder).select(basename(F.col("path")).alias("filename"))
@@ -218,25 +156,6 @@ def read_texts(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schemas.TEXTS).parquet(folder).select(*[f.name for f in schemas.TEXTS.fields])
 
 
-def write_files(files: DataFrame, folder: str) -> int:
-    """Writes ``files(path, content)`` as files below a folder that the workers reach, and gives their number. A file has its name only once it is whole."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        store, top = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                place = f"{top.rstrip('/')}/{path}"
-                store.create_dir(os.path.dirname(place), recursive=True)
-                with store.open_output_stream(f"{place}.part") as file:
-                    file.write(content)
-                store.move(f"{place}.part", place)
-            yield pd.DataFrame({"n": [len(batch)]})
-
-    return files.select("path", "content").mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-
-
 def checksummed(files: DataFrame) -> DataFrame:
     """``filename, sha256`` of ``files(path, content)``."""
     return files.select(basename(F.col("path")).alias("filename"), F.sha2("content", 256).alias("sha256"))

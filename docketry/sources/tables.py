@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +11,8 @@ from pyspark.sql import functions as F
 from docketry import schemas
 from docketry.functions.category import CATEGORIES
 from docketry.plans.request import slugify
+from docketry.sources.trees import opened
+from docketry.sources.writers import staged
 
 DEFAULT_KIND, STATEMENT_KIND = "disclosure", "sfi"
 _KNOWN = ("custodian", "kind", "agency", "year", "url", "notes")
@@ -19,12 +20,14 @@ _KNOWN = ("custodian", "kind", "agency", "year", "url", "notes")
 
 def load_yaml(path: str) -> Any:
     """YAML by the usual library, or JSON (which YAML contains) where that is not installed."""
-    with open(path, encoding="utf-8") as file:
-        try:
-            import yaml
-        except ImportError:
-            return json.load(file)
-        return yaml.safe_load(file)
+    store, place = opened(path)
+    with store.open_input_stream(place) as file:
+        text = file.read().decode("utf-8")
+    try:
+        import yaml
+    except ImportError:
+        return json.loads(text)
+    return yaml.safe_load(text)
 
 
 def drop_metadata(spark: SparkSession, entries: dict[str, dict | None]) -> DataFrame:
@@ -90,6 +93,6 @@ def write_corpus_metadata(drops: DataFrame, path: str) -> None:
     for r in drops.orderBy("filename").collect():
         fields = {k: v for k, v in r.asDict().items() if v is not None and k != "extra"}
         rows.append({"filename": r["filename"], "date": str(r["date"])} | {k: v for k, v in fields.items() if k not in ("filename", "date")} | (r["extra"] or {}))
-    with open(f"{path}.tmp", "w", encoding="utf-8") as file:
-        json.dump({"drops": rows}, file, indent=2, ensure_ascii=False)
-    os.replace(f"{path}.tmp", path)
+    folder, _, name = path.rpartition("/")
+    with staged(folder or ".") as place:
+        place(name, iter([json.dumps({"drops": rows}, indent=2, ensure_ascii=False).encode()]))

@@ -10,7 +10,7 @@ from docketry.functions.display import delimit, drop_url, portal_path, slugify
 from docketry.operators import boilerplate, naming, rollup, syncplan
 from docketry.plans.corpus import build_corpus
 from docketry.sources import files as sources
-from docketry.sources import portal, tables
+from docketry.sources import archives, portal, tables
 
 
 def write(root, path, data):
@@ -169,7 +169,7 @@ def test_drops(spark, tmp_path):
         write(folder, name, data.getvalue())
     listing = sources.drop_listing(spark, folder)
     assert [(r.filename, r.valid) for r in listing.collect()] == [("2026-02-30-y.zip", False), ("2026-04-09-x.zip", True), ("bad.zip", False)]
-    assert {(r.drop, r.path, bytes(r.content)) for r in sources.unzip(spark, folder).where("drop like '2026-04%'").collect()} == {("2026-04-09-x", "2026-04-09-x/in/ä.pdf", b"pdf")}
+    assert {(r.drop, r.path, bytes(r.content)) for r in archives.unzip(spark, folder).where("drop like '2026-04%'").collect()} == {("2026-04-09-x", "2026-04-09-x/in/ä.pdf", b"pdf")}
     good = listing.where("valid")
     about = lambda *names: tables.drop_metadata(spark, {n: {"custodian": "c", "more": 1} for n in names})
     out = tables.checked_drops(good, about("2026-04-09-x.zip"))
