@@ -1,20 +1,27 @@
 """Faceted full-text search: index records and postings, matching, ranking, facet counts, paging.
 
-The index is two tables, one row for each (term, document) with its positions, and one for each document. A query reads
-the postings of its terms alone (a pushed-down filter), joins them on narrow rows, and fetches the texts of one page.
+Documents are numbered where they are written, and postings are rows of a term and a block of document numbers, with each document's frequency, length and
+positions (as gaps) in arrays, and the largest part of a score in the block. Rows lie in ranges of (term, block), so the postings of a term of all documents are
+spread over files, and a query reads those of its terms alone (a pushed-down filter). A sorted dictionary of terms with their stems serves prefixes and
+inflections. The first page by relevance needs only blocks whose largest parts can reach it (after Ding and Suel, "Faster Top-k Document Retrieval Using
+Block-Max Indexes", 2011).
 Ranking, left open by the data model, is BM25 (Robertson and Zaragoza, "The Probabilistic Relevance Framework", 2009); ties go by
 file name. Undated documents come last in either date order.
 """
 
 from __future__ import annotations
 
+import contextlib
+import functools
 import re
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from docketry.functions.dates import display_date, year_of
+from docketry.functions.stem import common_start, stem, stems
 from docketry.functions.text import longest
 from docketry.operators.durable import checkpointed
 from docketry.plans.request import PAGE_SIZE, SearchRequest
@@ -47,40 +54,101 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({_TOKEN})"), F.lit(1))
 
 
-@dataclass
-class Index:
-    """``postings(term, url, tf, positions)`` and ``entries(url, length, ...the record)``."""
+#: Documents of a block, as a power of two.
+BLOCK_BITS = 10
 
-    postings: DataFrame
-    entries: DataFrame
 
-    def write(self, folder: str, buckets: int | None = None) -> None:
-        """Postings are laid out by term, in as many ranges as asked for or as the session's shuffles have, so a query's filter skips all row groups but those of its terms."""
-        self.postings.repartitionByRange(*([buckets] if buckets else []), "term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{folder}/postings")
-        self.entries.write.mode("overwrite").parquet(f"{folder}/entries")
+def _part(tf: Column, length: Column, average: Column, k1: float, b: float) -> Column:
+    """A posting's part of a BM25 score, but for the term's weight."""
+    return tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / F.greatest(average, F.lit(1e-9))))
 
-    def preload(self, query: str) -> Index:
-        """The index with the postings of a query that is still being typed in memory: those of its terms, and of all terms that begin like the last one.
 
-        Only searches for such terms can use it; ``postings.unpersist()`` lets them go.
-        """
-        terms, _ = parse_query(query)
-        if not terms:
-            return self
-        postings = self.postings.where(F.col("term").isin(terms) | F.col("term").startswith(terms[-1])).cache()
-        postings.count()
-        return Index(postings, self.entries)
+@dataclass
+class Index:
+    """``blocks(term, block, n, cf, part, docs, tfs, lengths, gaps)``, ``terms(term, df, cf, stem)``, ``totals(n, average, k1, b)`` and ``entries(doc, url, length, ...the record)``.
+
+    ``loaded`` terms have their blocks in memory, see :meth:`preloaded`.
+    """
+
+    blocks: DataFrame
+    terms: DataFrame
+    totals: DataFrame
+    entries: DataFrame
+    loaded: frozenset[str] = frozenset()
+    memory: DataFrame | None = None
 
     @staticmethod
     def read(spark, folder: str) -> Index:
-        return Index(spark.read.parquet(f"{folder}/postings"), spark.read.parquet(f"{folder}/entries"))
+        return Index(*(spark.read.parquet(f"{folder}/{part}") for part in ("blocks", "terms", "totals", "entries")))
 
+    def of(self, terms: list[str]) -> DataFrame:
+        """The blocks of some terms, from memory if all of them are there."""
+        blocks = self.memory if self.memory is not None and self.loaded.issuperset(terms) else self.blocks
+        return blocks.where(F.col("term").isin(terms))
 
-def build_index(records: DataFrame) -> Index:
-    """Postings and entries of ``records(url, content, filters, meta, sort, ...)``."""
-    words = records.select("url", F.posexplode(tokens(F.col("content"))).alias("at", "term"))
-    postings = words.groupBy("term", "url").agg(F.count("*").cast("int").alias("tf"), F.sort_array(F.collect_list("at")).alias("positions"))
-    return Index(postings, records.withColumn("length", F.size(tokens(F.col("content")))))
+    @property
+    def postings(self) -> DataFrame:
+        """``term, doc, tf, gaps``, a row for each term of each document."""
+        return _unpacked(self.blocks, "term", gaps=True)
+
+    @contextlib.contextmanager
+    def preloaded(self, query: str, most: int = 1_000_000, least_letters: int = 2) -> Iterator[Index]:
+        """The index with the postings of a query that is still being typed in memory, until the block is left.
+
+        In memory are its terms and, from ``least_letters`` on, terms that begin like the last one, commonest first, as long as all of them
+        have no more than ``most`` postings. Searches for other terms read the written index.
+        """
+        words, _ = parse_query(query)
+        asked = F.col("term").isin(words)
+        begun = F.col("term").startswith(words[-1]) if words and len(words[-1]) >= least_letters else F.lit(False)
+        found = self.terms.where(asked | begun).orderBy(F.desc(asked), F.desc("df"), "term").limit(1000).select("term", "df").collect()
+        chosen, held = [], 0
+        for row in found:
+            held += row.df
+            if held > most:
+                break
+            chosen.append(row.term)
+        memory = self.blocks.where(F.col("term").isin(chosen)).cache()
+        try:
+            memory.count()
+            yield replace(self, loaded=frozenset([*chosen, *(w for w in words if w not in {r.term for r in found})]), memory=memory)
+        finally:
+            memory.unpersist()
+
+
+def _unpacked(blocks: DataFrame, *keep: str, gaps: bool = False) -> DataFrame:
+    """``doc, tf, length`` of each posting with some columns of its block; its ``gaps`` too if they are needed."""
+    arrays = ["docs", "tfs", "lengths", *(["gaps"] if gaps else [])]
+    rows = blocks.select(*keep, "block", F.explode(F.arrays_zip(*arrays)).alias("p"))
+    doc = F.shiftleft("block", BLOCK_BITS) + F.col("p.docs")
+    return rows.select(*keep, doc.alias("doc"), F.col("p.tfs").alias("tf"), F.col("p.lengths").alias("length"), *([F.col("p.gaps").alias("gaps")] if gaps else []))
+
+
+def write_index(records: DataFrame, folder: str, ranges: int | None = None, k1: float = 1.2, b: float = 0.75) -> None:
+    """The index of ``records(url, content, filters, meta, sort, ...)`` below a folder.
+
+    Tokens are sent once, in ranges of term and block; what one task gathers of a term is a block of documents. As many ranges as asked for, or as the
+    session's shuffles have.
+    """
+    spark = records.sparkSession
+    entries = records.withColumn("length", F.size(tokens(F.col("content")))).withColumn("doc", F.monotonically_increasing_id())
+    entries.write.mode("overwrite").parquet(f"{folder}/entries")
+    entries = spark.read.parquet(f"{folder}/entries")  # numbers hold from here on
+    totals = entries.agg(F.count("*").alias("n"), F.coalesce(F.avg("length"), F.lit(0.0)).alias("average"))
+    totals.withColumns({"k1": F.lit(k1), "b": F.lit(b)}).write.mode("overwrite").parquet(f"{folder}/totals")
+    average = spark.read.parquet(f"{folder}/totals").select("average").first()[0]
+    words = entries.select(F.shiftright("doc", BLOCK_BITS).alias("block"), F.col("doc").bitwiseAND((1 << BLOCK_BITS) - 1).cast("int").alias("d"), F.col("length").alias("l"), F.posexplode(tokens(F.col("content"))).alias("at", "term"))
+    words = words.repartitionByRange(*([ranges] if ranges else []), "term", "block")
+    each = words.groupBy("term", "block", "d").agg(F.first("l").alias("l"), F.sort_array(F.collect_list("at")).alias("at"))
+    gaps = F.zip_with("at", F.concat(F.array(F.lit(0)), F.slice("at", F.lit(1), F.size("at") - 1)), lambda x, y: x - y)
+    each = each.select("term", "block", F.struct("d", F.size("at").alias("tf"), "l", gaps.alias("gaps")).alias("p"))
+    rows = each.groupBy("term", "block").agg(F.sort_array(F.collect_list("p")).alias("p"))
+    parts = F.transform("p", lambda x: _part(x["tf"], x["l"], F.lit(float(average)), k1, b))
+    columns = [F.col("p.d").alias("docs"), F.col("p.tf").alias("tfs"), F.col("p.l").alias("lengths"), F.col("p.gaps").alias("gaps")]
+    blocks = rows.select("term", "block", F.size("p").alias("n"), F.aggregate("p.tf", F.lit(0).cast("long"), lambda x, y: x + y).alias("cf"), F.array_max(parts).alias("part"), *columns)
+    blocks.sortWithinPartitions("term", "block").write.mode("overwrite").parquet(f"{folder}/blocks")
+    known = spark.read.parquet(f"{folder}/blocks").groupBy("term").agg(F.sum("n").alias("df"), F.sum("cf").alias("cf"))
+    known.withColumn("stem", stems(F.col("term"))).repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{folder}/terms")
 
 
 def parse_query(query: str) -> tuple[list[str], list[list[str]]]:
@@ -91,30 +159,109 @@ def parse_query(query: str) -> tuple[list[str], list[list[str]]]:
     return list(dict.fromkeys(regex.findall(_TOKEN, query.lower()))), [p for p in phrases if len(p) > 1]
 
 
-def matches(index: Index, query: str, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """``url, score`` of the documents that have every term and, side by side, every quoted phrase; all documents for no terms."""
-    terms, phrases = parse_query(query)
-    if not terms:
-        return index.entries.select("url", F.lit(0.0).alias("score"))
-    hits = index.postings.where(F.col("term").isin(terms))
-    df = hits.groupBy(F.col("term").alias("_t")).agg(F.count("*").alias("df"))
-    n, avg_length = (index.entries.agg(total).scalar() for total in (F.count("*"), F.avg("length")))
-    scored = hits.join(df, F.col("term") == F.col("_t")).join(index.entries.select("url", "length"), "url")
-    idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.col("tf") + k1 * (1 - b + b * F.col("length") / F.greatest(avg_length, F.lit(1e-9)))
-    places = F.map_from_entries(F.collect_list(F.struct("term", "positions")))
-    found = scored.withColumn("_part", idf * F.col("tf") * (k1 + 1) / norm).groupBy("url").agg(F.sum("_part").alias("score"), F.count("*").alias("_terms"), places.alias("_at"))
-    found = found.where(F.col("_terms") == len(terms))
+def _idf(n: Column, df: Column) -> Column:
+    return F.log(1 + (n - df + 0.5) / (df + 0.5))
+
+
+def _hits(index: Index, words: list[str], inflected: bool, begun: bool, gaps: bool) -> DataFrame:
+    """``word, term, idf, doc, tf, length`` of the postings that answer each word of a query, by its place."""
+    if not inflected and not begun:
+        blocks = index.of(words)
+        df = blocks.groupBy(F.col("term").alias("_t")).agg(F.sum("n").alias("df"))
+        place = F.array_position(F.array(*map(F.lit, words)), F.col("term")).cast("int") - 1
+        rows = _unpacked(blocks, "term", gaps=gaps).withColumn("word", place).join(df, F.col("term") == F.col("_t"))
+    else:
+        answers, starts = [], []
+        for k, word in enumerate(words):
+            this = F.col("term") == word
+            if inflected:
+                this = this | (F.col("stem") == stem(word))
+            if begun and k == len(words) - 1:
+                this = this | F.col("term").startswith(word)
+            answers.append(F.when(this, F.lit(k)))
+            starts.append(F.col("term").startswith(common_start(word) if inflected else word))
+        near = functools.reduce(lambda x, y: x | y, starts)  # pushed down to both tables, which are sorted by term
+        known = index.terms.where(near).select(F.col("term").alias("_t"), "df", F.explode(F.array_compact(F.array(*answers))).alias("word"))
+        rows = _unpacked(index.blocks.where(near), "term", gaps=gaps).join(known, F.col("term") == F.col("_t"))
+    return rows.withColumn("idf", _idf(index.totals.select("n").scalar(), F.col("df"))).drop("_t", "df")
+
+
+def _scored(index: Index, hits: DataFrame, words: list[str]) -> DataFrame:
+    k1, b = index.totals.select("k1").scalar(), index.totals.select("b").scalar()
+    rows = hits.withColumn("_p", F.col("idf") * _part(F.col("tf"), F.col("length"), index.totals.select("average").scalar(), k1, b))
+    found = rows.groupBy("doc", "word").agg(F.sum("_p").alias("_p")).groupBy("doc").agg(F.sum("_p").alias("score"), F.count("*").alias("_words"))
+    return found.where(F.col("_words") == len(words)).select("doc", F.round("score", 9).alias("score"))  # sums of any order are one score
+
+
+def _with_phrase(hits: DataFrame, words: list[str], phrase: list[str]) -> DataFrame:
+    """``doc`` of the documents in which the words of a phrase follow one another. A word may be in it twice."""
+    steps = F.array(*[F.struct(F.lit(words.index(w)).alias("word"), F.lit(k).alias("step")) for k, w in enumerate(phrase)])
+    places = hits.where(F.col("word").isin([words.index(w) for w in phrase])).select("doc", "word", "term", F.posexplode("gaps").alias("i", "gap"))
+    places = places.withColumn("at", F.sum("gap").over(Window.partitionBy("doc", "word", "term").orderBy("i")))  # of one document
+    starts = places.withColumn("s", F.explode(F.filter(steps, lambda x: x["word"] == F.col("word")))).select("doc", (F.col("at") - F.col("s.step")).alias("start"), "s.step").distinct()
+    return starts.groupBy("doc", "start").agg(F.count("*").alias("n")).where(F.col("n") == len(phrase)).select("doc").distinct()
+
+
+def matching(index: Index, query: str, inflected: bool = False, begun: bool = False) -> DataFrame:
+    """``doc, score`` of the documents that have every term and, side by side, every quoted phrase; all documents for no terms.
+
+    ``inflected`` takes words of the same English stem for a term, ``begun`` those that begin like the last one, as it may still be typed.
+    """
+    words, phrases = parse_query(query)
+    if not words:
+        return index.entries.select("doc", F.lit(0.0).alias("score"))
+    hits = _hits(index, words, inflected, begun, bool(phrases))
+    found = _scored(index, hits.drop("gaps"), words)
     for phrase in phrases:
-        together = F.element_at("_at", F.lit(phrase[0]))
-        for step, term in enumerate(phrase[1:], 1):
-            together = F.array_intersect(together, _shifted(F.element_at("_at", F.lit(term)), step))
-        found = found.where(F.size(together) > 0)
-    return found.select("url", "score")
+        found = found.join(_with_phrase(hits, words, phrase), "doc", "left_semi")
+    return found
 
 
-def _shifted(positions: Column, by: int) -> Column:
-    return F.transform(positions, lambda p: p - by)
+def matches(index: Index, query: str, inflected: bool = False, begun: bool = False) -> DataFrame:
+    """``url, score`` of :func:`matching`."""
+    return index.entries.select("doc", "url").join(matching(index, query, inflected, begun), "doc").select("url", "score")
+
+
+@dataclass
+class Best:
+    """Rows ``doc, url, filename, score`` of the best matches, how many blocks of documents have all terms, and how many were read."""
+
+    rows: list[Row]
+    blocks: int
+    read: int
+
+
+def best_matches(index: Index, query: str, size: int = PAGE_SIZE, filters: dict[str, tuple[str, ...]] | None = None, first: int = 8) -> Best:
+    """The best ``size`` matches of a query's terms by relevance, ties by file name and address, without reading what cannot be among them.
+
+    Blocks of documents go by the sum of their terms' largest parts; once ``size`` matches score more than the next block can, the rest is left unread.
+    Phrases and null queries have no bound, so they are not for this. At most ``size`` rows and the numbers of one round's blocks reach the driver.
+    """
+    words, phrases = parse_query(query)
+    if not words or phrases:
+        raise ValueError("only terms outside of phrases have bounds")
+    blocks = index.of(words)
+    weight = {r.term: r.w for r in blocks.groupBy("term").agg(F.sum("n").alias("df")).select("term", _idf(index.totals.select("n").scalar(), F.col("df")).alias("w")).collect()}
+    if len(weight) < len(words):
+        return Best([], 0, 0)
+    weighted = F.element_at(F.create_map(*[x for t, w in weight.items() for x in (F.lit(t), F.lit(w))]), F.col("term"))
+    bounds = blocks.groupBy("block").agg(F.sum(weighted * F.col("part")).alias("bound"), F.count("*").alias("_n")).where(F.col("_n") == len(words)).select("block", F.round("bound", 8).alias("bound"))
+    total, read, rows, after, step = bounds.count(), 0, [], None, first
+    place = F.array_position(F.array(*map(F.lit, words)), F.col("term")).cast("int") - 1
+    narrow = index.entries.where(facet_condition(filters or {})).select("doc", "url", F.element_at("meta", F.lit("filename")).alias("filename"))
+    while True:
+        left = bounds if after is None else bounds.where((F.col("bound") < after[0]) | ((F.col("bound") == after[0]) & (F.col("block") > after[1])))
+        now = left.orderBy(F.desc("bound"), "block").limit(step).collect()
+        if len(rows) == size:
+            now = [r for r in now if r.bound + 1e-6 >= rows[-1].score]
+        if not now:
+            return Best(rows, total, read)
+        numbers = [r.block for r in now]
+        hits = _unpacked(blocks.where(F.col("block").isin(numbers)), "term").select(place.alias("word"), weighted.alias("idf"), "doc", "tf", "length")
+        inside = functools.reduce(lambda x, y: x | y, [F.col("doc").between(k << BLOCK_BITS, ((k + 1) << BLOCK_BITS) - 1) for k in numbers])
+        found = _scored(index, hits, words).join(narrow.where(inside), "doc").select("doc", "url", "filename", "score")
+        rows = sorted([*rows, *found.orderBy(F.desc("score"), "filename", "url").limit(size).collect()], key=lambda r: (-r.score, r.filename is not None, r.filename or "", r.url))[:size]
+        read, after, step = read + len(now), (now[-1].bound, now[-1].block), min(2 * step, 256)
 
 
 def facet_condition(filters: dict[str, tuple[str, ...]], but: str | None = None) -> Column:
@@ -126,19 +273,27 @@ def facet_condition(filters: dict[str, tuple[str, ...]], but: str | None = None)
     return out
 
 
-def candidates(index: Index, query: str) -> DataFrame:
+def candidates(index: Index, query: str, inflected: bool = False, begun: bool = False) -> DataFrame:
     """The matches of a query with what filters, sorting and counting need, before any filter; texts stay where they are."""
-    narrow = index.entries.select("url", "filters", "sort", F.element_at("meta", F.lit("filename")).alias("filename"))
-    return narrow.join(matches(index, query), "url")
+    narrow = index.entries.select("doc", "url", "filters", "sort", F.element_at("meta", F.lit("filename")).alias("filename"))
+    return narrow.join(matching(index, query, inflected, begun), "doc").drop("doc")
 
 
 def facet_counts(found: DataFrame, filters: dict[str, tuple[str, ...]]) -> DataFrame:
-    """``facet, value, n``: for each value, the matches it has under the other facets' selections, whatever its own facet has."""
-    parts = [found.where(facet_condition(filters, name)).select(F.lit(name).alias("facet"), F.explode(F.element_at("filters", F.lit(name))).alias("value")) for name in FACETS]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.groupBy("facet", "value").agg(F.count("*").alias("n"))
+    """``facet, value, n``: for each value, the matches it has under the other facets' selections, whatever its own facet has.
+
+    The matches are read once: each has a bit for every facet whose selection it fails, and counts for a facet if it has no other bit.
+    """
+    failed = F.lit(0)
+    for k, name in enumerate(FACETS):
+        failed = failed + F.when(facet_condition({name: filters.get(name, ())}), 0).otherwise(1 << k)
+
+    def own(k: int, name: str) -> Column:
+        values = F.transform(F.element_at("filters", F.lit(name)), lambda v: F.struct(F.lit(name).alias("facet"), v.alias("value")))
+        return F.when(F.col("_failed").bitwiseAND(~(1 << k)) == 0, values)
+
+    values = F.flatten(F.array_compact(F.array(*[own(k, name) for k, name in enumerate(FACETS)])))
+    return found.withColumn("_failed", failed).select(F.explode(values).alias("v")).groupBy("v.facet", "v.value").agg(F.count("*").alias("n"))
 
 
 def facet_options(dimension: DataFrame, counts: DataFrame, filters: dict[str, tuple[str, ...]]) -> DataFrame:
@@ -157,17 +312,30 @@ def order_by(sort: str) -> list[Column]:
     return [first, F.asc("filename"), F.asc("url")]
 
 
-def search(index: Index, request: SearchRequest) -> tuple[DataFrame, DataFrame, int, int]:
+def after_row(sort: str, key: float | str | None, filename: str | None, url: str) -> Column:
+    """Whether a match comes after one of that score (or date), file name and address, in the order of :func:`order_by`."""
+    name, low = F.col("filename"), F.lit(filename).cast("string")
+    later = F.when(low.isNull(), name.isNotNull()).otherwise(F.coalesce(name > low, F.lit(False))) | (name.eqNullSafe(low) & (F.col("url") > url))
+    if sort == "relevance":
+        return (F.col("score") < F.lit(key)) | ((F.col("score") == F.lit(key)) & later)
+    date, last = F.element_at("sort", F.lit("date")), F.lit(key).cast("string")
+    beyond = date < last if sort == "newest" else date > last
+    return F.when(last.isNull(), date.isNull() & later).otherwise(F.coalesce(beyond, F.lit(True)) | (date.eqNullSafe(last) & later))
+
+
+def search(index: Index, request: SearchRequest, after: tuple[float | str | None, str | None, str] | None = None, inflected: bool = False, begun: bool = False) -> tuple[DataFrame, DataFrame, int, int]:
     """One page of results, the facet counts, the total, and the number of the page shown (the last one if past the end).
 
     The matches are found once, as narrow rows that are written; count, page and facets read these. The page is the top of them,
-    and only its rows are joined with their records.
+    and only its rows are joined with their records. ``after`` (score or date, file name and address of the last row of the page before) asks for the page
+    that follows it, for which no row of the earlier pages is sorted again.
     """
-    found = checkpointed(candidates(index, request.query))
+    found = checkpointed(candidates(index, request.query, inflected, begun))
     chosen = found.where(facet_condition(request.filters))
     total = chosen.count()
     page = min(request.page, max(1, -(-total // PAGE_SIZE)))
-    ranked = chosen.orderBy(*order_by(request.sort)).offset(PAGE_SIZE * (page - 1)).limit(PAGE_SIZE).select("url", "score")
+    ranked = chosen.where(after_row(request.sort, *after)) if after else chosen
+    ranked = ranked.orderBy(*order_by(request.sort)).offset(0 if after else PAGE_SIZE * (page - 1)).limit(PAGE_SIZE).select("url", "score")
     terms, _ = parse_query(request.query)
     shown = index.entries.join(F.broadcast(ranked), "url")  # at most a page
     shown = shown.withColumn("filename", F.element_at("meta", F.lit("filename"))).orderBy(*order_by(request.sort))

@@ -626,8 +626,8 @@ def category_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT 'https://files/' || filename AS url FROM docs WHERE list_contains(words, 'with') AND list_contains(words, 'the')""")
 def preloaded_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A search over the postings that were put in memory while its last word was being typed."""
-    warm = _index(spark, sf_dir).preload("with th")
-    return search.matches(warm, "with the").select("url")
+    with _index(spark, sf_dir).preloaded("with th") as warm:
+        return checkpointed(search.matches(warm, "with the").select("url"))
 
 
 @registered("""

@@ -277,7 +277,7 @@ def _index(spark: SparkSession, sf_dir: str) -> search.Index:
         F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("filename"), F.lit(None).cast("string").alias("custodian"), F.col("lang").alias("category"), date.alias("date"), F.array(F.concat("source", F.lit(".pdf"))).alias("original_filenames"),
         F.col("text").alias("fulltext"), F.col("source").alias("name"), F.lit(None).cast("string").alias("title"), F.lit("").alias("agency"),
     )
-    folder = made_once(spark, sf_dir, "index", lambda place: search.build_index(search.index_records(rows, "https://files")).write(place))
+    folder = made_once(spark, sf_dir, "index", lambda place: search.write_index(search.index_records(rows, "https://files"), place))
     return search.Index.read(spark, folder)
 
 
@@ -317,10 +317,33 @@ def search_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.matches(_index(spark, sf_dir), "with").select("url", F.round("score", 6).alias("score"))
 
 
+_BM25 = "ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / avg_length))"
+_TERMS_SQL = rf"""{_INDEX_SQL}, n AS (SELECT count(*) AS n, avg(len(words)) AS avg_length FROM docs),
+    tf AS (SELECT filename, lang, date, len(words) AS length, term, count(*) AS tf FROM (SELECT *, unnest(words) AS term FROM docs) GROUP BY ALL),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1)"""
+
+
+@registered(rf"""
+    WITH {_TERMS_SQL}, w AS (SELECT filename, term = 'of' AS first, sum({_BM25}) AS part FROM tf JOIN df USING (term), n WHERE term = 'of' OR starts_with(term, 'th') GROUP BY ALL)
+    SELECT 'https://files/' || filename AS url, round(sum(part), 6) AS score FROM w GROUP BY filename HAVING count(*) = 2""")
+def search_begun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BM25 scores of a search whose last word is still being typed: all words that begin so answer for it."""
+    return search.matches(_index(spark, sf_dir), "OF th", begun=True).select("url", F.round("score", 6).alias("score"))
+
+
+@registered(rf"""
+    WITH {_TERMS_SQL}, w AS (SELECT filename, round(sum({_BM25}), 9) AS score FROM tf JOIN df USING (term), n WHERE term IN ('the', 'and') AND lang IN ('en') GROUP BY filename HAVING count(*) = 2)
+    SELECT 'https://files/' || filename AS url, filename, round(score, 6) AS score FROM (SELECT *, row_number() OVER (ORDER BY score DESC, filename) AS place FROM w) WHERE place <= 20""")
+def search_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first page by relevance under a facet, found by blocks of largest parts."""
+    best = search.best_matches(_index(spark, sf_dir), "the and", 20, {"category": ("en",)})
+    return spark.createDataFrame([(r.url, r.filename, r.score) for r in best.rows], "url string, filename string, score double").withColumn("score", F.round("score", 6))
+
+
 @registered(rf"WITH {_INDEX_SQL} SELECT w AS term, count(DISTINCT filename) AS df, count(*) AS cf FROM (SELECT filename, unnest(words) AS w FROM docs) GROUP BY 1")
 def index_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document and collection frequencies of the index's terms."""
-    return _index(spark, sf_dir).postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+    return _index(spark, sf_dir).blocks.groupBy("term").agg(F.sum("n").alias("df"), F.sum("cf").alias("cf"))
 
 
 @registered(rf"""

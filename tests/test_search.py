@@ -1,7 +1,14 @@
+import math
+import os
+import random
+import re
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from docketry import schemas
+from docketry.functions import stem
 from docketry.operators import search
 from docketry.plans import request
 from docketry.plans.request import SearchRequest, page_numbers, parse_url, summary, url_for
@@ -20,7 +27,7 @@ def index(spark, tmp_path_factory):
     full = [(f, None, c, d, None, o, f, None, t, n, p, g) for f, c, d, o, t, n, p, g in rows]
     corpus = spark.createDataFrame(full, schemas.CORPUS)
     folder = str(tmp_path_factory.mktemp("index"))
-    search.build_index(search.index_records(corpus, "https://files/")).write(folder, buckets=2)
+    search.write_index(search.index_records(corpus, "https://files/"), folder, ranges=2)
     return search.Index.read(spark, folder)
 
 
@@ -118,3 +125,138 @@ def test_cache_is_by_query_and_skips_overtaken_runs():
     cache.get(SearchRequest("fast"), run)
     cache.get(SearchRequest("slow"), run)
     assert runs == ["a", "slow", "fast", "slow"]
+
+
+def records(spark, texts):
+    rows = [(f"https://f/{k:05}", t, {"filename": f"{k % 37:03}"}, {"category": ["A" if k % 3 else "B"], **({"year": [str(2000 + k % 5)]} if k % 4 else {})}, {"date": str(2000 + k % 5)} if k % 4 else {}) for k, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "url string, content string, meta map<string,string>, filters map<string,array<string>>, sort map<string,string>")
+
+
+@pytest.fixture(scope="module")
+def wide(spark, tmp_path_factory):
+    """An index of 5,000 documents in several blocks, with a term that all have; the texts too."""
+    pick = random.Random(4)
+    texts = [" ".join(["all", *pick.choices(["tax", "taxes", "taxing", "town", "towns", "gift", "gifted", "report"], weights=[9, 1, 1, 5, 2, 3, 1, 7], k=pick.randint(1, 12)), *(["filler"] * pick.choice([0, 0, 5, 90]))]) for _ in range(5000)]
+    folder = str(tmp_path_factory.mktemp("wide"))
+    search.write_index(records(spark, texts).repartition(3, "url").sortWithinPartitions("url"), folder, ranges=64)
+    return search.Index.read(spark, folder), texts, folder
+
+
+def by_hand(texts, groups):
+    """Scores of the documents that have a term of each group."""
+    bags = [Counter(re.findall(r"\w+", t)) for t in texts]
+    df, n = Counter(t for b in bags for t in b), len(texts)
+    average = sum(map(len, map(str.split, texts))) / n
+    out = {}
+    for k, bag in enumerate(bags):
+        if all(any(t in bag for t in g) for g in groups):
+            length = sum(bag.values())
+            parts = [math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * bag[t] * 2.2 / (bag[t] + 1.2 * (0.25 + 0.75 * length / average)) for g in groups for t in g if t in bag]
+            out[f"https://f/{k:05}"] = round(sum(parts), 6)
+    return out
+
+
+def test_a_term_of_all_documents_lies_in_several_files(spark, wide):
+    index, texts, folder = wide
+    rows = index.blocks.where("term = 'all'").withColumn("file", F.input_file_name()).collect()
+    assert len({r.file for r in rows}) > 1 and sum(r.n for r in rows) == 5000 and max(r.n for r in rows) <= 1 << search.BLOCK_BITS
+    got = {(r.term, r.df, r.cf) for r in index.terms.collect()}
+    bags = [Counter(t.split()) for t in texts]
+    assert got == {(t, sum(t in b for b in bags), sum(b[t] for b in bags)) for t in set().union(*bags)}
+    assert index.postings.count() == sum(map(len, bags))
+    row = index.postings.join(index.entries.where("url = 'https://f/00007'").select("doc"), "doc").where("term = 'all'").first()
+    assert row.gaps == [0] and row.tf == 1
+
+
+def test_index_is_built_with_one_exchange_of_tokens(spark, wide, monkeypatch):
+    plans = []
+    frame = type(spark.range(1))
+    plain = frame.sortWithinPartitions
+    monkeypatch.setattr(frame, "sortWithinPartitions", lambda self, *a: plans.append(self._jdf.queryExecution().executedPlan().toString()) or plain(self, *a))
+    search.write_index(records(spark, ["a b", "b c"]), os.path.join(wide[2], "again"), ranges=2)
+    assert plans[0].count("Exchange ") == 1 and "rangepartitioning(term" in plans[0]
+
+
+@pytest.mark.parametrize(("query", "inflected", "begun", "groups"), [
+    ("tax TOWN", False, False, [["tax"], ["town"]]), ("taxes town", True, False, [["tax", "taxes", "taxing"], ["town", "towns"]]), ("all ta", False, True, [["all"], ["tax", "taxes", "taxing"]]),
+    ("gifts tow", True, True, [["gift", "gifted"], ["town", "towns"]]), ("none tax", True, True, [["none"], ["tax"]]),
+])
+def test_scores_of_words_inflections_and_beginnings(wide, query, inflected, begun, groups):
+    index, texts, _ = wide
+    got = {r.url: round(r.score, 6) for r in search.matches(index, query, inflected, begun).collect()}
+    assert got == pytest.approx(by_hand(texts, groups), abs=2e-6) and (got or "none" in query)
+
+
+def test_phrases_by_gaps(wide, spark):
+    index, texts, _ = wide
+    for phrase in ("tax tax", "all town", "town gift town"):
+        expected = {f"https://f/{k:05}" for k, t in enumerate(texts) if f" {phrase} " in f" {t} "}
+        assert {r.url for r in search.matches(index, f'"{phrase}"').collect()} == expected and expected
+
+
+def test_best_matches_equal_the_full_ranking_and_read_less(wide):
+    index, texts, _ = wide
+    for query, filters in (("tax gift", {}), ("all", {}), ("gifted taxing towns", {"category": ("B",)}), ("report town", {"year": ("2001", "2003")}), ("none", {})):
+        found = search.candidates(index, query).where(search.facet_condition(filters))
+        full = found.orderBy(*search.order_by("relevance")).limit(7).collect()
+        best = search.best_matches(index, query, 7, filters, first=1)
+        assert [(r.url, r.score) for r in best.rows] == [(r.url, r.score) for r in full]
+        assert best.read <= best.blocks
+    with pytest.raises(ValueError, match="phrases"):
+        search.best_matches(index, '"a b"')
+
+
+def test_best_matches_leave_blocks_unread(spark, tmp_path):
+    texts = ["rare " * (20 if k < 1000 else 1) + "x " * 50 for k in range(6000)]
+    search.write_index(records(spark, texts).coalesce(1), str(tmp_path), ranges=2)
+    best = search.best_matches(search.Index.read(spark, str(tmp_path)), "rare", 5, first=1)
+    assert best.blocks == 6 and best.read == 1 and len(best.rows) == 5
+
+
+@pytest.mark.parametrize("sort", ["relevance", "newest", "oldest"])
+def test_pages_after_a_row_follow_one_another(wide, sort):
+    index, _, _ = wide
+    found = search.candidates(index, "taxes gift")
+    full = [r.url for r in found.orderBy(*search.order_by(sort)).collect()]
+    seen, last = [], None
+    while True:
+        rows = found.where(search.after_row(sort, *last)) if last else found
+        page = rows.orderBy(*search.order_by(sort)).limit(61).collect()
+        if not page:
+            break
+        seen += [r.url for r in page]
+        last = (page[-1].score if sort == "relevance" else page[-1].sort.get("date"), page[-1].filename, page[-1].url)
+    assert seen == full and len(full) > 100
+    one = search.search(index, SearchRequest("taxes gift", {}, sort))[0].collect()
+    key = found.where(F.col("url") == one[-1].url).first()
+    two = search.search(index, SearchRequest("taxes gift", {}, sort), (key.score if sort == "relevance" else key.sort.get("date"), key.filename, key.url))[0]
+    assert [r.url for r in one] + [r.url for r in two.collect()] == full[:40]
+
+
+def test_facets_read_the_matches_once(wide):
+    found = search.candidates(wide[0], "taxes")
+    plan = search.facet_counts(found, {"category": ("A",)})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Union") == 0 and plan.count("Generate explode") == found._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") + 1
+
+
+def test_preloaded_terms_are_bounded_and_let_go(wide):
+    index, texts, _ = wide
+    with index.preloaded("all ta") as warm:
+        assert warm.loaded == {"all", "ta", "tax", "taxes", "taxing"} and warm.memory.is_cached
+        got = {r.url: r.score for r in search.matches(warm, "all taxing").collect()}
+        assert "InMemoryTableScan" in search.matches(warm, "taxing")._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryTableScan" not in search.matches(warm, "gift")._jdf.queryExecution().executedPlan().toString()
+        assert {r.url for r in search.matches(warm, "gift").limit(3).collect()}
+    assert not warm.memory.is_cached and got == {r.url: r.score for r in search.matches(index, "all taxing").collect()}
+    with index.preloaded("all t") as letter, index.preloaded("all ta", most=5200) as few:
+        assert letter.loaded == {"all", "t"} and few.loaded == {"all", "ta"}
+    with index.preloaded("") as none:
+        assert search.matches(none, "").count() == 5000
+
+
+def test_stems():
+    # The examples of the published rules.
+    pairs = "caresses caress ponies poni ties ti caress caress cats cat feed feed agreed agre plastered plaster bled bled motoring motor sing sing conflated conflat troubled troubl sized size hopping hop tanned tan falling fall hissing hiss fizzed fizz failing fail filing file happy happi sky sky relational relat conditional condit rational ration valenci valenc digitizer digit conformabli conform radicalli radic differentli differ vileli vile analogousli analog vietnamization vietnam predication predic operator oper feudalism feudal decisiveness decis hopefulness hope callousness callous formaliti formal sensitiviti sensit sensibiliti sensibl triplicate triplic formative form formalize formal electriciti electr electrical electr hopeful hope goodness good revival reviv allowance allow inference infer airliner airlin gyroscopic gyroscop adjustable adjust defensible defens irritant irrit replacement replac adjustment adjust dependent depend adoption adopt homologou homolog communism commun activate activ angulariti angular homologous homolog effective effect bowdlerize bowdler probate probat rate rate cease ceas controll control roll roll".split()
+    assert [(w, stem.stem(w)) for w in pairs[::2]] == list(zip(pairs[::2], pairs[1::2], strict=True))
+    assert [stem.stem(w) for w in ("as", "été", "x1s", "")] == ["as", "été", "x1s", ""]
+    assert all(w.startswith(stem.common_start(w)) for w in pairs)
