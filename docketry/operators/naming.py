@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.operators.durable import checkpointed, numbered
+from docketry.operators.durable import checkpointed, numbered, written
 
 #: How names end that are given to the second and later rows of a stem.
 NUMBER = r"_[1-9][0-9]*$"
@@ -34,53 +35,74 @@ def allocate(wanted: Iterable[tuple[str, str]], taken: set[str] | None = None) -
         yield name
 
 
-def _ancestors(stem: Column) -> Column:
-    """The stems that a stem is left as when one, two, ... numbers are taken off its end, the nearest first."""
-    parts = F.split(F.regexp_extract(stem, r"((?:_[1-9][0-9]*)+)$", 1), "_")  # the first part is empty
-    lengths = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda k: F.aggregate(F.slice(parts, -k, k), F.lit(0), lambda n, p: n + F.length(p) + 1))
-    return F.when(stem.rlike(NUMBER), F.transform(lengths, lambda n: F.substr(stem, F.lit(1), F.length(stem) - n)))
+def _links(stems: DataFrame) -> DataFrame:
+    """``_name, _child, _k, _order, _key`` of the stems that are another one's name with a number: the parent, the child, the number, and the child's first row."""
+    number = F.regexp_extract("_low", r"_([1-9][0-9]{0,17})$", 1)
+    children = stems.where(number != "").select(_joined(F.regexp_replace("_low", NUMBER, ""), F.col("_lowext")).alias("_name"), _joined(F.col("_low"), F.col("_lowext")).alias("_child"), number.cast("long").alias("_k"), "_first.*")
+    return children.join(stems.select(_joined(F.col("_low"), F.col("_lowext")).alias("_name")), "_name", "left_semi")
 
 
-def _contested(stems: DataFrame) -> DataFrame:
-    """``_low, _ext, _top`` of the stems whose names others may take or have taken, from ``stems(_low, _ext, _n)``, one row each.
+def _joined(low: Column, ext: Column) -> Column:
+    return F.concat(low, F.lit("\x00"), ext)
 
-    Only a stem of several rows gives out numbered names. One of these can be another stem (``a_1`` beside two ``a``), whose rows may then
-    give out numbered names as well, and so on along stems that are there. ``_top`` is the first stem of such a line.
+
+def _skips(links: pd.DataFrame) -> pd.DataFrame:
+    """Which numbers the rows of one stem skip, from the numbers ``_k`` that are stems themselves and ``_rows``, its rows before the first of each of these.
+
+    A stem's rows take numbers in turn. At a number that is a stem, the row in turn takes it if it comes before that stem's first row, else it is taken
+    already and is skipped.
     """
-    down = stems.select("_low", "_ext", F.posexplode(_ancestors(F.col("_low"))).alias("_level", "_up"))
-    known = stems.select(F.col("_low").alias("_k"), F.col("_ext").alias("_e"), F.col("_n").alias("_m"))
-    met = down.join(known, (F.col("_up") == F.col("_k")) & (F.col("_ext") == F.col("_e"))).groupBy("_low", "_ext").agg(F.array_sort(F.collect_list(F.struct("_level", "_m", "_up"))).alias("_line"))
-    unbroken = F.filter("_line", lambda x, k: x["_level"] == k)
-    last = F.array_max(F.transform(unbroken, lambda x: F.when(x["_m"] > 1, x["_level"])))
-    hit = met.withColumn("_line", unbroken).withColumn("_last", last).where("_last is not null")
-    line = F.slice("_line", F.lit(1), F.col("_last") + 1)
-    hit = hit.select("_low", "_ext", F.transform(line, lambda x: x["_up"]).alias("_ups"))
-    members = hit.select(F.explode(F.concat(F.array("_low"), "_ups")).alias("_low"), "_ext", F.element_at("_ups", -1).alias("_top"))
-    return members.groupBy("_low", "_ext").agg(F.min(F.struct(F.length("_top"), "_top")).alias("_t")).select("_low", "_ext", F.col("_t._top").alias("_top"))
+    links = links.sort_values("_k")
+    skipped, turn, n = [], [], 0
+    for k, before, base in zip(links["_k"], links["_rows"], links["_base"], strict=True):
+        row = k - base - n
+        skipped.append(row >= before)
+        turn.append(row)
+        n += row >= before
+    return pd.DataFrame({"_name": links["_name"], "_child": links["_child"], "_skipped": skipped, "_turn": turn})
 
 
 def unique_names(docs: DataFrame, key: str, order: str, stem: str = "stem", ext: str = "ext") -> DataFrame:
-    """``key, filename`` for each row of ``docs``.
+    """``key, filename`` for each row of ``docs``: what :func:`allocate` gives the rows in order, without going through them in order.
 
-    Most rows need no fold in order. A stem (compared without case, with its extension) of one row that nothing else can take keeps
-    its name; the rows of a stem that no other stem can meet are numbered by their rank, however many rows there are. Only lines of stems that
-    numbers can make meet (``a``, ``a_1``, ``a_1_1``, and one of several rows among them) are folded in order, a line in one task.
+    A name can be wanted from two sides only: by the first row of the stem that it is, and by a row of the stem that it is with a number after it. For a
+    row that has reached a number, the name is gone if the stem of that name has had a row before. So numbers of stems need the order of their own rows
+    and of other stems' first rows, but not what those were given. Only whether a stem's first row still finds the bare name
+    depends on the stem above, so that is told from the top down, in as many rounds as numbers follow one another at a name's end (``a_1_2``: two). All counting is by ranges, so a
+    stem of any number of rows is spread over tasks; one task gets no more of a stem than its numbers that are stems themselves.
     """
     rows = docs.select(F.col(key).alias("_key"), F.col(order).alias("_order"), F.col(stem).alias("_stem"), F.col(ext).alias("_ext"), F.lower(F.col(stem)).alias("_low"), F.lower(F.col(ext)).alias("_lowext"))
-    stems = checkpointed(rows.groupBy("_low", F.col("_lowext").alias("_ext")).agg(F.count("*").alias("_n")))
-    contested = _contested(stems).select(F.col("_low").alias("_l"), F.col("_ext").alias("_e"), "_top")
-    marked = stems.join(contested, (F.col("_low") == F.col("_l")) & (F.col("_ext") == F.col("_e")), "left").select(F.col("_low").alias("_l"), F.col("_ext").alias("_e"), "_n", "_top")
-    rows = rows.join(marked, (F.col("_low") == F.col("_l")) & (F.col("_lowext") == F.col("_e"))).drop("_l", "_e")
-    kind = docs.schema[key].dataType.simpleString()
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["_order", "_key"], kind="stable")
-        return pd.DataFrame({"key": group["_key"].to_numpy(), "filename": list(allocate(zip(group["_stem"], group["_ext"], strict=True)))})
-
-    alone = rows.where("_n = 1 and _top is null").select(F.col("_key").alias("key"), F.concat("_stem", "_ext").alias("filename"))
-    same = rows.where("_n > 1 and _top is null").withColumn("_name", F.concat("_low", F.lit("\x00"), "_lowext"))
-    same = numbered(same, "_name", ["_order", "_key"], "_nth")
-    number = F.when(F.col("_nth") > 1, F.concat(F.lit("_"), (F.col("_nth") - 1).cast("string"))).otherwise("")
-    same = same.select(F.col("_key").alias("key"), F.concat("_stem", number, "_ext").alias("filename"))
-    mixed = rows.where("_top is not null").select("_key", "_order", "_stem", "_ext", "_top", "_lowext").groupBy("_top", "_lowext").applyInPandas(fold, f"key {kind}, filename string")
-    return alone.unionByName(same).unionByName(mixed).select(F.col("key").alias(key), "filename")
+    rows = rows.withColumn("_name", _joined(F.col("_low"), F.col("_lowext")))
+    stems = checkpointed(rows.groupBy("_low", "_lowext").agg(F.count("*").alias("_n"), F.min(F.struct("_order", "_key")).alias("_first")))
+    links = checkpointed(_links(stems))
+    kept = ["_name", "_order", "_key"]
+    markers = numbered(links.select(*kept, "_child", "_k"), "_name", ["_order", "_key"], "_nth").withColumn("_kind", F.lit(0))
+    above = rows.join(links.select("_name").distinct(), "_name", "left_semi").select(*kept, F.lit(None).cast("string").alias("_child"), F.lit(None).cast("long").alias("_k"), F.lit(None).cast("int").alias("_nth"), F.lit(1).alias("_kind"))
+    placed = numbered(markers.unionByName(above), "_name", ["_order", "_key", "_kind"], "_place").where("_kind = 0")
+    placed, _ = written(placed.select("_name", "_child", "_k", (F.col("_place") - F.col("_nth")).cast("long").alias("_rows")))
+
+    told = []
+    now = placed.join(placed.select(F.col("_child").alias("_name")), "_name", "left_anti").withColumn("_base", F.lit(0).cast("long"))
+    while True:
+        level, _ = written(now.groupBy("_name").applyInPandas(_skips, "_name string, _child string, _skipped boolean, _turn long"))
+        if level.isEmpty():
+            break
+        told.append(level)
+        now = placed.join(level.select(F.col("_child").alias("_name"), F.when(F.col("_skipped"), 0).otherwise(1).cast("long").alias("_base")), "_name")
+    known = functools.reduce(DataFrame.unionByName, told, level)
+
+    bases = known.where("not _skipped").select(F.col("_child").alias("_name"), F.lit(1).alias("_base"))
+    many = stems.select(_joined(F.col("_low"), F.col("_lowext")).alias("_name"), "_n")
+    rows = rows.join(many, "_name").join(bases, "_name", "left").withColumn("_base", F.coalesce("_base", F.lit(0)))
+    alone = rows.where("_n = 1 and _base = 0").select(F.col("_key").alias("key"), F.concat("_stem", "_ext").alias("filename"))
+    mine = numbered(rows.where("_n > 1 or _base = 1").drop("_low", "_lowext", "_n"), "_name", ["_order", "_key"], "_nth").withColumn("_nth", F.col("_nth").cast("long") - 1)
+    events = known.where("_skipped").select("_name", F.col("_turn").alias("_nth"))
+    skipping = events.select("_name").distinct()
+    plain = mine.join(skipping, "_name", "left_anti").withColumn("_number", F.col("_base") + F.col("_nth"))
+    mixed = mine.join(skipping, "_name", "left_semi").withColumn("_kind", F.lit(1))
+    events = events.join(mixed.select("_name").distinct(), "_name", "left_semi")  # others have no row that could come to them
+    both = mixed.unionByName(events.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
+    mixed = numbered(both, "_name", ["_nth", "_kind"], "_place").where("_kind = 1").withColumn("_number", F.col("_base") + F.col("_place") - 1).drop("_kind", "_place")
+    number = F.when(F.col("_number") > 0, F.concat(F.lit("_"), F.col("_number").cast("string"))).otherwise("")
+    given = plain.unionByName(mixed).select(F.col("_key").alias("key"), F.concat("_stem", number, "_ext").alias("filename"))
+    return alone.unionByName(given).select(F.col("key").alias(key), "filename")

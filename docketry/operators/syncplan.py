@@ -38,8 +38,8 @@ def checksum_report(files: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def manifest_of(files: DataFrame) -> DataFrame:
-    """``sha256, filename`` of ``files(path, content)``, by name."""
-    return files.select(F.sha2("content", 256).alias("sha256"), F.element_at(F.split("path", "/"), -1).alias("filename")).orderBy("filename")
+    """``sha256, filename`` of ``files(filename, sha256)``, by name."""
+    return files.select("sha256", "filename").orderBy("filename")
 
 
 def pending(jobs: DataFrame, done: DataFrame, key: str, limit: int | None = None, order: str | None = None) -> DataFrame:

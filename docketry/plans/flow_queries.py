@@ -21,8 +21,8 @@ from docketry.functions import dates, filer, text
 from docketry.operators import naming, rollup, search, syncplan
 from docketry.operators.durable import checkpointed
 from docketry.plans import corpus, ingest, pages, publish, request
-from docketry.plans.registered import made_once, read, registered
-from docketry.sources import archives, files, portal, tables, writers
+from docketry.plans.registered import fresh, made_once, read, registered
+from docketry.sources import archives, files, portal, tables, trees, writers
 from docketry.streaming import incremental
 
 AS_OF = datetime.date(2026, 6, 1)
@@ -161,7 +161,9 @@ def corpus_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     toxic = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels").where("toxic = 1").select("doc_id"), "doc_id")
     gone = toxic.select(F.sha2(F.when(F.col("doc_id") % 50 == 49, "").otherwise(F.col("text")), 256).alias("sha256"))
     built = corpus.build_corpus(pdfs, texts, drops, gone, AS_OF)
-    return tables.read_corpus(spark, made_once(spark, sf_dir, "corpus", lambda folder: tables.write_corpus(built, folder)))
+    with fresh(spark, "corpus") as folder:
+        tables.write_corpus(built, folder)
+        return checkpointed(tables.read_corpus(spark, folder))
 
 
 @registered("""
@@ -338,20 +340,23 @@ def drops_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
         metadata = tables.drop_metadata(spark, tables.load_yaml(f"{place}/metadata.yml"))
         tables.write_corpus_metadata(tables.checked_drops(listing, metadata), f"{place}/metadata.json")
 
-    place = made_once(spark, sf_dir, "drops", write)
-    return tables.read_corpus_metadata(spark, f"{place}/metadata.json").select("filename", "date", "custodian", "kind", "year")
+    with fresh(spark, "drops") as place:
+        write(place)
+        return checkpointed(tables.read_corpus_metadata(spark, f"{place}/metadata.json").select("filename", "date", "custodian", "kind", "year"))
 
 
 @registered(f"""WITH {_ZIPS} SELECT "drop" || '.zip' AS filename, CASE n_nationkey % 4 WHEN 0 THEN 'mismatch' WHEN 1 THEN 'unlisted' ELSE 'ok' END AS status FROM z
     UNION ALL SELECT 'gone-' || n_name || '.zip', 'missing' FROM nation""")
 def zip_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The zips' checksums, written as a manifest with some lines changed, left out or added, and checked against the files."""
-    zips = spark.read.format("binaryFile").load(_zips(spark, sf_dir)).select("path", "content")
+    folder = _zips(spark, sf_dir)
+    zips = trees.digests(trees.file_tree(spark, folder, r".*\.zip"), folder).withColumnRenamed("path", "filename")
     n = F.regexp_extract("filename", r"NATION_(\d+)", 1).cast("int") % 4
     listed = syncplan.manifest_of(zips).where(n != 1).select(F.concat(F.when(n == 0, F.sha2(F.lit("x"), 256)).otherwise(F.col("sha256")), F.lit("  "), "filename").alias("value"))
     more = read(spark, sf_dir, "nation").select(F.concat(F.sha2(F.lit("y"), 256), F.lit("  gone-"), "n_name", F.lit(".zip")).alias("value"))
-    folder = made_once(spark, sf_dir, "manifest", lambda place: listed.unionByName(more).write.text(place))
-    return syncplan.checksum_report(files.checksummed(zips), tables.manifest(spark, folder))
+    with fresh(spark, "manifest") as place:
+        listed.unionByName(more).write.text(place)
+        return checkpointed(syncplan.checksum_report(zips, tables.manifest(spark, place)))
 
 
 # Conversations as scans: a third are statements with a text layer of a page for each turn; some cannot be recognised.
@@ -397,7 +402,9 @@ def ingested_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         files.write_texts(done, folder)
         files.write_texts(out.texts(), folder)
 
-    return files.read_texts(spark, made_once(spark, sf_dir, "ingested", write))
+    with fresh(spark, "ingested") as folder:
+        write(folder)
+        return checkpointed(files.read_texts(spark, folder))
 
 
 @registered("""WITH f AS (SELECT DISTINCT 'scans/' || conv_id || '.pdf' AS pdf FROM conversations WHERE conv_id % 3 <> 0 AND conv_id % 41 = 1 AND conv_id <> 2)
@@ -439,9 +446,9 @@ def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     notes = F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("from <"), "n_name", F.lit(">")))
     drops = read(spark, sf_dir, "nation").select(F.concat(day, F.lit("-"), "n_name", F.lit(".zip")).alias("filename"), day.alias("date"), F.col("n_name").alias("custodian"), notes.alias("notes"), own.alias("url"))
     made = pages.home_page(rows, drops, "https://files/drops", "A & B").unionByName(pages.search_page(rows, tables.categories(spark), "A & B"))
-    folder = made_once(spark, sf_dir, "site", lambda place: writers.write_files(made, place))
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return found.select(F.regexp_extract("path", r"-site/(.*)$", 1).alias("path"), F.col("content").cast("string").alias("html"))
+    with fresh(spark, "site") as folder:
+        writers.write_files(made, folder)
+        return checkpointed(trees.with_text(trees.file_tree(spark, folder), folder).withColumnRenamed("text", "html"))
 
 
 def _portal(spark: SparkSession, sf_dir: str) -> str:
@@ -504,7 +511,9 @@ def stream_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
             part.write.mode("append").parquet(f"{folder}/in")
             incremental.run_pending(spark, f"{folder}/in", rows.schema, f"{folder}/out", f"{folder}/mark", work, "o_orderkey")
 
-    return spark.read.parquet(made_once(spark, sf_dir, "stream", run) + "/out")
+    with fresh(spark, "stream") as folder:
+        run(folder)
+        return checkpointed(incremental.read_batches(spark, f"{folder}/out"))
 
 
 @registered("""SELECT conv_id::VARCHAR AS doc, count(*)::INT AS num_pages, string_agg(text, '' ORDER BY turn) AS markdown, sum(length(text))::BIGINT AS total_token_count FROM conversations
@@ -521,10 +530,12 @@ def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         for part in (rows.where("page_num % 2 = 1"), rows.where("page_num % 2 = 0")):
             part.write.mode("append").parquet(f"{folder}/in")
             stream = incremental.collect_pages(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"))
-            write = stream.writeStream.foreachBatch(lambda batch, _: batch.write.mode("append").parquet(f"{folder}/out")).option("checkpointLocation", f"{folder}/mark")
+            write = stream.writeStream.foreachBatch(incremental.once(f"{folder}/out", f"{folder}/mark")).option("checkpointLocation", f"{folder}/mark")
             write.trigger(availableNow=True).start().awaitTermination()
 
-    return spark.read.parquet(made_once(spark, sf_dir, "pages", run) + "/out")
+    with fresh(spark, "pages") as folder:
+        run(folder)
+        return checkpointed(incremental.read_batches(spark, f"{folder}/out"))
 
 
 # Search requests: what the page shows for them.

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,8 +32,21 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@contextlib.contextmanager
+def fresh(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new folder in the shared folder for what a query makes in one run, gone afterwards."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        delete(spark, folder)
+
+
 def made_once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[str], None]) -> str:
-    """The folder of something that queries of one session share, in the shared folder; made when it is first asked for."""
+    """The folder of inputs that queries of one session share (files that stand for the tables, the search index), in the shared folder; made when first asked for.
+
+    No query's outcome is kept this way: see :func:`fresh`.
+    """
     digest = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
     folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{digest}-{name}"
     if folder not in _MADE:

@@ -99,6 +99,32 @@ def test_greedy_names(spark):
     assert got == model and len({v.lower() for v in got.values()}) == len(rows)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_names_are_those_of_the_fold_in_order(spark, seed):
+    pick = random.Random(seed)
+    stems = ["a", "A", "a_1", "a_2", "a_3", "a_1_1", "a_1_2", "a_1_1_1", "a_2_1", "b_1", "b_1_1", "b_1_2", "c", "c_5", "c_01", "c_0", "c_99999999999999999999", "_1", "", "_1_1"]
+    rows = [(k, pick.choice(stems[: pick.choice([4, 10, 20])]), pick.choice([".pdf", ".PDF", ""])) for k in range(300)]
+    frame = spark.createDataFrame(rows, "k int, stem string, ext string")
+    got = {r.k: r.filename for r in naming.unique_names(frame, "k", "k").collect()}
+    assert got == dict(zip((r[0] for r in rows), naming.allocate((s, e) for _, s, e in rows), strict=True))
+
+
+def test_a_line_of_many_rows_is_numbered_in_several_tasks(spark):
+    pick = random.Random(8)
+    stem = lambda k: pick.choice(["ring", "ring", "Ring", f"ring_{k % 2000}", "ring_1_1"])
+    rows = [(k, stem(k), "") for k in range(20_000)]
+    frame = spark.createDataFrame(rows, "k int, stem string, ext string")
+    named = naming.unique_names(frame, "k", "k")
+    got = {r.k: r.filename for r in named.collect()}
+    assert got == dict(zip((r[0] for r in rows), naming.allocate((s, e) for _, s, e in rows), strict=True))
+    parts = [r["count"] for r in named.withColumn("part", F.spark_partition_id()).groupBy("part").count().collect()]
+    assert max(parts) < 15_000 and len(parts) > 2
+
+
+def test_names_of_nothing(spark):
+    assert naming.unique_names(spark.createDataFrame([], "k int, stem string, ext string"), "k", "k").count() == 0
+
+
 def test_boilerplate_thresholds(spark):
     def docs(n, with_line):
         return spark.createDataFrame([("d", f"the form\n\nown {k}\n" * 2 if k < with_line else f"own {k}") for k in range(n)], "drop string, fulltext string")
