@@ -17,6 +17,8 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
@@ -124,11 +126,54 @@ def _unpacked(blocks: DataFrame, *keep: str, gaps: bool = False) -> DataFrame:
     return rows.select(*keep, doc.alias("doc"), F.col("p.tfs").alias("tf"), F.col("p.lengths").alias("length"), *([F.col("p.gaps").alias("gaps")] if gaps else []))
 
 
+_CHUNK = "term string, block long, p array<struct<d:int,tf:int,l:int,gaps:array<int>>>"
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], at_once: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Postings of ``doc, length, words`` put together by block and term as far as they come together, about so many words at a time."""
+    for batch in batches:
+        sizes, first = batch.column("length").to_numpy(), 0
+        while first < batch.num_rows:
+            size = max(1, int(np.searchsorted(np.cumsum(sizes[first:]), at_once, side="right")))
+            yield from _together(batch.slice(first, size))
+            first += size
+
+
+def _together(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    words = batch.column("words")
+    sizes, doc = np.diff(words.offsets.to_numpy()), batch.column("doc").to_numpy()
+    encoded = words.flatten().dictionary_encode()
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    at, block = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes), (doc >> BLOCK_BITS)[row]
+    order = np.lexsort((encoded.indices.to_numpy(), block))  # stable: documents and places stay in order
+    term, block, row, at = encoded.indices.to_numpy()[order], block[order], row[order], at[order].astype(np.int32)
+    if not len(row):
+        return
+    chunk = np.ones(len(row), bool)
+    chunk[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+    posting = chunk.copy()
+    posting[1:] |= row[1:] != row[:-1]
+    gaps = np.where(posting, at, np.diff(at, prepend=np.int32(0)))
+    starts = np.flatnonzero(posting)
+    own = row[starts]
+    postings = pa.StructArray.from_arrays(
+        [
+            pa.array((doc[own] & ((1 << BLOCK_BITS) - 1)).astype(np.int32)), pa.array(np.diff([*starts, len(row)]).astype(np.int32)), batch.column("length").take(pa.array(own)).cast(pa.int32()),
+            pa.ListArray.from_arrays(pa.array([*starts, len(row)], pa.int32()), pa.array(gaps)),
+        ], ["d", "tf", "l", "gaps"],
+    )
+    firsts = np.flatnonzero(chunk)
+    lists = pa.ListArray.from_arrays(pa.array([*np.searchsorted(starts, firsts), len(starts)], pa.int32()), postings)
+    out = pa.RecordBatch.from_arrays([encoded.dictionary.take(pa.array(term[firsts])), pa.array(block[firsts]), lists], ["term", "block", "p"])
+    for at in range(0, out.num_rows, 8192):
+        yield out.slice(at, 8192)
+
+
 def write_index(records: DataFrame, folder: str, ranges: int | None = None, k1: float = 1.2, b: float = 0.75) -> None:
     """The index of ``records(url, content, filters, meta, sort, ...)`` below a folder.
 
-    Tokens are sent once, in ranges of term and block; what one task gathers of a term is a block of documents. As many ranges as asked for, or as the
-    session's shuffles have.
+    A task puts the postings of its own documents together by block and term, as arrays; these are sent once, in ranges of term and block, and what one task
+    gathers of a term is a block of documents. As many ranges as asked for, or as the session's shuffles have.
     """
     spark = records.sparkSession
     entries = records.withColumn("length", F.size(tokens(F.col("content")))).withColumn("doc", F.monotonically_increasing_id())
@@ -137,12 +182,8 @@ def write_index(records: DataFrame, folder: str, ranges: int | None = None, k1:
     totals = entries.agg(F.count("*").alias("n"), F.coalesce(F.avg("length"), F.lit(0.0)).alias("average"))
     totals.withColumns({"k1": F.lit(k1), "b": F.lit(b)}).write.mode("overwrite").parquet(f"{folder}/totals")
     average = spark.read.parquet(f"{folder}/totals").select("average").first()[0]
-    words = entries.select(F.shiftright("doc", BLOCK_BITS).alias("block"), F.col("doc").bitwiseAND((1 << BLOCK_BITS) - 1).cast("int").alias("d"), F.col("length").alias("l"), F.posexplode(tokens(F.col("content"))).alias("at", "term"))
-    words = words.repartitionByRange(*([ranges] if ranges else []), "term", "block")
-    each = words.groupBy("term", "block", "d").agg(F.first("l").alias("l"), F.sort_array(F.collect_list("at")).alias("at"))
-    gaps = F.zip_with("at", F.concat(F.array(F.lit(0)), F.slice("at", F.lit(1), F.size("at") - 1)), lambda x, y: x - y)
-    each = each.select("term", "block", F.struct("d", F.size("at").alias("tf"), "l", gaps.alias("gaps")).alias("p"))
-    rows = each.groupBy("term", "block").agg(F.sort_array(F.collect_list("p")).alias("p"))
+    words = entries.select("doc", "length", tokens(F.col("content")).alias("words")).mapInArrow(_chunks, _CHUNK)
+    rows = words.repartitionByRange(*([ranges] if ranges else []), "term", "block").groupBy("term", "block").agg(F.sort_array(F.flatten(F.collect_list("p"))).alias("p"))
     parts = F.transform("p", lambda x: _part(x["tf"], x["l"], F.lit(float(average)), k1, b))
     columns = [F.col("p.d").alias("docs"), F.col("p.tf").alias("tfs"), F.col("p.l").alias("lengths"), F.col("p.gaps").alias("gaps")]
     blocks = rows.select("term", "block", F.size("p").alias("n"), F.aggregate("p.tf", F.lit(0).cast("long"), lambda x, y: x + y).alias("cf"), F.array_max(parts).alias("part"), *columns)

@@ -177,6 +177,18 @@ def test_index_is_built_with_one_exchange_of_tokens(spark, wide, monkeypatch):
     assert plans[0].count("Exchange ") == 1 and "rangepartitioning(term" in plans[0]
 
 
+@pytest.mark.parametrize("at_once", [1, 7, 1000])
+def test_postings_of_a_batch_in_slices_of_any_size(at_once):
+    import pyarrow as pa
+
+    pick = random.Random(at_once)
+    texts = {doc: pick.choices(["a", "b", "ü", "c"], k=pick.choice([0, 1, 9, 30])) for doc in [5, 6, 1023, 1024, 1025, 1 << 33]}
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.int64()), pa.array([len(t) for t in texts.values()], pa.int32()), pa.array(texts.values(), pa.list_(pa.string()))], ["doc", "length", "words"])
+    got = sorted((r["term"], (r["block"] << search.BLOCK_BITS) + p["d"], p["tf"], p["l"], tuple(p["gaps"])) for out in search._chunks(iter([batch.slice(0, 2), batch.slice(2)]), at_once) for r in out.to_pylist() for p in r["p"])
+    places = {(t, doc): [k for k, w in enumerate(words) if w == t] for doc, words in texts.items() for t in set(words)}
+    assert got == sorted((t, doc, len(at), len(texts[doc]), tuple([at[0], *(y - x for x, y in zip(at, at[1:], strict=False))])) for (t, doc), at in places.items())
+
+
 @pytest.mark.parametrize(("query", "inflected", "begun", "groups"), [
     ("tax TOWN", False, False, [["tax"], ["town"]]), ("taxes town", True, False, [["tax", "taxes", "taxing"], ["town", "towns"]]), ("all ta", False, True, [["all"], ["tax", "taxes", "taxing"]]),
     ("gifts tow", True, True, [["gift", "gifted"], ["town", "towns"]]), ("none tax", True, True, [["none"], ["tax"]]),
