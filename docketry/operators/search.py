@@ -67,7 +67,7 @@ def _part(tf: Column, length: Column, average: Column, k1: float, b: float) -> C
 
 @dataclass
 class Index:
-    """``blocks(term, block, n, cf, part, docs, tfs, lengths, gaps)``, ``terms(term, df, cf, stem)``, ``totals(n, average, k1, b)`` and ``entries(doc, url, length, ...the record)``.
+    """``blocks(term, block, n, cf, part, docs, tfs, lengths, starts, gaps)``, ``terms(term, df, cf, stem)``, ``totals(n, average, k1, b)`` and ``entries(doc, url, length, ...the record)``.
 
     ``loaded`` terms have their blocks in memory, see :meth:`preloaded`.
     """
@@ -120,13 +120,18 @@ class Index:
 
 def _unpacked(blocks: DataFrame, *keep: str, gaps: bool = False) -> DataFrame:
     """``doc, tf, length`` of each posting with some columns of its block; its ``gaps`` too if they are needed."""
-    arrays = ["docs", "tfs", "lengths", *(["gaps"] if gaps else [])]
+    arrays = ["docs", "tfs", "lengths"]
+    if gaps:
+        own = F.transform(F.arrays_zip("starts", "tfs"), lambda x: F.slice("gaps", x["starts"] + 1, x["tfs"]))
+        blocks, arrays = blocks.withColumn("gaps", own), [*arrays, "gaps"]
     rows = blocks.select(*keep, "block", F.explode(F.arrays_zip(*arrays)).alias("p"))
     doc = F.shiftleft("block", BLOCK_BITS) + F.col("p.docs")
     return rows.select(*keep, doc.alias("doc"), F.col("p.tfs").alias("tf"), F.col("p.lengths").alias("length"), *([F.col("p.gaps").alias("gaps")] if gaps else []))
 
 
-_CHUNK = "term string, block long, p array<struct<d:int,tf:int,l:int,gaps:array<int>>>"
+#: Documents, frequencies, lengths, where each document's gaps begin, and the gaps of all of them; flat arrays, as nested ones take several times the room.
+_ARRAYS = ("docs", "tfs", "lengths", "starts", "gaps")
+_CHUNK = "term string, block long, " + ", ".join(f"{name} array<int>" for name in _ARRAYS)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], at_once: int = 1 << 20) -> Iterator[pa.RecordBatch]:
@@ -154,17 +159,13 @@ def _together(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     posting = chunk.copy()
     posting[1:] |= row[1:] != row[:-1]
     gaps = np.where(posting, at, np.diff(at, prepend=np.int32(0)))
-    starts = np.flatnonzero(posting)
-    own = row[starts]
-    postings = pa.StructArray.from_arrays(
-        [
-            pa.array((doc[own] & ((1 << BLOCK_BITS) - 1)).astype(np.int32)), pa.array(np.diff([*starts, len(row)]).astype(np.int32)), batch.column("length").take(pa.array(own)).cast(pa.int32()),
-            pa.ListArray.from_arrays(pa.array([*starts, len(row)], pa.int32()), pa.array(gaps)),
-        ], ["d", "tf", "l", "gaps"],
-    )
-    firsts = np.flatnonzero(chunk)
-    lists = pa.ListArray.from_arrays(pa.array([*np.searchsorted(starts, firsts), len(starts)], pa.int32()), postings)
-    out = pa.RecordBatch.from_arrays([encoded.dictionary.take(pa.array(term[firsts])), pa.array(block[firsts]), lists], ["term", "block", "p"])
+    starts, firsts = np.flatnonzero(posting), np.flatnonzero(chunk)
+    own, ends = row[starts], np.append(np.searchsorted(starts, firsts), len(starts))
+    begun = starts - np.repeat(firsts, np.diff(ends))
+    each = [doc[own] & ((1 << BLOCK_BITS) - 1), np.diff(starts, append=len(row)), batch.column("length").to_numpy()[own], begun]
+    lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32())) for values in each]
+    lists.append(pa.ListArray.from_arrays(pa.array(np.append(firsts, len(row)), pa.int32()), pa.array(gaps, pa.int32())))
+    out = pa.RecordBatch.from_arrays([encoded.dictionary.take(pa.array(term[firsts])), pa.array(block[firsts]), *lists], ["term", "block", *_ARRAYS])
     for at in range(0, out.num_rows, 8192):
         yield out.slice(at, 8192)
 
@@ -183,10 +184,14 @@ def write_index(records: DataFrame, folder: str, ranges: int | None = None, k1:
     totals.withColumns({"k1": F.lit(k1), "b": F.lit(b)}).write.mode("overwrite").parquet(f"{folder}/totals")
     average = spark.read.parquet(f"{folder}/totals").select("average").first()[0]
     words = entries.select("doc", "length", tokens(F.col("content")).alias("words")).mapInArrow(_chunks, _CHUNK)
-    rows = words.repartitionByRange(*([ranges] if ranges else []), "term", "block").groupBy("term", "block").agg(F.sort_array(F.flatten(F.collect_list("p"))).alias("p"))
-    parts = F.transform("p", lambda x: _part(x["tf"], x["l"], F.lit(float(average)), k1, b))
-    columns = [F.col("p.d").alias("docs"), F.col("p.tf").alias("tfs"), F.col("p.l").alias("lengths"), F.col("p.gaps").alias("gaps")]
-    blocks = rows.select("term", "block", F.size("p").alias("n"), F.aggregate("p.tf", F.lit(0).cast("long"), lambda x, y: x + y).alias("cf"), F.array_max(parts).alias("part"), *columns)
+    ranged = words.repartitionByRange(*([ranges] if ranges else []), "term", "block")
+    # Chunks of a block come from neighbouring runs of documents, so they are in order once their first documents are; there are few.
+    rows = ranged.groupBy("term", "block").agg(F.sort_array(F.collect_list(F.struct(*_ARRAYS))).alias("p"))
+    before = lambda k: F.aggregate(F.slice("p", F.lit(1), k), F.lit(0), lambda n, x: n + F.size(x["gaps"]))
+    shifted = F.transform("p", lambda x, k: F.transform(x["starts"], lambda n: n + before(k)))
+    rows = rows.select("term", "block", *[F.flatten(shifted if name == "starts" else F.col(f"p.{name}")).alias(name) for name in _ARRAYS])
+    parts = F.transform(F.arrays_zip("tfs", "lengths"), lambda x: _part(x["tfs"], x["lengths"], F.lit(float(average)), k1, b))
+    blocks = rows.select("term", "block", F.size("docs").alias("n"), F.size("gaps").cast("long").alias("cf"), F.array_max(parts).alias("part"), *_ARRAYS)
     blocks.sortWithinPartitions("term", "block").write.mode("overwrite").parquet(f"{folder}/blocks")
     known = spark.read.parquet(f"{folder}/blocks").groupBy("term").agg(F.sum("n").alias("df"), F.sum("cf").alias("cf"))
     known.withColumn("stem", stems(F.col("term"))).repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{folder}/terms")

@@ -138,7 +138,9 @@ def wide(spark, tmp_path_factory):
     pick = random.Random(4)
     texts = [" ".join(["all", *pick.choices(["tax", "taxes", "taxing", "town", "towns", "gift", "gifted", "report"], weights=[9, 1, 1, 5, 2, 3, 1, 7], k=pick.randint(1, 12)), *(["filler"] * pick.choice([0, 0, 5, 90]))]) for _ in range(5000)]
     folder = str(tmp_path_factory.mktemp("wide"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "300")  # so that blocks come in several chunks
     search.write_index(records(spark, texts).repartition(3, "url").sortWithinPartitions("url"), folder, ranges=64)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     return search.Index.read(spark, folder), texts, folder
 
 
@@ -184,7 +186,8 @@ def test_postings_of_a_batch_in_slices_of_any_size(at_once):
     pick = random.Random(at_once)
     texts = {doc: pick.choices(["a", "b", "ü", "c"], k=pick.choice([0, 1, 9, 30])) for doc in [5, 6, 1023, 1024, 1025, 1 << 33]}
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.int64()), pa.array([len(t) for t in texts.values()], pa.int32()), pa.array(texts.values(), pa.list_(pa.string()))], ["doc", "length", "words"])
-    got = sorted((r["term"], (r["block"] << search.BLOCK_BITS) + p["d"], p["tf"], p["l"], tuple(p["gaps"])) for out in search._chunks(iter([batch.slice(0, 2), batch.slice(2)]), at_once) for r in out.to_pylist() for p in r["p"])
+    rows = [r for out in search._chunks(iter([batch.slice(0, 2), batch.slice(2)]), at_once) for r in out.to_pylist()]
+    got = sorted((r["term"], (r["block"] << search.BLOCK_BITS) + d, n, size, tuple(r["gaps"][s : s + n])) for r in rows for d, n, size, s in zip(r["docs"], r["tfs"], r["lengths"], r["starts"], strict=True))
     places = {(t, doc): [k for k, w in enumerate(words) if w == t] for doc, words in texts.items() for t in set(words)}
     assert got == sorted((t, doc, len(at), len(texts[doc]), tuple([at[0], *(y - x for x, y in zip(at, at[1:], strict=False))])) for (t, doc), at in places.items())
 
