@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docketry.functions.bind import let
-from docketry.functions.text import strip
+from docketry.functions.text import edges, strip
 
 # The categories in display order.
 FINANCIAL_INTEREST = "Financial Interest"
@@ -44,7 +44,7 @@ def form_title(text: Column) -> Column:
     cleaned = F.transform(F.split(text, "\n"), lambda x: strip(F.regexp_replace(F.regexp_replace(x, r"\*", ""), " {2,}", " ")))
 
     def title(lines: Column) -> Column:
-        found = F.array_position(F.transform(lines, lambda x: x.rlike(TITLE_START) & (x == F.upper(x))), F.lit(True)).cast("int")
+        found = F.array_position(F.transform(lines, lambda x: x.rlike(edges(TITLE_START)) & (x == F.upper(x))), F.lit(True)).cast("int")
         return let(found, lambda at: F.when(at > 0, F.concat(F.get(lines, at - 1), F.lit(" "), F.coalesce(F.get(lines, at), F.lit("")))))
 
     return let(F.filter(cleaned, lambda x: x != ""), title)
@@ -58,7 +58,7 @@ def category(text: Column) -> Column:
         for label, pattern in TITLES:
             by_title = by_title.when(title.rlike(pattern), label)
         for label, pattern in CITATIONS:
-            by_citation = by_citation.when(text.rlike(pattern), label)
+            by_citation = by_citation.when(text.rlike(edges(pattern)), label)
         return F.when(title.isNotNull(), by_title.otherwise(OTHER)).otherwise(by_citation.otherwise(OTHER))
 
     return let(form_title(text), told)

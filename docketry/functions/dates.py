@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docketry.functions.bind import let
-from docketry.functions.text import stem
+from docketry.functions.text import edges, stem
 
 # Month abbreviations in order, full names, and a further usual abbreviation.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
@@ -45,7 +45,7 @@ def calendar_day(year: Column, month: Column, day: Column) -> Column:
 
 def _everywhere(text: Column, pattern: str, order: tuple[int, int, int]) -> Column:
     """Days read at every place where the pattern matches, overlapping ones too."""
-    groups = [F.regexp_extract_all(text, F.lit(f"(?={pattern})"), F.lit(g)) for g in order]
+    groups = [F.regexp_extract_all(text, F.lit(f"(?={edges(pattern)})"), F.lit(g)) for g in order]
     return F.transform(F.arrays_zip(*[g.alias(n) for g, n in zip(groups, "ymd", strict=True)]), lambda m: calendar_day(m["y"], m["m"], m["d"]))
 
 
@@ -57,7 +57,7 @@ def candidates(name: Column) -> Column:
 
 def stamp_date(text: Column) -> Column:
     """The day of the first received stamp; null if there is none or it is no day."""
-    part = [F.regexp_extract(text, STAMP, g) for g in (1, 2, 3)]
+    part = [F.regexp_extract(text, edges(STAMP), g) for g in (1, 2, 3)]
     return F.when(part[0] != "", calendar_day(part[0], month_number(part[1]).cast("string"), part[2]))
 
 

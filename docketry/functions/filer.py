@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docketry.functions.bind import let
 from docketry.functions.category import TIME_STAMP
-from docketry.functions.text import strip
+from docketry.functions.text import edges, strip
 
 _ALONE = r"(?=\s*(?::|\z))"
 # Labels at a line's start. A bare label counts only within so many lines after the name's.
@@ -45,7 +45,7 @@ def _value(lines: Column, at: Column, label: str) -> Column:
     def following(rest: Column) -> Column:
         return F.regexp_replace(F.when(rest == "", F.get(lines, at)).otherwise(rest), r"^[\s:]+", "")
 
-    return let(let(_after_label(F.get(lines, at - 1), label), following), lambda found: F.when(~found.rlike(BLANK), found))
+    return let(let(_after_label(F.get(lines, at - 1), label), following), lambda found: F.when(~found.rlike(edges(BLANK)), found))
 
 
 def filer(text: Column) -> Column:

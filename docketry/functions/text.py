@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -90,6 +91,20 @@ def line_key(line: Column) -> Column:
     return strip(F.regexp_replace(line, r"\s+", " "))
 
 
+def edges(pattern: str) -> str:
+    """The pattern with each word boundary spelt out by Unicode letters, digits and ``_``: what ``\\b`` takes for a letter differs by version of Java.
+
+    A boundary that begins a pattern, a group or an alternative stands before a word, any other after one.
+    """
+    word = r"[\p{L}\p{N}_]"
+
+    def spelt(found: re.Match) -> str:
+        begins = re.search(r"(?:^|\||\((?:\?[a-z]*:|\?[a-z]+\))?)\Z", pattern[: found.start()])
+        return f"(?<!{word})" if begins else f"(?!{word})"
+
+    return re.sub(r"\\b", spelt, pattern)
+
+
 def basename(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 

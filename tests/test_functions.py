@@ -91,3 +91,16 @@ def test_filer(spark):
         ("Name of public employee: Jane [REDACTED] Roe", ("Jane Roe", None, None)),
     ]
     assert [tuple(r) for r in column(spark, [c for c, _ in cases], filer.filer)] == [x for _, x in cases]
+
+
+def test_word_edges_are_unicode_whatever_the_version_of_java(spark):
+    from docketry.functions import category, dates, filer, text
+
+    for pattern in (dates.ISO_DAY, dates.US_DAY, dates.STAMP, category.TITLE_START, filer.BLANK, *(p for _, p in category.CITATIONS)):
+        assert "\\b" not in text.edges(pattern)
+    assert text.edges(r"(?iu)\bs\.|(?:\bx|y)\b") == r"(?iu)(?<![\p{L}\p{N}_])s\.|(?:(?<![\p{L}\p{N}_])x|y)(?![\p{L}\p{N}_])"
+    rows = [("és. 6",), ("s. 6",), ("_s. 6",), ("sec. 7é",), ("sec. 7.",), ("ésection 13",), ("(section 13)",)]
+    got = [r.c for r in spark.createDataFrame(rows, "t string").select(category.category(F.col("t")).alias("c")).collect()]
+    assert got == ["Other", "Financial Interest", "Other", "Other", "Financial Interest", "Other", "Financial Interest"]
+    days = spark.createDataFrame([("é2012-01-02",), ("2012-01-02é",), ("-2012-01-02-",)], "t string").select(dates.candidates(F.col("t")).alias("d")).collect()
+    assert [len(r.d) for r in days] == [0, 0, 1]
