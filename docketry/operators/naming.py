@@ -62,19 +62,8 @@ def _skips(links: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"_name": links["_name"], "_child": links["_child"], "_skipped": skipped, "_turn": turn})
 
 
-def unique_names(docs: DataFrame, key: str, order: str, stem: str = "stem", ext: str = "ext") -> DataFrame:
-    """``key, filename`` for each row of ``docs``: what :func:`allocate` gives the rows in order, without going through them in order.
-
-    A name can be wanted from two sides only: by the first row of the stem that it is, and by a row of the stem that it is with a number after it. For a
-    row that has reached a number, the name is gone if the stem of that name has had a row before. So numbers of stems need the order of their own rows
-    and of other stems' first rows, but not what those were given. Only whether a stem's first row still finds the bare name
-    depends on the stem above, so that is told from the top down, in as many rounds as numbers follow one another at a name's end (``a_1_2``: two). All counting is by ranges, so a
-    stem of any number of rows is spread over tasks; one task gets no more of a stem than its numbers that are stems themselves.
-    """
-    rows = docs.select(F.col(key).alias("_key"), F.col(order).alias("_order"), F.col(stem).alias("_stem"), F.col(ext).alias("_ext"), F.lower(F.col(stem)).alias("_low"), F.lower(F.col(ext)).alias("_lowext"))
-    rows = rows.withColumn("_name", _joined(F.col("_low"), F.col("_lowext")))
-    stems = checkpointed(rows.groupBy("_low", "_lowext").agg(F.count("*").alias("_n"), F.min(F.struct("_order", "_key")).alias("_first")))
-    links = checkpointed(_links(stems))
+def _known(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``_name, _child, _skipped, _turn`` of each link: whether the parent's rows skip the number, and the row whose turn it was."""
     kept = ["_name", "_order", "_key"]
     markers = numbered(links.select(*kept, "_child", "_k"), "_name", ["_order", "_key"], "_nth").withColumn("_kind", F.lit(0))
     above = rows.join(links.select("_name").distinct(), "_name", "left_semi").select(*kept, F.lit(None).cast("string").alias("_child"), F.lit(None).cast("long").alias("_k"), F.lit(None).cast("int").alias("_nth"), F.lit(1).alias("_kind"))
@@ -89,20 +78,50 @@ def unique_names(docs: DataFrame, key: str, order: str, stem: str = "stem", ext:
             break
         told.append(level)
         now = placed.join(level.select(F.col("_child").alias("_name"), F.when(F.col("_skipped"), 0).otherwise(1).cast("long").alias("_base")), "_name")
-    known = functools.reduce(DataFrame.unionByName, told, level)
+    return functools.reduce(DataFrame.unionByName, told, level)
 
-    bases = known.where("not _skipped").select(F.col("_child").alias("_name"), F.lit(1).alias("_base"))
-    many = stems.select(_joined(F.col("_low"), F.col("_lowext")).alias("_name"), "_n")
-    rows = rows.join(many, "_name").join(bases, "_name", "left").withColumn("_base", F.coalesce("_base", F.lit(0)))
-    alone = rows.where("_n = 1 and _base = 0").select(F.col("_key").alias("key"), F.concat("_stem", "_ext").alias("filename"))
-    mine = numbered(rows.where("_n > 1 or _base = 1").drop("_low", "_lowext", "_n"), "_name", ["_order", "_key"], "_nth").withColumn("_nth", F.col("_nth").cast("long") - 1)
-    events = known.where("_skipped").select("_name", F.col("_turn").alias("_nth"))
+
+def _turns(rows: DataFrame) -> DataFrame:
+    """``_nth`` of each row within its stem, from 0."""
+    return numbered(rows.drop("_low", "_lowext", "_n"), "_name", ["_order", "_key"], "_nth").withColumn("_nth", F.col("_nth").cast("long") - 1)
+
+
+def _numbers(mine: DataFrame, events: DataFrame) -> DataFrame:
+    """``_number`` of each row: its turn, and the numbers that were skipped up to it (``events(_name, _nth)``, each before the row of that turn)."""
     skipping = events.select("_name").distinct()
     plain = mine.join(skipping, "_name", "left_anti").withColumn("_number", F.col("_base") + F.col("_nth"))
     mixed = mine.join(skipping, "_name", "left_semi").withColumn("_kind", F.lit(1))
     events = events.join(mixed.select("_name").distinct(), "_name", "left_semi")  # others have no row that could come to them
     both = mixed.unionByName(events.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
     mixed = numbered(both, "_name", ["_nth", "_kind"], "_place").where("_kind = 1").withColumn("_number", F.col("_base") + F.col("_place") - 1).drop("_kind", "_place")
+    return plain.unionByName(mixed)
+
+
+def unique_names(docs: DataFrame, key: str, order: str, stem: str = "stem", ext: str = "ext") -> DataFrame:
+    """``key, filename`` for each row of ``docs``: what :func:`allocate` gives the rows in order, without going through them in order.
+
+    A name can be wanted from two sides only: by the first row of the stem that it is, and by a row of the stem that it is with a number after it. For a
+    row that has reached a number, the name is gone if the stem of that name has had a row before. So numbers of stems need the order of their own rows
+    and of other stems' first rows, but not what those were given. Only whether a stem's first row still finds the bare name
+    depends on the stem above, so that is told from the top down, in as many rounds as numbers follow one another at a name's end (``a_1_2``: two). All counting is by ranges, so a
+    stem of any number of rows is spread over tasks; one task gets no more of a stem than its numbers that are stems themselves.
+    """
+    rows = docs.select(F.col(key).alias("_key"), F.col(order).alias("_order"), F.col(stem).alias("_stem"), F.col(ext).alias("_ext"), F.lower(F.col(stem)).alias("_low"), F.lower(F.col(ext)).alias("_lowext"))
+    rows = rows.withColumn("_name", _joined(F.col("_low"), F.col("_lowext")))
+    stems = checkpointed(rows.groupBy("_low", "_lowext").agg(F.count("*").alias("_n"), F.min(F.struct("_order", "_key")).alias("_first")))
+    links = checkpointed(_links(stems))
+    many = stems.select(_joined(F.col("_low"), F.col("_lowext")).alias("_name"), "_n")
+    rows = rows.join(many, "_name")
+    if links.isEmpty():  # no number is a stem: rows are numbered as they come
+        alone, mine = rows.where("_n = 1"), rows.where("_n > 1").withColumn("_base", F.lit(0))
+        given = _turns(mine).withColumn("_number", F.col("_nth"))
+    else:
+        known = _known(rows.drop("_n"), links)
+        bases = known.where("not _skipped").select(F.col("_child").alias("_name"), F.lit(1).alias("_base"))
+        rows = rows.join(bases, "_name", "left").withColumn("_base", F.coalesce("_base", F.lit(0)))
+        alone, mine = rows.where("_n = 1 and _base = 0"), _turns(rows.where("_n > 1 or _base = 1"))
+        given = _numbers(mine, known.where("_skipped").select("_name", F.col("_turn").alias("_nth")))
+    alone = alone.select(F.col("_key").alias("key"), F.concat("_stem", "_ext").alias("filename"))
     number = F.when(F.col("_number") > 0, F.concat(F.lit("_"), F.col("_number").cast("string"))).otherwise("")
-    given = plain.unionByName(mixed).select(F.col("_key").alias("key"), F.concat("_stem", number, "_ext").alias("filename"))
+    given = given.select(F.col("_key").alias("key"), F.concat("_stem", number, "_ext").alias("filename"))
     return alone.unionByName(given).select(F.col("key").alias(key), "filename")
