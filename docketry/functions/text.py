@@ -132,7 +132,8 @@ def relative_path(path: Column, root: str) -> Column:
 
 def longest(names: Column) -> Column:
     """The first of the longest strings of an array; null for an empty one."""
-    return F.get(F.filter(names, lambda n: F.length(n) == F.array_max(F.transform(names, F.length))), F.lit(0))
+    longer = lambda n, best: best.isNull() | (F.length(n) > F.length(best))
+    return F.reduce(names, F.lit(None).cast("string"), lambda best, n: F.when(longer(n, best), n).otherwise(best))
 
 
 @F.pandas_udf(StringType())

@@ -410,13 +410,38 @@ def escape_html(text: Column) -> Column:
     return text
 
 
+def _densest(gaps: Column, sizes: Column, reach: int) -> Column:
+    """Where the first stretch of ``reach`` signs that holds the most matches begins, at a match; 0 if there is none.
+
+    ``gaps`` are the lengths of what lies before, between and behind the matches, ``sizes`` those of the matches. A stretch that grows by a
+    match or slides by one, and so never shrinks, passes over them once.
+    """
+
+    def of(pairs: Column) -> Column:
+        def step(state: Column, pair: Column) -> Column:
+            start = state["end"] + pair["gap"]
+            slides = start - state["at"] >= reach
+            after = state["at"] + F.get(pairs, state["k"])["size"] + F.get(pairs, state["k"] + 1)["gap"]
+            return F.struct(
+                (start + pair["size"]).alias("end"), F.when(slides, state["k"] + 1).otherwise(state["k"]).alias("k"), F.when(slides, after).otherwise(state["at"]).alias("at"),
+                F.when(slides | pair["size"].isNull(), state["best"]).otherwise(state["at"]).alias("best"),
+            )
+
+        zero = F.lit(0)
+        return F.reduce(pairs, F.struct(zero.alias("end"), zero.alias("k"), F.get(pairs, zero)["gap"].alias("at"), zero.alias("best")), step, lambda state: state["best"])
+
+    pairs = F.zip_with(gaps, sizes, lambda gap, size: F.struct(gap.alias("gap"), size.alias("size")))  # the last one has no size
+    return F.get(F.transform(F.array(pairs), of), F.lit(0))  # so the pairs are made once
+
+
 def excerpt(content: Column, terms: list[str], width: int = 200) -> Column:
-    """A window of the escaped text around the first term found, with the terms in ``<mark>``.
+    """A window of the escaped text where the terms stand closest, with the terms in ``<mark>``.
 
-    The window is split at its matches before anything is escaped, so that entities are never taken for words.
+    A quarter of the window lies before the first of the matches that it is chosen for. It is split at its matches before anything is escaped, so that entities are never taken for words.
     """
     any_term = rf"(?iu)(?<![\p{{L}}\p{{N}}])({'|'.join(re.escape(t) for t in sorted(terms, key=len, reverse=True))})(?![\p{{L}}\p{{N}}])"
-    at = F.greatest(F.regexp_instr(content, F.lit(any_term)) - F.lit(width // 4), F.lit(1))
+    lengths = F.transform(F.split(content, any_term, -1), F.length), F.transform(F.regexp_extract_all(content, F.lit(any_term), F.lit(1)), F.length)
+    at = F.greatest(_densest(*lengths, width - width // 4) + 1 - width // 4, F.lit(1))
     window = F.substr(content, at, F.lit(width))
     between, found = F.split(window, any_term, -1), F.regexp_extract_all(window, F.lit(any_term), F.lit(1))
     marked = F.transform(found, lambda x: F.concat(F.lit("<mark>"), escape_html(x), F.lit("</mark>")))

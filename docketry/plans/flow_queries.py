@@ -181,16 +181,18 @@ def path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered(r"""
-    WITH n AS (SELECT doc_id, [source || '.Pdf', regexp_replace(text[:24], '[/\n]', '-', 'g') || ' Ünï' || CASE WHEN doc_id % 2 = 0 THEN '.PDF' ELSE '' END] AS names FROM documents),
-    l AS (SELECT doc_id, list_filter(names, lambda x: length(x) = list_max(list_transform(names, lambda y: length(y))))[1] AS name FROM n),
+    WITH n AS (SELECT doc_id, list_concat([source || '.Pdf'], list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: replace(x, '/', '-') || ' Ünï' || CASE WHEN doc_id % 2 = 0 THEN '.PDF' ELSE '' END)) AS names FROM documents),
+    m AS (SELECT doc_id, names, list_max(list_transform(names, lambda y: length(y))) AS most FROM n),
+    l AS (SELECT doc_id, list_filter(names, lambda x: length(x) = most)[1] AS name FROM m),
     p AS (SELECT doc_id, regexp_extract(name, '(?s)^.+?(\.[^.]+)$', 1) AS ext, name FROM l),
     s AS (SELECT doc_id, ext, CASE WHEN position('.' IN name[2:]) = 0 THEN name ELSE regexp_extract(name, '(?s)^(.+)\.[^.]*$', 1) END AS stem FROM p),
     c AS (SELECT doc_id, lower(ext) AS ext, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(strip_accents(stem), '[ \t\n\x0B\f\r.]+', '_', 'g'), '[^A-Za-z0-9_-]', '', 'g'), '_{2,}', '_', 'g'), '^[_-]+', ''), '_$', '') AS stem FROM s)
     SELECT doc_id, CASE WHEN stem = '' THEN 'document' ELSE stem END AS stem, ext FROM c""")
 def safe_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The longest of each document's names, reduced to safe signs."""
-    own = F.concat(F.regexp_replace(F.substring("text", 1, 24), r"[/\n]", "-"), F.lit(" Ünï"), F.when(F.col("doc_id") % 2 == 0, ".PDF").otherwise(""))
-    return read(spark, sf_dir, "documents").select("doc_id", text.safe_name(F.array(F.concat("source", F.lit(".Pdf")), own)).alias("s")).select("doc_id", "s.*")
+    """The longest of each document's names, which are its source and all lines of its text, reduced to safe signs."""
+    end = F.concat(F.lit(" Ünï"), F.when(F.col("doc_id") % 2 == 0, ".PDF").otherwise(""))
+    lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.concat(F.replace(x, F.lit("/"), F.lit("-")), end))
+    return read(spark, sf_dir, "documents").select("doc_id", text.safe_name(F.concat(F.array(F.concat("source", F.lit(".Pdf"))), lines)).alias("s")).select("doc_id", "s.*")
 
 
 # Names and folders of twelve kinds; the day is the order's own, the clock stands at 2026.
@@ -600,14 +602,17 @@ def search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered(r"""
-    WITH p AS (SELECT doc_id, 'R&D "' || source || '" <amp> ' || lang || ' of Amp&amp;Co ' || repeat('x', doc_id::INT % 300) || ' AMP.' AS text FROM documents)
-    SELECT doc_id, 'R&amp;<mark>D</mark> &quot;' || source || '&quot; &lt;<mark>amp</mark>&gt; ' || lang || ' of <mark>Amp</mark>&amp;<mark>amp</mark>;Co ' || repeat('x', least(doc_id % 300, 200 - len(head))::INT)
-           || CASE WHEN len(head) + doc_id % 300 + 4 <= 200 THEN ' <mark>AMP</mark>' ELSE substr(' AMP', 1, greatest(0, 200 - len(head) - doc_id % 300)::INT) END || CASE WHEN len(head) + doc_id % 300 + 5 <= 200 THEN '.' ELSE '' END AS excerpt
-    FROM (SELECT *, split_part(text, ' AMP.', 1)[:len(split_part(text, ' AMP.', 1)) - doc_id % 300] AS head FROM (SELECT documents.doc_id, lang, source, p.text FROM documents JOIN p USING (doc_id)))""")
+    WITH d AS (SELECT row_number() OVER () AS row, doc_id, text, regexp_extract_all(text, '[\p{L}\p{N}]+|[^\p{L}\p{N}]+') AS parts FROM documents),
+    e AS (SELECT row, unnest(parts) AS part, unnest(range(len(parts))) AS k FROM d),
+    p AS (SELECT row, part, sum(length(part)) OVER (PARTITION BY row ORDER BY k) - length(part) AS pos FROM e),
+    h AS (SELECT row, pos, count(*) OVER (PARTITION BY row ORDER BY pos RANGE BETWEEN CURRENT ROW AND 149 FOLLOWING) AS n FROM p WHERE lower(part) IN ('the', 'und', 'des', 'los')),
+    b AS (SELECT row, pos FROM h QUALIFY row_number() OVER (PARTITION BY row ORDER BY n DESC, pos) = 1),
+    w AS (SELECT doc_id, text, substr(text, greatest(coalesce(pos, 0) - 49, 1)::BIGINT, 200) AS shown FROM d LEFT JOIN b USING (row))
+    SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(array_to_string(list_transform(regexp_extract_all(shown, '[\p{L}\p{N}]+|[^\p{L}\p{N}]+'), lambda x:
+        CASE WHEN lower(x) IN ('the', 'und', 'des', 'los') THEN '<mark>' || x || '</mark>' ELSE replace(replace(replace(replace(x, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') END), ''), '') END AS excerpt FROM w""")
 def excerpts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Excerpts of texts with signs that HTML escapes, and words that are also entities' names."""
-    shown = F.concat(F.lit('R&D "'), "source", F.lit('" <amp> '), "lang", F.lit(" of Amp&amp;Co "), F.repeat(F.lit("x"), (F.col("doc_id") % 300).cast("int")), F.lit(" AMP."))
-    return read(spark, sf_dir, "documents").select("doc_id", search.excerpt(shown, ["amp", "d"]).alias("excerpt"))
+    """Excerpts of whole texts where four words stand closest."""
+    return read(spark, sf_dir, "documents").select("doc_id", search.excerpt(F.col("text"), ["the", "und", "des", "los"]).alias("excerpt"))
 
 
 @registered(r"""

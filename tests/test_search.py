@@ -94,6 +94,19 @@ def test_excerpts_mark_words_and_not_entities(spark):
     assert out[3] == "x" * 49 + " <mark>amp</mark> " + "y" * 146
 
 
+def test_excerpts_show_where_words_stand_closest(spark):
+    def plain(text, words, reach=150):
+        at = [m.start() for m in re.finditer(rf"(?<!\w)({'|'.join(words)})(?!\w)", text)]
+        best = max(at, key=lambda a: (sum(a <= b < a + reach for b in at), -a), default=0)
+        return re.sub(rf"(?<!\w)({'|'.join(words)})(?!\w)", r"<mark>\1</mark>", text[max(0, best - 50) :][:200])
+
+    draw = random.Random(5)
+    texts = ["", "😀" * 70 + " amp " + "z" * 200, "amp " + "y" * 400 + " amp d amp", "amp" + " z" * 73 + " d amp", "z" * 149 + " d amp" + " z" * 73 + " amp d"]
+    texts += [" ".join(draw.choice(["amp", "d", *["z" * draw.randrange(1, 60)] * draw.randrange(1, 9)]) for _ in range(draw.randrange(1, 120))) for _ in range(60)]
+    out = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, None])], "k int, content string").select("k", search.excerpt(F.col("content"), ["amp", "d"]).alias("e")).orderBy("k").collect()
+    assert [r.e for r in out] == [plain(t, ["amp", "d"]) for t in texts] + [None]
+
+
 def test_terms_are_pushed_down_to_the_written_index(index):
     plan = search.matches(index, "real")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(term,real)" in plan or "In(term, [real])" in plan
