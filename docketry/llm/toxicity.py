@@ -94,7 +94,7 @@ class Index:
         return order
 
     def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: np.ndarray | None = None, first_blocks: int = 4) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each query the k examples of largest positive cosine, ties by place, exactly: (examples, cosines)."""
+        """For each query the k examples of largest positive cosine, rounded to 12 places, ties by place, exactly: (examples, cosines)."""
         n, m = len(self.ids), len(queries)
         if not n or not m:
             return [(np.zeros(0, np.int64), np.zeros(0))] * m
@@ -132,13 +132,14 @@ class Index:
         read(rest)
         scores[np.repeat(~(done | rest), self.block, 1)] = 0.0  # these cannot be among the nearest
         scores[rows, excluded[rows]] = 0.0
-        ranked = scores - np.arange(scores.shape[1]) * 1e-13
-        top = np.argpartition(-ranked, min(k, ranked.shape[1] - 1), axis=1)[:, :k]
+        most = min(k, scores.shape[1])
+        kth = -np.partition(-scores, most - 1, axis=1)[:, most - 1]
         out = []
-        for row, own in zip(scores, top, strict=True):
-            own = own[row[own] > 1e-12]
-            own = own[np.lexsort((own, -row[own]))]
-            out.append((own, np.minimum(row[own], 1.0)))
+        for row, least in zip(scores, kth, strict=True):
+            own = np.flatnonzero(row >= max(least - 1e-12, 1e-12))  # all that may tie with the k-th
+            cosines = np.minimum(np.round(row[own], 12), 1.0)
+            first = np.lexsort((own, -cosines))[:k]
+            out.append((own[first], cosines[first]))
         return out
 
     def vote(self, examples: np.ndarray, cosines: np.ndarray, softness: float = 0.1, prior_weight: float = 0.5) -> float:
