@@ -10,17 +10,21 @@ every neighbouring pair in it is the encoding of its own bytes (Berglund and van
 Tokenization", 2023). Whether a pair is one is told by undoing its merges, latest first: no merge over the middle may have
 been due before.
 
-Texts are cut into chunks. A chunk is summarised by its state map: what it does to the word that is open before it, the tokens between its first
-and last certain word border, and the word it leaves open. Maps compose associatively, so the chunks of a text are joined by a prefix scan.
-Words between borders are counted for many chunks in one array pass, each distinct word once; a word that is longer than chunks is read by
-the transducer chunk by chunk, from state to state.
+Words are told apart by a second small automaton over kinds of signs; a state of the whole is its mode, the signs it has read but not decided on, and the
+transducer's state in the open word. Texts are cut into chunks, and a chunk is summarised by its state map: entry state to exit state and emitted tokens.
+Where a chunk has a certain word border, its exit does not depend on its entry, and what lies between its first and last such border is counted
+for many chunks in one array pass, each distinct word once. A map holds the states that can occur: what a look at the signs before the chunk leaves
+open; an entry it does not hold is read when it is met, only as far as it differs from one that it holds. Maps compose associatively, so the chunks of a text,
+whatever words lie across them, are joined by a prefix scan.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -107,12 +111,12 @@ class Transducer:
         self.growing = {t[:k] for t in self.tokens for k in range(len(t))}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.words: dict[bytes, int] = {}
-        self._reset(self._START)
+        self._reset(self.START)
 
-    _START = (b"", (None,), (0,))
+    START = (b"", (None,), (0,))
 
     def _reset(self, state: tuple) -> int:
-        self.states = [self._START, state] if state != self._START else [state]
+        self.states = [self.START, state] if state != self.START else [state]
         self.ids, self.edges = {s: k for k, s in enumerate(self.states)}, {}
         return len(self.states) - 1
 
@@ -190,6 +194,16 @@ class Transducer:
         self.edges[state << 8 | byte] = to, change
         return to, change
 
+    def enter(self, content: tuple) -> int:
+        """The number of a state given by its content, which stays the same when numbers start afresh."""
+        number = self.ids.get(content)
+        if number is None:
+            if len(self.states) >= self.max_states:
+                return self._reset(content)
+            number = self.ids[content] = len(self.states)
+            self.states.append(content)
+        return number
+
     def run(self, data: bytes, state: int = 0) -> tuple[int, int]:
         """The state after reading some bytes of a word, and the tokens emitted on the way."""
         total, edges = 0, self.edges
@@ -245,31 +259,164 @@ def word_starts(codes: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return starts
 
 
-class ChunkMap:
-    """What a chunk does to the state before it: ``head`` completes the open word, ``tail`` is left open. Both are tuples of texts, which are never joined.
+class State(NamedTuple):
+    """Where a reader of texts is: the kind of the open word (or FRESH, QUOTE), signs read but not decided on, and the transducer's state in the word."""
 
-    ``inner`` is None for a chunk without a certain border, which only lengthens what is open (``head``).
-    """
+    mode: int
+    pending: str
+    word: tuple
+
+
+#: Modes beside the kinds of signs: no word is open; an apostrophe that begins a word (and r, v or l after it) is undecided.
+FRESH, QUOTE = 4, 5
+START = State(FRESH, "", Transducer.START)
+
+
+class Reader:
+    """The automaton of the splitting rule over the transducer: reads texts from state to state and emits token counts."""
+
+    def __init__(self, machine: Transducer):
+        self.machine = machine
+
+    def due(self, state: State) -> int:
+        """What is emitted if no sign follows, or one that certainly begins another word."""
+        if state.mode == SPACE:
+            return self.machine.run(state.pending.encode(), self.machine.enter(state.word))[1]
+        return sum(self.machine.count(sign.encode()) for sign in state.pending)
+
+    def read(self, text: str, state: State = START) -> tuple[State, int]:
+        """The state after a text, and the tokens emitted on the way."""
+        if not text:
+            return state, 0
+        run, count, total = self.machine.run, self.machine.count, 0
+        mode, pending, q = state.mode, state.pending, self.machine.enter(state.word)
+        kinds = char_classes()[np.frombuffer(text.encode("utf-32-le"), "<u4")]
+        edges = [0, *(np.flatnonzero(kinds[1:] != kinds[:-1]) + 1).tolist(), len(text)]
+        for at, end in itertools.pairwise(edges):
+            kind, part = int(kinds[at]), text[at:end]
+            if mode == QUOTE:
+                if kind == LETTER:
+                    letters = pending[1:] + part
+                    size = 1 if letters[0] in "stmd" else 2 if letters[:2] in ("re", "ve", "ll") else 0
+                    if not size and letters in ("r", "v", "l"):
+                        pending += part
+                        continue
+                    total += count(("'" + letters[:size]).encode())
+                    mode, pending, part = FRESH, "", letters[size:]
+                    if not part:
+                        continue
+                elif kind == OTHER and pending == "'":
+                    mode, pending, part = FRESH, "", "'" + part
+                else:
+                    total += sum(count(sign.encode()) for sign in pending)
+                    mode, pending = FRESH, ""
+            if kind == SPACE:  # the last one may be the next word's
+                q, emitted = run((pending + part[:-1]).encode(), q if mode == SPACE else 0)
+                mode, pending = SPACE, part[-1]
+                total += emitted
+                continue
+            blank = mode == SPACE and pending == " "
+            if mode == SPACE and not blank:
+                total += count(pending.encode())
+            if mode != kind:
+                if part == "'" and not blank:
+                    mode, pending, q = QUOTE, "'", 0
+                    continue
+                q = 0
+                if blank:
+                    part = " " + part
+            q, emitted = run(part.encode(), q)
+            mode, pending = kind, ""
+            total += emitted
+        return State(mode, pending, Transducer.START if mode in (FRESH, QUOTE) else self.machine.states[q]), total
+
+
+class StateMap:
+    """Entry state to (exit state, emitted tokens) of a stretch of text, for the entries that can occur; others are found when they are asked for."""
+
+    __slots__ = ("known",)
+
+    def __init__(self) -> None:
+        self.known: dict[State, tuple[State, int]] = {}
+
+    def __getitem__(self, entry: State) -> tuple[State, int]:
+        found = self.known.get(entry)
+        if found is None:
+            found = self.known[entry] = self._found(entry)
+        return found
+
+    def _found(self, entry: State) -> tuple[State, int]:
+        raise NotImplementedError
+
+    def then(self, after: StateMap) -> StateMap:
+        """Both stretches as one."""
+        return Composed(self, after)
+
+
+class Composed(StateMap):
+    """The map of two neighbouring stretches."""
+
+    __slots__ = ("after", "before")
 
-    __slots__ = ("head", "inner", "tail")
+    def __init__(self, before: StateMap, after: StateMap):
+        super().__init__()
+        self.before, self.after = before, after
+        for entry in list(before.known):
+            self[entry]
 
-    def __init__(self, head: tuple[str, ...] = (), inner: int | None = None, tail: tuple[str, ...] = ()):
-        self.head, self.inner, self.tail = head, inner, tail
+    def _found(self, entry: State) -> tuple[State, int]:
+        middle, first = self.before[entry]
+        out, second = self.after[middle]
+        return out, first + second
 
-    def then(self, other: ChunkMap, count) -> ChunkMap:
-        if self.inner is None:
-            return ChunkMap(self.head + other.head, other.inner, other.tail)
-        if other.inner is None:
-            return ChunkMap(self.head, self.inner, self.tail + other.head)
-        return ChunkMap(self.head, self.inner + count(self.tail + other.head) + other.inner, other.tail)
 
+class Bordered(StateMap):
+    """A chunk with a certain border: ``inner`` tokens from its first to its last one, and one exit for all entries."""
 
-def prefix_scan(maps: list[ChunkMap], count) -> list[ChunkMap]:
+    __slots__ = ("head", "inner", "reader", "tail")
+
+    def __init__(self, reader: Reader, head: str, tail: str):
+        super().__init__()
+        self.reader, self.head, self.inner = reader, head, 0
+        self.tail = reader.read(tail)
+
+    def _found(self, entry: State) -> tuple[State, int]:
+        state, emitted = self.reader.read(self.head, entry)
+        return self.tail[0], emitted + self.reader.due(state) + self.inner + self.tail[1]
+
+
+class Unbroken(StateMap):
+    """A chunk without a certain border. States soon forget how they began, so a further entry is read until it is where a known one is."""
+
+    __slots__ = ("chunk", "reader")
+
+    def __init__(self, reader: Reader, chunk: str):
+        super().__init__()
+        self.reader, self.chunk = reader, chunk
+
+    def _found(self, entry: State) -> tuple[State, int]:
+        like = next(iter(self.known), None)
+        own, other, ahead = entry, like, 0
+        for at in range(0, len(self.chunk), 64):
+            part = self.chunk[at : at + 64] if like is not None else self.chunk
+            own, emitted = self.reader.read(part, own)
+            ahead += emitted
+            if like is None:
+                break
+            other, emitted = self.reader.read(part, other)
+            ahead -= emitted
+            if own == other:
+                out, total = self.known[like]
+                return out, total + ahead
+        return own, ahead + (self.known[like][1] if like is not None else 0)
+
+
+def prefix_scan(maps: list[StateMap]) -> list[StateMap]:
     """The composition of the first 1, 2, ... maps, by pairwise halving."""
     if len(maps) < 2:
         return maps
-    pairs = prefix_scan([a.then(b, count) for a, b in zip(maps[::2], maps[1::2], strict=False)], count)
-    return [maps[0], *(pairs[i // 2] if i % 2 else pairs[i // 2 - 1].then(maps[i], count) for i in range(1, len(maps)))]
+    pairs = prefix_scan([a.then(b) for a, b in zip(maps[::2], maps[1::2], strict=False)])
+    return [maps[0], *(pairs[i // 2] if i % 2 else pairs[i // 2 - 1].then(maps[i]) for i in range(1, len(maps)))]
 
 
 #: Certain word borders: white space after something else, and changes between letters, numbers and other signs with no apostrophe beside.
@@ -286,6 +433,7 @@ class TokenCounter:
 
         merges, self.specials = load_merges(path)
         self.machine, self.chunk, self.room = Transducer(merges), chunk, room
+        self.reader = Reader(self.machine)
         self._special = regex.compile("|".join(regex.escape(s) for s in sorted(self.specials, key=len, reverse=True))) if self.specials else None
         self._border = regex.compile(_BORDER)
 
@@ -324,87 +472,105 @@ class TokenCounter:
                 break
         return found.start(), back.start()
 
-    def _open(self, parts: tuple[str, ...]) -> int:
-        """Tokens of what lies between two certain borders; a run of one kind that is longer than chunks goes through the transducer part by part."""
-        if sum(map(len, parts)) <= 4 * self.chunk:
-            text = "".join(parts)
-            return int(self._counts([text])[0]) if text else 0
-        pieces = [p[i : i + self.chunk] for p in parts for i in range(0, len(p), self.chunk)]
-        lead, taken = "", 0
-        while len(lead) < 64:
-            lead += pieces[taken]
-            taken += 1
-        codes = np.frombuffer(lead.encode("utf-32-le"), "<u4")
-        start = int(np.flatnonzero(word_starts(codes, np.arange(len(codes)) == 0))[-1])
-        kind = char_classes()[codes[-1]]
-        body = [lead[start + (lead[start] == " ") :], *pieces[taken:]]
-        if kind == SPACE or any((char_classes()[np.frombuffer(p.encode("utf-32-le"), "<u4")] != kind).any() for p in body):
-            return int(self._counts(["".join(parts)])[0])
-        total = int(self._counts([lead[:start]])[0]) if start else 0
-        state, emitted = self.machine.run(lead[start:].encode())
-        total += emitted
-        for piece in pieces[taken:]:
-            state, emitted = self.machine.run(piece.encode(), state)
-            total += emitted
-        return total
+    def _entry(self, before: str) -> State:
+        """The state that a look at the last signs before a chunk leaves: certain after a border among them, else the likely one."""
+        border = self._borders(before) if len(before) > 1 else None
+        return self.reader.read(before[border[1] :] if border else before)[0]
+
+    def _maps(self, piece: str, add) -> list[StateMap]:
+        """The state maps of a piece's chunks. ``add(text, map)`` has what lies between a chunk's borders counted and added to the map's ``inner`` later."""
+        maps: list[StateMap] = []
+        for at in range(0, len(piece), self.chunk):
+            chunk = piece[at : at + self.chunk]
+            border = self._borders(chunk)
+            if border is None:
+                maps.append(Unbroken(self.reader, chunk))
+                continue
+            a, b = border
+            maps.append(Bordered(self.reader, chunk[:a], chunk[b:]))
+            if b > a:
+                add(chunk[a:b], maps[-1])
+        return maps
+
+    def _scan(self, piece: str, maps: list[StateMap]) -> list[StateMap]:
+        """The maps of all beginnings of a piece, once what lies between borders is counted."""
+        for k, own in enumerate(maps):
+            own[self._entry(piece[max(0, k * self.chunk - 64) : k * self.chunk]) if k else START]
+        return prefix_scan(maps)
+
+    def _pieces(self, text: str) -> tuple[list[str], list[str]]:
+        """A text's pieces between special strings, and these."""
+        if self._special and any(s in text for s in self.specials):
+            return self._special.split(text), self._special.findall(text)
+        return [text], []
+
+    def offsets(self, text: str | None) -> list[tuple[int, int]]:
+        """Where each chunk of a text begins (code points) and the tokens of the text before it, by the scan over the chunks' state maps.
+
+        Chunks begin afresh after special strings. Null and empty texts have none.
+        """
+        out, start, done = [], 0, 0
+        pieces, marks = self._pieces(text or "")
+        for k, piece in enumerate(pieces):
+            waiting: list[tuple[str, Bordered]] = []
+            maps = self._maps(piece, lambda inside, own, waiting=waiting: waiting.append((inside, own)))
+            for i in range(0, len(waiting), 64):  # array passes of bounded size
+                part = waiting[i : i + 64]
+                for (_, own), n in zip(part, self._counts([inside for inside, _ in part]).tolist(), strict=True):
+                    own.inner = n
+            ends = [done]
+            for whole in self._scan(piece, maps):
+                state, emitted = whole[START]
+                ends.append(done + emitted + self.reader.due(state))
+            out += [(start + i * self.chunk, before) for i, before in enumerate(ends[: len(maps)])]
+            start, done = start + len(piece), ends[-1]
+            if k < len(marks):
+                start, done = start + len(marks[k]), done + 1
+        return out
 
     def counts(self, texts: list[str | None]) -> list[int]:
         """Tokens of each text; null counts as empty."""
         out = [0] * len(texts)
         batch: list[str] = []
-        owner: list[tuple[list, int]] = []
-        whole = [0] * len(texts)
+        owner: list[int | Bordered] = []
         room = self.room
 
         def flush() -> None:
             nonlocal room
             if batch:
-                for (holder, k), n in zip(owner, self._counts(batch).tolist(), strict=True):
-                    if isinstance(holder[k], ChunkMap):
-                        holder[k].inner = n
+                for own, n in zip(owner, self._counts(batch).tolist(), strict=True):
+                    if isinstance(own, Bordered):
+                        own.inner = n
                     else:
-                        holder[k] += n
+                        out[own] += n
                 batch.clear()
                 owner.clear()
             room = self.room
 
-        def add(text: str, holder: list, k: int) -> None:
+        def add(text: str, own: int | Bordered) -> None:
             nonlocal room
             if len(text) > room:
                 flush()
             batch.append(text)
-            owner.append((holder, k))
+            owner.append(own)
             room -= len(text)
 
-        chains: list[tuple[int, list[ChunkMap]]] = []
+        chains: list[tuple[int, str, list[StateMap]]] = []
         for k, text in enumerate(texts):
             if not text:
                 continue
-            pieces = [text]
-            if self._special and any(s in text for s in self.specials):
-                out[k] += len(self._special.findall(text))
-                pieces = self._special.split(text)
+            pieces, marks = self._pieces(text)
+            out[k] += len(marks)
             for piece in pieces:
-                if len(piece) <= self.chunk:
-                    if piece:
-                        add(piece, whole, k)
-                    continue
-                maps: list[ChunkMap] = []
-                for i in range(0, len(piece), self.chunk):
-                    chunk = piece[i : i + self.chunk]
-                    if (border := self._borders(chunk)) is None:
-                        maps.append(ChunkMap((chunk,)))
-                        continue
-                    a, b = border
-                    maps.append(ChunkMap((chunk[:a],), 0, (chunk[b:],)))
-                    if b > a:
-                        add(chunk[a:b], maps, len(maps) - 1)
-                chains.append((k, maps))
+                if len(piece) > self.chunk:
+                    chains.append((k, piece, self._maps(piece, add)))
+                elif piece:
+                    add(piece, k)
         flush()
-        for k, maps in chains:  # the last map of the scan holds the whole text
-            last = prefix_scan(maps, self._open)[-1]
-            out[k] += self._open(last.head) + (0 if last.inner is None else last.inner + self._open(last.tail))
-        return [a + b for a, b in zip(out, whole, strict=True)]
+        for k, piece, maps in chains:  # the last map of the scan is the whole piece's
+            state, emitted = self._scan(piece, maps)[-1][START]
+            out[k] += emitted + self.reader.due(state)
+        return out
 
 
 @functools.cache
@@ -416,7 +582,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 512) -> Data
     """``doc_id, n_bytes, n_tokens, over_limit`` for each row of ``docs(doc_id, text)``.
 
     One narrow pass: no shuffle, and besides the rows' own texts memory bounded by an array pass over ``room`` characters, the transducer's
-    caches and, in white space only, the longest run of it. The path must be readable on the executors. Null and empty texts have 0 bytes and 0 tokens; repeated rows are counted each;
+    caches. The path must be readable on the executors. Null and empty texts have 0 bytes and 0 tokens; repeated rows are counted each;
     an empty table gives no rows; other columns are ignored, whatever their names.
     """
     schema = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
@@ -431,3 +597,23 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 512) -> Data
 
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     return narrow.mapInArrow(run, schema)
+
+
+def token_offsets(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """``doc_id, chunk_no, start, tokens_before`` for each chunk of ``docs(doc_id, text)``: where long texts can be cut, and the tokens of what lies before.
+
+    ``start`` counts code points; ``tokens_before`` is the count of the text up to there as the library gives it. One narrow pass. Null and empty texts have no chunk; repeated rows
+    are listed each; an empty table gives no rows; other columns are ignored.
+    """
+    schema = "doc_id long, chunk_no int, start long, tokens_before long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = counter(tokenizer_path)
+        for batch in slices(batches, 64):
+            ids, found = batch.column(0).to_pylist(), map(own.offsets, batch.column(1).to_pylist())
+            rows = [(i, k, start, before) for i, chunks in zip(ids, found, strict=True) for k, (start, before) in enumerate(chunks)]
+            columns = zip(*rows, strict=True) if rows else ([], [], [], [])
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "chunk_no", "start", "tokens_before"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)

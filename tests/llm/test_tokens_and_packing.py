@@ -44,16 +44,79 @@ def test_transducer_agrees_with_merging_and_survives_a_full_cache():
         assert machine.count(word) == len(tokencount.bpe(word, ranks))
 
 
-def test_prefix_scan_is_the_fold():
-    count = len  # any additive measure of what lies between borders
+SIGNS = ["a", "e", "in", "the", " ", "  ", "\n", "\u00a0", "'", "''", "s", "re", "l", "ve", "'ll", "1", "23", "-", "!'", "漢", "字", "é", "🙂"]
+
+
+def stretches(pick, counter, text):
+    """The state maps of a text cut anywhere, with entries that may be wrong guesses."""
+    maps, at = [], 0
+    while at < len(text):
+        part = text[at : at + pick.randint(1, 12)]
+        border = counter._borders(part) if pick.random() < 0.7 else None
+        if border:
+            own = tokencount.Bordered(counter.reader, part[: border[0]], part[border[1] :])
+            inside = part[border[0] : border[1]]
+            own.inner = counter.counts([inside])[0]
+        else:
+            own = tokencount.Unbroken(counter.reader, part)
+        for _ in range(pick.randint(0, 2)):
+            own[counter.reader.read("".join(pick.choices(SIGNS, k=3)))[0]]
+        maps.append(own)
+        at += len(part)
+    return maps
+
+
+def test_state_maps_compose_in_any_bracketing(library):
+    counter = tokencount.counter(PATH)
     pick = random.Random(2)
-    for n in range(1, 20):
-        maps = [tokencount.ChunkMap(("h",) * k, k, ("t",)) if pick.random() < 0.6 else tokencount.ChunkMap(("o",)) for k in range(n)]
-        folded, now = [], None
-        for m in maps:
-            now = m if now is None else now.then(m, count)
-            folded.append((now.head, now.inner, now.tail))
-        assert [(m.head, m.inner, m.tail) for m in tokencount.prefix_scan(maps, count)] == folded
+    for _ in range(400):
+        text = "".join(pick.choices(SIGNS, k=pick.randint(1, 60)))
+        maps = stretches(pick, counter, text)
+        while len(maps) > 1:
+            k = pick.randrange(len(maps) - 1)
+            maps[k : k + 2] = [maps[k].then(maps[k + 1])]
+        state, emitted = maps[0][tokencount.START]
+        assert emitted + counter.reader.due(state) == len(ids(library, text)), text
+
+
+def test_prefix_scan_counts_every_beginning(library):
+    counter = tokencount.counter(PATH)
+    pick = random.Random(3)
+    for _ in range(60):
+        text = "".join(pick.choices(SIGNS, k=80))
+        cuts = list(range(5, len(text) + 5, 5))
+        maps = [tokencount.Unbroken(counter.reader, text[c - 5 : c]) for c in cuts]
+        ends = [m[tokencount.START] for m in tokencount.prefix_scan(maps)]
+        assert [n + counter.reader.due(state) for state, n in ends] == [len(ids(library, text[:c])) for c in cuts]
+
+
+def test_entries_meet_soon_in_long_words():
+    counter = tokencount.TokenCounter(PATH)
+    own = tokencount.Unbroken(counter.reader, "abcdefgh" * 1000)
+    own[tokencount.START]
+    read, asked = counter.reader.read, []
+    counter.reader.read = lambda text, state: asked.append(len(text)) or read(text, state)
+    entry = read("xyz")[0]
+    found = own[entry]
+    assert sum(asked) <= 512 and found == read("abcdefgh" * 1000, entry)
+
+
+def test_offsets_of_chunks(library, odd_texts):
+    counter = tokencount.TokenCounter(PATH, chunk=9)
+    mixed = "".join(random.Random(6).choices([*SIGNS, "<|endoftext|>"], k=900))
+    for text in [*odd_texts, mixed, "don't " * 50]:
+        found = counter.offsets(text)
+        assert [before for _, before in found] == [len(ids(library, text[:start])) for start, _ in found]
+        assert bool(found) == bool(text)
+
+
+def test_offsets_of_documents(documents, library, odd_texts):
+    long = "one two " * 5000
+    out = tokencount.token_offsets(documents([(1, long), (2, None), (3, ""), (4, "x"), (4, "x")]), PATH).collect()
+    assert sorted((r.doc_id, r.chunk_no, r.start, r.tokens_before) for r in out) == [
+        *[(1, k, at, len(ids(library, long[:at]))) for k, at in enumerate(range(0, len(long), 8192))], (4, 0, 0, 0), (4, 0, 0, 0)
+    ]
+    assert tokencount.token_offsets(documents([]), PATH).count() == 0
 
 
 def test_pairs_and_entries_are_told_as_merging_does():
