@@ -26,6 +26,13 @@ def file_url(base: str, filename: Column) -> Column:
     return F.concat(F.lit(base.rstrip("/") + "/"), filename)
 
 
+def page_links(current: Column, total: Column, around: int = 2) -> Column:
+    """The page numbers shown on a page (array of int): the first, the last and ``around`` on either side of it; null stands for a gap."""
+    near = F.array(F.lit(1), total, *[current + k for k in range(-around, around + 1)])
+    numbers = F.array_sort(F.array_distinct(F.filter(F.transform(near, lambda n: n.cast("int")), lambda n: n.between(1, total))))
+    return F.flatten(F.transform(numbers, lambda n, i: F.when((i > 0) & (n - F.try_element_at(numbers, i) > 1), F.array(F.lit(None).cast("int"), n)).otherwise(F.array(n))))
+
+
 def portal_path(title: Column, name: Column) -> Column:
     """Where a portal item is filed: by year with its day and name if the title has them in either form, else ``undated/``.
 

@@ -23,10 +23,11 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from docketry.functions.dates import display_date, year_of
+from docketry.functions.display import page_links
 from docketry.functions.stem import common_start, stem, stems
 from docketry.functions.text import longest
-from docketry.operators.durable import checkpointed
-from docketry.plans.request import PAGE_SIZE, SearchRequest
+from docketry.operators.durable import checkpointed, delete, written
+from docketry.plans.request import PAGE_SIZE, ResultCache, SearchRequest
 
 FACETS = ("category", "year")
 _TOKEN = r"[\p{L}\p{N}]+"
@@ -389,6 +390,56 @@ def search(index: Index, request: SearchRequest, after: tuple[float | str | None
     return rows, facet_counts(found, request.filters), total, page
 
 
+class ResultSets:
+    """Matches of the latest searches over an index, as narrow written tables: further pages of a request read its table, and find no match again.
+
+    A table is deleted when ``size`` newer requests have taken its place, or by :meth:`release`. Requests that differ in their page alone are one.
+    """
+
+    def __init__(self, index: Index, size: int = 16):
+        self.index, self.runs = index, 0
+        self._cache = ResultCache(size, self._drop)
+
+    def _drop(self, result: tuple[DataFrame, str, int]) -> None:
+        delete(self.index.entries.sparkSession, result[1])
+
+    def _run(self, asked: SearchRequest) -> tuple[DataFrame, str, int]:
+        self.runs += 1
+        chosen = candidates(self.index, asked.query).where(facet_condition(asked.filters))
+        table, folder = written(chosen.select("url", "filename", "score", "sort"))
+        return table, folder, table.count()
+
+    def page(self, asked: SearchRequest) -> tuple[DataFrame, int, int, bool]:
+        """``url, score`` of one page's rows, the total, the page shown (the last one if past the end), and whether matches had to be found.
+
+        The rows are written for themselves, so they outlive their request's table.
+        """
+        before = self.runs
+        table, _, total = self._cache.get(asked, self._run)
+        page = min(asked.page, max(1, -(-total // PAGE_SIZE)))
+        rows = table.orderBy(*order_by(asked.sort)).offset(PAGE_SIZE * (page - 1)).limit(PAGE_SIZE).select("url", "score")
+        return checkpointed(rows), total, page, self.runs > before
+
+    def release(self) -> None:
+        """Deletes all tables."""
+        while self._cache.kept:
+            self._drop(self._cache.kept.popitem()[1])
+
+
+def listing_pages(totals: DataFrame, size: int = PAGE_SIZE, at_once: int = 4096) -> DataFrame:
+    """A row for each page of each listing of ``totals(..., total)``, whose other columns stay: ``page``, ``pages``, ``first`` and ``last`` (row numbers) and ``links`` (see :func:`display.page_links`).
+
+    An empty or null listing has one page without rows. Page numbers are made in two steps of ``at_once`` each, so no row holds all of a long listing's.
+    """
+    total = F.coalesce("total", F.lit(0)).cast("long")
+    rows = totals.withColumn("_n", total).withColumn("pages", F.greatest(F.lit(1), F.ceil(F.col("_n") / size)).cast("int"))
+    rows = rows.withColumn("_start", F.explode(F.sequence(F.lit(1), F.col("pages"), F.lit(at_once))))
+    rows = rows.withColumn("page", F.explode(F.sequence(F.col("_start"), F.least(F.col("pages"), F.col("_start") + at_once - 1))))
+    first = F.least(F.col("_n"), (F.col("page").cast("long") - 1) * size + 1)
+    rows = rows.withColumn("first", first).withColumn("last", F.least(F.col("_n"), F.col("page").cast("long") * size))
+    return rows.withColumn("links", page_links(F.col("page"), F.col("pages"))).drop("_n", "_start")
+
+
 def _meta(name: str) -> Column:
     return F.element_at("meta", F.lit(name))
 

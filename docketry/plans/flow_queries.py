@@ -631,12 +631,6 @@ def facet_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.facet_options(spark.createDataFrame(values, "facet string, value string"), counts, filters)
 
 
-@registered("SELECT ord, value, lower(replace(replace(value, ' & ', '-'), ' ', '-')) AS slug FROM (SELECT unnest(range(5))::INT AS ord, unnest(['Financial Interest', 'Travel & Gifts', 'Appearance of Conflict', 'Other', 'Statement of Financial Interests']) AS value)")
-def category_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The categories in display order, checked against those that documents are given."""
-    return tables.categories(spark, list(categories.CATEGORIES))
-
-
 @registered(r"""
     WITH docs AS (SELECT lpad(doc_id::VARCHAR, 12, '0') AS filename, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS words FROM documents)
     SELECT 'https://files/' || filename AS url FROM docs WHERE list_contains(words, 'with') AND list_contains(words, 'the')""")
@@ -646,16 +640,6 @@ def preloaded_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         return checkpointed(search.matches(warm, "with the").select("url"))
 
 
-@registered("""
-    WITH g AS (SELECT t.k + 1 AS total, c.k + 1 AS current FROM range(14) t(k), range(14) c(k) WHERE c.k <= t.k),
-    s AS (SELECT *, list_sort(list_distinct(list_filter([1, total, current - 2, current - 1, current, current + 1, current + 2], lambda x: x BETWEEN 1 AND total))) AS near FROM g)
-    SELECT current, total, array_to_string(flatten(list_transform(range(1, len(near) + 1), lambda i: CASE WHEN i > 1 AND near[i] - near[i - 1] > 1 THEN ['…', near[i]::VARCHAR] ELSE [near[i]::VARCHAR] END)), ' ') AS links FROM s""")
-def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page numbers that are linked from each page of up to fourteen; gaps in between."""
-    rows = [(c, t, " ".join("…" if n is None else str(n) for n in request.page_numbers(c, t))) for t in range(1, 15) for c in range(1, t + 1)]
-    return spark.createDataFrame(rows, "current long, total long, links string")
-
-
 @registered("""
     SELECT s_suppkey, CASE WHEN q = '' AND c = '' AND s_suppkey % 4 IN (0, 3) AND p = 1 THEN '/search/' ELSE '/search/?' || array_to_string(list_filter([
                CASE WHEN q <> '' THEN 'q=' || q END, CASE WHEN c <> '' THEN 'category=' || c END, CASE s_suppkey % 4 WHEN 1 THEN 'sort=newest' WHEN 2 THEN 'sort=oldest' END, CASE WHEN p > 1 THEN 'page=' || p END], lambda x: x IS NOT NULL), '&') END AS url,
@@ -697,14 +681,3 @@ def search_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
             yield pd.DataFrame({"s_suppkey": batch["s_suppkey"], "sentence": out})
 
     return read(spark, sf_dir, "supplier").select("s_suppkey").mapInPandas(run, "s_suppkey long, sentence string")
-
-
-@registered("SELECT n_nationkey, n_nationkey = 0 OR n_regionkey <> lag(n_regionkey) OVER (ORDER BY n_nationkey) AS ran FROM nation")
-def cached_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests one after the other through a cache of one result set: a request runs unless the one before it was the same but for its page."""
-    cache, rows = request.ResultCache(1), []
-    for r in read(spark, sf_dir, "nation").orderBy("n_nationkey").collect():  # a dimension of 25 rows
-        runs: list[str] = []
-        cache.get(request.SearchRequest(f"q{r.n_regionkey}", page=r.n_nationkey + 1), lambda asked, runs=runs: runs.append(asked.query))
-        rows.append((r.n_nationkey, bool(runs)))
-    return spark.createDataFrame(rows, "n_nationkey int, ran boolean")

@@ -6,6 +6,8 @@ its SQL; each query runs over its whole table.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from docketry.plans import corpus, publish
 from docketry.plans.registered import ORACLE_SQL, QUERIES, made_once, registered
 from docketry.plans.registered import read as _read
 from docketry.plans.request import SearchRequest
+from docketry.sources import tables
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,6 +251,15 @@ def category_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "orders").select("o_orderkey", categories.category(F.concat(body, F.lit("\nOrder "), "o_orderpriority")).alias("category"))
 
 
+@registered(f"""
+    WITH d AS (SELECT ord, value, lower(replace(replace(value, ' & ', '-'), ' ', '-')) AS slug FROM (SELECT unnest(range(5))::INT AS ord, unnest(['Financial Interest', 'Travel & Gifts', 'Appearance of Conflict', 'Other', 'Statement of Financial Interests']) AS value)),
+    c AS (SELECT [{', '.join(repr(label) for _, label in _TEMPLATES)}][o_orderkey % 8 + 1] AS value, count(*) AS n FROM orders GROUP BY 1)
+    SELECT ord, value, slug, coalesce(n, 0)::BIGINT AS documents, ord IS NOT NULL AS known FROM d FULL JOIN c USING (value)""")
+def category_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The categories in display order with the texts that are given each, and categories of texts that the list lacks."""
+    return tables.category_usage(tables.categories(spark, list(categories.CATEGORIES)), category_of_text(spark, sf_dir))
+
+
 @registered("""
     SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_name END AS name, CASE WHEN c_custkey % 3 <> 0 THEN 'Clerk ' || c_nationkey WHEN c_custkey % 5 <> 0 THEN 'Bare ' || c_nationkey END AS title,
            c_mktsegment AS agency FROM customer""")
@@ -317,6 +329,40 @@ def search_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.matches(_index(spark, sf_dir), "with").select("url", F.round("score", 6).alias("score"))
 
 
+@registered("""
+    WITH g AS (SELECT lang, source, count(*) AS n, (count(*) + 19) // 20 AS pages FROM documents GROUP BY ALL),
+    p AS (SELECT *, unnest(range(1, pages + 1)) AS page FROM g),
+    s AS (SELECT *, list_sort(list_distinct(list_filter([1, pages, page - 2, page - 1, page, page + 1, page + 2], lambda x: x BETWEEN 1 AND pages))) AS near FROM p)
+    SELECT lang, source, page::INT AS page, (page - 1) * 20 + 1 AS first, least(n, page * 20) AS last,
+           array_to_string(flatten(list_transform(range(1, len(near) + 1), lambda i: CASE WHEN i > 1 AND near[i] - near[i - 1] > 1 THEN ['…', near[i]::VARCHAR] ELSE [near[i]::VARCHAR] END)), ' ') AS links FROM s""")
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of the listing of each language's documents of each source: the rows they show and the pages they link; gaps in between."""
+    listings = _documents(spark, sf_dir).groupBy("lang", "source").agg(F.count("*").alias("total"))
+    links = F.array_join(F.transform("links", lambda n: F.coalesce(n.cast("string"), F.lit("…"))), " ")
+    return search.listing_pages(listings).select("lang", "source", "page", "first", "last", links.alias("links"))
+
+
+@registered(rf"""
+    WITH {_INDEX_SQL}, r AS (
+        SELECT 'a' AS asked, filename, row_number() OVER (ORDER BY date DESC NULLS LAST, filename) AS rank FROM docs WHERE list_contains(words, 'that') AND list_contains(words, 'with') AND lang IN ('en', 'fr')
+        UNION ALL SELECT 'b', filename, row_number() OVER (ORDER BY date NULLS LAST, filename) FROM docs WHERE list_contains(words, 'und')
+        UNION ALL SELECT 'c', filename, row_number() OVER (ORDER BY date DESC NULLS LAST, filename) FROM docs WHERE list_contains(words, 'los')),
+    t AS (SELECT asked, count(*) AS total FROM r GROUP BY 1),
+    q AS (SELECT * FROM (VALUES (1, 'a', 1, true), (2, 'a', 2, false), (3, 'b', 1, true), (4, 'a', 3, false), (5, 'c', 1, true), (6, 'b', 2, true), (7, 'a', 1, true)) v(request, asked, page, ran)),
+    s AS (SELECT request, ran, asked, total, least(page, (total + 19) // 20) AS shown FROM q JOIN t USING (asked))
+    SELECT request, ran, total, shown AS page, 'https://files/' || filename AS url FROM s JOIN r USING (asked) WHERE rank > 20 * (shown - 1) AND rank <= 20 * shown""")
+def cached_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of seven requests in a row, with the matches of the latest two searches kept: whether each was run, its total, and the page shown."""
+    a, b, c = SearchRequest("that with", {"category": ("en", "fr")}, "newest"), SearchRequest("und", {}, "oldest"), SearchRequest("los", {}, "newest")
+    kept, out = search.ResultSets(_index(spark, sf_dir), 2), None
+    for k, (asked, number) in enumerate([(a, 1), (a, 2), (b, 1), (a, 3), (c, 1), (b, 2), (a, 1)]):
+        rows, total, page, ran = kept.page(replace(asked, page=number))
+        part = rows.select(F.lit(k + 1).alias("request"), F.lit(ran).alias("ran"), F.lit(total).cast("long").alias("total"), F.lit(page).cast("long").alias("page"), "url")
+        out = part if out is None else out.unionByName(part)
+    kept.release()
+    return out
+
+
 _BM25 = "ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / avg_length))"
 _TERMS_SQL = rf"""{_INDEX_SQL}, n AS (SELECT count(*) AS n, avg(len(words)) AS avg_length FROM docs),
     tf AS (SELECT filename, lang, date, len(words) AS length, term, count(*) AS tf FROM (SELECT *, unnest(words) AS term FROM docs) GROUP BY ALL),

@@ -96,10 +96,10 @@ def summary(request: SearchRequest, total: int, shown: int) -> str:
 
 
 class ResultCache:
-    """Result sets by request, the least recently used dropped first; a run that was overtaken by a newer one is not kept."""
+    """Result sets by request, the least recently used dropped first; a run that was overtaken by a newer one is not kept. ``dropped`` gets each result that leaves."""
 
-    def __init__(self, size: int = 16):
-        self.size, self.kept, self.token = size, OrderedDict(), 0
+    def __init__(self, size: int = 16, dropped: Callable[[Any], None] = lambda result: None):
+        self.size, self.kept, self.token, self.dropped = size, OrderedDict(), 0, dropped
 
     def get(self, request: SearchRequest, run: Callable[[SearchRequest], Any]) -> Any:
         key = request.cache_key
@@ -112,5 +112,5 @@ class ResultCache:
         if mine == self.token:
             self.kept[key] = out
             while len(self.kept) > self.size:
-                self.kept.popitem(last=False)
+                self.dropped(self.kept.popitem(last=False)[1])
         return out

@@ -66,6 +66,16 @@ def categories(spark: SparkSession, configured: list[str] | None = None) -> Data
     return spark.createDataFrame([(k, v, slugify(v)) for k, v in enumerate(configured or CATEGORIES)], "ord int, value string, slug string")
 
 
+def category_usage(dimension: DataFrame, rows: DataFrame) -> DataFrame:
+    """``ord, value, slug, documents, known``: each category of ``dimension`` with its rows in ``rows(category)``, and categories of rows that it lacks (``known`` false).
+
+    A label that differs between the two would show as a facet without matches; here it is a row of its own.
+    """
+    counts = rows.groupBy(F.col("category").alias("_value")).agg(F.count("*").alias("documents"))
+    both = dimension.join(counts, F.col("value").eqNullSafe(F.col("_value")), "full_outer")
+    return both.select("ord", F.coalesce("value", "_value").alias("value"), "slug", F.coalesce("documents", F.lit(0)).alias("documents"), F.col("ord").isNotNull().alias("known"))
+
+
 def checked_drops(listing: DataFrame, metadata: DataFrame) -> DataFrame:
     """``filename, date`` and the metadata of each drop, by name. Raises ValueError unless names are valid and both sides agree.
 

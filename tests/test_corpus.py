@@ -229,3 +229,10 @@ def test_categories_must_agree(spark):
     assert [r.slug for r in tables.categories(spark).orderBy("ord").collect()][:2] == ["financial-interest", "travel-gifts"]
     with pytest.raises(ValueError, match="differ"):
         tables.categories(spark, ["Other"])
+
+
+def test_usage_shows_what_the_dimension_lacks(spark):
+    rows = spark.createDataFrame([("Other",), ("Other",), ("other",), (None,)], "category string")
+    got = {r.value: (r.documents, r.known) for r in tables.category_usage(tables.categories(spark), rows).collect()}
+    assert got == {"Other": (2, True), "other": (1, False), None: (1, False), "Financial Interest": (0, True), "Travel & Gifts": (0, True), "Appearance of Conflict": (0, True), "Statement of Financial Interests": (0, True)}
+    assert tables.category_usage(tables.categories(spark), rows.where("false")).count() == 5

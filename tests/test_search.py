@@ -3,12 +3,14 @@ import os
 import random
 import re
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from docketry import schemas
 from docketry.functions import stem
+from docketry.functions.display import page_links
 from docketry.operators import search
 from docketry.plans import request
 from docketry.plans.request import SearchRequest, page_numbers, parse_url, summary, url_for
@@ -140,6 +142,39 @@ def test_cache_is_by_query_and_skips_overtaken_runs():
     assert runs == ["a", "slow", "fast", "slow"]
 
 
+def test_page_links_are_those_of_requests(spark):
+    rows = [(c, t) for t in range(1, 15) for c in range(1, t + 1)]
+    got = spark.createDataFrame(rows, "c int, t int").select("c", "t", page_links(F.col("c"), F.col("t")).alias("links")).collect()
+    assert {(r.c, r.t): r.links for r in got} == {(c, t): page_numbers(c, t) for c, t in rows}
+
+
+def test_pages_of_listings(spark):
+    totals = spark.createDataFrame([("a", 41), ("b", 0), ("c", None), ("d", 20), (None, 10**5)], "name string, total long")
+    got = {}
+    for r in search.listing_pages(totals, at_once=7).collect():
+        got.setdefault(r.name, {})[r.page] = (r.pages, r.first, r.last, r.links)
+    assert got["a"] == {1: (3, 1, 20, [1, 2, 3]), 2: (3, 21, 40, [1, 2, 3]), 3: (3, 41, 41, [1, 2, 3])}
+    assert got["b"] == got["c"] == {1: (1, 0, 0, [1])} and got["d"] == {1: (1, 1, 20, [1])}
+    assert sorted(got[None]) == list(range(1, 5001)) and got[None][300] == (5000, 5981, 6000, page_numbers(300, 5000))
+    assert search.listing_pages(totals.where("false")).count() == 0
+
+
+def test_result_sets_are_found_once_and_released(spark, index):
+    kept = search.ResultSets(index, 1)
+    asked = SearchRequest("real estate", {}, "newest")
+    rows, total, page, ran = kept.page(asked)
+    assert [r.url.rsplit("/", 1)[1] for r in rows.collect()] == ["a.pdf", "b.pdf", "c.pdf"] and (total, page, ran) == (3, 1, True)
+    again, total, page, ran = kept.page(replace(asked, page=9))
+    assert (again.count(), total, page, ran) == (3, 3, 1, False)
+    folder = next(iter(kept._cache.kept.values()))[1]
+    assert os.path.isdir(folder)
+    assert kept.page(SearchRequest("nowhere"))[1:] == (0, 1, True) and not os.path.exists(folder)
+    assert rows.count() == 3 and kept.page(asked)[3]  # the page outlived its table, which is made again
+    kept.release()
+    assert not kept._cache.kept and kept.page(asked)[3]
+    kept.release()
+
+
 def records(spark, texts):
     rows = [(f"https://f/{k:05}", t, {"filename": f"{k % 37:03}"}, {"category": ["A" if k % 3 else "B"], **({"year": [str(2000 + k % 5)]} if k % 4 else {})}, {"date": str(2000 + k % 5)} if k % 4 else {}) for k, t in enumerate(texts)]
     return spark.createDataFrame(rows, "url string, content string, meta map<string,string>, filters map<string,array<string>>, sort map<string,string>")
