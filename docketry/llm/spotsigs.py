@@ -58,33 +58,51 @@ def _blocks(docs: DataFrame, block_rows: int, most: int = 1 << 18) -> tuple[Data
     """``docs`` with ``_block``, numbered by falling doc_id, and the number of rows: ranges of ids with about so many rows each, at most ``most`` blocks.
 
     Approximate quantiles give coarse ranges, which are cut into equal widths; so neither gaps nor outliers of the ids gather
-    rows in one block. Rows without an id come last.
+    rows in one block. An id that is a quantile more than once holds a good part of the rows: it is a coarse range of its own, and so are the rows without an id, which come last;
+    these are cut into equal widths of the hash of their text, falling as rows do.
     """
-    facts = docs.agg(F.count("*").alias("n"), F.percentile_approx("_id", [k / 64 for k in range(65)], 10_000).alias("q")).first()
-    cuts = sorted(set(facts["q"] or [0]))
-    fine = max(1, min(most // (len(cuts) + 1), math.ceil(facts["n"] / len(cuts) / block_rows)))
-    if facts["n"] <= block_rows:
-        return docs.withColumn("_block", F.lit(0).cast("long")), facts["n"]
+    facts = docs.agg(F.count("*").alias("n"), F.count("_id").alias("known"), F.percentile_approx("_id", [k / 64 for k in range(65)], 10_000).alias("q")).first()
+    n, found = facts["n"], facts["q"] or [0]
+    if n <= block_rows:
+        return docs.withColumn("_block", F.lit(0).cast("long")), n
+    often = {c: (found.count(c) + 1) / 64 * facts["known"] for c in sorted(set(found)) if found.count(c) > 1}  # with the most rows each can have
+    cuts = sorted(set(found) | {c + 1 for c in often if c < 2**63 - 1})  # a range begins at its cut, so one of these ids fills its own
+
+    def parts(size: float) -> tuple[int, dict[int, int], int]:
+        """How many blocks of ``size`` rows a range, each frequent id and the rows without an id are cut into."""
+        return math.ceil(facts["known"] / len(set(found)) / size) or 1, {c: math.ceil(rows / size) for c, rows in often.items()}, math.ceil((n - facts["known"]) / size) or 1
+
+    fine, hashed, unknown = parts(block_rows)
+    if (total := fine * (len(cuts) + 1) + sum(hashed.values()) + unknown) > most:
+        fine, hashed, unknown = parts(block_rows * total / most)
     bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
     above = F.size(F.filter(bounds, lambda c: c > F.col("_id")))  # 0: from the last cut on
     low, high = F.element_at(bounds, F.lit(len(cuts)) - above), F.element_at(bounds, F.lit(len(cuts) + 1) - above)
     inside = (above > 0) & (above < len(cuts))
-    part = F.floor((high.cast("double") - F.col("_id")) / (high.cast("double") - low) * fine)
-    step = F.when(inside, F.least(F.greatest(part, F.lit(0)), F.lit(fine - 1))).otherwise(0)
-    return docs.withColumn("_block", F.when(F.col("_id").isNull(), F.lit((len(cuts) + 1) * fine)).otherwise(above.cast("long") * fine + step).cast("long")), facts["n"]
+    within = (high.cast("double") - F.col("_id")) / (high.cast("double") - low)
+    by_hash = (F.lit(2.0**63) - F.col("_hash")) / 2.0**64
+    step = F.when(F.col("_id").isNull(), _part_of(by_hash, unknown))
+    for c, k in hashed.items():
+        step = step.when(F.col("_id") == F.lit(c).cast("long"), _part_of(by_hash, k))
+    step = step.when(inside, _part_of(within, fine)).otherwise(0)
+    place = F.when(F.col("_id").isNull(), F.lit(len(cuts) + 1)).otherwise(above).cast("long")
+    return docs.withColumn("_block", (place * max(fine, unknown, *hashed.values()) + step).cast("long")), n
+
+
+def _part_of(share: Column, parts: int) -> Column:
+    return F.least(F.greatest(F.floor(share * parts), F.lit(0)), F.lit(parts - 1))
 
 
 def with_next(docs: DataFrame, block_rows: int = 1024, task_rows: int = 4096) -> DataFrame:
     """``_id, _text, _set, _next_text, _next_set``: each document with the next one by falling doc_id, the first one after the last.
 
     Blocks of ids are windows of their own, dealt to tasks of about ``task_rows`` rows, however many rows there are. What follows a block's last row is the next block's first, so a copy of that row
-    goes to the block's end; there is one such row for each block. Equal ids follow by falling hash of their text. Rows of one repeated id are one
-    block, as are rows without an id.
+    goes to the block's end; there is one such row for each block. Equal ids follow by falling hash of their text, and so do rows without an id;
+    blocks of these are ranges of hashes. Only rows that are equal in id and text cannot be told apart, and lie in one block.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), text.alias("_text"))
-    rows, n = _blocks(rows, block_rows)
-    rows = rows.withColumn("_hash", F.xxhash64("_text"))
+    rows, n = _blocks(rows.withColumn("_hash", F.xxhash64("_text")), block_rows)
     heads = rows.groupBy("_block").agg(F.max(F.struct("_id", "_hash")).alias("_head"))
     order = Window.orderBy("_block")  # sees one row for each block
     first = F.first("_head").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))

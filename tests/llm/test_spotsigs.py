@@ -95,6 +95,24 @@ def test_blocks_of_many_tasks(documents):
     assert ahead == {k * 3: rows[k - 1][1] for k in range(200)}
 
 
+def test_one_id_of_many_rows_is_many_blocks(documents):
+    """A third of the rows has one id, a third none: all in small blocks, each row before the next by falling hash, and the edge ids keep their places."""
+    from pyspark.sql import functions as F
+
+    rows = [(7, f"same {k}") for k in range(300)] + [(None, f"none {k}") for k in range(300)] + [(k * 5, f"own {k}") for k in range(300)] + [(2**63 - 1, f"last {k}") for k in range(90)] + [(-(2**63), "first")]
+    docs = documents(rows)
+    blocks, n = spotsigs._blocks(docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash")), 16)
+    sizes = [r["count"] for r in blocks.groupBy("_block").count().collect()]
+    assert n == len(rows) and max(sizes) <= 48 and sum(sizes) == n
+    few, _ = spotsigs._blocks(docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash")), 1, most=100)
+    assert few.select("_block").distinct().count() <= 200
+    signed = lambda t: (lambda h: h - 2**64 if h >= 2**63 else h)(xxhash.xxh64(t.encode(), seed=42).intdigest())
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), -signed(r[1])))
+    expected = {order[k]: order[(k + 1) % len(order)][1] for k in range(len(order))}
+    got = {(r._id, r._text): r._next_text for r in spotsigs.with_next(docs, block_rows=16, task_rows=100).collect()}
+    assert got == expected
+
+
 def test_no_python_in_the_plan(documents):
     plan = spotsigs.fingerprints(documents([(1, "a")]))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "MapInArrow"))
