@@ -132,7 +132,15 @@ def _unpacked(blocks: DataFrame, *keep: str, gaps: bool = False) -> DataFrame:
 
 #: Documents, frequencies, lengths, where each document's gaps begin, and the gaps of all of them; flat arrays, as nested ones take several times the room.
 _ARRAYS = ("docs", "tfs", "lengths", "starts", "gaps")
-_CHUNK = "term string, block long, " + ", ".join(f"{name} array<int>" for name in _ARRAYS)
+#: What is sent: the documents, frequencies, lengths and gaps of some postings of a block one after another in one array.
+_SENT = "term string, block long, first int, n int, data array<int>"
+_BLOCK = "term string, block long, n int, cf long, part double, " + ", ".join(f"{name} array<int>" for name in _ARRAYS)
+#: Places that a row that is sent has at most, unless one document has more: ranges have rows in equal numbers, so rows must not differ much in size.
+_PIECE = 64
+
+
+def _lists(ends: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], at_once: int = 1 << 20) -> Iterator[pa.RecordBatch]:
@@ -164,18 +172,82 @@ def _together(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     own, ends = row[starts], np.append(np.searchsorted(starts, firsts), len(starts))
     begun = starts - np.repeat(firsts, np.diff(ends))
     each = [doc[own] & ((1 << BLOCK_BITS) - 1), np.diff(starts, append=len(row)), batch.column("length").to_numpy()[own], begun]
-    lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32())) for values in each]
-    lists.append(pa.ListArray.from_arrays(pa.array(np.append(firsts, len(row)), pa.int32()), pa.array(gaps, pa.int32())))
+    lists = [_lists(ends, values) for values in each]
+    lists.append(_lists(np.append(firsts, len(row)), gaps))
     out = pa.RecordBatch.from_arrays([encoded.dictionary.take(pa.array(term[firsts])), pa.array(block[firsts]), *lists], ["term", "block", *_ARRAYS])
     for at in range(0, out.num_rows, 8192):
         yield out.slice(at, 8192)
 
 
+def _flat(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).flatten().to_numpy()
+
+
+def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks as rows to send, cut between documents so that a row has about ``_PIECE`` places at most."""
+    for batch in _chunks(batches):
+        docs, tfs, lengths, gaps, starts = (_flat(batch, name) for name in ("docs", "tfs", "lengths", "gaps", "starts"))
+        sizes = np.diff(batch.column("docs").offsets.to_numpy())
+        owner, first = np.repeat(np.arange(batch.num_rows), sizes), np.cumsum(sizes) - sizes
+        piece = np.ones(len(docs), bool)
+        piece[1:] = (owner[1:] != owner[:-1]) | ((starts + tfs - 1)[1:] // _PIECE != (starts + tfs - 1)[:-1] // _PIECE)
+        piece[first] = True
+        begin = np.flatnonzero(piece)
+        n = np.diff(begin, append=len(docs))
+        places = np.add.reduceat(tfs, begin)
+        ends = np.append(0, np.cumsum(3 * n + places))
+        data = np.empty(ends[-1], np.int32)
+        each = np.arange(len(docs)) - np.repeat(begin, n) + np.repeat(ends[:-1], n)
+        for k, values in enumerate((docs, tfs, lengths)):
+            data[each + np.repeat(k * n, n)] = values
+        gap_ends = np.cumsum(places)
+        data[np.arange(len(gaps)) - np.repeat(gap_ends - places, places) + np.repeat(ends[:-1] + 3 * n, places)] = gaps
+        of = pa.array(owner[begin])
+        out = pa.RecordBatch.from_arrays([batch.column("term").take(of), batch.column("block").take(of), pa.array(docs[begin], pa.int32()), pa.array(n, pa.int32()), _lists(ends, data)], ["term", "block", "first", "n", "data"])
+        for at in range(0, out.num_rows, 8192):
+            yield out.slice(at, 8192)
+
+
+def _joined(batches: Iterator[pa.RecordBatch], average: float, k1: float, b: float) -> Iterator[pa.RecordBatch]:
+    """The blocks of rows that were sent and come sorted by term, block and first document."""
+    left = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch] if left is None else [left, batch]).combine_chunks().to_batches()
+        if not rows:
+            continue
+        rows = rows[0]
+        term, block = rows.column("term").dictionary_encode().indices.to_numpy(), rows.column("block").to_numpy()
+        begins = np.ones(rows.num_rows, bool)
+        begins[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        last = int(np.flatnonzero(begins)[-1])  # further rows of the last block may come
+        left = rows.slice(last)
+        if last:
+            yield _blocks(rows.slice(0, last), np.flatnonzero(begins[:last]), average, k1, b)
+    if left is not None:
+        yield _blocks(left, np.array([0]), average, k1, b)
+
+
+def _blocks(rows: pa.RecordBatch, begins: np.ndarray, average: float, k1: float, b: float) -> pa.RecordBatch:
+    n, data = rows.column("n").to_numpy(), _flat(rows, "data")
+    sizes = np.diff(rows.column("data").offsets.to_numpy())
+    place, n_here = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes), np.repeat(n, sizes)
+    docs, tfs, lengths = (data[(place >= k * n_here) & (place < (k + 1) * n_here)] for k in range(3))
+    gaps = data[place >= 3 * n_here]
+    docs_at, gaps_at = (np.append(0, np.cumsum(x))[np.append(begins, rows.num_rows)] for x in (n, sizes - 3 * n))
+    starts = np.cumsum(tfs, dtype=np.int64) - tfs
+    starts -= np.repeat(starts[docs_at[:-1]], np.diff(docs_at))
+    parts = np.maximum.reduceat(tfs * (k1 + 1) / (tfs + k1 * (1 - b + b * lengths / max(average, 1e-9))), docs_at[:-1])
+    lists = [_lists(docs_at, x) for x in (docs, tfs, lengths, starts)] + [_lists(gaps_at, gaps)]
+    of = pa.array(begins)
+    facts = [rows.column("term").take(of), rows.column("block").take(of), pa.array(np.diff(docs_at), pa.int32()), pa.array(np.diff(gaps_at), pa.int64()), pa.array(parts)]
+    return pa.RecordBatch.from_arrays([*facts, *lists], ["term", "block", "n", "cf", "part", *_ARRAYS])
+
+
 def write_index(records: DataFrame, folder: str, ranges: int | None = None, k1: float = 1.2, b: float = 0.75) -> None:
     """The index of ``records(url, content, filters, meta, sort, ...)`` below a folder.
 
-    A task puts the postings of its own documents together by block and term, as arrays; these are sent once, in ranges of term and block, and what one task
-    gathers of a term is a block of documents. As many ranges as asked for, or as the session's shuffles have.
+    A task puts the postings of its own documents together by block and term, as arrays; these are sent once, in ranges of term and block, as rows of about one
+    size, so that ranges are of one size too and a term of all documents lies in as many as it fills. As many ranges as asked for, or as the session's shuffles have.
     """
     spark = records.sparkSession
     entries = records.withColumn("length", F.size(tokens(F.col("content")))).withColumn("doc", F.monotonically_increasing_id())
@@ -183,19 +255,14 @@ def write_index(records: DataFrame, folder: str, ranges: int | None = None, k1:
     entries = spark.read.parquet(f"{folder}/entries")  # numbers hold from here on
     totals = entries.agg(F.count("*").alias("n"), F.coalesce(F.avg("length"), F.lit(0.0)).alias("average"))
     totals.withColumns({"k1": F.lit(k1), "b": F.lit(b)}).write.mode("overwrite").parquet(f"{folder}/totals")
-    average = spark.read.parquet(f"{folder}/totals").select("average").first()[0]
-    words = entries.select("doc", "length", tokens(F.col("content")).alias("words")).mapInArrow(_chunks, _CHUNK)
+    average = float(spark.read.parquet(f"{folder}/totals").select("average").first()[0])
+    words = entries.select("doc", "length", tokens(F.col("content")).alias("words")).mapInArrow(_sent, _SENT)
     ranged = words.repartitionByRange(*([ranges] if ranges else []), "term", "block")
-    # Chunks of a block come from neighbouring runs of documents, so they are in order once their first documents are; there are few.
-    rows = ranged.groupBy("term", "block").agg(F.sort_array(F.collect_list(F.struct(*_ARRAYS))).alias("p"))
-    before = lambda k: F.aggregate(F.slice("p", F.lit(1), k), F.lit(0), lambda n, x: n + F.size(x["gaps"]))
-    shifted = F.transform("p", lambda x, k: F.transform(x["starts"], lambda n: n + before(k)))
-    rows = rows.select("term", "block", *[F.flatten(shifted if name == "starts" else F.col(f"p.{name}")).alias(name) for name in _ARRAYS])
-    parts = F.transform(F.arrays_zip("tfs", "lengths"), lambda x: _part(x["tfs"], x["lengths"], F.lit(float(average)), k1, b))
-    blocks = rows.select("term", "block", F.size("docs").alias("n"), F.size("gaps").cast("long").alias("cf"), F.array_max(parts).alias("part"), *_ARRAYS)
-    blocks.sortWithinPartitions("term", "block").write.mode("overwrite").parquet(f"{folder}/blocks")
+    blocks = ranged.sortWithinPartitions("term", "block", "first").mapInArrow(lambda batches: _joined(batches, average, k1, b), _BLOCK)
+    # Small row groups, so that a query skips most of a file and the blocks of a frequent term are dealt to tasks.
+    blocks.write.mode("overwrite").option("parquet.block.size", 1 << 24).parquet(f"{folder}/blocks")
     known = spark.read.parquet(f"{folder}/blocks").groupBy("term").agg(F.sum("n").alias("df"), F.sum("cf").alias("cf"))
-    known.withColumn("stem", stems(F.col("term"))).repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{folder}/terms")
+    known.repartitionByRange("term").withColumn("stem", stems(F.col("term"))).sortWithinPartitions("term").write.mode("overwrite").parquet(f"{folder}/terms")
 
 
 def parse_query(query: str) -> tuple[list[str], list[list[str]]]:

@@ -389,7 +389,7 @@ def search_best(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(rf"WITH {_INDEX_SQL} SELECT w AS term, count(DISTINCT filename) AS df, count(*) AS cf FROM (SELECT filename, unnest(words) AS w FROM docs) GROUP BY 1")
 def index_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document and collection frequencies of the index's terms."""
-    return _index(spark, sf_dir).blocks.groupBy("term").agg(F.sum("n").alias("df"), F.sum("cf").alias("cf"))
+    return _index(spark, sf_dir).terms.select("term", "df", "cf")
 
 
 @registered(rf"""

@@ -323,3 +323,30 @@ def test_stems():
     assert [(w, stem.stem(w)) for w in pairs[::2]] == list(zip(pairs[::2], pairs[1::2], strict=True))
     assert [stem.stem(w) for w in ("as", "été", "x1s", "")] == ["as", "été", "x1s", ""]
     assert all(w.startswith(stem.common_start(w)) for w in pairs)
+
+
+def test_ranges_are_of_one_size_though_a_term_is_most_of_the_texts(spark, tmp_path):
+    texts = [" ".join(["the"] * 40 + [f"w{k}"]) for k in range(3000)]
+    search.write_index(records(spark, texts).coalesce(1), str(tmp_path), ranges=4)
+    sizes = [r.n for r in search.Index.read(spark, str(tmp_path)).blocks.groupBy(F.input_file_name()).agg(F.sum("cf").alias("n")).collect()]
+    assert sum(sizes) == 3000 * 41 and max(sizes) < 0.7 * sum(sizes)
+
+
+@pytest.mark.parametrize("at_once", [1, 3, 1000])
+def test_blocks_are_joined_across_batches_of_rows_that_were_sent(at_once, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(search, "_PIECE", 4)
+    pick = random.Random(at_once)
+    texts = {doc: pick.choices(["a", "b", "ü"], k=pick.choice([1, 9, 30])) for doc in [5, 6, 7, 1023, 1024, 1 << 33]}
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.int64()), pa.array([len(t) for t in texts.values()], pa.int32()), pa.array(texts.values(), pa.list_(pa.string()))], ["doc", "length", "words"])
+    sent = pa.Table.from_batches(list(search._sent(iter([batch.slice(0, 2), batch.slice(2)]))))
+    assert all(r["n"] == 1 or len(r["data"]) - 3 * r["n"] <= 4 for r in sent.to_pylist())
+    ordered = sent.sort_by([("term", "ascending"), ("block", "ascending"), ("first", "ascending")]).combine_chunks()
+    rows = [r for out in search._joined(iter(ordered.to_batches(max_chunksize=at_once)), 9.5, 1.2, 0.75) for r in out.to_pylist()]
+    assert len({(r["term"], r["block"]) for r in rows}) == len(rows)
+    got = {(r["term"], (r["block"] << search.BLOCK_BITS) + d): (size, tuple(r["gaps"][s : s + n])) for r in rows for d, n, size, s in zip(r["docs"], r["tfs"], r["lengths"], r["starts"], strict=True)}
+    places = {(t, doc): [k for k, w in enumerate(words) if w == t] for doc, words in texts.items() for t in set(words)}
+    assert got == {(t, doc): (len(texts[doc]), tuple([at[0], *(y - x for x, y in zip(at, at[1:], strict=False))])) for (t, doc), at in places.items()}
+    for r in rows:
+        assert r["n"] == len(r["docs"]) and r["cf"] == len(r["gaps"]) and r["part"] == pytest.approx(max(n * 2.2 / (n + 1.2 * (0.25 + 0.75 * size / 9.5)) for n, size in zip(r["tfs"], r["lengths"], strict=True)))
