@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketry.operators.durable import checkpointed
 from docketry.operators.rollup import complete_documents, page_rollup
 from docketry.sources.files import as_texts, ocr_jobs, page_images, recognise, text_layers
 from docketry.sources.tables import DEFAULT_KIND, STATEMENT_KIND
@@ -47,15 +48,16 @@ def ingest(jobs: DataFrame, contents: DataFrame, drops: DataFrame, render: Calla
     """Texts of ``jobs`` from ``contents(path, content)``.
 
     Statements without a usable text layer join the jobs to recognise. A document comes out whole or not at all: rows of documents that miss a
-    page or were in a failed batch are left out and their jobs reported.
+    page or were in a failed batch are left out and their jobs reported. The extractor and the model see each document once, however often what follows
+    looks at their results, as these are written once they are known.
     """
     to_recognise, statements = split_jobs(jobs, drops)
-    layers = text_layers(contents.join(statements.select(F.col("pdf").alias("path")), "path", "left_semi"), command)
+    layers = checkpointed(text_layers(contents.join(statements.select(F.col("pdf").alias("path")), "path", "left_semi"), command))
     layered = layers.where("text is not null").select(F.col("path").alias("pdf"), "text")
     rejected = layers.where("text is null").select(F.col("path").alias("pdf"))
     images = contents.join(to_recognise.select("pdf").unionByName(rejected).select(F.col("pdf").alias("path")), "path", "left_semi")
     pages = page_images(images, render)
-    results = recognise(pages.where("not error"), infer, batch_pages)
+    results = checkpointed(recognise(pages.where("not error"), infer, batch_pages))
     expected = results.groupBy("doc").agg(F.max("expected_pages").alias("expected_pages"))
     done = complete_documents(page_rollup(results), expected).withColumnRenamed("doc", "pdf").drop("failed")
     finished = layered.select("pdf").unionByName(done.select("pdf"))
@@ -70,6 +72,7 @@ def throughput(done: DataFrame, seconds: float) -> DataFrame:
 
 def failure_report(failed: DataFrame, shown: int = 20) -> list[str]:
     """The first failures by path, and how many more there are."""
+    failed = checkpointed(failed)
     names = [r.pdf for r in failed.orderBy("pdf").limit(shown).collect()]
     more = failed.count() - len(names)
     return names + ([f"and {more} more"] if more > 0 else [])

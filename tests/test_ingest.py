@@ -99,3 +99,22 @@ def test_from_bytes_to_corpus(spark, tmp_path):
     assert [r.pdf for r in ingest.pending_jobs(contents.select("path"), texts).orderBy("pdf").collect()] == ["2026-01-02-town/bad.pdf", "2026-01-02-town/empty.pdf"]
     sums = files.checksummed(spark.createDataFrame([("z/a.zip", b"")], "path string, content binary")).first()
     assert sums.filename == "a.zip" and sums.sha256.startswith("e3b0c442")
+
+
+def test_the_extractor_and_the_model_see_each_document_once(spark, tmp_path):
+    script, seen = tmp_path / "layer.sh", tmp_path / "seen"
+    script.write_text(f'#!/bin/sh\necho layer $(cat "$1") >> {seen}\nexit 1\n')
+    contents = spark.createDataFrame([("s/a.pdf", b"a"), ("s/b.pdf", b"b"), ("d/c.pdf", b"c"), ("d/bad.pdf", b"!")], "path string, content binary").coalesce(1)
+    drops = tables.drop_metadata(spark, {"s": {"kind": "sfi"}, "d": None})
+    nothing = spark.createDataFrame([], "dir string, stem string, ext string, text_path string, text string")
+
+    def infer(images):
+        with open(seen, "a") as file:
+            file.write(f"model {images[0].decode()}\n")
+        if images == [b"!"]:
+            raise RuntimeError("no")
+        return [{"markdown": "m", "html": "", "token_count": 1, "num_chunks": 0, "num_images": 0}]
+
+    out = ingest.ingest(ingest.pending_jobs(contents.select("path"), nothing), contents, drops, lambda c: [c], infer, batch_pages=1, command=("sh", str(script)))
+    assert ingest.failure_report(out.failed) == ["d/bad.pdf"] and out.texts().count() == 3
+    assert sorted(seen.read_text().splitlines()) == ["layer a", "layer b", "model !", "model a", "model b", "model c"]
