@@ -83,18 +83,32 @@ def text_layers(pdfs: DataFrame, command: tuple[str, ...] = ("pdftotext", "-q",
     return raw.select("path", F.array_join(pages_of_text_layer(F.col("raw"), least), "\n").alias("text"))
 
 
+#: About how many bytes of images, or pages of results, are put together before they are handed on: a frame for each document or batch costs more than its rows.
+_AT_ONCE, _PAGES_AT_ONCE = 1 << 24, 1024
+
+
 def page_images(pdfs: DataFrame, render: Callable[[bytes], list[bytes]]) -> DataFrame:
     """``path, page_num, num_pages, image, error`` by a given renderer; a document that fails or has no page gives one error row."""
 
+    columns = ["path", "page_num", "num_pages", "image", "error"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            rows: list[tuple] = []
+            held = 0
             for path, content in zip(batch["path"], batch["content"], strict=True):
                 try:
                     images = list(render(content))
                 except Exception:  # whatever the renderer raises is the document's failure, kept in its row
                     images = []
                 n = len(images)
-                yield pd.DataFrame({"path": [path] * max(n, 1), "page_num": range(1, max(n, 1) + 1), "num_pages": n, "image": images or [None], "error": n == 0})
+                rows += [(path, k + 1, n, image, n == 0) for k, image in enumerate(images or [None])]
+                held += sum(map(len, images))
+                if held >= _AT_ONCE:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows, held = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=columns)
 
     return pdfs.select("path", "content").mapInPandas(run, "path string, page_num int, num_pages int, image binary, error boolean")
 
