@@ -420,7 +420,7 @@ def ingest_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recognition_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many scans, and pages of them, were recognised in twelve and a half minutes, and the time a page took."""
     images = files.page_images(_scans(spark, sf_dir).where("path like 'scans/%'"), _rendered)
-    results = files.recognise(images.where("not error"), _recognised, batch_pages=1)
+    results = checkpointed(files.recognise(images.where("not error"), _recognised, batch_pages=1))
     expected = results.groupBy("doc").agg(F.max("expected_pages").alias("expected_pages"))
     return ingest.throughput(rollup.complete_documents(rollup.page_rollup(results), expected), 750.0)
 

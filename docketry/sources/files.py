@@ -123,25 +123,30 @@ def recognise(pages: DataFrame, infer: Callable[[list[bytes]], list[dict]], batc
     names = [part.strip().split(" ")[0] for part in schema.split(",")]
     empty = {"markdown": None, "html": None, "token_count": 0, "num_chunks": 0, "num_images": 0}
 
-    def flush(queue: list[tuple]) -> pd.DataFrame:
+    def flush(queue: list[tuple]) -> list[dict]:
         try:
             results = infer([image for *_, image in queue])
             failed = len(results) != len(queue)
         except Exception:  # the batch is marked, the others go on
             results, failed = [], True
-        rows = [{"doc": path, "page_num": n, "expected_pages": total, "error": failed, **(empty if failed else results[k])} for k, (path, n, total, _) in enumerate(queue)]
-        return pd.DataFrame(rows, columns=names)
+        return [{"doc": path, "page_num": n, "expected_pages": total, "error": failed, **(empty if failed else results[k])} for k, (path, n, total, _) in enumerate(queue)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         queue: list[tuple] = []
+        rows: list[dict] = []
         for batch in batches:
             for row in zip(batch["path"], batch["page_num"], batch["num_pages"], batch["image"], strict=True):
                 queue.append(row)
                 if len(queue) == batch_pages:
-                    yield flush(queue)
+                    rows += flush(queue)
                     queue = []
+                if len(rows) >= _PAGES_AT_ONCE:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
         if queue:
-            yield flush(queue)
+            rows += flush(queue)
+        if rows:
+            yield pd.DataFrame(rows, columns=names)
 
     return pages.select("path", "page_num", "num_pages", "image").mapInPandas(run, schema)
 

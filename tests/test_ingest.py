@@ -118,3 +118,19 @@ def test_the_extractor_and_the_model_see_each_document_once(spark, tmp_path):
     out = ingest.ingest(ingest.pending_jobs(contents.select("path"), nothing), contents, drops, lambda c: [c], infer, batch_pages=1, command=("sh", str(script)))
     assert ingest.failure_report(out.failed) == ["d/bad.pdf"] and out.texts().count() == 3
     assert sorted(seen.read_text().splitlines()) == ["layer a", "layer b", "model !", "model a", "model b", "model c"]
+
+
+def test_pages_of_many_documents_come_in_one_frame(spark):
+    from pyspark.sql import functions as F
+
+    from docketry.sources import files
+
+    pdfs = spark.range(300).select(F.col("id").cast("string").alias("path"), F.lit(b"xy").alias("content")).coalesce(1)
+
+    def counted(batches):
+        for batch in batches:
+            yield batch.slice(0, 1)
+
+    pages = files.page_images(pdfs, lambda c: [c[:1], c[1:]])
+    results = files.recognise(pages, lambda images: [{"markdown": "m", "html": "", "token_count": 1, "num_chunks": 0, "num_images": 0} for _ in images], batch_pages=1)
+    assert pages.mapInArrow(counted, pages.schema).count() == 1 and results.count() == 600 and results.mapInArrow(counted, results.schema).count() == 1
