@@ -277,27 +277,25 @@ def _idf(n: Column, df: Column) -> Column:
     return F.log(1 + (n - df + 0.5) / (df + 0.5))
 
 
-def _hits(index: Index, words: list[str], inflected: bool, begun: bool, gaps: bool) -> DataFrame:
-    """``word, term, idf, doc, tf, length`` of the postings that answer each word of a query, by its place."""
+def _answers(index: Index, words: list[str], inflected: bool, begun: bool) -> DataFrame:
+    """``word, df`` and the block of the blocks whose terms answer each word of a query, by its place."""
     if not inflected and not begun:
         blocks = index.of(words)
         df = blocks.groupBy(F.col("term").alias("_t")).agg(F.sum("n").alias("df"))
         place = F.array_position(F.array(*map(F.lit, words)), F.col("term")).cast("int") - 1
-        rows = _unpacked(blocks, "term", gaps=gaps).withColumn("word", place).join(df, F.col("term") == F.col("_t"))
-    else:
-        answers, starts = [], []
-        for k, word in enumerate(words):
-            this = F.col("term") == word
-            if inflected:
-                this = this | (F.col("stem") == stem(word))
-            if begun and k == len(words) - 1:
-                this = this | F.col("term").startswith(word)
-            answers.append(F.when(this, F.lit(k)))
-            starts.append(F.col("term").startswith(common_start(word) if inflected else word))
-        near = functools.reduce(lambda x, y: x | y, starts)  # pushed down to both tables, which are sorted by term
-        known = index.terms.where(near).select(F.col("term").alias("_t"), "df", F.explode(F.array_compact(F.array(*answers))).alias("word"))
-        rows = _unpacked(index.blocks.where(near), "term", gaps=gaps).join(known, F.col("term") == F.col("_t"))
-    return rows.withColumn("idf", _idf(index.totals.select("n").scalar(), F.col("df"))).drop("_t", "df")
+        return blocks.withColumn("word", place).join(df, F.col("term") == F.col("_t")).drop("_t")
+    answers, starts = [], []
+    for k, word in enumerate(words):
+        this = F.col("term") == word
+        if inflected:
+            this = this | (F.col("stem") == stem(word))
+        if begun and k == len(words) - 1:
+            this = this | F.col("term").startswith(word)
+        answers.append(F.when(this, F.lit(k)))
+        starts.append(F.col("term").startswith(common_start(word) if inflected else word))
+    near = functools.reduce(lambda x, y: x | y, starts)  # pushed down to both tables, which are sorted by term
+    known = index.terms.where(near).select(F.col("term").alias("_t"), "df", F.explode(F.array_compact(F.array(*answers))).alias("word"))
+    return index.blocks.where(near).join(known, F.col("term") == F.col("_t")).drop("_t")
 
 
 def _scored(index: Index, hits: DataFrame, words: list[str]) -> DataFrame:
@@ -307,13 +305,28 @@ def _scored(index: Index, hits: DataFrame, words: list[str]) -> DataFrame:
     return found.where(F.col("_words") == len(words)).select("doc", F.round("score", 9).alias("score"))  # sums of any order are one score
 
 
-def _with_phrase(hits: DataFrame, words: list[str], phrase: list[str]) -> DataFrame:
-    """``doc`` of the documents in which the words of a phrase follow one another. A word may be in it twice."""
-    steps = F.array(*[F.struct(F.lit(words.index(w)).alias("word"), F.lit(k).alias("step")) for k, w in enumerate(phrase)])
-    places = hits.where(F.col("word").isin([words.index(w) for w in phrase])).select("doc", "word", "term", F.posexplode("gaps").alias("i", "gap"))
-    places = places.withColumn("at", F.sum("gap").over(Window.partitionBy("doc", "word", "term").orderBy("i")))  # of one document
-    starts = places.withColumn("s", F.explode(F.filter(steps, lambda x: x["word"] == F.col("word")))).select("doc", (F.col("at") - F.col("s.step")).alias("start"), "s.step").distinct()
-    return starts.groupBy("doc", "start").agg(F.count("*").alias("n")).where(F.col("n") == len(phrase)).select("doc").distinct()
+def _with_phrase(answers: DataFrame, words: list[str], phrase: list[str]) -> DataFrame:
+    """``doc`` of the documents in which the words of a phrase follow one another. A word may be in it twice.
+
+    The blocks of the words meet by their number, and all documents of one are looked at together, as arrays; what a task holds is one block of documents.
+    """
+    steps = [words.index(w) for w in phrase]
+
+    def run(table: pa.Table) -> pa.Table:
+        placed = {word: [] for word in steps}
+        for row in range(table.num_rows):
+            docs, tfs, gaps = (table.column(name)[row].values.to_numpy(zero_copy_only=False) for name in ("docs", "tfs", "gaps"))
+            at, first = np.cumsum(gaps, dtype=np.int64), np.cumsum(tfs) - tfs
+            placed[table.column("word")[row].as_py()].append((np.repeat(docs.astype(np.int64) << 32, tfs), at - np.repeat(at[first] - gaps[first], tfs)))
+        found = None
+        for step, word in enumerate(steps):
+            begins = np.concatenate([(doc + at - step)[at >= step] for doc, at in placed[word]] or [np.empty(0, np.int64)])
+            found = np.unique(begins) if found is None else np.intersect1d(found, begins)
+        block = table.column("block")[0].as_py()
+        return pa.table({"doc": pa.array(np.unique(found >> 32) + (block << BLOCK_BITS), pa.int64())})
+
+    rows = answers.where(F.col("word").isin(steps)).select("block", "word", "docs", "tfs", "gaps")
+    return rows.groupBy("block").applyInArrow(run, "doc long")
 
 
 def matching(index: Index, query: str, inflected: bool = False, begun: bool = False) -> DataFrame:
@@ -324,10 +337,11 @@ def matching(index: Index, query: str, inflected: bool = False, begun: bool = Fa
     words, phrases = parse_query(query)
     if not words:
         return index.entries.select("doc", F.lit(0.0).alias("score"))
-    hits = _hits(index, words, inflected, begun, bool(phrases))
-    found = _scored(index, hits.drop("gaps"), words)
+    answers = _answers(index, words, inflected, begun)
+    hits = _unpacked(answers, "word", "df").withColumn("idf", _idf(index.totals.select("n").scalar(), F.col("df")))
+    found = _scored(index, hits, words)
     for phrase in phrases:
-        found = found.join(_with_phrase(hits, words, phrase), "doc", "left_semi")
+        found = found.join(_with_phrase(answers, words, phrase), "doc", "left_semi")
     return found
 
 
@@ -389,8 +403,12 @@ def facet_condition(filters: dict[str, tuple[str, ...]], but: str | None = None)
 
 def candidates(index: Index, query: str, inflected: bool = False, begun: bool = False) -> DataFrame:
     """The matches of a query with what filters, sorting and counting need, before any filter; texts stay where they are."""
+    return _numbered_candidates(index, query, inflected, begun).drop("doc")
+
+
+def _numbered_candidates(index: Index, query: str, inflected: bool, begun: bool) -> DataFrame:
     narrow = index.entries.select("doc", "url", "filters", "sort", F.element_at("meta", F.lit("filename")).alias("filename"))
-    return narrow.join(matching(index, query, inflected, begun), "doc").drop("doc")
+    return narrow.join(matching(index, query, inflected, begun), "doc")
 
 
 def facet_counts(found: DataFrame, filters: dict[str, tuple[str, ...]]) -> DataFrame:
@@ -441,10 +459,10 @@ def search(index: Index, request: SearchRequest, after: tuple[float | str | None
     """One page of results, the facet counts, the total, and the number of the page shown (the last one if past the end).
 
     The matches are found once, as narrow rows that are written; count, page and facets read these. The page is the top of them,
-    and only its rows are joined with their records. ``after`` (score or date, file name and address of the last row of the page before) asks for the page
+    and only its records are read. ``after`` (score or date, file name and address of the last row of the page before) asks for the page
     that follows it, for which no row of the earlier pages is sorted again.
     """
-    found = checkpointed(candidates(index, request.query, inflected, begun))
+    found = checkpointed(_numbered_candidates(index, request.query, inflected, begun))
     chosen = found.where(facet_condition(request.filters))
     total = chosen.count()
     page = min(request.page, max(1, -(-total // PAGE_SIZE)))
