@@ -467,9 +467,12 @@ def search(index: Index, request: SearchRequest, after: tuple[float | str | None
     total = chosen.count()
     page = min(request.page, max(1, -(-total // PAGE_SIZE)))
     ranked = chosen.where(after_row(request.sort, *after)) if after else chosen
-    ranked = ranked.orderBy(*order_by(request.sort)).offset(0 if after else PAGE_SIZE * (page - 1)).limit(PAGE_SIZE).select("url", "score")
+    ranked = ranked.orderBy(*order_by(request.sort)).offset(0 if after else PAGE_SIZE * (page - 1)).limit(PAGE_SIZE).select("doc", "score")
     terms, _ = parse_query(request.query)
-    shown = index.entries.join(F.broadcast(ranked), "url")  # at most a page
+    page_rows = {r.doc: r.score for r in ranked.collect()}  # at most a page
+    scores = F.create_map(*[F.lit(x) for pair in page_rows.items() for x in pair]) if page_rows else F.lit(None).cast("map<bigint,double>")
+    asked = functools.reduce(lambda x, y: x | y, [F.col("doc") == doc for doc in page_rows], F.lit(False))
+    shown = index.entries.where(asked).withColumn("score", F.element_at(scores, F.col("doc")))  # a pushed-down filter: entries lie in order of their numbers
     shown = shown.withColumn("filename", F.element_at("meta", F.lit("filename"))).orderBy(*order_by(request.sort))
     rows = shown.select("url", shown_title().alias("title"), details().alias("details"), (excerpt(F.col("content"), terms) if terms else F.lit(None).cast("string")).alias("excerpt"), "score")
     return rows, facet_counts(found, request.filters), total, page

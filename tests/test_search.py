@@ -355,3 +355,9 @@ def test_blocks_are_joined_across_batches_of_rows_that_were_sent(at_once, monkey
 def test_phrases_are_found_by_blocks_and_not_by_rows_of_places(index):
     plan = search.matching(index, '"real estate"')._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "posexplode" not in plan
+
+
+def test_records_of_a_page_are_read_by_their_numbers(index):
+    rows = search.search(index, request.SearchRequest("real"))[0]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(doc," in plan and rows.count() > 0
