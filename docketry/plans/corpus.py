@@ -37,18 +37,27 @@ def with_drops(docs: DataFrame, drops: DataFrame) -> DataFrame:
     return joined.withColumn("kind", F.coalesce("_kind", F.lit(DEFAULT_KIND))).drop("_drop", "_kind")
 
 
+def with_fulltext(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``docs(text_path, ...)`` with the ``fulltext`` of their text; both sides are sent and sorted.
+
+    Texts that tasks read from files have no size that the planner could know: it measures the paths that were sent to the tasks, takes the texts for as little, and
+    all of them would go to the driver to be broadcast.
+    """
+    own = texts.select(F.col("text_path").alias("_tp"), fulltext(F.col("text"), F.col("ext")).alias("fulltext"))
+    return docs.join(own.hint("merge"), F.col("text_path") == F.col("_tp")).drop("_tp")
+
+
 def build_corpus(files: DataFrame, texts: DataFrame, drops: DataFrame, exclusions: DataFrame, as_of: datetime.date) -> DataFrame:
     """The corpus table and ``first_path`` (its order) from ``files(path, sha256)`` and the outputs of the other sources.
 
     Files and documents are narrow rows that are written once they are known, so the contents of files are read in one pass, however often what
-    follows looks at the rows. Texts are joined then, so copies do not carry them; those of statements are read a second time for their common lines. Drops and
-    exclusions are small tables whose join strategy is left to their measured size.
+    follows looks at the rows. Texts are joined then, so copies do not carry them, and written with their documents, as those of statements are read a second
+    time for their common lines. Drops and exclusions are small tables whose join strategy is left to their measured size.
     """
     placed = checkpointed(with_text_paths(files, texts))
     named = named_documents(placed, exclusions).where("text_path is not null").withColumn("drop", drop_of(F.col("original_path")))
     named = checkpointed(with_drops(named, drops))
-    own = texts.select(F.col("text_path").alias("_tp"), fulltext(F.col("text"), F.col("ext")).alias("fulltext"))
-    docs = named.join(own, F.col("text_path") == F.col("_tp")).drop("_tp")
+    docs = checkpointed(with_fulltext(named, texts))
     none = F.lit(None).cast("string")
 
     plain = docs.where(F.col("kind") != STATEMENT_KIND)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docketry import schemas
 from docketry.functions.category import CATEGORIES
+from docketry.operators.durable import delete, written
 from docketry.plans.request import slugify
 from docketry.sources.trees import opened
 from docketry.sources.writers import staged
@@ -91,10 +92,17 @@ def checked_drops(listing: DataFrame, metadata: DataFrame) -> DataFrame:
 
 
 def write_corpus(corpus: DataFrame, path: str, files: int | None = None) -> None:
-    """JSON lines with explicit nulls, in first-path order from part to part; as many files as the sort has ranges, or so many."""
+    """JSON lines with explicit nulls, in first-path order from part to part; as many files as the sort has ranges, or so many.
+
+    A sort samples its rows before it sends them, so they are a table of their own for that time and are not made twice.
+    """
     columns = [f.name for f in schemas.CORPUS.fields]
-    ordered = corpus.orderBy("first_path").select(*columns)
-    (ordered.coalesce(files) if files else ordered).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    rows, folder = written(corpus)
+    try:
+        ordered = rows.orderBy("first_path").select(*columns)
+        (ordered.coalesce(files) if files else ordered).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    finally:
+        delete(corpus.sparkSession, folder)
 
 
 def write_corpus_metadata(drops: DataFrame, path: str) -> None:

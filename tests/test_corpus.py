@@ -2,12 +2,14 @@ import datetime
 import json
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from docketry.functions.display import delimit, drop_url, portal_path, slugify
 from docketry.operators import boilerplate, naming, rollup, syncplan
+from docketry.plans import corpus as corpora
 from docketry.plans.corpus import build_corpus
 from docketry.sources import files as sources
 from docketry.sources import archives, portal, tables
@@ -65,6 +67,27 @@ def test_corpus(spark, tree, tmp_path):
     assert sorted(r.filename for r in tables.read_corpus(spark, out).collect()) == sorted(r.filename for r in rows.values())
 
 
+def test_texts_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Their paths are measured, not they: 40 texts of 20,000 signs, where tables of up to 100,000 bytes are broadcast."""
+    for k in range(40):
+        write(str(tmp_path), f"pdfs/d/f{k}.pdf", f"form {k}")
+        write(str(tmp_path), f"ocr/d/f{k}/f{k}.txt", f"{k} " * 10000)
+    plans = []
+    monkeypatch.setattr(corpora, "checkpointed", lambda df: plans.append(df) or df.checkpoint())
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "checkpoints"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+    try:
+        pdfs, texts = sources.scan_pdfs(spark, str(tmp_path / "pdfs")), sources.scan_texts(spark, str(tmp_path / "ocr"))
+        built = build_corpus(pdfs, texts, tables.drop_metadata(spark, {}), tables.exclusions(spark, []), datetime.date(2026, 6, 1))
+        read = [df for df in [*plans, built] if "fulltext" in df.columns]
+        for df in read:
+            assert len(df.collect()) == 40
+            assert not re.search(r"BroadcastExchange(?:(?!Exchange).)*MapInArrow[^\n]*content", df._jdf.queryExecution().executedPlan().toString(), re.S)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert read
+
+
 def test_no_file_is_passed_over(spark, tmp_path):
     import hashlib
 
