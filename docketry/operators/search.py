@@ -248,6 +248,7 @@ def write_index(records: DataFrame, folder: str, ranges: int | None = None, k1:
 
     A task puts the postings of its own documents together by block and term, as arrays; these are sent once, in ranges of term and block, as rows of about one
     size, so that ranges are of one size too and a term of all documents lies in as many as it fills. As many ranges as asked for, or as the session's shuffles have.
+    The rows are a table of their own until they have been sent, as ranges are found from a sample of all rows, for which texts would be taken apart once more.
     """
     spark = records.sparkSession
     entries = records.withColumn("length", F.size(tokens(F.col("content")))).withColumn("doc", F.monotonically_increasing_id())
@@ -256,11 +257,14 @@ def write_index(records: DataFrame, folder: str, ranges: int | None = None, k1:
     totals = entries.agg(F.count("*").alias("n"), F.coalesce(F.avg("length"), F.lit(0.0)).alias("average"))
     totals.withColumns({"k1": F.lit(k1), "b": F.lit(b)}).write.mode("overwrite").parquet(f"{folder}/totals")
     average = float(spark.read.parquet(f"{folder}/totals").select("average").first()[0])
-    words = entries.select("doc", "length", tokens(F.col("content")).alias("words")).mapInArrow(_sent, _SENT)
-    ranged = words.repartitionByRange(*([ranges] if ranges else []), "term", "block")
-    blocks = ranged.sortWithinPartitions("term", "block", "first").mapInArrow(lambda batches: _joined(batches, average, k1, b), _BLOCK)
-    # Small row groups, so that a query skips most of a file and the blocks of a frequent term are dealt to tasks.
-    blocks.write.mode("overwrite").option("parquet.block.size", 1 << 24).parquet(f"{folder}/blocks")
+    words, rows = written(entries.select("doc", "length", tokens(F.col("content")).alias("words")).mapInArrow(_sent, _SENT))
+    try:
+        ranged = words.repartitionByRange(*([ranges] if ranges else []), "term", "block")
+        blocks = ranged.sortWithinPartitions("term", "block", "first").mapInArrow(lambda batches: _joined(batches, average, k1, b), _BLOCK)
+        # Small row groups, so that a query skips most of a file and the blocks of a frequent term are dealt to tasks.
+        blocks.write.mode("overwrite").option("parquet.block.size", 1 << 24).parquet(f"{folder}/blocks")
+    finally:
+        delete(spark, rows)
     known = spark.read.parquet(f"{folder}/blocks").groupBy("term").agg(F.sum("n").alias("df"), F.sum("cf").alias("cf"))
     known.repartitionByRange("term").withColumn("stem", stems(F.col("term"))).sortWithinPartitions("term").write.mode("overwrite").parquet(f"{folder}/terms")
 

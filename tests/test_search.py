@@ -227,6 +227,19 @@ def test_index_is_built_with_one_exchange_of_tokens(spark, wide, monkeypatch):
     assert plans[0].count("Exchange ") == 1 and "rangepartitioning(term" in plans[0]
 
 
+def test_texts_are_taken_apart_once_for_the_ranges(spark, tmp_path, monkeypatch):
+    plain, calls = search._sent, str(tmp_path / "calls")
+
+    def counted(batches):
+        os.makedirs(f"{calls}/{os.urandom(8).hex()}")
+        yield from plain(batches)
+
+    monkeypatch.setattr(search, "_sent", counted)
+    search.write_index(records(spark, ["a b", "b c"]).coalesce(1), str(tmp_path / "index"), ranges=2)
+    assert len(os.listdir(calls)) == 1
+    assert {(r.term, r.df) for r in search.Index.read(spark, str(tmp_path / "index")).terms.collect()} == {("a", 1), ("b", 2), ("c", 1)}
+
+
 @pytest.mark.parametrize("at_once", [1, 7, 1000])
 def test_postings_of_a_batch_in_slices_of_any_size(at_once):
     import pyarrow as pa
