@@ -30,6 +30,9 @@ CITATIONS = (
     (TRAVEL_AND_GIFTS, r"(?iu)CMR\s*5\.0[68]|honorari"),
     (APPEARANCE_OF_CONFLICT, r"(?iu)23\s*\(?b\)?\s*\(?3"),
 )
+# Words that are no prose, in which the signs of a citation can stand by chance: checksums and access keys, addresses.
+KEY = r"(?<![A-Za-z0-9])(?:[0-9a-f]{16,}+|[0-9A-F]{16,}+|A[KS]IA[0-9A-Z]{16})(?![A-Za-z0-9])"
+ADDRESS = r"(?<![\p{L}\p{N}_.%+-])[\p{L}\p{N}_.%+-]++@[\w-]++\.[\w.-]++"
 # What scanning leaves in titles. The time stamp is used by the field extraction too; the redaction mark is not, which there has a case.
 TIME_STAMP = r"(?:\d{2,4}\s+)?[A-Z]{3,4}\s*-?\s*\d+\s*[AP]M\s*\d+\s*:\s*\d+"
 REDACTION = r"(?iu:\[?REDACTED\]?)"
@@ -50,6 +53,12 @@ def form_title(text: Column) -> Column:
     return let(F.filter(cleaned, lambda x: x != ""), title)
 
 
+def cites(text: Column, pattern: str) -> Column:
+    """Whether a text matches outside of its keys and addresses; these are taken out only where the whole text matches, which few do."""
+    prose = F.regexp_replace(text, f"{KEY}|{ADDRESS}", "#")
+    return text.rlike(edges(pattern)) & prose.rlike(edges(pattern))
+
+
 def category(text: Column) -> Column:
     """The category of a document's text; ``Other`` where neither title nor citation tells, and for null."""
 
@@ -58,7 +67,7 @@ def category(text: Column) -> Column:
         for label, pattern in TITLES:
             by_title = by_title.when(title.rlike(pattern), label)
         for label, pattern in CITATIONS:
-            by_citation = by_citation.when(text.rlike(edges(pattern)), label)
+            by_citation = by_citation.when(cites(text, pattern), label)
         return F.when(title.isNotNull(), by_title.otherwise(OTHER)).otherwise(by_citation.otherwise(OTHER))
 
     return let(form_title(text), told)
